@@ -138,7 +138,7 @@ def _relaid(rest: DataFrame, capacity: int) -> DataFrame:
                 done, at = done + size, at + size
         return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    return rest.groupBy(F.lit(0)).applyInPandas(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
+    return rest.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
 def packed(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, tail: int = 64, end_id: int = 1) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import setsketch
+from . import langid, packing, secret_scan, setsketch, token_count, vector_neardup
 from .common import table
 
 
@@ -29,5 +30,42 @@ select d.doc_id, coalesce(s.n, 0) as n_shingles, coalesce(r.c, d.doc_id) as comp
 from documents d left join sizes s using (doc_id) left join (select doc_id, min(to_id) as c from reach group by doc_id) r using (doc_id)
 """
 
-QUERIES = {"op9_setsketch_near_duplicates": op9_setsketch_near_duplicates}
-ORACLE_SQL = {"op9_setsketch_near_duplicates": OP9_SQL}
+def op1_subspace_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_neardup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+OP1_SQL = """
+with recursive v as materialized (
+  select vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as materialized (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.93),
+reach as (select vec_id, vec_id as to_id from embeddings union select r.vec_id, l.b from reach r join links l on l.a = r.to_id),
+found as (select vec_id, min(to_id) as component_id from reach group by vec_id)
+select f.vec_id, (select count(*) from links l where l.a = f.vec_id) as n_links, f.component_id, f.vec_id = f.component_id as kept from found f
+"""
+
+
+def op2_resynchronised_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.token_counts(table(spark, sf_dir, "documents"), limit=4096)
+
+
+def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), capacity=2048).drop("ids")
+
+
+def op8_mixture_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    found = langid.languages(docs, ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", F.map_entries("proportions").alias("proportions"))
+
+
+def op10_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents")).drop("found")
+
+
+QUERIES = {"op10_entropy_secrets": op10_entropy_secrets, "op8_mixture_languages": op8_mixture_languages, "op6_harmonic_packing": op6_harmonic_packing, "op2_resynchronised_tokens": op2_resynchronised_tokens, "op1_subspace_near_vectors": op1_subspace_near_vectors, "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates}
+ORACLE_SQL = {"op1_subspace_near_vectors": OP1_SQL, "op9_setsketch_near_duplicates": OP9_SQL}
