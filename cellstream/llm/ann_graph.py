@@ -93,6 +93,11 @@ def _grown(x: np.ndarray, degree: int, width: int, relax: float) -> tuple[np.nda
         edges[new, :degree] = _pruned(x, new, found, degree, relax)
         u, k = np.nonzero(edges[new] >= 0)
         to, back = edges[new][u, k], new[u]
+        apart = ~(edges[to] == back[:, None]).any(1)  # no edge twice
+        to, back = to[apart], back[apart]
+        if not len(to):
+            at += len(new)
+            continue
         by = np.argsort(to, kind="stable")
         to, back = to[by], back[by]
         nodes, first, n_back = np.unique(to, return_index=True, return_counts=True)
@@ -176,7 +181,7 @@ def _searched(p: pd.DataFrame, q: pd.DataFrame, k: int, width: int) -> pd.DataFr
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = 8192, degree: int = 24, build_width: int = 48, width: int = 96, relax: float = 1.2, block: int = 4096) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = 8192, degree: int = 32, build_width: int = 64, width: int = 128, relax: float = 1.2, block: int = 4096) -> DataFrame:
     """The k nearest found of each query: query_id, rank (from 1), vec_id, score.
 
     vectors and queries: vec_id, embedding. score is the Euclidean distance of the original vectors in

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, secret_scan, setsketch, token_count, vector_neardup
+from . import ann_graph, langid, packing, secret_scan, setsketch, token_count, vector_neardup
 from .common import table
 
 
@@ -67,5 +67,10 @@ def op10_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(spark, sf_dir, "documents")).drop("found")
 
 
-QUERIES = {"op10_entropy_secrets": op10_entropy_secrets, "op8_mixture_languages": op8_mixture_languages, "op6_harmonic_packing": op6_harmonic_packing, "op2_resynchronised_tokens": op2_resynchronised_tokens, "op1_subspace_near_vectors": op1_subspace_near_vectors, "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates}
+def op7_pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann_graph.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+QUERIES = {"op7_pruned_graph_search": op7_pruned_graph_search, "op10_entropy_secrets": op10_entropy_secrets, "op8_mixture_languages": op8_mixture_languages, "op6_harmonic_packing": op6_harmonic_packing, "op2_resynchronised_tokens": op2_resynchronised_tokens, "op1_subspace_near_vectors": op1_subspace_near_vectors, "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates}
 ORACLE_SQL = {"op1_subspace_near_vectors": OP1_SQL, "op9_setsketch_near_duplicates": OP9_SQL}
