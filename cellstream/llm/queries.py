@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_graph, langid, packing, secret_scan, setsketch, token_count, vector_neardup
+from . import ann_graph, langid, line_templates, mixing, packing, secret_scan, setsketch, token_count, vector_neardup, weak_quality
 from .common import table
 
 
+#: Shares of the tokens by language that mixing aims at.
+WEIGHTS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
+
+
+def labelled_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that are in `labels`, with their language as domain."""
+    labels = table(spark, sf_dir, "labels").select("doc_id").distinct()
+    return table(spark, sf_dir, "documents").join(labels, "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
+
+
 def op9_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -72,5 +82,20 @@ def op7_pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_graph.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
-QUERIES = {"op7_pruned_graph_search": op7_pruned_graph_search, "op10_entropy_secrets": op10_entropy_secrets, "op8_mixture_languages": op8_mixture_languages, "op6_harmonic_packing": op6_harmonic_packing, "op2_resynchronised_tokens": op2_resynchronised_tokens, "op1_subspace_near_vectors": op1_subspace_near_vectors, "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates}
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_templates.without_recurring_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("n_chars_left"), F.md5(F.encode("text", "UTF-8")).alias("text_md5"))
+
+
+def op4_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = mixing.mixed(docs, labelled_languages(spark, sf_dir), WEIGHTS)
+    return found.select("doc_id", "domain", "tokens", "rate", "copies")
+
+
+def op5_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.quality(table(spark, sf_dir, "documents")).select("doc_id", "votes", "posterior", "score", "kept")
+
+
+QUERIES = {"op5_weak_label_quality": op5_weak_label_quality, "op4_soft_mixing": op4_soft_mixing, "op3_line_templates": op3_line_templates, "op7_pruned_graph_search": op7_pruned_graph_search, "op10_entropy_secrets": op10_entropy_secrets, "op8_mixture_languages": op8_mixture_languages, "op6_harmonic_packing": op6_harmonic_packing, "op2_resynchronised_tokens": op2_resynchronised_tokens, "op1_subspace_near_vectors": op1_subspace_near_vectors, "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates}
 ORACLE_SQL = {"op1_subspace_near_vectors": OP1_SQL, "op9_setsketch_near_duplicates": OP9_SQL}
