@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes that a value of each fixed-size type has (fixed values).
 WIDTHS = {
@@ -36,7 +37,7 @@ def _text(v: Column) -> Column:
     return F.when(F.octet_length(v) > 0, F.decode(v, "UTF-8"))
 
 
-@F.pandas_udf("float")
+@F.pandas_udf(T.FloatType())
 def _float(v: pd.Series) -> pd.Series:
     ok = v.notna().to_numpy()
     bits = np.frombuffer(b"".join(v[ok]), ">u4").astype(np.uint32) - np.uint32(1)
@@ -45,7 +46,7 @@ def _float(v: pd.Series) -> pd.Series:
     return pd.Series(out).astype(object).where(ok, None)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _double(v: pd.Series) -> pd.Series:
     ok = v.notna().to_numpy()
     bits = np.frombuffer(b"".join(v[ok]), ">u8").astype(np.uint64) - np.uint64(1)
@@ -54,7 +55,7 @@ def _double(v: pd.Series) -> pd.Series:
     return pd.Series(out).astype(object).where(ok, None)
 
 
-@F.pandas_udf("decimal(38,10)")
+@F.pandas_udf(T.DecimalType(38, 10))
 def _decimal(v: pd.Series) -> pd.Series:
     """A sign and exponent byte, then base-100 digits, each + 1; for negative numbers inverted (101 - digit) and ended by 102."""
     from decimal import Context, Decimal

@@ -90,5 +90,5 @@ def split_errors(events: DataFrame, policy: str = "skip") -> tuple[DataFrame, Da
     """Good rows and quarantined ones; by policy "fail", reading the good rows raises the first error."""
     bad = events.where("_error is not null")
     if policy == "fail":
-        return events.where(F.when(F.col("_error").isNotNull(), F.raise_error("_error").cast("boolean")).otherwise(True)).drop("_error"), bad
+        return events.where(F.when(F.col("_error").isNotNull(), F.raise_error(F.col("_error")).cast("boolean")).otherwise(True)).drop("_error"), bad
     return events.where("_error is null").drop("_error"), bad
