@@ -9,8 +9,8 @@ full sets.
 
 Candidates are never all pairs of a bucket. First every document is held against the smallest
 member it shares a bucket with, then against the smallest member of each of its buckets, and only
-members of a bucket that are still in different components are held against each other; a link
-inside a component that is known already can't change the result.
+members of a bucket that are still in different components are considered further (see _rest); a
+link inside a component that is known already can't change the result.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from .components import components
 
 BASE, RATE, STEPS = 1.02, 20.0, 1022
 _WORDS = WordHashes()
+_MULTIPLIERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def shingle_hashes(text: str | None, words_per_shingle: int) -> np.ndarray:
@@ -46,13 +47,16 @@ def registers(hashes: np.ndarray, m: int) -> np.ndarray:
     """The m registers of a set, uint16; zeros for the empty set."""
     if not len(hashes):
         return np.zeros(m, np.uint16)
-    r = np.random.RandomState(20_011)
-    a = r.randint(0, 1 << 32, (2, m)).astype(np.uint64)
-    a, b = (a[0] << np.uint64(32) | a[1]) | np.uint64(1), r.randint(0, 1 << 62, m).astype(np.uint64)
-    low = np.full(m, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 2048):
-        low = np.minimum(low, (hashes[at : at + 2048, None] * a + b).min(0))
-    x = -np.log1p(-(low.astype(np.float64) + 0.5) * 2.0**-64)
+    if m not in _MULTIPLIERS:
+        r = np.random.RandomState(20_011)
+        _MULTIPLIERS[m] = (r.randint(0, 1 << 31, m).astype(np.uint32) * np.uint32(2) + np.uint32(1), r.randint(0, 1 << 32, m).astype(np.uint32))
+    a, b = _MULTIPLIERS[m]
+    low = np.full(m, np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(hashes), 512):
+        part, half = hashes[at : at + 512], m // 2
+        for own, x in ((slice(0, half), part), (slice(half, m), part >> np.uint64(32))):
+            low[own] = np.minimum(low[own], (a[own, None] * x.astype(np.uint32) + b[own, None]).min(1))
+    x = -np.log1p(-(low.astype(np.float64) + 0.5) * 2.0**-32)
     return np.clip(np.floor(1 - np.log(np.maximum(x * RATE, 1e-300)) / np.log(BASE)), 0, STEPS + 1).astype(np.uint16)
 
 
@@ -101,6 +105,11 @@ def _likely(pairs: DataFrame, sketches: DataFrame, threshold: float, margin: flo
     return sized.mapInPandas(run, "a long, b long")
 
 
+def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    text = lambda c: docs.select(F.col("doc_id").cast("long").alias(c), F.col("text").cast("string").alias(f"t{c}"))
+    return pairs.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs (u, v) of which 100 * intersection is at least percent * union, on full sets."""
 
@@ -116,17 +125,70 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
                 keep.append(both > 0 and 100 * both >= percent * (len(own) + len(other) - both))
             yield p.loc[keep, ["a", "b"]].rename(columns={"a": "u", "b": "v"})
 
-    text = lambda c: docs.select(F.col("doc_id").cast("long").alias(c), F.col("text").cast("string").alias(f"t{c}"))
-    return pairs.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb").mapInPandas(run, "u long, v long")
+    return _with_texts(pairs, docs).mapInPandas(run, "u long, v long")
+
+
+def _against(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """For pairs (a, b): b as doc_id, a as anchor, n (b's set size), k (size of the intersection) and diff, b's hashes that a lacks."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, anchor = None, np.empty(0, np.uint64)
+        for p in parts:
+            out = []
+            for a, b, ta, tb in zip(p["a"], p["b"], p["ta"], p["tb"]):
+                if last is None or last != (a, ta):
+                    last, anchor = (a, ta), shingle_hashes(ta, words)
+                own = shingle_hashes(tb, words)
+                diff = np.setdiff1d(own, anchor, assume_unique=True)
+                out.append((b, a, len(own), len(own) - len(diff), diff.view(np.int64)))
+            yield pd.DataFrame(out, columns=["doc_id", "anchor", "n", "k", "diff"])
+
+    return _with_texts(pairs, docs).mapInPandas(run, "doc_id long, anchor long, n long, k long, diff array<long>")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, m: int = 160, rows: int = 5, margin: float = 0.25) -> DataFrame:
+def _rest(at: DataFrame, docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of documents that share a bucket but no component and may be linked: sure to be confirmed next, and to be estimated first.
+
+    In a crowd of variants of one text, those that are too far from it are held against nobody one
+    by one. Each document gets an anchor: the smallest of the largest component that it meets in
+    its buckets. With k the elements it has in common with the anchor, two documents of one anchor
+    have min(k, k') elements in common at most, and what both have beyond the anchor. So they
+    can be linked only if min(k, k') is large enough by itself, or if they share elements that the
+    anchor lacks, which are found by these elements.
+    """
+    split = at.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
+    left = stored(at.join(split, "bucket").select("bucket", "doc_id", "component"), "split")
+    sizes = left.select("doc_id", "component").distinct().groupBy("component").agg(F.count("*").alias("size"))
+    main = left.join(sizes, "component").groupBy("bucket").agg(F.max(F.struct("size", F.negative("component").alias("c"))).alias("main"))
+    anchors = left.join(main, "bucket").groupBy("doc_id").agg(F.max("main").alias("main"), F.first("component").alias("component")).select(F.negative("main.c").alias("a"), F.col("doc_id").alias("b"), "component")
+    held = stored(_against(anchors.select("a", "b"), docs, words).join(anchors.select(F.col("b").alias("doc_id"), "component"), "doc_id").dropDuplicates(["doc_id"]), "anchored")
+
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "component", "anchor", "n", "k")]
+    # 100 * both >= percent * (n + n' - both)
+    enough = lambda both: (100 + percent) * both >= percent * (F.col("n_a") + F.col("n_b"))
+    sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    in_bucket = left.select("bucket", "doc_id").join(held.drop("diff"), "doc_id")
+    one, two = in_bucket.select(F.col("bucket").alias("of_a"), *side("a")), in_bucket.select(F.col("bucket").alias("of_b"), *side("b"))
+    apart = (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("component_a") != F.col("component_b")) & sized
+    met = lambda cond: one.join(two, (F.col("of_a") == F.col("of_b")) & apart & cond).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
+    same = F.col("anchor_a") == F.col("anchor_b")
+    by_anchor = met(same & enough(F.least("k_a", "k_b")))
+    other = met(~same)
+    beyond = held.select("doc_id", "component", "anchor", "n", "k", F.explode("diff").alias("element"))
+    room = F.least(F.col("n_a") - F.col("k_a"), F.col("n_b") - F.col("k_b"))  # the most that both can have beyond the anchor
+    shared = beyond.select(*side("a"), "element").join(beyond.select(*side("b"), F.col("element").alias("element_b")), same & (F.col("element") == F.col("element_b")) & apart & enough(room + F.least("k_a", "k_b")))
+    shared = shared.groupBy("doc_id_a", "doc_id_b", "n_a", "n_b", "k_a", "k_b").agg(F.count("*").alias("both")).where(enough(F.col("both") + F.least("k_a", "k_b")))
+    sure = by_anchor.unionAll(shared.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))).distinct()
+    return sure, other
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, m: int = 216, rows: int = 6, margin: float = 0.15) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
     docs needs doc_id and text; other columns don't matter. Two documents are linked if
     100 * |A n B| >= percent * |A u B| for their sets of distinct word shingles (the whole sequence
     as one, if shorter). m registers in bands of `rows`: a pair at similarity 0.8 misses all bands
-    with a probability of about 4e-6. component_id is the smallest doc_id reachable by links.
+    with a probability of about 2e-5. component_id is the smallest doc_id reachable by links.
 
     Null and empty texts have empty sets and link with nothing; exact copies and texts of equal
     sets are one class from the start, so copies cost no pairs; rows with a null doc_id are kept,
@@ -154,13 +216,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, m: int =
     firsts = at.where("first = doc_id").select("bucket", F.col("component").alias("of_first"))
     star = at.join(firsts, "bucket").where("component <> of_first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = links.unionAll(confirm(star, "stars"))
-    at = stored(labelled(links), "labelled")
-    split = at.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-    left = at.join(split, "bucket")
-    one = left.select("bucket", F.col("doc_id").alias("a"), F.col("component").alias("ca"), "first")
-    two = left.select("bucket", F.col("doc_id").alias("b"), F.col("component").alias("cb"))
-    rest = one.join(two, (one["bucket"] == two["bucket"]) & (one["a"] < two["b"]) & (one["ca"] != two["cb"]) & (one["a"] != one["first"])).select("a", "b").distinct()
-    links = links.unionAll(confirm(rest, "rest"))
+    sure, other = _rest(stored(labelled(links), "labelled"), docs, words, percent)
+    links = links.unionAll(stored(_confirmed(sure, docs, words, percent), "sure")).unionAll(confirm(other, "other"))
     of_rep = components(links)
     of_class = classes.join(of_rep, F.col("rep") == F.col("node"), "left").select(*key, F.coalesce("component", "rep").alias("component"))
     alone = named.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
