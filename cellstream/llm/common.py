@@ -2,29 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset, one of our own."""
-    named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="cellstream-")
-        spark.sparkContext.setCheckpointDir(named)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+from ..scratch import new_path, shared_dir
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: cuts lineage, survives lost executors, and later reads take only the columns they need."""
-    path = f"{shared_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -111,7 +111,7 @@ def posterior(patterns: np.ndarray, share: float, says_bad: np.ndarray) -> np.nd
 def fitted(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, size: int, decay: float = 1e-4, rounds: int = 300) -> np.ndarray:
     """Weights (the last one is the constant) of a logistic model on sparse rows, by accelerated full gradients."""
     x = np.concatenate([v for _, v in rows]) if rows else np.empty(0)
-    col = np.concatenate([i for i, _ in rows]) if rows else np.empty(0, np.int64)
+    col = np.concatenate([np.asarray(i, np.int64) for i, _ in rows]) if rows else np.empty(0, np.int64)
     row = np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows])
     w, v = np.zeros(size + 1), np.zeros(size + 1)
     # Both classes weigh the same, or else few bad documents leave the model indifferent.
@@ -124,7 +124,7 @@ def fitted(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, size:
     return w
 
 
-def quality(docs: DataFrame, bits: int = 12, sample: int = 20_000, threshold: float = 0.5) -> DataFrame:
+def quality(docs: DataFrame, bits: int = 12, sample: int = 10_000, threshold: float = 0.5) -> DataFrame:
     """The rows of docs that have a doc_id or a text, each with votes, posterior, score and kept (score >= threshold).
 
     docs: doc_id and text, and any other columns, which are kept unless they clash with the new ones;
