@@ -11,6 +11,7 @@ and cut at the capacity.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,66 +23,73 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from .common import stored
 
+#: ASCII marks that are neither letters nor digits, but for ', which starts pre-tokens such as 's.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _encoders: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """Token ids of texts as little-endian 32-bit bytes, by a tokenizer that never looks across ASCII white space.
+    """Token ids of texts, by a tokenizer that never looks across ASCII white space.
 
     That holds for word_bpe_49k.json: no pattern of its pre-tokenizer and no special token holds
-    white space, and neither normal form nor lower case depends on it. So ids are kept by word.
-    Words of letters alone end in one token that ends a word; new ones are encoded many at a time.
+    white space, and neither normal form nor lower case depends on it. So ids are kept by word,
+    16 bits each where the vocabulary allows. A word of letters in normal form is one pre-token
+    that goes to the tokenizer's model as it is; so does what is left without ASCII marks at the
+    end, which are a pre-token of their own. All other words take the tokenizer's whole way.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 600_000):
         self.tokenizer = Tokenizer.from_file(path)
+        self.bytes_of = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
         self.most = most
-        self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
-        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
 
-    def _each(self, words: list[bytes]) -> None:
-        for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
 
-    def _learn(self, new: list[bytes]) -> None:
-        stems: dict[bytes, list[bytes]] = {}
-        others = []
+    def _whole(self, word: bytes) -> bytes:
+        return self._packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+
+    def _stem(self, stem: bytes) -> bytes:
+        model = self.tokenizer.model
+        if stem.isalpha():
+            return self._packed([t.id for t in model.tokenize(stem.lower().decode())])
+        text = stem.decode()
+        if text.isalpha() and text == text.lower() == unicodedata.normalize("NFC", text):
+            return self._packed([t.id for t in model.tokenize(self.bytes_of.pre_tokenize_str(text)[0][0])])
+        return self._whole(stem)
+
+    def _learn(self, new: set[bytes]) -> None:
+        known = self.known
         for w in new:
-            stem = w[:-1] if w[-1:] in (b".", b",") else w
-            if stem.decode().isalpha():
-                stems.setdefault(stem, []).append(w)
-            else:
-                others.append(w)
-        self._each([*others, b".", b","])
-        fresh = [w for w in stems if w not in self.known]
-        for at in range(0, len(fresh), 512):
-            part = fresh[at : at + 512]
-            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) == len(part):
-                for w, x in zip(part, np.split(ids, last)):
-                    self.known[w] = x.tobytes()
-            else:
-                self._each(part)
-        for stem, words in stems.items():
-            for w in words:
-                if w != stem:
-                    self.known[w] = self.known[stem] + self.known[w[-1:]]
-
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
+            stem = w.rstrip(MARKS)
+            if len(stem) == len(w):
+                known[w] = self._stem(w)
+                continue
+            marks = w[len(stem) :]
+            if stem and not stem.isalpha() and not stem.decode().isalpha():
+                known[w] = self._whole(w)
+                continue
+            for part in (stem, marks):
+                if part and part not in known:
+                    known[part] = self._stem(part)
+            known[w] = known.get(stem, b"") + known[marks]
+
+    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         for at in range(0, len(texts), 256):
             # A-Z need not be kept apart, but for the strings of special tokens.
             words = [(t.encode() if "<|" in t else t.encode().lower()).split() for t in texts[at : at + 256]]
             if len(self.known) > self.most:
                 self.known.clear()
-            if new := {w for ws in words for w in ws}.difference(self.known):
-                self._learn(list(new))
+            if new := set().union(*words).difference(self.known):
+                self._learn(new)
             for ws in words:
-                yield b"".join(map(self.known.__getitem__, ws))
+                yield np.frombuffer(b"".join(map(self.known.__getitem__, ws)), self.kind)
 
 
 def cut_lengths(n: int, capacity: int, tail: int) -> list[int]:
@@ -96,6 +104,10 @@ def cut_lengths(n: int, capacity: int, tail: int) -> list[int]:
     return out + [n] * (n > 0)
 
 
+def _crc32(ids: np.ndarray) -> int:
+    return zlib.crc32(ids.astype("<u4").tobytes())
+
+
 def _pieces(docs: DataFrame, path: str, capacity: int, tail: int, end_id: int) -> DataFrame:
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if path not in _encoders:
@@ -104,12 +116,12 @@ def _pieces(docs: DataFrame, path: str, capacity: int, tail: int, end_id: int) -
         for part in parts:
             out = []
             for doc_id, ids in zip(part["doc_id"], _encoders[path].ids(part["text"].tolist())):
-                ids += end_id.to_bytes(4, "little")
-                start, n = 0, len(ids) // 4
+                ids = np.append(ids, ids.dtype.type(end_id))
+                start, n = 0, len(ids)
                 for length in cut_lengths(n, capacity, tail):
-                    own = ids[4 * start : 4 * (start + length)]
+                    own = ids[start : start + length]
                     k = capacity // length
-                    out.append((doc_id, start, length, zlib.crc32(own), n, k, task, seen[k], own))
+                    out.append((doc_id, start, length, _crc32(own), n, k, task, seen[k], own.tobytes()))
                     seen[k] += 1
                     start += length
                 if len(out) >= 4096:
@@ -133,8 +145,8 @@ def _relaid(rest: DataFrame, capacity: int) -> DataFrame:
             done = 0
             while done < length:
                 size = min(length - done, capacity - at % capacity)
-                own = ids[4 * done : 4 * (done + size)]
-                out.append((doc_id, start + done, size, zlib.crc32(own), n, at // capacity, at % capacity, own))
+                own = np.frombuffer(ids, f"<u{len(ids) // length}")[done : done + size]
+                out.append((doc_id, start + done, size, _crc32(own), n, at // capacity, at % capacity, own.tobytes()))
                 done, at = done + size, at + size
         return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
 
@@ -142,7 +154,7 @@ def _relaid(rest: DataFrame, capacity: int) -> DataFrame:
 
 
 def packed(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, tail: int = 64, end_id: int = 1) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (32-bit little-endian).
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (little-endian, 16 bits each where the vocabulary allows, else 32).
 
     tokenizer: path of a tokenizers file whose words end at white space; word_bpe_49k.json by default.
     Every token of every document, the end_id after it included, is in exactly one piece; pieces of a
@@ -161,15 +173,19 @@ def packed(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048,
     # One row a class, so at most `capacity` rows: sequences of smaller classes come first.
     full = by_class.select("class", "of_class", F.floor(F.col("of_class") / F.col("class")).alias("full"))
     first = full.select("class", "of_class", "full", (F.sum("full").over(Window.orderBy("class")) - F.col("full")).alias("first_id"))
-    ranked = pieces.join(before.join(F.broadcast(first), "class"), ["class", "task"]).withColumn("rank", F.col("before") + F.col("nth"))
-    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+    placed = by_task.select("class", "task", "n").join(before, ["class", "task"]).join(F.broadcast(first), "class")
     in_full = F.col("rank") < F.col("full") * F.col("class")
+    ranked = pieces.join(placed.drop("n"), ["class", "task"]).withColumn("rank", F.col("before") + F.col("nth"))
+    # At most k - 1 pieces a class are left, so these are few counts, whatever the input's size.
+    some_left = placed.where(F.col("before") + F.col("n") > F.col("full") * F.col("class")).drop("n")
+    rest = pieces.join(F.broadcast(some_left), ["class", "task"]).withColumn("rank", F.col("before") + F.col("nth")).where(~in_full)
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
     filled = ranked.where(in_full).withColumn("sequence_id", F.col("first_id") + F.floor(F.col("rank") / F.col("class"))).withColumn("slot", F.col("rank") % F.col("class"))
     # Pieces of a class differ in length only in the tails; there the offset is the sum of what stands before.
     even = filled.where(F.col("length") > tail).withColumn("offset", F.col("slot") * F.col("length"))
     order = Window.partitionBy("sequence_id").orderBy("slot")
     uneven = filled.where(F.col("length") <= tail).withColumn("offset", F.sum("length").over(order) - F.col("length"))
     total = first.agg(F.coalesce(F.sum("full"), F.lit(0)).alias("total"))
-    last = _relaid(ranked.where(~in_full).select("doc_id", "start", "length", "doc_tokens", "class", "rank", "ids"), capacity)
+    last = _relaid(rest.select("doc_id", "start", "length", "doc_tokens", "class", "rank", "ids"), capacity)
     last = last.crossJoin(F.broadcast(total)).withColumn("sequence_id", F.col("sequence_id") + F.col("total"))
     return even.select(columns).unionByName(uneven.select(columns)).unionByName(last.select(columns))
