@@ -37,8 +37,8 @@ def posteriors(docs: DataFrame, labelled: DataFrame, sharpness: float = 1.0) ->
     labelled: text and domain; rows without either don't count. The model, one number a domain and
     feature, is the one thing that reaches the driver. A text without any feature has the priors.
     """
-    names = [f"f{i}" for i in range(len(FEATURES))]
-    counted = lambda t: t.withColumn("low", F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))).withColumns(dict(zip(names, _counts(F.col("low")))))
+    names = [f"__f{i}" for i in range(len(FEATURES))]
+    counted = lambda t: t.withColumn("__low", F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))).withColumns(dict(zip(names, _counts(F.col("__low")))))
     rows = counted(labelled.where("text is not null and domain is not null")).groupBy("domain").agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in names]).orderBy("domain").collect()
     domains = [str(r["domain"]) for r in rows]
     if not domains:
@@ -48,11 +48,11 @@ def posteriors(docs: DataFrame, labelled: DataFrame, sharpness: float = 1.0) ->
     for r in rows:
         n = sum(r[f] for f in names) + 0.5 * len(names)
         logs.append([F.log(F.lit(r["n"] / total))] + [F.log(F.lit((r[f] + 0.5) / n)) * F.col(f) * sharpness for f in names])
-    scored = counted(docs).withColumn("ll", F.array(*[_plus(x) for x in logs]))
-    scored = scored.withColumn("e", F.transform("ll", lambda x: F.exp(x - F.array_max("ll"))))
-    scored = scored.withColumn("p", F.transform("e", lambda x: x / F.aggregate("e", F.lit(0.0), lambda a, b: a + b)))
-    tokens = F.size(F.filter(F.split("low", r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")
-    return scored.withColumn("tokens", tokens).drop("low", "ll", "e", *names), domains
+    scored = counted(docs).withColumn("__ll", F.array(*[_plus(x) for x in logs]))
+    scored = scored.withColumn("__e", F.transform("__ll", lambda x: F.exp(x - F.array_max("__ll"))))
+    scored = scored.withColumn("p", F.transform("__e", lambda x: x / F.aggregate("__e", F.lit(0.0), lambda a, b: a + b)))
+    tokens = F.size(F.filter(F.split("__low", r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")
+    return scored.withColumn("tokens", tokens).drop("__low", "__ll", "__e", *names), domains
 
 
 def _rate(steps: list[list[float]], least: float) -> Column:

@@ -125,7 +125,7 @@ def fitted(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, size:
 
 
 def quality(docs: DataFrame, bits: int = 12, sample: int = 10_000, threshold: float = 0.5) -> DataFrame:
-    """The rows of docs that have a doc_id or a text, each with votes, posterior, score and kept (score >= threshold).
+    """docs with votes, posterior (by the votes), score (by the linear scorer) and kept (score >= threshold).
 
     docs: doc_id and text, and any other columns, which are kept unless they clash with the new ones;
     those are replaced. All documents count for the labellers' accuracies. sample: rows that the

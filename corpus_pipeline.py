@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,17 +12,24 @@ from cellstream.llm.common import stored, table
 from cellstream.llm.queries import WEIGHTS, labelled_languages
 
 
+def _shielded(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A stage on doc_id and text, with the other columns out of reach of the names that operators give."""
+    own = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    after = stage(docs.withColumnsRenamed(own))
+    return after.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject."""
-    return weak_quality.quality(docs).where("kept").select(docs.columns)
+    return _shielded(docs, lambda d: weak_quality.quality(d).where("kept"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines of recurring templates; n_chars, where there is one, follows."""
-    cleaned = line_templates.without_recurring_lines(docs)
+    cleaned = _shielded(docs, line_templates.without_recurring_lines)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(docs.columns)
+    return cleaned
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +41,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rates say, once at least: languages come to their weights by repeating, so no document is lost."""
-    rated = mixing.mixed(docs, labelled_languages(spark, sf_dir), WEIGHTS, least=1.0)
-    return rated.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.greatest(F.col("copies"), F.lit(1)))).alias("__copy")).drop("__copy")
+    labelled = labelled_languages(spark, sf_dir)
+    copies = F.explode(F.sequence(F.lit(1), F.greatest(F.col("copies"), F.lit(1))))
+    return _shielded(docs, lambda d: mixing.mixed(d, labelled, WEIGHTS, least=1.0).withColumn("__copy", copies))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

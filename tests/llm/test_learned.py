@@ -186,5 +186,18 @@ def test_stages_of_the_pipeline(spark, tmp_path):
     assert {x["doc_id"] for x in pieces.collect()} == set(seen["mix"])
 
 
+def test_stages_leave_clashing_columns_alone(spark, tmp_path):
+    more = ("votes", "score", "kept", "tokens", "rate", "p", "n_lines", "copies", "component_id", "low", "e", "f1")
+    docs = corpus(spark, 40).drop("score").withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in more})
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, str(tmp_path))
+        assert after.columns == docs.columns
+        assert after.where(" or ".join(f"{c} <> concat('{c}', doc_id)" for c in more)).count() == 0
+    assert mixing.mixed(docs, docs.select("text", F.col("lang").alias("domain")), {"en": 1.0}).select("low", "e", "f1").where("low <> concat('low', doc_id)").count() == 0
+
+
 def test_every_operator_has_its_query():
     assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
