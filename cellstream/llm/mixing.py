@@ -1,6 +1,6 @@
 """Mixing domains to target weights by soft membership. DataFrame functions only.
 
-A naive Bayes classifier over a fixed set of letters and letter pairs, fitted on the labelled rows,
+A naive Bayes classifier over a fixed set of letters and strings of letters, fitted on the labelled rows,
 gives each document's posterior of every domain. Document rates r >= least are then fitted so that
 the expected tokens of each domain, the sum of r * tokens * posterior, come to the targets: projected
 gradient steps on the squared residuals, scaled by their curvature, each of them one aggregation of a
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Strings whose counts are the classifier's features: common letters, letters with marks, common pairs.
-FEATURES = tuple("abcdefghijklmnopqrstuvwxyz") + tuple("äöüßéèêçàâîôùñóíáú¿") + ("th", "ch", "en", "qu", "ci", "an", "ei", "ou", "os", "ll", "sch", "ing")
+#: Strings whose counts are the classifier's features: rare letters, letters with marks, pairs. None is so common that counting it copies much text.
+FEATURES = tuple("kwqzvj") + tuple("äöüßéèêçàñóíá") + ("th", "sch", "qu", "ci", "ou", "ll", "ei", "ng", "as")
 
 
 def _plus(columns: list[Column]) -> Column:
@@ -28,7 +28,7 @@ def _plus(columns: list[Column]) -> Column:
 
 def _counts(text: Column) -> list[Column]:
     """How often each feature occurs in a lower-cased text."""
-    return [((F.length(text) - F.length(F.replace(text, F.lit(f), F.lit("")))) / len(f)).cast("double") for f in FEATURES]
+    return [((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(f), F.lit("")))) / len(f.encode())).cast("double") for f in FEATURES]
 
 
 def posteriors(docs: DataFrame, labelled: DataFrame, sharpness: float = 1.0) -> tuple[DataFrame, list[str]]:
@@ -51,7 +51,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, sharpness: float = 1.0) ->
     scored = counted(docs).withColumn("__ll", F.array(*[_plus(x) for x in logs]))
     scored = scored.withColumn("__e", F.transform("__ll", lambda x: F.exp(x - F.array_max("__ll"))))
     scored = scored.withColumn("p", F.transform("__e", lambda x: x / F.aggregate("__e", F.lit(0.0), lambda a, b: a + b)))
-    tokens = F.size(F.filter(F.split("__low", r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")
+    tokens = F.regexp_count("__low", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     return scored.withColumn("tokens", tokens).drop("__low", "__ll", "__e", *names), domains
 
 
@@ -114,7 +114,8 @@ def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], least
     with_p, domains = posteriors(plain, labelled)
     if not domains:
         return with_p.withColumn("domain", F.lit(None).cast("string")).withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1))
-    members = stored(with_p.select(F.xxhash64("doc_id", F.col("text").cast("string")).alias("key"), "tokens", "p"), "members")
+    with_p = stored(with_p, "members")  # the rounds read two columns of it
+    members = with_p.select("tokens", "p")
     now = members.agg(*[F.coalesce(F.sum(F.col("tokens") * F.get("p", F.lit(i))), F.lit(0.0)) for i in range(len(domains))]).first()
     share = [max(0.0, weights.get(d, 0.0)) for d in domains]
     share = [s / (sum(share) or 1.0) for s in share]
