@@ -182,13 +182,13 @@ def _rest(at: DataFrame, docs: DataFrame, words: int, percent: int) -> tuple[Dat
     return sure, other
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, m: int = 216, rows: int = 6, margin: float = 0.15) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, m: int = 294, rows: int = 7, margin: float = 0.15) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
     docs needs doc_id and text; other columns don't matter. Two documents are linked if
     100 * |A n B| >= percent * |A u B| for their sets of distinct word shingles (the whole sequence
     as one, if shorter). m registers in bands of `rows`: a pair at similarity 0.8 misses all bands
-    with a probability of about 2e-5. component_id is the smallest doc_id reachable by links.
+    with a probability of about 5e-5. component_id is the smallest doc_id reachable by links.
 
     Null and empty texts have empty sets and link with nothing; exact copies and texts of equal
     sets are one class from the start, so copies cost no pairs; rows with a null doc_id are kept,
@@ -204,8 +204,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, m: int =
     buckets = stored(bucketed.join(shared.select("bucket", "first"), "bucket"), "buckets")
     sketches = reps.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id", "n_shingles"])
 
+    # The texts of documents that share a bucket, so that no later join moves the others.
+    texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        return stored(_confirmed(_likely(pairs, sketches, percent / 100, margin), docs, words, percent).distinct(), name)
+        return stored(_confirmed(_likely(pairs, sketches, percent / 100, margin), texts, words, percent).distinct(), name)
 
     def labelled(found: DataFrame) -> DataFrame:
         parts = components(found)
@@ -216,8 +219,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, m: int =
     firsts = at.where("first = doc_id").select("bucket", F.col("component").alias("of_first"))
     star = at.join(firsts, "bucket").where("component <> of_first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = links.unionAll(confirm(star, "stars"))
-    sure, other = _rest(stored(labelled(links), "labelled"), docs, words, percent)
-    links = links.unionAll(stored(_confirmed(sure, docs, words, percent), "sure")).unionAll(confirm(other, "other"))
+    sure, other = _rest(stored(labelled(links), "labelled"), texts, words, percent)
+    left = sure.unionAll(_likely(other, sketches, percent / 100, margin)).distinct()
+    links = links.unionAll(stored(_confirmed(left, texts, words, percent), "rest"))
     of_rep = components(links)
     of_class = classes.join(of_rep, F.col("rep") == F.col("node"), "left").select(*key, F.coalesce("component", "rep").alias("component"))
     alone = named.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
