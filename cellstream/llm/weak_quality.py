@@ -124,7 +124,7 @@ def fitted(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, size:
     return w
 
 
-def quality(docs: DataFrame, bits: int = 12, sample: int = 10_000, threshold: float = 0.5) -> DataFrame:
+def quality(docs: DataFrame, bits: int = 12, sample: int = 5_000, threshold: float = 0.5) -> DataFrame:
     """docs with votes, posterior (by the votes), score (by the linear scorer) and kept (score >= threshold).
 
     docs: doc_id and text, and any other columns, which are kept unless they clash with the new ones;
@@ -162,7 +162,9 @@ def quality(docs: DataFrame, bits: int = 12, sample: int = 10_000, threshold: fl
     patterns = np.array([["?-+".index(c) - 1 for c in p] for p in counts["votes"]], np.int64).reshape(-1, len(LABELLERS))
     share, says_bad = accuracies(patterns, counts["n"].to_numpy(float)) if len(counts) else (0.5, np.full((2, len(LABELLERS)), 0.5))
     by_votes = dict(zip(counts["votes"], posterior(patterns, share, says_bad).tolist())) if len(counts) else {}
-    chosen = keyed.where(F.length(F.trim("text")) > 0).orderBy("key").limit(sample)
+    some = keyed.where(F.length(F.trim("text")) > 0)
+    last = some.select("key").distinct().orderBy("key").limit(sample).agg(F.max("key")).first()[0]
+    chosen = some.where(F.col("key") <= F.lit(last)).dropDuplicates(["key"]).repartition(16)
     fit_on = chosen.mapInPandas(measure, "key long, votes string, at array<int>, weight array<double>").toPandas()
     w = fitted(list(zip(fit_on["at"], fit_on["weight"])), fit_on["votes"].map(by_votes).to_numpy(float), size)
     model = docs.sparkSession.sparkContext.broadcast((by_votes, w))
