@@ -10,7 +10,7 @@ meets in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -18,25 +18,37 @@ from .common import stored
 FIELD = "<*>"
 
 
-def _parsed(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """A row per line of at least min_tokens tokens: key, line_no, sig, sig2, leaf, n, tokens (masked), of each distinct document once."""
+def _tokens(line: Column) -> Column:
+    return F.filter(F.split(F.regexp_replace(F.trim(line), r"\S*[0-9]\S*", FIELD), r"\s+"), lambda w: w != "")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    # The smallest hashes of the document's word pairs: the same in most copies and near copies, and hardly ever in others,
-    # unless the pair is in the common line itself; then the other hash tells.
-    pairs = lambda seed: F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.xxhash64(F.lit(seed), F.get("words", i - 1), F.get("words", i)))
-    whole = docs.select(F.xxhash64("doc_id", text).alias("key"), text.alias("text")).withColumn("words", words)
-    whole = whole.withColumns({f: F.when(F.size("words") > 1, F.array_min(pairs(seed))).otherwise(F.xxhash64("text")) for seed, f in enumerate(("sig", "sig2"))}).drop("words")
-    lines = whole.select("key", "sig", "sig2", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    masked = F.regexp_replace(F.trim("line"), r"\S*[0-9]\S*", FIELD)
-    tokens = lines.select("key", "sig", "sig2", "line_no", F.filter(F.split(masked, r"\s+"), lambda w: w != "").alias("tokens"))
-    return tokens.withColumn("n", F.size("tokens")).where(F.col("n") >= min_tokens).withColumn("leaf", F.xxhash64("n", F.slice("tokens", 1, depth)))
-
-
-def _recurring(lines: DataFrame, depth: int, min_docs: int, constant: float, copies: float) -> DataFrame:
+    return docs.select(F.xxhash64("doc_id", text).alias("key"), text.alias("text"))
+
+
+def _parsed(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
+    """A row per line of at least min_tokens tokens: key, line_no, leaf, and the document's sig and sig2."""
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    # The least and the greatest hash of the document's word pairs: the same in most copies and near copies, and hardly
+    # ever in others, unless the pair is in the common line itself; then the other one tells.
+    pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.xxhash64(F.get("words", i - 1), F.get("words", i)))
+    ends = lambda p: F.struct(F.array_min(p).alias("a"), F.array_max(p).alias("b"))
+    none = F.struct(F.xxhash64("text").alias("a"), F.xxhash64("text").alias("b"))
+    whole = _keyed(docs).withColumn("words", words).withColumn("sigs", F.when(F.size("words") > 1, F.get(F.transform(F.array(pairs), ends), F.lit(0))).otherwise(none))
+    lines = whole.select("key", "sigs", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    tokens = lines.select("key", "sigs", "line_no", _tokens(F.col("line")).alias("tokens")).withColumn("n", F.size("tokens")).where(F.col("n") >= min_tokens)
+    return tokens.select("key", "line_no", F.xxhash64("n", F.slice("tokens", 1, depth)).alias("leaf"), F.col("sigs.a").alias("sig"), F.col("sigs.b").alias("sig2"))
+
+
+def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, constant: float, copies: float) -> DataFrame:
     """(key, line_no) of lines of recurring templates."""
+    lines = stored(_parsed(docs, depth, min_tokens), "lines")
     by_leaf = lines.select("leaf", "sig").distinct().groupBy("leaf").agg(F.count("*").alias("sigs")).where(F.col("sigs") >= min_docs)
-    crowded = stored(lines.join(by_leaf.select("leaf"), "leaf"), "crowded")
+    picked = lines.join(by_leaf.select("leaf"), "leaf").distinct().groupBy("key").agg(F.collect_list(F.struct("line_no", "leaf", "sig", "sig2")).alias("picked"))  # as many as the document has lines
+    met = _keyed(docs).dropDuplicates(["key"]).join(picked, "key").select("key", F.split("text", "\n").alias("parts"), F.explode("picked").alias("x"))
+    crowded = met.select("key", "x.*", _tokens(F.get("parts", F.col("x.line_no"))).alias("tokens")).withColumn("n", F.size("tokens"))
+    crowded = stored(crowded, "crowded")
     line = F.xxhash64("leaf", "tokens")
     distinct = crowded.select("leaf", line.alias("line"), "tokens", "n").dropDuplicates(["leaf", "line"])
     placed = distinct.select("leaf", "line", "n", F.posexplode("tokens").alias("at", "token"))
@@ -65,11 +77,10 @@ def without_recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 8,
 
     A document of which nothing but white space would be left stays as it is (n_dropped 0). Null text stays null, with 0
     lines; repeated rows count once and are treated alike; a null doc_id is no obstacle; an empty
-    table gives no rows. Texts are shuffled once, to meet the numbers of their dropped lines.
+    table gives no rows. Texts are shuffled to meet the numbers of their crowded lines, and of their dropped ones.
     """
     plain = docs.drop("n_lines", "n_dropped")
-    lines = _parsed(plain, depth, min_tokens)
-    dropped = _recurring(lines, depth, min_docs, constant, copies).distinct().groupBy("key").agg(F.collect_list("line_no").alias("__dropped"))  # as many as the document has lines
+    dropped = _recurring(plain, depth, min_docs, min_tokens, constant, copies).distinct().groupBy("key").agg(F.collect_list("line_no").alias("__dropped"))  # as many as the document has lines
     text = F.col("text").cast("string")
     keyed = plain.withColumn("__key", F.xxhash64("doc_id", F.coalesce(text, F.lit(""))))
     met = keyed.join(dropped.withColumnRenamed("key", "__key"), "__key", "left")
