@@ -13,7 +13,7 @@ from ..operators import audit, landing, schemas, stats
 from ..scratch import new_path
 from ..sources import topics
 from ..streaming import jobs
-from .fixtures import CATALOG_SQL, CELLS_SQL, FAMILIES, NOW, SPEC, TOPIC_SQL, catalogs, entries, landed, table, topic_rows
+from .fixtures import CATALOG_SQL, CELLS_SQL, NOW, SPEC, TOPIC_SQL, catalogs, entries, landed, table, topic_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
