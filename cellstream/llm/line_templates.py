@@ -19,7 +19,7 @@ FIELD = "<*>"
 
 
 def _tokens(line: Column) -> Column:
-    return F.filter(F.split(F.regexp_replace(F.trim(line), r"\S*[0-9]\S*", FIELD), r"\s+"), lambda w: w != "")
+    return F.filter(F.split(F.regexp_replace(F.trim(line), r"(?<!\S)[^\s0-9]*+[0-9]\S*", FIELD), r"\s+"), lambda w: w != "")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -54,10 +54,13 @@ def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, cons
     placed = distinct.select("leaf", "line", "n", F.posexplode("tokens").alias("at", "token"))
     by_line = crowded.select("leaf", line.alias("line"), "sig").distinct()
     support = by_line.join(placed.where(F.col("at") >= depth), ["leaf", "line"]).select("leaf", "at", "token", "sig").distinct().groupBy("leaf", "at", "token").agg(F.count("*").alias("support"))
-    kept = support.where(F.col("support") >= min_docs).select("leaf", "at", "token", F.lit(True).alias("kept"))
-    marked = placed.join(kept, ["leaf", "at", "token"], "left").withColumn("token", F.when(F.col("kept") | (F.col("at") < depth), F.col("token")).otherwise(F.lit(FIELD)))
-    templates = marked.groupBy("leaf", "line", "n").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("t"), F.count_if(F.col("token") != FIELD).alias("fixed"))  # as many as the line has tokens
-    templates = templates.where(F.col("fixed") >= constant * F.col("n")).select("leaf", "line", F.xxhash64("leaf", "t").alias("template"))
+    kept = support.where(F.col("support") >= min_docs).select("leaf", "at", "token")
+    # Positions that aren't kept are variable; the leading tokens are the leaf's.
+    kept = placed.where(F.col("at") >= depth).join(kept, ["leaf", "at", "token"]).groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("kept"))  # as many as the line has tokens
+    lead = F.size(F.filter(F.slice("tokens", 1, depth), lambda w: w != FIELD))
+    templates = distinct.select("leaf", "line", "n", lead.alias("lead")).join(kept, ["leaf", "line"], "left")
+    fixed = F.col("lead") + F.coalesce(F.size("kept"), F.lit(0))
+    templates = templates.where(fixed >= constant * F.col("n")).select("leaf", "line", F.xxhash64("leaf", "kept").alias("template"))
     own = stored(crowded.select("leaf", line.alias("line"), "key", "sig", "sig2", "line_no").join(templates, ["leaf", "line"]).select("key", "sig", "sig2", "line_no", "template"), "templates")
     found = own.select("template", "sig", "sig2", "key").distinct().select("template", F.posexplode(F.array("sig", "sig2")).alias("by", "sig")).groupBy("template", "by", "sig").agg(F.count("*").alias("docs"))
     found = found.groupBy("template", "by").agg(F.count("*").alias("sigs"), F.sum("docs").alias("docs"), F.max("docs").alias("most"))
