@@ -10,12 +10,16 @@ meets in one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
 FIELD = "<*>"
+#: Hashes that tell documents from copies of each other, and how many of them copies have in common at least.
+SKETCH, AGREE = 8, 3
 
 
 def _tokens(line: Column) -> Column:
@@ -27,28 +31,63 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64("doc_id", text).alias("key"), text.alias("text"))
 
 
+def _words(line: Column) -> Column:
+    return F.filter(F.split(line, r"\s+"), lambda w: w != "")
+
+
+def _leaf(words: Column, depth: int) -> Column:
+    """Hash of the number of tokens and of the leading ones."""
+    return F.xxhash64(F.size(words), F.transform(F.slice(words, 1, depth), lambda w: F.when(w.rlike("[0-9]"), FIELD).otherwise(w)))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _parsed(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """A row per line of at least min_tokens tokens: key, line_no, leaf, and the document's sig and sig2."""
-    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
-    # The least and the greatest hash of the document's word pairs: the same in most copies and near copies, and hardly
-    # ever in others, unless the pair is in the common line itself; then the other one tells.
-    pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.xxhash64(F.get("words", i - 1), F.get("words", i)))
-    ends = lambda p: F.struct(F.array_min(p).alias("a"), F.array_max(p).alias("b"))
-    none = F.struct(F.xxhash64("text").alias("a"), F.xxhash64("text").alias("b"))
-    whole = _keyed(docs).withColumn("words", words).withColumn("sigs", F.when(F.size("words") > 1, F.get(F.transform(F.array(pairs), ends), F.lit(0))).otherwise(none))
-    lines = whole.select("key", "sigs", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    tokens = lines.select("key", "sigs", "line_no", _tokens(F.col("line")).alias("tokens")).withColumn("n", F.size("tokens")).where(F.col("n") >= min_tokens)
-    return tokens.select("key", "line_no", F.xxhash64("n", F.slice("tokens", 1, depth)).alias("leaf"), F.col("sigs.a").alias("sig"), F.col("sigs.b").alias("sig2"))
+    """A row per line of at least min_tokens tokens: key, doc (the same in exact copies), line_no, leaf."""
+    lines = _keyed(docs).select("key", F.xxhash64("text").alias("doc"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    words = lines.select("key", "doc", "line_no", _words(F.col("line")).alias("words")).where(F.size("words") >= min_tokens)
+    return words.select("key", "doc", "line_no", _leaf(F.col("words"), depth).alias("leaf"))
+
+
+def _sketched(parts: Column, picked: Column, depth: int) -> Column:
+    """picked, each with its sketch: the SKETCH least hashes of the document's word triples outside lines of the same leaf."""
+    triples = lambda w: F.when(F.size(w) > 2, F.transform(F.sequence(F.lit(1), F.size(w) - 2), lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i), F.get(w, i + 1)))).otherwise(F.array(F.xxhash64(w)))
+    of_line = lambda w: _let(_leaf(w, depth), lambda leaf: F.transform(F.slice(F.sort_array(F.array_distinct(triples(w))), 1, SKETCH), lambda h: F.struct(h.alias("h"), leaf.alias("leaf"))))
+    every = F.sort_array(F.array_distinct(F.flatten(F.transform(F.filter(F.transform(parts, _words), lambda w: F.size(w) > 0), of_line))))
+    hashes = lambda found: F.transform(F.slice(found, 1, SKETCH), lambda x: x["h"])
+    # Leaves that are among the least hashes of the whole are at most SKETCH; for all others the sketch is that of the whole.
+    without = lambda all_: F.transform(F.array_distinct(F.transform(F.slice(all_, 1, SKETCH), lambda x: x["leaf"])), lambda leaf: F.struct(leaf.alias("leaf"), hashes(F.filter(all_, lambda x: x["leaf"] != leaf)).alias("sketch")))
+    each = lambda whole, own: F.transform(picked, lambda x: F.struct(x["line_no"].alias("line_no"), x["leaf"].alias("leaf"), F.coalesce(F.get(F.filter(own, lambda o: o["leaf"] == x["leaf"]), F.lit(0))["sketch"], whole).alias("sketch")))
+    return _let(every, lambda all_: _let(hashes(all_), lambda whole: _let(without(all_), lambda own: each(whole, own))))
+
+
+def _different(own: DataFrame) -> DataFrame:
+    """(template, different): how many documents that aren't copies of each other have a template.
+
+    Documents of a template that agree in AGREE values of their sketches look like copies. Each counts as one by the number
+    of sketches that have its value of third most company, so that a group of copies comes to about one, however large,
+    and takes nothing from others.
+    """
+    sketches = own.select("template", "sketch").distinct()
+    many = sketches.groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    values = sketches.join(many.select("template"), "template").select("template", F.xxhash64("sketch").alias("own"), F.explode(F.when(F.size("sketch") > 0, F.col("sketch")).otherwise(F.array(F.lit(0).cast("long")))).alias("value"))
+    company = values.groupBy("template", "value").agg(F.count("*").alias("company"))
+    each = values.join(company, ["template", "value"]).groupBy("template", "own").agg(F.sort_array(F.collect_list("company"), asc=False).alias("company"))  # SKETCH at most
+    weight = 1 / F.get("company", F.least(F.lit(AGREE), F.size("company")) - 1)
+    return each.select("template", weight.alias("weight")).groupBy("template").agg(F.sum("weight").alias("different"))
 
 
 def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, constant: float, copies: float) -> DataFrame:
     """(key, line_no) of lines of recurring templates."""
     lines = stored(_parsed(docs, depth, min_tokens), "lines")
-    by_leaf = lines.select("leaf", "sig").distinct().groupBy("leaf").agg(F.count("*").alias("sigs")).where(F.col("sigs") >= min_docs)
-    picked = lines.join(by_leaf.select("leaf"), "leaf").distinct().groupBy("key").agg(F.collect_list(F.struct("line_no", "leaf", "sig", "sig2")).alias("picked"))  # as many as the document has lines
-    met = _keyed(docs).dropDuplicates(["key"]).join(picked, "key").select("key", F.split("text", "\n").alias("parts"), F.explode("picked").alias("x"))
+    by_leaf = lines.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    picked = lines.join(by_leaf.select("leaf"), "leaf").select("key", "line_no", "leaf").distinct().groupBy("key").agg(F.collect_list(F.struct("line_no", "leaf")).alias("picked"))  # as many as the document has lines
+    met = _keyed(docs).dropDuplicates(["key"]).join(picked, "key").withColumn("parts", F.split("text", "\n")).select("key", "parts", F.explode(_sketched(F.col("parts"), F.col("picked"), depth)).alias("x"))
     crowded = met.select("key", "x.*", _tokens(F.get("parts", F.col("x.line_no"))).alias("tokens")).withColumn("n", F.size("tokens"))
-    crowded = stored(crowded, "crowded")
+    crowded = stored(crowded.withColumn("sig", F.coalesce(F.get("sketch", F.lit(0)), F.col("leaf"))), "crowded")
     line = F.xxhash64("leaf", "tokens")
     distinct = crowded.select("leaf", line.alias("line"), "tokens", "n").dropDuplicates(["leaf", "line"])
     placed = distinct.select("leaf", "line", "n", F.posexplode("tokens").alias("at", "token"))
@@ -61,11 +100,10 @@ def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, cons
     templates = distinct.select("leaf", "line", "n", lead.alias("lead")).join(kept, ["leaf", "line"], "left")
     fixed = F.col("lead") + F.coalesce(F.size("kept"), F.lit(0))
     templates = templates.where(fixed >= constant * F.col("n")).select("leaf", "line", F.xxhash64("leaf", "kept").alias("template"))
-    own = stored(crowded.select("leaf", line.alias("line"), "key", "sig", "sig2", "line_no").join(templates, ["leaf", "line"]).select("key", "sig", "sig2", "line_no", "template"), "templates")
-    found = own.select("template", "sig", "sig2", "key").distinct().select("template", F.posexplode(F.array("sig", "sig2")).alias("by", "sig")).groupBy("template", "by", "sig").agg(F.count("*").alias("docs"))
-    found = found.groupBy("template", "by").agg(F.count("*").alias("sigs"), F.sum("docs").alias("docs"), F.max("docs").alias("most"))
-    found = found.where((F.col("sigs") >= min_docs) & (F.col("most") <= copies * F.col("docs")))
-    return own.join(found.select("template").distinct(), "template").select("key", "line_no")
+    own = stored(crowded.select("leaf", line.alias("line"), "key", "sig", "sketch", "line_no").join(templates, ["leaf", "line"]).select("key", "sig", "sketch", "line_no", "template"), "templates")
+    most = own.select("template", "sig", "key").distinct().groupBy("template", "sig").agg(F.count("*").alias("docs")).groupBy("template").agg(F.sum("docs").alias("docs"), F.max("docs").alias("most"))
+    found = _different(own).where(F.col("different") > min_docs - 0.5).join(most.where(F.col("most") <= copies * F.col("docs")), "template")
+    return own.join(found.select("template"), "template").select("key", "line_no")
 
 
 def without_recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 8, min_tokens: int = 3, constant: float = 0.6, copies: float = 0.5) -> DataFrame:

@@ -109,6 +109,15 @@ def test_recurring_lines_go_and_copies_stay(spark):
         assert got[i]["text"].split("\n") == want and got[i]["n_dropped"] == len(lines) - len(want) and got[i]["n_lines"] == len(lines)
 
 
+def test_long_recurring_lines_go(spark):
+    # Passages that are most of their documents: the least hash of the whole is the passage's own.
+    r = np.random.RandomState(15)
+    passages = [prose(r, "en", 60) for _ in range(12)]
+    docs = [(100 * k + i, f"{prose(r, 'de', 20)}\n{p}", "en", "s", None, "x") for k, p in enumerate(passages) for i in range(30)]
+    got = {x["doc_id"]: x["text"] for x in line_templates.without_recurring_lines(spark.createDataFrame(docs, DOCS)).collect()}
+    assert all(got[i] == text.split("\n")[0] for i, text, *_ in docs)
+
+
 def test_lines_of_odd_rows(spark):
     got = line_templates.without_recurring_lines(odd(spark).withColumn("n_lines", F.lit("clash")))
     assert sorted((str(r["doc_id"]), r["text"], r["n_dropped"]) for r in got.collect()) == sorted((str(i), t, 0) for i, t, *_ in ODD) if all(t is not None for _, t, *_ in ODD) else got.count() == len(ODD)
