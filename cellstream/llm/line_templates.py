@@ -80,7 +80,7 @@ def _different(own: DataFrame) -> DataFrame:
     return each.select("template", weight.alias("weight")).groupBy("template").agg(F.sum("weight").alias("different"))
 
 
-def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, constant: float, copies: float) -> DataFrame:
+def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, constant: float) -> DataFrame:
     """(key, line_no) of lines of recurring templates."""
     lines = stored(_parsed(docs, depth, min_tokens), "lines")
     by_leaf = lines.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
@@ -100,28 +100,26 @@ def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, cons
     templates = distinct.select("leaf", "line", "n", lead.alias("lead")).join(kept, ["leaf", "line"], "left")
     fixed = F.col("lead") + F.coalesce(F.size("kept"), F.lit(0))
     templates = templates.where(fixed >= constant * F.col("n")).select("leaf", "line", F.xxhash64("leaf", "kept").alias("template"))
-    own = stored(crowded.select("leaf", line.alias("line"), "key", "sig", "sketch", "line_no").join(templates, ["leaf", "line"]).select("key", "sig", "sketch", "line_no", "template"), "templates")
-    most = own.select("template", "sig", "key").distinct().groupBy("template", "sig").agg(F.count("*").alias("docs")).groupBy("template").agg(F.sum("docs").alias("docs"), F.max("docs").alias("most"))
-    found = _different(own).where(F.col("different") > min_docs - 0.5).join(most.where(F.col("most") <= copies * F.col("docs")), "template")
+    own = stored(crowded.select("leaf", line.alias("line"), "key", "sketch", "line_no").join(templates, ["leaf", "line"]).select("key", "sketch", "line_no", "template"), "templates")
+    found = _different(own).where(F.col("different") > min_docs - 0.5)
     return own.join(found.select("template"), "template").select("key", "line_no")
 
 
-def without_recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 8, min_tokens: int = 3, constant: float = 0.6, copies: float = 0.5) -> DataFrame:
+def without_recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 8, min_tokens: int = 3, constant: float = 0.6) -> DataFrame:
     """docs with lines of recurring templates taken out of text, and n_lines, n_dropped.
 
     docs: doc_id and text, and any other columns, which are kept unless they clash with the new ones; those
     are replaced. depth: leading tokens that a leaf goes by; min_docs: documents that make a
     token part of a template, and a template recurring; min_tokens: shorter lines are left alone;
-    constant: least share of a template's tokens that aren't variable; copies: no template of which
-    more than this share of documents look like copies of one is recurring, as a document's copies
-    are for the near-duplicate operator to find, whole.
+    constant: least share of a template's tokens that aren't variable. Documents that look like copies
+    of each other count as one: they are for the near-duplicate operator to find, whole.
 
     A document of which nothing but white space would be left stays as it is (n_dropped 0). Null text stays null, with 0
     lines; repeated rows count once and are treated alike; a null doc_id is no obstacle; an empty
     table gives no rows. Texts are shuffled to meet the numbers of their crowded lines, and of their dropped ones.
     """
     plain = docs.drop("n_lines", "n_dropped")
-    dropped = _recurring(plain, depth, min_docs, min_tokens, constant, copies).distinct().groupBy("key").agg(F.collect_list("line_no").alias("__dropped"))  # as many as the document has lines
+    dropped = _recurring(plain, depth, min_docs, min_tokens, constant).distinct().groupBy("key").agg(F.collect_list("line_no").alias("__dropped"))  # as many as the document has lines
     text = F.col("text").cast("string")
     keyed = plain.withColumn("__key", F.xxhash64("doc_id", F.coalesce(text, F.lit(""))))
     met = keyed.join(dropped.withColumnRenamed("key", "__key"), "__key", "left")

@@ -118,6 +118,19 @@ def test_long_recurring_lines_go(spark):
     assert all(got[i] == text.split("\n")[0] for i, text, *_ in docs)
 
 
+def test_copies_take_nothing_from_other_recurrences(spark):
+    r = np.random.RandomState(16)
+    common = prose(r, "en", 12)
+    docs = [(i, f"{prose(r, 'de', 40)}\n{common}", "en", "s", None, "x") for i in range(40)]
+    one = prose(r, "de", 100).split()
+    near = [" ".join(prose(r, "en", 1) if r.rand() < 0.03 else w for w in one) for _ in range(150)]
+    docs += [(100 + i, f"{text}\n{common}", "en", "s", None, "x") for i, text in enumerate([" ".join(one)] * 150 + near)]
+    got = {x["doc_id"]: x["text"] for x in line_templates.without_recurring_lines(spark.createDataFrame(docs, DOCS)).collect()}
+    assert all(got[i] == text.split("\n")[0] for i, text, *_ in docs)
+    alone = {x["doc_id"]: x["text"] for x in line_templates.without_recurring_lines(spark.createDataFrame(docs[40:], DOCS)).collect()}
+    assert all(alone[i] == text for i, text, *_ in docs[40:])
+
+
 def test_lines_of_odd_rows(spark):
     got = line_templates.without_recurring_lines(odd(spark).withColumn("n_lines", F.lit("clash")))
     assert sorted((str(r["doc_id"]), r["text"], r["n_dropped"]) for r in got.collect()) == sorted((str(i), t, 0) for i, t, *_ in ODD) if all(t is not None for _, t, *_ in ODD) else got.count() == len(ODD)
