@@ -20,6 +20,8 @@ from .common import stored
 FIELD = "<*>"
 #: Hashes that tell documents from copies of each other, and how many of them copies have in common at least.
 SKETCH, AGREE = 8, 3
+#: Tokens up to which a line needs min_docs documents, and from which two are enough.
+SHORT, LONG = 20, 50
 
 
 def _tokens(line: Column) -> Column:
@@ -45,11 +47,17 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _parsed(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """A row per line of at least min_tokens tokens: key, doc (the same in exact copies), line_no, leaf."""
+def _needed(n: Column, min_docs: int) -> Column:
+    """Different documents that make a line of n tokens recurring: min_docs up to SHORT tokens, 2 from LONG on, in proportion between."""
+    share = F.least(F.greatest((n - SHORT) / (LONG - SHORT), F.lit(0.0)), F.lit(1.0))
+    return F.least(F.ceil(min_docs - (min_docs - 2) * share), F.lit(min_docs)).cast("int")
+
+
+def _parsed(docs: DataFrame, depth: int, min_docs: int, min_tokens: int) -> DataFrame:
+    """A row per line of at least min_tokens tokens: key, doc (the same in exact copies), line_no, leaf, needed."""
     lines = _keyed(docs).select("key", F.xxhash64("text").alias("doc"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     words = lines.select("key", "doc", "line_no", _words(F.col("line")).alias("words")).where(F.size("words") >= min_tokens)
-    return words.select("key", "doc", "line_no", _leaf(F.col("words"), depth).alias("leaf"))
+    return words.select("key", "doc", "line_no", _leaf(F.col("words"), depth).alias("leaf"), _needed(F.size("words"), min_docs).alias("needed"))
 
 
 def _sketched(parts: Column, picked: Column, depth: int) -> Column:
@@ -65,25 +73,25 @@ def _sketched(parts: Column, picked: Column, depth: int) -> Column:
 
 
 def _different(own: DataFrame) -> DataFrame:
-    """(template, different): how many documents that aren't copies of each other have a template.
+    """(template, needed, different): how many documents that aren't copies of each other have a template.
 
     Documents of a template that agree in AGREE values of their sketches look like copies. Each counts as one by the number
     of sketches that have its value of third most company, so that a group of copies comes to about one, however large,
     and takes nothing from others.
     """
-    sketches = own.select("template", "sketch").distinct()
-    many = sketches.groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    values = sketches.join(many.select("template"), "template").select("template", F.xxhash64("sketch").alias("own"), F.explode(F.when(F.size("sketch") > 0, F.col("sketch")).otherwise(F.array(F.lit(0).cast("long")))).alias("value"))
+    sketches = own.select("template", "needed", "sketch").distinct()
+    many = sketches.groupBy("template", "needed").agg(F.count("*").alias("n")).where(F.col("n") >= F.col("needed"))
+    values = sketches.join(many.select("template"), "template").select("template", "needed", F.xxhash64("sketch").alias("own"), F.explode(F.when(F.size("sketch") > 0, F.col("sketch")).otherwise(F.array(F.lit(0).cast("long")))).alias("value"))
     company = values.groupBy("template", "value").agg(F.count("*").alias("company"))
-    each = values.join(company, ["template", "value"]).groupBy("template", "own").agg(F.sort_array(F.collect_list("company"), asc=False).alias("company"))  # SKETCH at most
+    each = values.join(company, ["template", "value"]).groupBy("template", "needed", "own").agg(F.sort_array(F.collect_list("company"), asc=False).alias("company"))  # SKETCH at most
     weight = 1 / F.get("company", F.least(F.lit(AGREE), F.size("company")) - 1)
-    return each.select("template", weight.alias("weight")).groupBy("template").agg(F.sum("weight").alias("different"))
+    return each.select("template", "needed", weight.alias("weight")).groupBy("template", "needed").agg(F.sum("weight").alias("different"))
 
 
 def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, constant: float) -> DataFrame:
     """(key, line_no) of lines of recurring templates."""
-    lines = stored(_parsed(docs, depth, min_tokens), "lines")
-    by_leaf = lines.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    lines = stored(_parsed(docs, depth, min_docs, min_tokens), "lines")
+    by_leaf = lines.select("leaf", "doc", "needed").distinct().groupBy("leaf", "needed").agg(F.count("*").alias("docs")).where(F.col("docs") >= F.col("needed"))
     picked = lines.join(by_leaf.select("leaf"), "leaf").select("key", "line_no", "leaf").distinct().groupBy("key").agg(F.collect_list(F.struct("line_no", "leaf")).alias("picked"))  # as many as the document has lines
     met = _keyed(docs).dropDuplicates(["key"]).join(picked, "key").withColumn("parts", F.split("text", "\n")).select("key", "parts", F.explode(_sketched(F.col("parts"), F.col("picked"), depth)).alias("x"))
     crowded = met.select("key", "x.*", _tokens(F.get("parts", F.col("x.line_no"))).alias("tokens")).withColumn("n", F.size("tokens"))
@@ -92,16 +100,16 @@ def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, cons
     distinct = crowded.select("leaf", line.alias("line"), "tokens", "n").dropDuplicates(["leaf", "line"])
     placed = distinct.select("leaf", "line", "n", F.posexplode("tokens").alias("at", "token"))
     by_line = crowded.select("leaf", line.alias("line"), "sig").distinct()
-    support = by_line.join(placed.where(F.col("at") >= depth), ["leaf", "line"]).select("leaf", "at", "token", "sig").distinct().groupBy("leaf", "at", "token").agg(F.count("*").alias("support"))
-    kept = support.where(F.col("support") >= min_docs).select("leaf", "at", "token")
+    support = by_line.join(placed.where(F.col("at") >= depth), ["leaf", "line"]).select("leaf", "at", "token", "n", "sig").distinct().groupBy("leaf", "at", "token", "n").agg(F.count("*").alias("support"))
+    kept = support.where(F.col("support") >= _needed(F.col("n"), min_docs)).select("leaf", "at", "token")
     # Positions that aren't kept are variable; the leading tokens are the leaf's.
     kept = placed.where(F.col("at") >= depth).join(kept, ["leaf", "at", "token"]).groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("kept"))  # as many as the line has tokens
     lead = F.size(F.filter(F.slice("tokens", 1, depth), lambda w: w != FIELD))
     templates = distinct.select("leaf", "line", "n", lead.alias("lead")).join(kept, ["leaf", "line"], "left")
     fixed = F.col("lead") + F.coalesce(F.size("kept"), F.lit(0))
-    templates = templates.where(fixed >= constant * F.col("n")).select("leaf", "line", F.xxhash64("leaf", "kept").alias("template"))
-    own = stored(crowded.select("leaf", line.alias("line"), "key", "sketch", "line_no").join(templates, ["leaf", "line"]).select("key", "sketch", "line_no", "template"), "templates")
-    found = _different(own).where(F.col("different") > min_docs - 0.5)
+    templates = templates.where(fixed >= constant * F.col("n")).select("leaf", "line", F.xxhash64("leaf", "kept").alias("template"), _needed(F.col("n"), min_docs).alias("needed"))
+    own = stored(crowded.select("leaf", line.alias("line"), "key", "sketch", "line_no").join(templates, ["leaf", "line"]).select("key", "sketch", "line_no", "template", "needed"), "templates")
+    found = _different(own).where(F.col("different") > F.col("needed") - 0.5)
     return own.join(found.select("template"), "template").select("key", "line_no")
 
 
@@ -110,7 +118,7 @@ def without_recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 8,
 
     docs: doc_id and text, and any other columns, which are kept unless they clash with the new ones; those
     are replaced. depth: leading tokens that a leaf goes by; min_docs: documents that make a
-    token part of a template, and a template recurring; min_tokens: shorter lines are left alone;
+    token part of a template, and a template recurring, fewer for long lines (_needed); min_tokens: shorter lines are left alone;
     constant: least share of a template's tokens that aren't variable. Documents that look like copies
     of each other count as one: they are for the near-duplicate operator to find, whole.
 

@@ -131,6 +131,17 @@ def test_copies_take_nothing_from_other_recurrences(spark):
     assert all(alone[i] == text for i, text, *_ in docs[40:])
 
 
+@pytest.mark.parametrize("words, times", [(60, 2), (35, 5)])
+def test_the_longer_a_line_the_fewer_recurrences_it_takes(spark, words, times):
+    r = np.random.RandomState(17)
+    passages, short = ([prose(r, lang, n) for _ in range(6)] for lang, n in (("en", words), ("fr", 12)))
+    docs = [(100 * k + i, f"{prose(r, 'de', 30)}\n{passages[k]}\n{short[(k + i) % 6]}", "en", "s", None, "x") for k in range(6) for i in range(times)]
+    rare = [prose(r, "en", 60) for _ in range(4)]
+    docs += [(1000 + i, text, "en", "s", None, "x") for i, text in enumerate("\n".join([*rare, prose(r, "de", 9)]) for _ in range(5))]  # near copies
+    got = {x["doc_id"]: x["text"].split("\n") for x in line_templates.without_recurring_lines(spark.createDataFrame(docs, DOCS)).collect()}
+    assert all(got[i] == text.split("\n")[:: 2 if i < 1000 else 1] for i, text, *_ in docs)
+
+
 def test_lines_of_odd_rows(spark):
     got = line_templates.without_recurring_lines(odd(spark).withColumn("n_lines", F.lit("clash")))
     assert sorted((str(r["doc_id"]), r["text"], r["n_dropped"]) for r in got.collect()) == sorted((str(i), t, 0) for i, t, *_ in ODD) if all(t is not None for _, t, *_ in ODD) else got.count() == len(ODD)
