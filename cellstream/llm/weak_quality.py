@@ -5,6 +5,9 @@ vote pattern, of which there is a fixed number; on these counts expectation-maxi
 labeller's accuracy on good and on bad texts and the share of good ones, without any labelled row.
 The posteriors label a bounded sample of documents, on which a logistic model over hashed shapes of
 words learns what the labellers mean; it scores every document.
+
+Toxicity is a class of its own, which form can't outvote: a labeller by words, whose vote is the last one,
+takes the score and posterior of what it finds to 0.
 """
 
 from __future__ import annotations
@@ -20,19 +23,26 @@ from pyspark.sql import functions as F
 
 
 LABELLERS = ("symbols", "plain_words", "separators", "letters", "repeats", "variety", "sentences", "word_length")
+#: Insults in English, German, Spanish and French: words that are no harmless ones in another of these.
+INSULTS = frozenset(
+    """idiot idiots moron morons imbecile imbeciles stupid dumb pathetic clown clowns loser losers scum worthless disgusting vermin bastard bastards bitch shit bullshit
+    fuck fucking asshole retard retarded trottel dummkopf vollidiot arschloch scheiße scheisse abschaum erbärmlich hurensohn depp idioten idiota idiotas imbécil estúpido
+    estúpida payaso payasos patético patética mierda puta cabrón gilipollas idiote idiotes imbécile crétin stupide connard salope merde minable bouffon abruti""".split()
+)
 GOOD, BAD, NONE = 1, 0, -1
 _SHAPE = re.compile(rb"[a-z\x80-\xff]+|[A-Z]+|[0-9]+")
+_WORD = re.compile(r"\w+")
 _END = tuple(b".!?:;")
 
 
 class Shapes(dict):
-    """word -> (hashed shape, number of letters, symbols, whether it ends a sentence, number of characters); forgets all when it has grown to `most` words."""
+    """word -> (hashed shape, number of letters, symbols, whether it ends a sentence, number of characters, whether it is an insult); forgets all when it has grown to `most` words."""
 
     def __init__(self, bits: int, most: int = 400_000):
         super().__init__()
         self.bits, self.most = bits, most
 
-    def __missing__(self, word: bytes) -> tuple[int, int, int, bool, int]:
+    def __missing__(self, word: bytes) -> tuple[int, int, int, bool, int, bool]:
         if len(self) >= self.most:
             self.clear()
         shape = _SHAPE.sub(lambda m: b"9" if m[0][0] in b"0123456789" else b"A" if m[0][0] in b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" else b"a", word)
@@ -42,7 +52,7 @@ class Shapes(dict):
         text = word.decode()
         letters = sum(map(str.isalpha, text))
         symbols = sum(not c.isalnum() and c not in ".,;:!?'\"()-" for c in text)
-        self[word] = v = ((h ^ h >> 15) % (1 << self.bits), letters, symbols, word[-1] in _END, len(text))
+        self[word] = v = ((h ^ h >> 15) % (1 << self.bits), letters, symbols, word[-1] in _END, len(text), not INSULTS.isdisjoint(_WORD.findall(text.lower())))
         return v
 
 
@@ -50,7 +60,7 @@ _shapes: dict[int, Shapes] = {}
 
 
 def measured(text: str | None, bits: int) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """The labellers' votes, and the hashed features (indices and weights) of a text.
+    """The labellers' votes, the one on insults last, and the hashed features (indices and weights) of a text.
 
     Features are the shares of word shapes, and of words that equal the word before, by the
     square root, so that rare ones count.
@@ -58,9 +68,9 @@ def measured(text: str | None, bits: int) -> tuple[list[int], np.ndarray, np.nda
     words = (text or "").encode("utf-8", "surrogatepass").split()
     n = len(words)
     if not n:
-        return [NONE] * len(LABELLERS), np.empty(0, np.int64), np.empty(0)
+        return [NONE] * (len(LABELLERS) + 1), np.empty(0, np.int64), np.empty(0)
     seen = _shapes.setdefault(bits, Shapes(bits))
-    shape, letters, symbols, ends, chars = zip(*[seen[w] for w in words])
+    shape, letters, symbols, ends, chars, insults = zip(*[seen[w] for w in words])
     n_letters, n_chars = sum(letters), sum(chars)
     again = sum(a == b for a, b in zip(words, words[1:])) / n
     lone = sum(not x for x in letters) / n
@@ -77,6 +87,8 @@ def measured(text: str | None, bits: int) -> tuple[list[int], np.ndarray, np.nda
         vote(triples < 0.6, n >= 12),
         vote(not sum(ends) or sum(ends) > 0.5 * n, n >= 30),
         vote(not 2 <= n_letters / n <= 12, n >= 12),
+        # A word alone in a long text is a quotation rather.
+        vote(sum(insults) >= max(1, 0.005 * n)),
     ]
     size = 1 << bits
     at, count = np.unique(shape, return_counts=True)
@@ -131,6 +143,8 @@ def quality(docs: DataFrame, bits: int = 12, sample: int = 5_000, threshold: flo
     those are replaced. All documents count for the labellers' accuracies. sample: rows that the
     linear scorer is fitted on at most, those of the smallest hashes of doc_id and text.
 
+    votes: a character for each of LABELLERS, and one for insults; toxic documents have posterior and score 0.
+
     A null or empty text, or one of white space alone, has no votes and no features: its score is
     the scorer's for nothing but the constant, 0 here, and it is rejected. Repeated rows get equal
     scores; a null doc_id is no obstacle; an empty table gives no rows.
@@ -152,13 +166,14 @@ def quality(docs: DataFrame, bits: int = 12, sample: int = 5_000, threshold: flo
             for text in part.column("text").to_pylist():
                 votes, at, weight = measured(text, bits)
                 p = "".join("?-+"[v + 1] for v in votes)
-                found.append((p, by_votes.get(p, 0.0), float(1 / (1 + np.exp(-np.clip(weight @ w[at] + w[-1], -700, 700)))) if len(at) else 0.0))
+                fit = len(at) and votes[-1] != BAD
+                found.append((p, 0.0 if votes[-1] == BAD else by_votes.get(p[:-1], 0.0), float(1 / (1 + np.exp(-np.clip(weight @ w[at] + w[-1], -700, 700)))) if fit else 0.0))
             new = [pa.array([x[i] for x in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "votes", "posterior", "score"])
 
     text = F.col("text").cast("string")
     keyed = docs.select(F.xxhash64("doc_id", text).alias("key"), text.alias("text"))
-    counts = keyed.mapInPandas(measure, "key long, votes string, at array<int>, weight array<double>").groupBy("votes").agg(F.count("*").alias("n")).toPandas()
+    counts = keyed.mapInPandas(measure, "key long, votes string, at array<int>, weight array<double>").groupBy(F.substring("votes", 1, len(LABELLERS)).alias("votes")).agg(F.count("*").alias("n")).toPandas()
     patterns = np.array([["?-+".index(c) - 1 for c in p] for p in counts["votes"]], np.int64).reshape(-1, len(LABELLERS))
     share, says_bad = accuracies(patterns, counts["n"].to_numpy(float)) if len(counts) else (0.5, np.full((2, len(LABELLERS)), 0.5))
     by_votes = dict(zip(counts["votes"], posterior(patterns, share, says_bad).tolist())) if len(counts) else {}
@@ -166,7 +181,7 @@ def quality(docs: DataFrame, bits: int = 12, sample: int = 5_000, threshold: flo
     last = some.select("key").distinct().orderBy("key").limit(sample).agg(F.max("key")).first()[0]
     chosen = some.where(F.col("key") <= F.lit(last)).dropDuplicates(["key"]).repartition(16)
     fit_on = chosen.mapInPandas(measure, "key long, votes string, at array<int>, weight array<double>").toPandas()
-    w = fitted(list(zip(fit_on["at"], fit_on["weight"])), fit_on["votes"].map(by_votes).to_numpy(float), size)
+    w = fitted(list(zip(fit_on["at"], fit_on["weight"])), fit_on["votes"].str[:-1].map(by_votes).to_numpy(float), size)
     model = docs.sparkSession.sparkContext.broadcast((by_votes, w))
     plain = docs.drop("votes", "posterior", "score", "kept").withColumn("text", text)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)

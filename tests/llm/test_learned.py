@@ -71,6 +71,16 @@ def test_quality_without_labelled_rows(spark):
     assert np.mean([not x["kept"] for x in got if x["doc_id"] >= 1000]) > 0.95
 
 
+def test_toxic_texts_are_rejected_whatever_their_form(spark):
+    r = np.random.RandomState(18)
+    texts = [prose(r, "en", 100) for _ in range(200)]
+    texts += [f"{prose(r, 'en', 40)} You {w}, {w.upper()}! {prose(r, 'de', 40)}" for w in ("idiot", "worthless", "Trottel", "estúpido", "connard")]
+    texts.append("A word alone, stupid, is quoted. " + prose(r, "en", 2000))
+    got = {x["doc_id"]: x for x in weak_quality.quality(spark.createDataFrame([(i, t, "en", "s", None, "x") for i, t in enumerate(texts)], DOCS)).collect()}
+    assert all(not got[i]["kept"] and got[i]["votes"][-1] == "-" for i in range(200, 205)) and got[205]["kept"]
+    assert np.mean([got[i]["kept"] for i in range(200)]) > 0.98
+
+
 def test_labellers_accuracies_are_found():
     r = np.random.RandomState(11)
     truth = r.rand(4000) < 0.7
