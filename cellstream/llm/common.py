@@ -37,7 +37,7 @@ def finite_vector(column: str):
 class WordHashes(dict):
     """bytes -> 64-bit hash; forgets all when it has grown to `most` words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 
