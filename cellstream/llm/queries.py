@@ -23,6 +23,16 @@ def labelled_languages(spark: SparkSession, sf_dir: str, most: int = LABELLED) -
     return table(spark, sf_dir, "documents").join(F.broadcast(ids), "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
 
 
+#: Labelled documents that words of toxic texts are learned from at most, likewise.
+LABELLED_TOXIC = 5_000
+
+
+def labelled_toxic(spark: SparkSession, sf_dir: str, most: int = LABELLED_TOXIC) -> DataFrame:
+    """text and toxic of documents that are in `labels`, at most so many; ids and labels, being so few, are broadcast."""
+    labels = table(spark, sf_dir, "labels").where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(labels.orderBy(F.xxhash64("doc_id")).limit(most)), "doc_id").select("text", "toxic")
+
+
 def op9_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -98,7 +108,7 @@ def op4_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weak_quality.quality(table(spark, sf_dir, "documents")).select("doc_id", "votes", "posterior", "score", "kept")
+    return weak_quality.quality(table(spark, sf_dir, "documents"), toxic=labelled_toxic(spark, sf_dir)).select("doc_id", "votes", "posterior", "score", "kept")
 
 
 QUERIES = {"op5_weak_label_quality": op5_weak_label_quality, "op4_soft_mixing": op4_soft_mixing, "op3_line_templates": op3_line_templates, "op7_pruned_graph_search": op7_pruned_graph_search, "op10_entropy_secrets": op10_entropy_secrets, "op8_mixture_languages": op8_mixture_languages, "op6_harmonic_packing": op6_harmonic_packing, "op2_resynchronised_tokens": op2_resynchronised_tokens, "op1_subspace_near_vectors": op1_subspace_near_vectors, "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates}

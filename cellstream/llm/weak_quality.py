@@ -6,21 +6,25 @@ labeller's accuracy on good and on bad texts and the share of good ones, without
 The posteriors label a bounded sample of documents, on which a logistic model over hashed shapes of
 words learns what the labellers mean; it scores every document.
 
-Toxicity is a class of its own, which form can't outvote: a labeller by words, whose vote is the last one,
-takes the score and posterior of what it finds to 0.
+Toxicity is a class of its own, which form can't outvote: a labeller by words, of a list and learned ones, whose
+vote is the last one, takes the score and posterior of what it finds to 0.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import mixed
 
 LABELLERS = ("symbols", "plain_words", "separators", "letters", "repeats", "variety", "sentences", "word_length")
 #: Insults in English, German, Spanish and French: words that are no harmless ones in another of these.
@@ -30,70 +34,159 @@ INSULTS = frozenset(
     estúpida payaso payasos patético patética mierda puta cabrón gilipollas idiote idiotes imbécile crétin stupide connard salope merde minable bouffon abruti""".split()
 )
 GOOD, BAD, NONE = 1, 0, -1
-_SHAPE = re.compile(rb"[a-z\x80-\xff]+|[A-Z]+|[0-9]+")
 _WORD = re.compile(r"\w+")
-_END = tuple(b".!?:;")
 
 
-class Shapes(dict):
-    """word -> (hashed shape, number of letters, symbols, whether it ends a sentence, number of characters, whether it is an insult); forgets all when it has grown to `most` words."""
+LETTER, MARK, END, SPACE = 1, 2, 4, 8
+_tables: list[np.ndarray] = []
+_powers: dict[int, np.ndarray] = {}
+_lexicons: dict[frozenset[str], "Lexicon"] = {}
 
-    def __init__(self, bits: int, most: int = 400_000):
-        super().__init__()
-        self.bits, self.most = bits, most
 
-    def __missing__(self, word: bytes) -> tuple[int, int, int, bool, int, bool]:
-        if len(self) >= self.most:
-            self.clear()
-        shape = _SHAPE.sub(lambda m: b"9" if m[0][0] in b"0123456789" else b"A" if m[0][0] in b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" else b"a", word)
-        h = 5381
-        for c in shape[:24]:
-            h = (h * 33 ^ c) & 0xFFFFFFFF
-        text = word.decode()
-        letters = sum(map(str.isalpha, text))
-        symbols = sum(not c.isalnum() and c not in ".,;:!?'\"()-" for c in text)
-        self[word] = v = ((h ^ h >> 15) % (1 << self.bits), letters, symbols, word[-1] in _END, len(text), not INSULTS.isdisjoint(_WORD.findall(text.lower())))
-        return v
+def _character_tables() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: what a character is, and what stands for it in a word's shape (of 1, 2 and 3, letters and digits, a run is one)."""
+    if not _tables:
+        points = list(map(chr, range(0x110000)))
+        kind = np.array([LETTER * c.isalpha() | MARK * (not c.isalnum() and c not in ".,;:!?'\"()-") | END * (c in ".!?:;") for c in points], np.uint8)
+        kind[[*map(ord, " \t\n\r\x0b\f")]] = SPACE
+        shape = np.ones(0x110000, np.uint8)
+        shape[:128] = np.arange(128)
+        for low, high, stands in (("a", "z", 1), ("A", "Z", 2), ("0", "9", 3)):
+            shape[ord(low) : ord(high) + 1] = stands
+        _tables.extend((kind, shape))
+    return _tables[0], _tables[1]
 
 
-_shapes: dict[int, Shapes] = {}
+def _power(n: int, base: int) -> np.ndarray:
+    """The first n powers of a number, modulo 2 ** 64."""
+    if base not in _powers or len(_powers[base]) < n:
+        _powers[base] = np.concatenate(([np.uint64(1)], np.cumprod(np.full(max(n, 256), base, np.uint64))))
+    return _powers[base][:n]
 
 
-def measured(text: str | None, bits: int) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """The labellers' votes, the one on insults last, and the hashed features (indices and weights) of a text.
+class Lexicon:
+    """Words, and stems of longer words, found in texts by one automaton."""
 
-    Features are the shares of word shapes, and of words that equal the word before, by the
-    square root, so that rare ones count.
+    def __init__(self, words: frozenset[str], terms: frozenset[str]):
+        self.words = words | {t[:-1] for t in terms if t.endswith("$")}
+        self.stems = frozenset(t for t in terms if not t.endswith("$"))
+        self.automaton = ahocorasick.Automaton()
+        for w in self.words | self.stems:
+            self.automaton.add_word(w, w)
+        self.automaton.make_automaton()
+
+    def count(self, text: str) -> int:
+        """Words of the text that are of the lexicon or begin with one of its stems."""
+        low, starts = text.lower(), set()
+        inner = lambda i: 0 <= i < len(low) and (low[i].isalnum() or low[i] == "_")
+        for last, w in self.automaton.iter(low):
+            first = last - len(w) + 1
+            if not inner(first - 1) and w in (self.stems if inner(last + 1) else self.words):
+                starts.add(first)
+        return len(starts)
+
+
+def _lexicon(terms: frozenset[str]) -> Lexicon:
+    if terms not in _lexicons:
+        _lexicons.clear()
+        _lexicons[terms] = Lexicon(INSULTS, terms)
+    return _lexicons[terms]
+
+
+def terms_of(word: str) -> list[str]:
+    """What a word is known by: itself, marked as whole, and its stems of 5 to 8 letters."""
+    return [word + "$"] + [word[:k] for k in range(5, 9) if len(word) > k]
+
+
+def _grouped(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Texts in groups of 256, or fewer if they are long: a group is measured at once."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t or "")
+        if len(group) == 256 or size > 1_000_000:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def measured(texts: list[str | None], bits: int, lexicon: Lexicon | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The labellers' votes of each text, the one on insults last (without a lexicon: none); and its hashed features, as text number, index and weight.
+
+    Features are the shares of word shapes, and of words that equal the word before and that have
+    no letter, by the square root, so that rare ones count.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").split()
-    n = len(words)
-    if not n:
-        return [NONE] * (len(LABELLERS) + 1), np.empty(0, np.int64), np.empty(0)
-    seen = _shapes.setdefault(bits, Shapes(bits))
-    shape, letters, symbols, ends, chars, insults = zip(*[seen[w] for w in words])
-    n_letters, n_chars = sum(letters), sum(chars)
-    again = sum(a == b for a, b in zip(words, words[1:])) / n
-    lone = sum(not x for x in letters) / n
-    marks = sum(x > 0 for x in symbols) / n
-    plain = sum(x > 0 and not y for x, y in zip(letters, symbols)) / n
-    triples = len(set(zip(words, words[1:], words[2:]))) / max(1, n - 2)
-    vote = lambda bad, applies=True: NONE if not applies else BAD if bad else GOOD
-    votes = [
-        vote(marks > 0.2),
-        vote(plain < 0.7),
-        vote(lone > 0.15, n >= 5),
-        vote(n_letters < 0.72 * n_chars),
-        vote(again > 0.15, n >= 5),
-        vote(triples < 0.6, n >= 12),
-        vote(not sum(ends) or sum(ends) > 0.5 * n, n >= 30),
-        vote(not 2 <= n_letters / n <= 12, n >= 12),
+    kind_of, shape_of = _character_tables()
+    codes = np.frombuffer("\n".join([t or "" for t in texts] + [""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = kind_of[codes]
+    word = kind != SPACE
+    begins = word.copy()
+    begins[1:] &= ~word[:-1]
+    first = np.flatnonzero(begins)
+    votes = np.full((len(texts), len(LABELLERS) + 1), NONE)
+    if not len(first):
+        return votes, first, first, np.empty(0)
+    ends = np.flatnonzero(word[:-1] & ~word[1:]) + 1  # the last character is white space
+    chars = ends - first
+    total = lambda per_char: np.add.reduceat(per_char, first)
+    letters = total((kind & LETTER).astype(np.int64))
+    marks = total((kind & MARK != 0).astype(np.int64)) > 0
+    stops = kind[ends - 1] & END != 0
+
+    text_ends = np.cumsum([len(t or "") + 1 for t in texts])
+    doc = np.searchsorted(text_ends, first, side="right")
+    counted = lambda which, weights=None: np.bincount(which, weights, len(texts))
+    n = counted(doc)
+    size = np.maximum(n, 1)
+    n_letters, n_chars, lone = counted(doc, letters), counted(doc, chars), counted(doc[letters == 0])
+
+    # Words and shapes by polynomials over their characters.
+    of_char = np.cumsum(begins) - 1
+    longest = int(chars.max(initial=0)) + 1
+    at = np.arange(len(codes)) - first[of_char]
+    own = total(np.where(word, codes.astype(np.uint64) * _power(longest, 0x9E3779B97F4A7C15)[np.clip(at, 0, longest - 1)], np.uint64(0)))
+    again = counted(doc[1:][(own[1:] == own[:-1]) & (doc[1:] == doc[:-1])]) / size
+    inner = doc[2:] == doc[:-2]
+    triple = mixed(mixed(mixed(own[:-2].astype(np.uint64)) + own[1:-1].astype(np.uint64)) + own[2:].astype(np.uint64))
+    # 48 bits of hash below the text's number.
+    triple = np.sort(doc[2:][inner].astype(np.uint64) << np.uint64(48) | triple[inner] >> np.uint64(16))
+    variety = counted((triple[np.diff(triple, prepend=~triple[:1]) != 0] >> np.uint64(48)).astype(np.int64)) / np.maximum(n - 2, 1)
+    stands = shape_of[codes]
+    runs = word & ~begins & (stands < 4)
+    runs[1:] &= stands[1:] == stands[:-1]
+    kept = np.flatnonzero(word & ~runs)
+    shape_first = np.searchsorted(kept, first)
+    place = np.arange(len(kept)) - shape_first[of_char[kept]]
+    parts = (stands[kept].astype(np.uint64) + np.uint64(1)) * _power(longest, 0xD6E8FEB86659FD93)[place]
+    shape = (mixed(np.add.reduceat(parts, shape_first)) >> np.uint64(64 - bits)).astype(np.int64)
+
+    toxic = np.array([lexicon.count(t or "") if lexicon else 0 for t in texts])
+    bad = (
+        (counted(doc[marks]) > 0.2 * size, 1),
+        (counted(doc[(letters > 0) & ~marks]) < 0.7 * size, 1),
+        (lone > 0.15 * size, 5),
+        (n_letters < 0.72 * n_chars, 1),
+        (again > 0.15, 5),
+        (variety < 0.6, 12),
+        ((counted(doc[stops]) == 0) | (counted(doc[stops]) > 0.5 * size), 30),
+        ((n_letters < 2 * size) | (n_letters > 12 * size), 12),
         # A word alone in a long text is a quotation rather.
-        vote(sum(insults) >= max(1, 0.005 * n)),
-    ]
-    size = 1 << bits
-    at, count = np.unique(shape, return_counts=True)
-    weight = np.sqrt(count / n)
-    return votes, np.concatenate((at, [size, size + 1])), np.concatenate((weight, [again, lone]))
+        (toxic >= np.maximum(1, 0.005 * size), 1),
+    )
+    for k, (is_bad, least) in enumerate(bad):
+        votes[:, k] = np.where(n < least, NONE, np.where(is_bad, BAD, GOOD))
+
+    feature, count = np.unique(doc << bits | shape, return_counts=True)
+    owner, some = feature >> bits, np.flatnonzero(n)
+    index = np.concatenate((feature & (1 << bits) - 1, *[np.full(len(some), (1 << bits) + k) for k in (0, 1)]))
+    weight = np.concatenate((np.sqrt(count / size[owner]), again[some], (lone / size)[some]))
+    return votes, np.concatenate((owner, some, some)), index, weight
+
+
+def _names(votes: np.ndarray) -> list[str]:
+    """Votes as texts, a character for each labeller."""
+    return ["".join(row) for row in np.array(list("?-+"))[votes + 1]]
 
 
 def accuracies(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[float, np.ndarray]:
@@ -136,52 +229,84 @@ def fitted(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, size:
     return w
 
 
-def quality(docs: DataFrame, bits: int = 12, sample: int = 5_000, threshold: float = 0.5) -> DataFrame:
+def toxic_terms(labelled: DataFrame, least: int = 5, ratio: float = 100.0) -> frozenset[str]:
+    """Words and stems that are in at least so many of the toxic texts, and in a share of them `ratio` times that of the others.
+
+    labelled: text and toxic (0 or 1); rows without either don't count. Only terms that pass reach the driver.
+    """
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
+        for part in parts:
+            for text, toxic in zip(part["text"], part["toxic"]):
+                words = set(_WORD.findall(text.lower()))
+                seen.update((t, toxic) for t in set(chain.from_iterable(map(terms_of, words))))
+        yield pd.DataFrame([(t, n if x else 0, 0 if x else n) for (t, x), n in seen.items()], columns=["term", "toxic", "other"])
+
+    rows = labelled.select(F.col("text").cast("string").alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic")).where("text is not null and toxic is not null")
+    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    by_term = rows.mapInPandas(run, "term string, toxic long, other long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    often = (F.col("toxic") + 0.5) / (n.get(1, 0) + 1) > F.lit(ratio) * (F.col("other") + 0.5) / (n.get(0, 0) + 1)
+    return frozenset(r["term"] for r in by_term.where((F.col("toxic") >= least) & often).select("term").collect())
+
+
+def quality(docs: DataFrame, bits: int = 12, sample: int = 5_000, threshold: float = 0.5, toxic: DataFrame | None = None) -> DataFrame:
     """docs with votes, posterior (by the votes), score (by the linear scorer) and kept (score >= threshold).
 
     docs: doc_id and text, and any other columns, which are kept unless they clash with the new ones;
     those are replaced. All documents count for the labellers' accuracies. sample: rows that the
-    linear scorer is fitted on at most, those of the smallest hashes of doc_id and text.
+    linear scorer is fitted on at most, those of the smallest hashes of doc_id and text. toxic: labelled texts (text,
+    toxic), a bounded number of them, from which the labeller of insults learns words beside its list (toxic_terms).
 
     votes: a character for each of LABELLERS, and one for insults; toxic documents have posterior and score 0.
 
     A null or empty text, or one of white space alone, has no votes and no features: its score is
-    the scorer's for nothing but the constant, 0 here, and it is rejected. Repeated rows get equal
-    scores; a null doc_id is no obstacle; an empty table gives no rows.
+    the scorer's for nothing but the constant, 0 here, and it is rejected. Texts of any length are measured whole.
+    Repeated rows get equal scores; a null doc_id is no obstacle; an empty table gives no rows.
     """
     size = (1 << bits) + 2
+    terms = docs.sparkSession.sparkContext.broadcast(toxic_terms(toxic) if toxic is not None else frozenset())
+
+    def patterns_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
+        for part in parts:
+            for group in _grouped(part["text"].tolist()):
+                seen.update(_names(measured(group, bits, None)[0][:, :-1]))
+        yield pd.DataFrame(list(seen.items()), columns=["votes", "n"])
 
-    def measure(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def features(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            out = []
-            for key, text in zip(part["key"], part["text"]):
-                votes, at, weight = measured(text, bits)
-                out.append((key, "".join("?-+"[v + 1] for v in votes), at, weight))
-            yield pd.DataFrame(out, columns=["key", "votes", "at", "weight"])
+            for group in _grouped(part["text"].tolist()):
+                votes, owner, at, weight = measured(group, bits, None)
+                order = np.argsort(owner, kind="stable")
+                ends = np.cumsum(np.bincount(owner, minlength=len(group)))[:-1]
+                yield pd.DataFrame({"votes": _names(votes[:, :-1]), "at": np.split(at[order], ends), "weight": np.split(weight[order], ends)})
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_votes, w = model.value
         for part in parts:
-            found = []
-            for text in part.column("text").to_pylist():
-                votes, at, weight = measured(text, bits)
-                p = "".join("?-+"[v + 1] for v in votes)
-                fit = len(at) and votes[-1] != BAD
-                found.append((p, 0.0 if votes[-1] == BAD else by_votes.get(p[:-1], 0.0), float(1 / (1 + np.exp(-np.clip(weight @ w[at] + w[-1], -700, 700)))) if fit else 0.0))
-            new = [pa.array([x[i] for x in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
+            names, posteriors, scores = [], [], []
+            for group in _grouped(part.column("text").to_pylist()):
+                votes, owner, at, weight = measured(group, bits, _lexicon(terms.value))
+                fit = (np.bincount(owner, minlength=len(group)) > 0) & (votes[:, -1] != BAD)
+                z = np.bincount(owner, w[at] * weight, len(group)) + w[-1]
+                own = _names(votes)
+                names += own
+                posteriors += [0.0 if v[-1] == "-" else by_votes.get(v[:-1], 0.0) for v in own]
+                scores += np.where(fit, 1 / (1 + np.exp(-np.clip(z, -700, 700))), 0.0).tolist()
+            new = [pa.array(x, kind) for x, kind in ((names, pa.string()), (posteriors, pa.float64()), (scores, pa.float64()))]
             yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "votes", "posterior", "score"])
 
     text = F.col("text").cast("string")
-    keyed = docs.select(F.xxhash64("doc_id", text).alias("key"), text.alias("text"))
-    counts = keyed.mapInPandas(measure, "key long, votes string, at array<int>, weight array<double>").groupBy(F.substring("votes", 1, len(LABELLERS)).alias("votes")).agg(F.count("*").alias("n")).toPandas()
+    counts = docs.select(text.alias("text")).mapInPandas(patterns_of, "votes string, n long").groupBy("votes").agg(F.sum("n").alias("n")).toPandas()
     patterns = np.array([["?-+".index(c) - 1 for c in p] for p in counts["votes"]], np.int64).reshape(-1, len(LABELLERS))
     share, says_bad = accuracies(patterns, counts["n"].to_numpy(float)) if len(counts) else (0.5, np.full((2, len(LABELLERS)), 0.5))
     by_votes = dict(zip(counts["votes"], posterior(patterns, share, says_bad).tolist())) if len(counts) else {}
-    some = keyed.where(F.length(F.trim("text")) > 0)
+    some = docs.select(F.xxhash64("doc_id", text).alias("key"), text.alias("text")).where(F.length(F.trim("text")) > 0)
     last = some.select("key").distinct().orderBy("key").limit(sample).agg(F.max("key")).first()[0]
     chosen = some.where(F.col("key") <= F.lit(last)).dropDuplicates(["key"]).repartition(16)
-    fit_on = chosen.mapInPandas(measure, "key long, votes string, at array<int>, weight array<double>").toPandas()
-    w = fitted(list(zip(fit_on["at"], fit_on["weight"])), fit_on["votes"].str[:-1].map(by_votes).to_numpy(float), size)
+    fit_on = chosen.mapInPandas(features, "votes string, at array<int>, weight array<double>").toPandas()
+    w = fitted(list(zip(fit_on["at"], fit_on["weight"])), fit_on["votes"].map(by_votes).to_numpy(float), size)
     model = docs.sparkSession.sparkContext.broadcast((by_votes, w))
     plain = docs.drop("votes", "posterior", "score", "kept").withColumn("text", text)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)

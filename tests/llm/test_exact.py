@@ -84,6 +84,7 @@ def test_near_duplicates_against_all_pairs(spark, words, percent):
 
 def test_near_duplicates_of_odd_rows(spark):
     got = sorted(rows(setsketch.near_duplicates(odd(spark), words=2)), key=str)
+    got = [r[:4] for r in got]
     assert sorted(got, key=str) == sorted([(None, 2, None, True), (1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (5, 1, 4, False), (6, 3, 6, True), (6, 3, 6, True), (7, 1, 7, True)], key=str)
     assert rows(setsketch.near_duplicates(empty(spark))) == []
 

@@ -1,5 +1,8 @@
 """Operators that learn or approximate: held-out accuracy, recall, and what they must leave alone; and odd rows."""
 
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +84,52 @@ def test_toxic_texts_are_rejected_whatever_their_form(spark):
     assert np.mean([got[i]["kept"] for i in range(200)]) > 0.98
 
 
+def votes_by_force(text, toxic):
+    words = re.findall(r"[^\x20\x09-\x0d]+", text)
+    n = len(words)
+    letters = [sum(map(str.isalpha, w)) for w in words]
+    marks = [any(not c.isalnum() and c not in ".,;:!?'\"()-" for c in w) for w in words]
+    again = sum(a == b for a, b in zip(words, words[1:]))
+    triples = len(set(zip(words, words[1:], words[2:])))
+    stops = sum(w[-1] in ".!?:;" for w in words)
+    insults = sum(w in toxic for w in re.findall(r"\w+", text.lower()))
+    rules = [
+        (1, sum(marks) > 0.2 * n), (1, sum(x > 0 and not y for x, y in zip(letters, marks)) < 0.7 * n), (5, sum(not x for x in letters) > 0.15 * n),
+        (1, sum(letters) < 0.72 * sum(map(len, words))), (5, again > 0.15 * n), (12, triples < 0.6 * (n - 2)), (30, not stops or stops > 0.5 * n),
+        (12, not 2 * n <= sum(letters) <= 12 * n), (1, insults >= max(1, 0.005 * n)),
+    ]
+    return "".join("?" if n < least else "-" if bad else "+" for least, bad in rules)
+
+
+def shapes_by_force(text):
+    words = re.findall(r"[^\x20\x09-\x0d]+", text)
+    return sorted(Counter(re.sub("[a-z\x80-\U0010ffff]+", "a", re.sub("[0-9]+", "9", re.sub("[A-Z]+", "A", w))) for w in words).values())
+
+
+def test_measures_against_brute_force():
+    r = np.random.RandomState(19)
+    parts = ["the", "The", "a-b", "...", "don't", "x1y22", "###", "é", "日本語", "idiot", "Idiot!", "1234", "stem", "stemming", "stemmed.", "🎉", "\u00a0", "q_r", "ABCdef9", "|"]
+    texts = ["", None, "  \n"] + [" ".join(r.choice(parts, r.randint(1, 60))).replace("| ", "\n\t") for _ in range(400)] + ["one " * 3000, " lead"]
+    lexicon = weak_quality.Lexicon(weak_quality.INSULTS, frozenset(["stemm", "q_r$"]))
+    for at in range(0, len(texts), 37):
+        group = texts[at : at + 37]
+        votes, owner, index, weight = weak_quality.measured(group, 20, lexicon)
+        assert weak_quality._names(votes) == [votes_by_force(t or "", {*weak_quality.INSULTS, "stemming", "stemmed", "q_r"}) for t in group]
+        for i, t in enumerate(group):
+            own = (owner == i) & (index < 1 << 20)
+            n = len((t or "").encode().split())
+            assert np.allclose(sorted(weight[own] ** 2 * n), shapes_by_force(t or ""))
+
+
+def test_words_of_toxic_texts_are_learned(spark):
+    r = np.random.RandomState(20)
+    rows = [(i, prose(r, "de", 60) + (f" bozzel{'nmrst'[i % 5]} mistig." if i % 7 == 0 else ""), int(i % 7 == 0)) for i in range(400)]
+    labelled = spark.createDataFrame([x[1:] for x in rows[:200]] + [(None, 1), ("text", None)], "text string, toxic int")
+    assert {"bozzel", "mistig$"} <= weak_quality.toxic_terms(labelled) and not weak_quality.toxic_terms(labelled.where("toxic = 0"))
+    got = {x["doc_id"]: x["kept"] for x in weak_quality.quality(spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"), toxic=labelled).collect()}
+    assert all(got[i] != bool(x) for i, _, x in rows)
+
+
 def test_labellers_accuracies_are_found():
     r = np.random.RandomState(11)
     truth = r.rand(4000) < 0.7
