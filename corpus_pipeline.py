@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellstream.llm import line_templates, mixing, packing, setsketch, weak_quality
 from cellstream.llm.common import stored, table
-from cellstream.llm.queries import WEIGHTS, labelled_languages
+from cellstream.llm.queries import WEIGHTS, labelled_languages, labelled_toxic
 
 
 def _shielded(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -20,12 +20,13 @@ def _shielded(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataF
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't reject."""
-    return _shielded(docs, lambda d: weak_quality.quality(d).where("kept"))
+    """Documents that the classifier doesn't reject. Null, empty and blank texts go; repeated rows fare alike; an empty table stays empty."""
+    toxic = labelled_toxic(spark, sf_dir)
+    return _shielded(docs, lambda d: weak_quality.quality(d, toxic=toxic).where("kept"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines of recurring templates; n_chars, where there is one, follows."""
+    """All documents, without lines of recurring templates; n_chars, where there is one, follows. Null texts stay null, texts that would be left blank stay whole."""
     cleaned = _shielded(docs, line_templates.without_recurring_lines)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -33,21 +34,26 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 0.8), the one of the smallest doc_id; rows without doc_id stay."""
-    kept = setsketch.near_duplicates(docs, words=5, percent=80).where("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group of near duplicates (five words, 0.8), the one of the smallest doc_id.
+
+    Of repeated rows of that doc_id one stays; rows of it with different texts stay each, as none stands for the other. Rows
+    without doc_id stay, and so do null and empty texts, which are nobody's duplicates.
+    """
+    kept = setsketch.near_duplicates(docs, words=5, percent=80).where("kept and doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    own = docs.withColumn("__own", setsketch.text_key())
+    one = own.join(kept.distinct(), (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__key")), "left_semi").dropDuplicates(["doc_id", "__own"])
     return one.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rates say, once at least: languages come to their weights by repeating, so no document is lost."""
+    """Documents as often as their rates say, once at least: languages come to their weights by repeating, so no document is lost. Null and empty texts have no tokens and stay once."""
     labelled = labelled_languages(spark, sf_dir)
     copies = F.explode(F.sequence(F.lit(1), F.greatest(F.col("copies"), F.lit(1))))
     return _shielded(docs, lambda d: mixing.mixed(d, labelled, WEIGHTS, least=1.0).withColumn("__copy", copies))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 2048 tokens."""
+    """Pieces of sequences of at most 2048 tokens; a null or empty text is one piece of its end token."""
     return packing.packed(docs, capacity=2048).drop("ids")
 
 
