@@ -39,10 +39,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of repeated rows of that doc_id one stays; rows of it with different texts stay each, as none stands for the other. Rows
     without doc_id stay, and so do null and empty texts, which are nobody's duplicates.
     """
-    kept = setsketch.near_duplicates(docs, words=5, percent=80).where("kept and doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-    own = docs.withColumn("__own", setsketch.text_key())
-    one = own.join(kept.distinct(), (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__key")), "left_semi").dropDuplicates(["doc_id", "__own"])
-    return one.select(docs.columns).unionByName(docs.where("doc_id is null"))
+
+    def one_each(d: DataFrame) -> DataFrame:
+        kept = setsketch.near_duplicates(d, words=5, percent=80).where("kept and doc_id is not null").select("doc_id", F.col("text_key").alias("__text"))
+        return d.withColumn("__text", setsketch.text_key()).join(kept.distinct(), ["doc_id", "__text"], "left_semi").dropDuplicates(["doc_id", "__text"])
+
+    return _shielded(docs, one_each).unionByName(docs.where("doc_id is null"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
