@@ -4,72 +4,146 @@ Lines are parsed to a fixed depth: by their number of tokens, then by their lead
 with digits being variable from the start. Within such a leaf a token stays part of the template at
 its position if enough different documents have it there; elsewhere the field is variable. A
 template is recurring if enough documents that aren't copies of each other have it, and its lines
-are dropped. Supports and recurrences are sums by key, so neither a common line nor a crowded leaf
-meets in one task.
+are dropped. Supports and recurrences are sums by key, and what is joined by leaf, line or template is
+spread, so neither a common line nor a crowded leaf meets in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free_name, grouped, mixed, parts_of, powers, salt, spread_join, stored, words_of
 
-FIELD = "<*>"
+#: What stands for a variable field: the hash of no word.
+FIELD = np.uint64(0xF1E1D)
 #: Hashes that tell documents from copies of each other, and how many of them copies have in common at least.
 SKETCH, AGREE = 8, 3
 #: Tokens up to which a line needs min_docs documents, and from which two are enough.
 SHORT, LONG = 20, 50
 
 
-def _tokens(line: Column) -> Column:
-    return F.filter(F.split(F.regexp_replace(F.trim(line), r"(?<!\S)[^\s0-9]*+[0-9]\S*", FIELD), r"\s+"), lambda w: w != "")
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.xxhash64("doc_id", text).alias("key"), text.alias("text"))
-
-
-def _words(line: Column) -> Column:
-    return F.filter(F.split(line, r"\s+"), lambda w: w != "")
-
-
-def _leaf(words: Column, depth: int) -> Column:
-    """Hash of the number of tokens and of the leading ones."""
-    return F.xxhash64(F.size(words), F.transform(F.slice(words, 1, depth), lambda w: F.when(w.rlike("[0-9]"), FIELD).otherwise(w)))
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value), with value evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _needed(n: Column, min_docs: int) -> Column:
+def needed(n: np.ndarray, min_docs: int) -> np.ndarray:
     """Different documents that make a line of n tokens recurring: min_docs up to SHORT tokens, 2 from LONG on, in proportion between."""
-    share = F.least(F.greatest((n - SHORT) / (LONG - SHORT), F.lit(0.0)), F.lit(1.0))
-    return F.least(F.ceil(min_docs - (min_docs - 2) * share), F.lit(min_docs)).cast("int")
+    share = np.clip((n - SHORT) / (LONG - SHORT), 0.0, 1.0)
+    return np.minimum(np.ceil(min_docs - (min_docs - 2) * share), min_docs).astype(np.int64)
+
+
+class Lines:
+    """The lines of a group of texts that have words: by line, its text (doc), number (line_no), count of words (n), first word and leaf; by word, its hash and token."""
+
+    def __init__(self, texts: list[str | None], depth: int):
+        w = words_of(texts)
+        digit = w.total((w.codes - np.uint32(48) < 10).astype(np.int64)) > 0
+        self.hash = mixed(w.hash)
+        self.token = np.where(digit, FIELD, self.hash)
+        ends = np.cumsum(w.codes == 10)
+        line = ends[w.first]
+        self.first = np.flatnonzero(np.diff(line, prepend=-1))
+        self.n = np.diff(self.first, append=len(line))
+        self.doc = w.doc[self.first]
+        begins = np.cumsum([0] + [len(t or "") + 1 for t in texts])[:-1]
+        before = np.where(begins > 0, ends[np.maximum(begins - 1, 0)], 0)
+        self.line_no = line[self.first] - before[self.doc]
+        self.leaf = mixed(self.n.astype(np.uint64))
+        for k in range(depth):
+            some = self.n > k
+            self.leaf[some] = mixed(self.leaf[some] + self.token[self.first[some] + k])
+
+    def whole(self, of_word: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """A hash of each line's words, in order."""
+        if not len(self.n):
+            return start
+        of_line = np.repeat(np.arange(len(self.n)), self.n)
+        at = np.arange(len(of_word)) - self.first[of_line]
+        return mixed(start + np.add.reduceat(of_word * powers(int(self.n.max()))[at], self.first))
+
+    def sketches(self) -> dict[int, tuple[np.ndarray, dict[int, np.ndarray]]]:
+        """By text: the SKETCH least hashes of its word triples, and for leaves that these are of, those outside of lines of that leaf."""
+        of_line = np.repeat(np.arange(len(self.n)), self.n)
+        inner = of_line[2:] == of_line[:-2]
+        triple = mixed(mixed(self.hash[:-2] + np.uint64(1)) + self.hash[1:-1])
+        triple = mixed(triple + self.hash[2:])[inner]
+        short = self.n < 3
+        h = np.concatenate((triple, self.whole(self.hash, np.full(len(self.n), 3, np.uint64))[short]))
+        at = np.concatenate((of_line[2:][inner], np.flatnonzero(short)))
+        doc, leaf = self.doc[at], self.leaf[at]
+        order = np.lexsort((leaf, h, doc))
+        h, leaf, doc = h[order], leaf[order], doc[order]
+        out = {}
+        found, starts = np.unique(doc, return_index=True)
+        for d, i, j in zip(found.tolist(), starts, np.append(starts[1:], len(doc))):
+            own, of = h[i:j], leaf[i:j]
+            without = {int(x): _least(own[of != x]) for x in np.unique(of[: _reach(own)])}
+            out[d] = _least(own), without
+        return out
+
+
+def _least(ordered: np.ndarray) -> np.ndarray:
+    """The SKETCH least distinct values."""
+    return np.unique(ordered[: _reach(ordered)])
+
+
+def _reach(ordered: np.ndarray) -> int:
+    """How many of ordered values hold the SKETCH least distinct ones."""
+    size = 4 * SKETCH
+    while size < len(ordered) and np.count_nonzero(np.diff(ordered[:size])) < SKETCH:
+        size *= 2
+    new = np.flatnonzero(np.diff(ordered[:size]))
+    return int(new[SKETCH - 1]) + 1 if len(new) >= SKETCH else min(size, len(ordered))
+
+
+def _text() -> Column:
+    return F.col("text").cast("string")
+
+
+def _key() -> Column:
+    return F.xxhash64("doc_id", F.coalesce(_text(), F.lit("")))
 
 
 def _parsed(docs: DataFrame, depth: int, min_docs: int, min_tokens: int) -> DataFrame:
-    """A row per line of at least min_tokens tokens: key, doc (the same in exact copies), line_no, leaf, needed."""
-    lines = _keyed(docs).select("key", F.xxhash64("text").alias("doc"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    words = lines.select("key", "doc", "line_no", _words(F.col("line")).alias("words")).where(F.size("words") >= min_tokens)
-    return words.select("key", "doc", "line_no", _leaf(F.col("words"), depth).alias("leaf"), _needed(F.size("words"), min_docs).alias("needed"))
-
-
-def _sketched(parts: Column, picked: Column, depth: int) -> Column:
-    """picked, each with its sketch: the SKETCH least hashes of the document's word triples outside lines of the same leaf."""
-    triples = lambda w: F.when(F.size(w) > 2, F.transform(F.sequence(F.lit(1), F.size(w) - 2), lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i), F.get(w, i + 1)))).otherwise(F.array(F.xxhash64(w)))
-    of_line = lambda w: _let(_leaf(w, depth), lambda leaf: F.transform(F.slice(F.sort_array(F.array_distinct(triples(w))), 1, SKETCH), lambda h: F.struct(h.alias("h"), leaf.alias("leaf"))))
-    every = F.sort_array(F.array_distinct(F.flatten(F.transform(F.filter(F.transform(parts, _words), lambda w: F.size(w) > 0), of_line))))
-    hashes = lambda found: F.transform(F.slice(found, 1, SKETCH), lambda x: x["h"])
-    # Leaves that are among the least hashes of the whole are at most SKETCH; for all others the sketch is that of the whole.
-    without = lambda all_: F.transform(F.array_distinct(F.transform(F.slice(all_, 1, SKETCH), lambda x: x["leaf"])), lambda leaf: F.struct(leaf.alias("leaf"), hashes(F.filter(all_, lambda x: x["leaf"] != leaf)).alias("sketch")))
-    each = lambda whole, own: F.transform(picked, lambda x: F.struct(x["line_no"].alias("line_no"), x["leaf"].alias("leaf"), F.coalesce(F.get(F.filter(own, lambda o: o["leaf"] == x["leaf"]), F.lit(0))["sketch"], whole).alias("sketch")))
-    return _let(every, lambda all_: _let(hashes(all_), lambda whole: _let(without(all_), lambda own: each(whole, own))))
+    """A row per line of at least min_tokens tokens: key, doc (the same in exact copies), leaf, line_no, needed."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            texts, keys, same = part["text"].tolist(), part["key"].to_numpy(), part["doc"].to_numpy()
+            for s in grouped(texts):
+                x = Lines(texts[s], depth)
+                ok = x.n >= min_tokens
+                doc = x.doc[ok]
+                yield pd.DataFrame({"key": keys[s][doc], "doc": same[s][doc], "line_no": x.line_no[ok], "leaf": x.leaf[ok].view(np.int64), "needed": needed(x.n[ok], min_docs)})
+
+    texts = docs.select(_key().alias("key"), F.xxhash64(_text()).alias("doc"), _text().alias("text")).where("text is not null")
+    return texts.mapInPandas(run, "key long, doc long, line_no long, leaf long, needed int")
+
+
+def _crowded(docs: DataFrame, picked: DataFrame, depth: int, min_docs: int) -> DataFrame:
+    """A row per picked line: key, line_no, leaf, needed, line (hash of its tokens), tokens, lead (leading tokens that aren't variable), sketch (of the document without lines of this leaf), sig."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            texts, keys, wanted = part["text"].tolist(), part["key"].tolist(), part["picked"].tolist()
+            for s in grouped(texts):
+                x = Lines(texts[s], depth)
+                lines = x.whole(x.token, x.leaf)
+                row_of = {(d, k): i for i, (d, k) in enumerate(zip(x.doc.tolist(), x.line_no.tolist()))}
+                out = []
+                for d, (whole, without) in x.sketches().items():
+                    for k in wanted[s.start + d]:
+                        i = row_of[d, k]
+                        tokens = x.token[x.first[i] : x.first[i] + x.n[i]]
+                        sketch = without.get(int(x.leaf[i]), whole).view(np.int64)
+                        leaf = int(x.leaf[i : i + 1].view(np.int64)[0])
+                        sig = int(sketch[0]) if len(sketch) else leaf
+                        out.append((keys[s.start + d], k, leaf, int(needed(x.n[i], min_docs)), int(lines[i : i + 1].view(np.int64)[0]), tokens.view(np.int64), int((tokens[:depth] != FIELD).sum()), sketch, sig))
+                yield pd.DataFrame(out, columns=["key", "line_no", "leaf", "needed", "line", "tokens", "lead", "sketch", "sig"])
+
+    met = docs.select(_key().alias("key"), _text().alias("text")).join(picked, "key")
+    return met.mapInPandas(run, "key long, line_no long, leaf long, needed int, line long, tokens array<long>, lead int, sketch array<long>, sig long")
 
 
 def _different(own: DataFrame) -> DataFrame:
@@ -79,11 +153,12 @@ def _different(own: DataFrame) -> DataFrame:
     of sketches that have its value of third most company, so that a group of copies comes to about one, however large,
     and takes nothing from others.
     """
-    sketches = own.select("template", "needed", "sketch").distinct()
-    many = sketches.groupBy("template", "needed").agg(F.count("*").alias("n")).where(F.col("n") >= F.col("needed"))
-    values = sketches.join(many.select("template"), "template").select("template", "needed", F.xxhash64("sketch").alias("own"), F.explode(F.when(F.size("sketch") > 0, F.col("sketch")).otherwise(F.array(F.lit(0).cast("long")))).alias("value"))
-    company = values.groupBy("template", "value").agg(F.count("*").alias("company"))
-    each = values.join(company, ["template", "value"]).groupBy("template", "needed", "own").agg(F.sort_array(F.collect_list("company"), asc=False).alias("company"))  # SKETCH at most
+    sketches = own.select("template", "needed", "sketch").distinct().withColumn("own", F.xxhash64("sketch"))
+    many = sketches.groupBy("template").agg(F.count("*").alias("n"), F.max("needed").alias("least"), parts_of(salt("own")).alias("parts")).where("n >= least").select("template", "parts")
+    value = F.explode(F.when(F.size("sketch") > 0, F.col("sketch")).otherwise(F.array(F.lit(0).cast("long"))))
+    values = stored(spread_join(sketches, many, ["template"], "own").select("template", "needed", "own", value.alias("value")), "values")
+    company = values.groupBy("template", "value").agg(F.count("*").alias("company"), parts_of(salt("own")).alias("parts"))
+    each = spread_join(values, company, ["template", "value"], "own").groupBy("template", "needed", "own").agg(F.sort_array(F.collect_list("company"), asc=False).alias("company"))  # SKETCH at most
     weight = 1 / F.get("company", F.least(F.lit(AGREE), F.size("company")) - 1)
     return each.select("template", "needed", weight.alias("weight")).groupBy("template", "needed").agg(F.sum("weight").alias("different"))
 
@@ -91,26 +166,26 @@ def _different(own: DataFrame) -> DataFrame:
 def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, constant: float) -> DataFrame:
     """(key, line_no) of lines of recurring templates."""
     lines = stored(_parsed(docs, depth, min_docs, min_tokens), "lines")
-    by_leaf = lines.select("leaf", "doc", "needed").distinct().groupBy("leaf", "needed").agg(F.count("*").alias("docs")).where(F.col("docs") >= F.col("needed"))
-    picked = lines.join(by_leaf.select("leaf"), "leaf").select("key", "line_no", "leaf").distinct().groupBy("key").agg(F.collect_list(F.struct("line_no", "leaf")).alias("picked"))  # as many as the document has lines
-    met = _keyed(docs).dropDuplicates(["key"]).join(picked, "key").withColumn("parts", F.split("text", "\n")).select("key", "parts", F.explode(_sketched(F.col("parts"), F.col("picked"), depth)).alias("x"))
-    crowded = met.select("key", "x.*", _tokens(F.get("parts", F.col("x.line_no"))).alias("tokens")).withColumn("n", F.size("tokens"))
-    crowded = stored(crowded.withColumn("sig", F.coalesce(F.get("sketch", F.lit(0)), F.col("leaf"))), "crowded")
-    line = F.xxhash64("leaf", "tokens")
-    distinct = crowded.select("leaf", line.alias("line"), "tokens", "n").dropDuplicates(["leaf", "line"])
-    placed = distinct.select("leaf", "line", "n", F.posexplode("tokens").alias("at", "token"))
-    by_line = crowded.select("leaf", line.alias("line"), "sig").distinct()
-    support = by_line.join(placed.where(F.col("at") >= depth), ["leaf", "line"]).select("leaf", "at", "token", "n", "sig").distinct().groupBy("leaf", "at", "token", "n").agg(F.count("*").alias("support"))
-    kept = support.where(F.col("support") >= _needed(F.col("n"), min_docs)).select("leaf", "at", "token")
-    # Positions that aren't kept are variable; the leading tokens are the leaf's.
-    kept = placed.where(F.col("at") >= depth).join(kept, ["leaf", "at", "token"]).groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("kept"))  # as many as the line has tokens
-    lead = F.size(F.filter(F.slice("tokens", 1, depth), lambda w: w != FIELD))
-    templates = distinct.select("leaf", "line", "n", lead.alias("lead")).join(kept, ["leaf", "line"], "left")
+    by_doc = lines.groupBy("leaf", "needed", "doc").agg(parts_of(salt("key")).alias("parts"))
+    by_leaf = by_doc.groupBy("leaf", "needed").agg(F.count("*").alias("docs"), F.bit_or("parts").alias("parts")).where(F.col("docs") >= F.col("needed"))
+    picked = spread_join(lines.select("key", "line_no", "leaf"), by_leaf.select("leaf", "parts"), ["leaf"], "key").groupBy("key").agg(F.collect_set("line_no").alias("picked"))  # as many as the document has lines
+    crowded = stored(_crowded(docs, picked, depth, min_docs), "crowded")
+
+    by_line = crowded.groupBy("leaf", "line", "sig").agg(F.first("needed").alias("needed"), F.first("tokens").alias("tokens"))
+    placed = by_line.select("leaf", "line", "sig", "needed", F.posexplode("tokens").alias("at", "token")).where(F.col("at") >= depth)
+    by_sig = placed.groupBy("leaf", "at", "token", "needed", "sig").agg(parts_of(salt("line")).alias("parts"))
+    support = by_sig.groupBy("leaf", "at", "token", "needed").agg(F.count("*").alias("support"), F.bit_or("parts").alias("parts"))
+    held = support.where(F.col("support") >= F.col("needed")).select("leaf", "at", "token", "parts")
+    # Positions that aren't held are variable; the leading tokens are the leaf's.
+    distinct = crowded.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"), F.first("lead").alias("lead"), F.first("needed").alias("needed"), parts_of(salt("key")).alias("parts"))
+    of_line = distinct.select("leaf", "line", F.posexplode("tokens").alias("at", "token")).where(F.col("at") >= depth)
+    kept = spread_join(of_line, held, ["leaf", "at", "token"], "line").groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("kept"))  # as many as the line has tokens
     fixed = F.col("lead") + F.coalesce(F.size("kept"), F.lit(0))
-    templates = templates.where(fixed >= constant * F.col("n")).select("leaf", "line", F.xxhash64("leaf", "kept").alias("template"), _needed(F.col("n"), min_docs).alias("needed"))
-    own = stored(crowded.select("leaf", line.alias("line"), "key", "sketch", "line_no").join(templates, ["leaf", "line"]).select("key", "sketch", "line_no", "template", "needed"), "templates")
-    found = _different(own).where(F.col("different") > F.col("needed") - 0.5)
-    return own.join(found.select("template"), "template").select("key", "line_no")
+    templates = distinct.join(kept, ["leaf", "line"], "left").where(fixed >= constant * F.size("tokens")).select("leaf", "line", "parts", F.xxhash64("leaf", "kept").alias("template"))
+    own = stored(spread_join(crowded.select("leaf", "line", "key", "sketch", "line_no", "needed"), templates, ["leaf", "line"], "key").drop("leaf", "line"), "templates")
+    found = _different(own).where(F.col("different") > F.col("needed") - 0.5).select("template")
+    spread = own.groupBy("template").agg(parts_of(salt("key")).alias("parts")).join(found, "template")
+    return spread_join(own, spread, ["template"], "key").select("key", "line_no")
 
 
 def without_recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 8, min_tokens: int = 3, constant: float = 0.6) -> DataFrame:
@@ -124,19 +199,20 @@ def without_recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 8,
 
     A document of which nothing but white space would be left stays as it is (n_dropped 0). Null text stays null, with 0
     lines; repeated rows count once and are treated alike; a null doc_id is no obstacle; an empty
-    table gives no rows. Texts are shuffled to meet the numbers of their crowded lines, and of their dropped ones.
+    table gives no rows. Texts of any length are parsed whole, in one task each; they are shuffled to meet the numbers of
+    their crowded lines, and of their dropped ones.
     """
     plain = docs.drop("n_lines", "n_dropped")
-    dropped = _recurring(plain, depth, min_docs, min_tokens, constant).distinct().groupBy("key").agg(F.collect_list("line_no").alias("__dropped"))  # as many as the document has lines
-    text = F.col("text").cast("string")
-    keyed = plain.withColumn("__key", F.xxhash64("doc_id", F.coalesce(text, F.lit(""))))
-    met = keyed.join(dropped.withColumnRenamed("key", "__key"), "__key", "left")
-    parts = F.split(text, "\n")
-    left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("__dropped", i)), "\n")
-    met = met.withColumn("__left", F.when(F.col("__dropped").isNotNull(), left))
-    empty = F.coalesce(F.col("__left").rlike(r"^\s*$"), F.lit(True))
+    key, gone, rest = (free_name(c, plain.columns) for c in ("key", "gone", "rest"))
+    dropped = _recurring(plain, depth, min_docs, min_tokens, constant).groupBy(F.col("key").alias(key)).agg(F.collect_set("line_no").alias(gone))  # as many as the document has lines
+    met = plain.withColumn(key, _key()).join(dropped, key, "left")
+    parts = F.split(_text(), "\n")
+    left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col(gone), i.cast("long"))), "\n")
+    met = met.withColumn(rest, F.when(F.col(gone).isNotNull(), left))
+    empty = F.coalesce(F.col(rest).rlike(r"^\s*$"), F.lit(True))
+    n_lines = F.octet_length(_text()) - F.octet_length(F.translate(_text(), "\n", "")) + 1
     return met.select(
-        *[F.when(empty, text).otherwise(F.col("__left")).alias("text") if c == "text" else F.col(f"`{c}`") for c in plain.columns],
-        F.coalesce(F.size(F.when(text.isNotNull(), parts)), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(empty, F.lit(0)).otherwise(F.size("__dropped")).cast("long").alias("n_dropped"),
+        *[F.when(empty, _text()).otherwise(F.col(rest)).alias("text") if c == "text" else F.col(f"`{c}`") for c in plain.columns],
+        F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
+        F.when(empty, F.lit(0)).otherwise(F.size(gone)).cast("long").alias("n_dropped"),
     )

@@ -22,12 +22,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mixed, stored
+from .common import WordHashes, each_part, mixed, parts_of, salt, stored
 from .components import components
 
 BASE, RATE, STEPS = 1.02, 20.0, 1022
-#: Parts that the rows of a hot key are spread over.
-SALTS = 16
 _WORDS = WordHashes()
 _MULTIPLIERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -99,24 +97,11 @@ def text_key() -> Column:
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def _salt(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
-
-
-def _salts_of(mask: str) -> Column:
-    """The salts that are set in a mask, so that a row meets them all and no others."""
-    return F.explode(F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.getbit(F.col(mask), i) == 1)).alias("salt")
-
-
-def _mask() -> Column:
-    return F.bit_or(F.expr("shiftleft(1, salt)")).alias("salts")
-
-
 def _beside(pairs: DataFrame, side: Callable[[str], DataFrame]) -> DataFrame:
     """Pairs (a, b), a stored table, with the columns of both sides; an id of many pairs is spread by the other id."""
-    dealt = pairs.withColumn("salt_a", _salt("b")).withColumn("salt_b", _salt("a"))
+    dealt = pairs.withColumn("salt_a", salt("b")).withColumn("salt_b", salt("a"))
     for c in ("b", "a"):
-        dealt = dealt.join(pairs.select(c, _salt("a" if c == "b" else "b").alias(f"salt_{c}")).distinct().join(side(c), c), [c, f"salt_{c}"])
+        dealt = dealt.join(pairs.select(c, salt("a" if c == "b" else "b").alias(f"salt_{c}")).distinct().join(side(c), c), [c, f"salt_{c}"])
     return dealt
 
 
@@ -190,9 +175,9 @@ def _rest(at: DataFrame, texts: DataFrame, words: int, percent: int) -> tuple[Da
 
     A bucket's members of its main component meet only those outside of it.
     """
-    by_part = at.groupBy("bucket", "component").agg(F.count("*").alias("n"), _mask())
+    by_part = at.groupBy("bucket", "component").agg(F.count("*").alias("n"), parts_of(F.col("salt")).alias("salts"))
     by_bucket = by_part.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("n", F.negative("component").alias("c"))).alias("main"), F.bit_or("salts").alias("salts")).where("parts > 1")
-    main = by_bucket.select("bucket", "main", "salts", _salts_of("salts"))
+    main = by_bucket.select("bucket", "main", "salts", each_part("salts").alias("salt"))
     left = stored(at.drop("salts").join(main, ["bucket", "salt"]).select("bucket", "salt", "doc_id", "component", "main", "salts"), "split")
     anchors = left.groupBy("doc_id").agg(F.max("main").alias("main"), F.first("component").alias("component")).select(F.negative("main.c").alias("a"), F.col("doc_id").alias("b"), "component")
     anchors = stored(anchors, "anchors")
@@ -207,7 +192,7 @@ def _rest(at: DataFrame, texts: DataFrame, words: int, percent: int) -> tuple[Da
     same = F.col("anchor_a") == F.col("anchor_b")
     in_bucket = left.join(held.drop("diff", "component"), "doc_id")
     outside = in_bucket.where(F.col("component") != F.negative("main.c"))
-    one = outside.select("bucket", *side("a"), _salts_of("salts"))
+    one = outside.select("bucket", *side("a"), each_part("salts").alias("salt"))
     two = in_bucket.select("bucket", "salt", *side("b"), (F.col("component") == F.negative("main.c")).alias("is_main"))
     # Two members that are both outside are met once.
     once = F.col("is_main") | (F.col("doc_id_a") < F.col("doc_id_b"))
@@ -244,13 +229,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, m: int =
     named = stored(_sketched(docs, words, m, rows), "sketches")
     sets = named.where("n_shingles > 0 and doc_id is not null")
     key = ["h1", "h2", "n_shingles"]
-    salted = sets.withColumn("salt", _salt("doc_id"))
-    of_key = salted.select(*key, "doc_id", "salt").groupBy(*key).agg(F.min("doc_id").alias("rep"), _mask())
+    salted = sets.withColumn("salt", salt("doc_id"))
+    of_key = salted.select(*key, "doc_id", "salt").groupBy(*key).agg(F.min("doc_id").alias("rep"), parts_of(F.col("salt")).alias("salts"))
     classes = stored(of_key, "classes")
-    reps = salted.join(classes.select(*key, "rep", _salt("rep").alias("salt")), [*key, "salt"]).where("doc_id = rep").drop("rep").dropDuplicates([*key, "doc_id"])
+    reps = salted.join(classes.select(*key, "rep", salt("rep").alias("salt")), [*key, "salt"]).where("doc_id = rep").drop("rep").dropDuplicates([*key, "doc_id"])
     bucketed = reps.select("doc_id", "salt", F.explode("bands").alias("bucket"))
-    shared = bucketed.groupBy("bucket").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), _mask()).where("first < last")
-    buckets = stored(bucketed.join(shared.select("bucket", "first", "salts", _salts_of("salts")), ["bucket", "salt"]), "buckets")
+    shared = bucketed.groupBy("bucket").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), parts_of(F.col("salt")).alias("salts")).where("first < last")
+    buckets = stored(bucketed.join(shared.select("bucket", "first", "salts", each_part("salts").alias("salt")), ["bucket", "salt"]), "buckets")
     sketches = reps.select("doc_id", "n_shingles", "sketch")
 
     # The texts of documents that share a bucket, so that no later join moves the others.
@@ -267,14 +252,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, m: int =
 
     links = confirm(buckets.groupBy("doc_id").agg(F.min("first").alias("a")).where("a <> doc_id").select("a", F.col("doc_id").alias("b")), "links")
     at = labelled(links)
-    firsts = at.where("first = doc_id").select("bucket", F.col("component").alias("of_first"), _salts_of("salts"))
+    firsts = at.where("first = doc_id").select("bucket", F.col("component").alias("of_first"), each_part("salts").alias("salt"))
     star = at.join(firsts, ["bucket", "salt"]).where("component <> of_first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = links.unionAll(confirm(star, "stars"))
     sure, other = _rest(stored(labelled(links), "labelled"), texts, words, percent)
     left = stored(sure.unionAll(_likely(other, sketches, percent / 100, margin)).distinct(), "left")
     links = links.unionAll(stored(_confirmed(left, texts, words, percent), "rest"))
     of_rep = components(links)
-    of_class = classes.join(of_rep, F.col("rep") == F.col("node"), "left").select(*key, F.coalesce("component", "rep").alias("component"), _salts_of("salts"))
+    of_class = classes.join(of_rep, F.col("rep") == F.col("node"), "left").select(*key, F.coalesce("component", "rep").alias("component"), each_part("salts").alias("salt"))
     alone = named.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"), "text_key")
     out = salted.join(of_class, [*key, "salt"]).select("doc_id", "n_shingles", "component", "text_key").unionAll(alone)
     return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"), "text_key")

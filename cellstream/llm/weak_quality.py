@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed
+from .common import grouped, mixed, powers, words_of
 
 LABELLERS = ("symbols", "plain_words", "separators", "letters", "repeats", "variety", "sentences", "word_length")
 #: Insults in English, German, Spanish and French: words that are no harmless ones in another of these.
@@ -37,9 +37,8 @@ GOOD, BAD, NONE = 1, 0, -1
 _WORD = re.compile(r"\w+")
 
 
-LETTER, MARK, END, SPACE = 1, 2, 4, 8
+LETTER, MARK, END = 1, 2, 4
 _tables: list[np.ndarray] = []
-_powers: dict[int, np.ndarray] = {}
 _lexicons: dict[frozenset[str], "Lexicon"] = {}
 
 
@@ -48,7 +47,6 @@ def _character_tables() -> tuple[np.ndarray, np.ndarray]:
     if not _tables:
         points = list(map(chr, range(0x110000)))
         kind = np.array([LETTER * c.isalpha() | MARK * (not c.isalnum() and c not in ".,;:!?'\"()-") | END * (c in ".!?:;") for c in points], np.uint8)
-        kind[[*map(ord, " \t\n\r\x0b\f")]] = SPACE
         shape = np.ones(0x110000, np.uint8)
         shape[:128] = np.arange(128)
         for low, high, stands in (("a", "z", 1), ("A", "Z", 2), ("0", "9", 3)):
@@ -57,13 +55,6 @@ def _character_tables() -> tuple[np.ndarray, np.ndarray]:
     return _tables[0], _tables[1]
 
 
-def _power(n: int, base: int) -> np.ndarray:
-    """The first n powers of a number, modulo 2 ** 64."""
-    if base not in _powers or len(_powers[base]) < n:
-        _powers[base] = np.concatenate(([np.uint64(1)], np.cumprod(np.full(max(n, 256), base, np.uint64))))
-    return _powers[base][:n]
-
-
 class Lexicon:
     """Words, and stems of longer words, found in texts by one automaton."""
 
@@ -98,19 +89,6 @@ def terms_of(word: str) -> list[str]:
     return [word + "$"] + [word[:k] for k in range(5, 9) if len(word) > k]
 
 
-def _grouped(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """Texts in groups of 256, or fewer if they are long: a group is measured at once."""
-    group, size = [], 0
-    for t in texts:
-        group.append(t)
-        size += len(t or "")
-        if len(group) == 256 or size > 1_000_000:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
 def measured(texts: list[str | None], bits: int, lexicon: Lexicon | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The labellers' votes of each text, the one on insults last (without a lexicon: none); and its hashed features, as text number, index and weight.
 
@@ -118,47 +96,35 @@ def measured(texts: list[str | None], bits: int, lexicon: Lexicon | None) -> tup
     no letter, by the square root, so that rare ones count.
     """
     kind_of, shape_of = _character_tables()
-    codes = np.frombuffer("\n".join([t or "" for t in texts] + [""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    kind = kind_of[codes]
-    word = kind != SPACE
-    begins = word.copy()
-    begins[1:] &= ~word[:-1]
-    first = np.flatnonzero(begins)
+    w = words_of(texts)
     votes = np.full((len(texts), len(LABELLERS) + 1), NONE)
-    if not len(first):
-        return votes, first, first, np.empty(0)
-    ends = np.flatnonzero(word[:-1] & ~word[1:]) + 1  # the last character is white space
-    chars = ends - first
-    total = lambda per_char: np.add.reduceat(per_char, first)
+    if not len(w.first):
+        return votes, w.first, w.first, np.empty(0)
+    kind = np.where(w.inside, kind_of[w.codes], 0)
+    chars, doc, own, total = w.length, w.doc, w.hash, w.total
     letters = total((kind & LETTER).astype(np.int64))
     marks = total((kind & MARK != 0).astype(np.int64)) > 0
-    stops = kind[ends - 1] & END != 0
+    stops = kind[w.first + chars - 1] & END != 0
 
-    text_ends = np.cumsum([len(t or "") + 1 for t in texts])
-    doc = np.searchsorted(text_ends, first, side="right")
     counted = lambda which, weights=None: np.bincount(which, weights, len(texts))
     n = counted(doc)
     size = np.maximum(n, 1)
     n_letters, n_chars, lone = counted(doc, letters), counted(doc, chars), counted(doc[letters == 0])
 
-    # Words and shapes by polynomials over their characters.
-    of_char = np.cumsum(begins) - 1
-    longest = int(chars.max(initial=0)) + 1
-    at = np.arange(len(codes)) - first[of_char]
-    own = total(np.where(word, codes.astype(np.uint64) * _power(longest, 0x9E3779B97F4A7C15)[np.clip(at, 0, longest - 1)], np.uint64(0)))
     again = counted(doc[1:][(own[1:] == own[:-1]) & (doc[1:] == doc[:-1])]) / size
     inner = doc[2:] == doc[:-2]
     triple = mixed(mixed(mixed(own[:-2].astype(np.uint64)) + own[1:-1].astype(np.uint64)) + own[2:].astype(np.uint64))
     # 48 bits of hash below the text's number.
     triple = np.sort(doc[2:][inner].astype(np.uint64) << np.uint64(48) | triple[inner] >> np.uint64(16))
     variety = counted((triple[np.diff(triple, prepend=~triple[:1]) != 0] >> np.uint64(48)).astype(np.int64)) / np.maximum(n - 2, 1)
-    stands = shape_of[codes]
-    runs = word & ~begins & (stands < 4)
-    runs[1:] &= stands[1:] == stands[:-1]
-    kept = np.flatnonzero(word & ~runs)
-    shape_first = np.searchsorted(kept, first)
-    place = np.arange(len(kept)) - shape_first[of_char[kept]]
-    parts = (stands[kept].astype(np.uint64) + np.uint64(1)) * _power(longest, 0xD6E8FEB86659FD93)[place]
+    stands = shape_of[w.codes]
+    runs = stands < 4
+    runs[1:] &= (stands[1:] == stands[:-1]) & w.inside[:-1]
+    runs[0] = False
+    kept = np.flatnonzero(w.inside & ~runs)
+    shape_first = np.searchsorted(kept, w.first)
+    place = np.arange(len(kept)) - shape_first[w.of_char[kept]]
+    parts = (stands[kept].astype(np.uint64) + np.uint64(1)) * powers(int(chars.max()), 0xD6E8FEB86659FD93)[place]
     shape = (mixed(np.add.reduceat(parts, shape_first)) >> np.uint64(64 - bits)).astype(np.int64)
 
     toxic = np.array([lexicon.count(t or "") if lexicon else 0 for t in texts])
@@ -270,13 +236,13 @@ def quality(docs: DataFrame, bits: int = 12, sample: int = 5_000, threshold: flo
     def patterns_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
         for part in parts:
-            for group in _grouped(part["text"].tolist()):
+            for group in map(part["text"].tolist().__getitem__, grouped(part["text"])):
                 seen.update(_names(measured(group, bits, None)[0][:, :-1]))
         yield pd.DataFrame(list(seen.items()), columns=["votes", "n"])
 
     def features(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for group in _grouped(part["text"].tolist()):
+            for group in map(part["text"].tolist().__getitem__, grouped(part["text"])):
                 votes, owner, at, weight = measured(group, bits, None)
                 order = np.argsort(owner, kind="stable")
                 ends = np.cumsum(np.bincount(owner, minlength=len(group)))[:-1]
@@ -286,7 +252,8 @@ def quality(docs: DataFrame, bits: int = 12, sample: int = 5_000, threshold: flo
         by_votes, w = model.value
         for part in parts:
             names, posteriors, scores = [], [], []
-            for group in _grouped(part.column("text").to_pylist()):
+            texts = part.column("text").to_pylist()
+            for group in map(texts.__getitem__, grouped(texts)):
                 votes, owner, at, weight = measured(group, bits, _lexicon(terms.value))
                 fit = (np.bincount(owner, minlength=len(group)) > 0) & (votes[:, -1] != BAD)
                 z = np.bincount(owner, w[at] * weight, len(group)) + w[-1]

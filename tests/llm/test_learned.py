@@ -1,5 +1,6 @@
 """Operators that learn or approximate: held-out accuracy, recall, and what they must leave alone; and odd rows."""
 
+import math
 import re
 from collections import Counter
 
@@ -201,10 +202,88 @@ def test_the_longer_a_line_the_fewer_recurrences_it_takes(spark, words, times):
     assert all(got[i] == text.split("\n")[:: 2 if i < 1000 else 1] for i, text, *_ in docs)
 
 
+def mix(x):
+    x %= 2**64
+    x ^= x >> 31
+    x = x * 0x9E3779B97F4A7C15 % 2**64
+    x ^= x >> 29
+    x = x * 0xD6E8FEB86659FD93 % 2**64
+    return x ^ x >> 32
+
+
+def series(values):
+    return sum(v * pow(0x9E3779B97F4A7C15, i, 2**64) for i, v in enumerate(values)) % 2**64
+
+
+def without_recurring_by_force(texts, depth=3, min_docs=8, min_tokens=3, constant=0.6):
+    """Texts by their keys, all in dictionaries and loops; only the sketches use the operator's hash, as they depend on it."""
+    lines, sketches = {}, {}
+    for key, text in texts.items():
+        by_line = []
+        for k, line in enumerate((text or "").split("\n")):
+            words = re.findall(r"[^\x20\x09-\x0d]+", line)
+            if words:
+                tokens = tuple("<*>" if re.search("[0-9]", w) else w for w in words)
+                h = [mix(series(map(ord, w))) for w in words]
+                triples = [mix(mix(mix(x + 1) + y) + z) for x, y, z in zip(h, h[1:], h[2:])] or [mix((3 + series(h)) % 2**64)]
+                by_line.append((k, tokens, (len(tokens), tokens[:depth]), triples))
+        for k, tokens, leaf, _ in by_line:
+            if len(tokens) >= min_tokens:
+                lines[key, k] = leaf, tokens
+                sketches[key, k] = tuple(sorted({x for *_, other, triples in by_line if other != leaf for x in triples})[:8])
+    need = lambda n: min(min_docs, math.ceil(min_docs - (min_docs - 2) * min(1, max(0, (n - 20) / 30))))
+    docs_of, support = {}, {}
+    for (key, _), (leaf, _) in lines.items():
+        docs_of.setdefault(leaf, set()).add(texts[key])
+    lines = {at: x for at, x in lines.items() if len(docs_of[x[0]]) >= need(x[0][0])}
+    for at, (leaf, tokens) in lines.items():
+        for i in range(depth, len(tokens)):
+            support.setdefault((leaf, i, tokens[i]), set()).add(sketches[at][0] if sketches[at] else leaf)
+    of_template = {}
+    for at, (leaf, tokens) in lines.items():
+        kept = tuple((i, w) for i, w in enumerate(tokens) if i >= depth and len(support[leaf, i, w]) >= need(len(tokens)))
+        if len(kept) + sum(w != "<*>" for w in tokens[:depth]) >= constant * len(tokens):
+            of_template.setdefault((leaf, kept), []).append(at)
+    dropped = {}
+    for (leaf, _), members in of_template.items():
+        own = {sketches[at] for at in members}
+        company = Counter(v for s in own for v in s or (0,))
+        different = sum(1 / sorted((company[v] for v in s or (0,)), reverse=True)[min(3, len(s or (0,))) - 1] for s in own)
+        if different > need(leaf[0]) - 0.5:
+            for key, k in members:
+                dropped.setdefault(key, set()).add(k)
+    left = {key: "\n".join(line for k, line in enumerate((text or "").split("\n")) if k not in dropped.get(key, ())) for key, text in texts.items()}
+    return {key: (texts[key], 0) if not left[key].strip() else (left[key] if texts[key] is not None else None, len(dropped.get(key, ()))) for key in texts}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_lines_against_brute_force(spark, seed):
+    r = np.random.RandomState(seed)
+    frames = [[str(r.choice(["open", "shut", "read", "from", "user", "site", "of"])) if r.rand() < 0.7 else None for _ in range(r.choice([3, 5, 9, 24, 55]))] for _ in range(12)]
+    texts = {}
+    for i in range(160):
+        lines = []
+        for _ in range(r.randint(1, 7)):
+            frame = frames[r.randint(len(frames))] if r.rand() < 0.6 else [None] * r.randint(0, 9)
+            lines.append("\t ".join(w or str(r.choice(["a", "b", "n1", "77", "x", f"w{i}", f"q{'abcdefgh'[i % 8]}"])) for w in frame))
+        texts[i] = "\n".join(lines)
+    for i in range(160, 200):  # copies, and near copies
+        texts[i] = texts[i % 7] if i % 2 else texts[i % 7] + f"\nown {'xyz'[i % 3]}"
+    texts |= {300: "", 301: None, 302: "\n \n", 303: "of of of\n" * 4000, 304: " \u00a0 é"}
+    rows = [(i, t, "en", "s", None, "x") for i, t in texts.items()] + [(3, texts[3], "en", "s", None, "x")]
+    got = line_templates.without_recurring_lines(spark.createDataFrame(rows, DOCS)).collect()
+    want = without_recurring_by_force(texts)
+    assert sum(n for _, n in want.values()) > 30
+    assert len(got) == len(rows) and {x["doc_id"]: (x["text"], x["n_dropped"]) for x in got} == want
+    assert all(x["n_lines"] == (0 if texts[x["doc_id"]] is None else texts[x["doc_id"]].count("\n") + 1) for x in got)
+
+
 def test_lines_of_odd_rows(spark):
-    got = line_templates.without_recurring_lines(odd(spark).withColumn("n_lines", F.lit("clash")))
-    assert sorted((str(r["doc_id"]), r["text"], r["n_dropped"]) for r in got.collect()) == sorted((str(i), t, 0) for i, t, *_ in ODD) if all(t is not None for _, t, *_ in ODD) else got.count() == len(ODD)
-    assert dict(got.dtypes)["n_lines"] == "bigint" and line_templates.without_recurring_lines(empty(spark)).count() == 0
+    clash = odd(spark).withColumns({c: F.concat(F.lit(c), F.col("n_chars").cast("string")) for c in ("n_lines", "key", "gone", "rest", "__key")})
+    got = line_templates.without_recurring_lines(clash)
+    assert sorted(map(str, [(r["doc_id"], r["text"], r["n_dropped"]) for r in got.collect()])) == sorted(map(str, [(i, t, 0) for i, t, *_ in ODD]))
+    assert dict(got.dtypes)["n_lines"] == "bigint" and got.where("key <> concat('key', n_chars) or __key <> concat('__key', n_chars)").count() == 0
+    assert line_templates.without_recurring_lines(empty(spark)).count() == 0
     same = spark.createDataFrame([(i, "the same only line here", "en", "s", 1, "x") for i in range(30)], DOCS)
     assert {r["text"] for r in line_templates.without_recurring_lines(same).collect()} == {"the same only line here"}
 
