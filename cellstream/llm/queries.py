@@ -9,12 +9,8 @@ from . import ann_graph, langid, line_templates, mixing, packing, secret_scan, s
 from .common import table
 
 
-#: Shares of the tokens by language that mixing aims at.
-WEIGHTS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
-
-
 #: Labelled documents that the domain classifier is fitted on at most, those of the smallest hashes of doc_id.
-LABELLED = 20_000
+LABELLED = 8_000
 
 
 def labelled_languages(spark: SparkSession, sf_dir: str, most: int = LABELLED) -> DataFrame:
@@ -23,6 +19,12 @@ def labelled_languages(spark: SparkSession, sf_dir: str, most: int = LABELLED) -
     return table(spark, sf_dir, "documents").join(F.broadcast(ids), "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
 
 
+def flattened(labelled: DataFrame, power: float = 0.5) -> dict[str, float]:
+    """Target weights for the domains of labelled rows: their shares of the rows, raised to a power, so that small ones gain."""
+    rows = labelled.where("text is not null and domain is not null").groupBy("domain").count().limit(mixing.DOMAINS + 1).collect()
+    return {str(r["domain"]): r["count"] ** power for r in rows}
+
+
 #: Labelled documents that words of toxic texts are learned from at most, likewise.
 LABELLED_TOXIC = 5_000
 
@@ -103,7 +105,8 @@ def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = mixing.mixed(docs, labelled_languages(spark, sf_dir), WEIGHTS)
+    labelled = labelled_languages(spark, sf_dir)
+    found = mixing.mixed(docs, labelled, flattened(labelled))
     return found.select("doc_id", "domain", "tokens", "rate", "copies")
 
 

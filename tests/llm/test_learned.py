@@ -307,6 +307,32 @@ def test_mixing_of_odd_rows(spark):
     assert mixing.mixed(empty(spark), labelled, {"en": 1.0}).count() == 0
 
 
+def test_domains_of_any_script_are_learned(spark):
+    r = np.random.RandomState(21)
+    words = {"ru": "и в не на что он как это по но из мы так же вот только ещё человек время".split(), "ja": "これは それは 本です 私の 学校に 行きました 東京で 食べる 見ました とても".split(), "el": "και το να είναι με που για από αυτό ότι".split()}
+    text = lambda d: ("" if d == "ja" else " ").join(r.choice(words[d], 30))
+    labelled = spark.createDataFrame([(text(d), d) for d in words for _ in range(20)], "text string, domain string")
+    docs = spark.createDataFrame([(i, text(d), d) for i, d in enumerate(list(words) * 40)], "doc_id long, text string, f0 string")
+    got, domains = mixing.posteriors(docs, labelled)
+    assert domains == ["el", "ja", "ru"] and set(got.columns) == {"doc_id", "text", "f0", "tokens", "p"}
+    assert np.mean([domains[int(np.argmax(x["p"]))] == x["f0"] for x in got.collect()]) > 0.95
+
+
+@pytest.mark.parametrize(("least", "targets"), [(0.0, [900.0, 300.0, 600.0]), (0.0, [900.0, 0.0, 600.0]), (1.0, [2000.0, 5.0, 900.0])])
+def test_rates_against_brute_force(spark, least, targets):
+    r = np.random.RandomState(22)
+    t, p = r.randint(1, 40, 60), r.dirichlet([0.4] * 3, 60)
+    members = spark.createDataFrame([(int(n), x.tolist()) for n, x in zip(t, p)], "tokens long, p array<double>")
+    steps = mixing.fit_rates(members, targets, least, rounds=12)
+    got = np.array([x[0] for x in mixing.rated(members, steps, least).select("rate").collect()])
+    mass = p * t[:, None]
+    rate = np.maximum(np.ones(60), least)
+    for _ in range(100_000):  # plain projected gradient
+        rate = np.maximum(least, rate + 0.9 / np.linalg.norm(mass, 2) ** 2 * (mass @ (targets - mass.T @ rate)))
+    cost = lambda x: float(((targets - mass.T @ x) ** 2).sum())
+    assert got.min() >= least and cost(got) ** 0.5 <= 1.02 * cost(rate) ** 0.5 + 0.02 * sum(targets)
+
+
 def test_neighbours_recall_and_ties(spark):
     r = np.random.RandomState(13)
     x = r.standard_normal((1500, 24)).astype(np.float32)
