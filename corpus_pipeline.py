@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellstream.llm import line_templates, mixing, packing, setsketch, weak_quality
 from cellstream.llm.common import stored, table
-from cellstream.llm.queries import WEIGHTS, labelled_languages, labelled_toxic
+from cellstream.llm.queries import flattened, labelled_languages, labelled_toxic
 
 
 def _shielded(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -50,8 +50,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rates say, once at least: languages come to their weights by repeating, so no document is lost. Null and empty texts have no tokens and stay once."""
     labelled = labelled_languages(spark, sf_dir)
+    weights = flattened(labelled)
     copies = F.explode(F.sequence(F.lit(1), F.greatest(F.col("copies"), F.lit(1))))
-    return _shielded(docs, lambda d: mixing.mixed(d, labelled, WEIGHTS, least=1.0).withColumn("__copy", copies))
+    return _shielded(docs, lambda d: mixing.mixed(d, labelled, weights, least=1.0).withColumn("__copy", copies))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
