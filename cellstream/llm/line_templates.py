@@ -62,8 +62,8 @@ class Lines:
         at = np.arange(len(of_word)) - self.first[of_line]
         return mixed(start + np.add.reduceat(of_word * powers(int(self.n.max()))[at], self.first))
 
-    def sketches(self) -> dict[int, tuple[np.ndarray, dict[int, np.ndarray]]]:
-        """By text: the SKETCH least hashes of its word triples, and for leaves that these are of, those outside of lines of that leaf."""
+    def sketches(self, leaves: dict[int, set[int]]) -> dict[int, dict[int, np.ndarray]]:
+        """By text of `leaves`, for each of its leaves there: the SKETCH least hashes of the text's word triples outside of lines of that leaf."""
         of_line = np.repeat(np.arange(len(self.n)), self.n)
         inner = of_line[2:] == of_line[:-2]
         triple = mixed(mixed(self.hash[:-2] + np.uint64(1)) + self.hash[1:-1])
@@ -71,18 +71,27 @@ class Lines:
         short = self.n < 3
         h = np.concatenate((triple, self.whole(self.hash, np.full(len(self.n), 3, np.uint64))[short]))
         at = np.concatenate((of_line[2:][inner], np.flatnonzero(short)))
-        doc, leaf = self.doc[at], self.leaf[at]
-        order = np.lexsort((leaf, h, doc))
-        h, leaf, doc = h[order], leaf[order], doc[order]
-        out = {}
-        found, starts = np.unique(doc, return_index=True)
-        for d, i, j in zip(found.tolist(), starts, np.append(starts[1:], len(doc))):
-            own, of = h[i:j], leaf[i:j]
-            without = {int(x): _least(own[of != x]) for x in np.unique(of[: _reach(own)])}
-            out[d] = _least(own), without
+        doc = self.doc[at]
+        # By text, then by hash, of which 48 bits are enough to sort by.
+        order = np.argsort(doc.astype(np.uint64) << np.uint64(48) | h >> np.uint64(16))
+        h, leaf = h[order], self.leaf[at][order]
+        ends = np.cumsum(np.bincount(doc, minlength=max(leaves, default=-1) + 1))
+        out: dict[int, dict[int, np.ndarray]] = {}
+        for d, wanted in leaves.items():
+            own, of = (x[ends[d - 1] if d else 0 : ends[d]] for x in (h, leaf))
+            out[d] = {x: _outside(own, of, x) for x in wanted}
         return out
 
 
+def _outside(own: np.ndarray, of: np.ndarray, leaf: int) -> np.ndarray:
+    """The SKETCH least distinct of ordered values that aren't of the leaf."""
+    for size in (64, len(own)):
+        found = _least(own[:size][of[:size] != np.uint64(leaf)])
+        if len(found) == SKETCH:
+            break
+    return found
+
+
 def _least(ordered: np.ndarray) -> np.ndarray:
     """The SKETCH least distinct values."""
     return np.unique(ordered[: _reach(ordered)])
@@ -131,15 +140,17 @@ def _crowded(docs: DataFrame, picked: DataFrame, depth: int, min_docs: int) -> D
                 x = Lines(texts[s], depth)
                 lines = x.whole(x.token, x.leaf)
                 row_of = {(d, k): i for i, (d, k) in enumerate(zip(x.doc.tolist(), x.line_no.tolist()))}
+                rows = {d: [row_of[d, k] for k in own] for d, own in enumerate(wanted[s])}
+                sketches = x.sketches({d: set(x.leaf[own].tolist()) for d, own in rows.items()})
+                least = needed(x.n, min_docs)
                 out = []
-                for d, (whole, without) in x.sketches().items():
-                    for k in wanted[s.start + d]:
-                        i = row_of[d, k]
+                for d, own in rows.items():
+                    for i in own:
                         tokens = x.token[x.first[i] : x.first[i] + x.n[i]]
-                        sketch = without.get(int(x.leaf[i]), whole).view(np.int64)
-                        leaf = int(x.leaf[i : i + 1].view(np.int64)[0])
-                        sig = int(sketch[0]) if len(sketch) else leaf
-                        out.append((keys[s.start + d], k, leaf, int(needed(x.n[i], min_docs)), int(lines[i : i + 1].view(np.int64)[0]), tokens.view(np.int64), int((tokens[:depth] != FIELD).sum()), sketch, sig))
+                        sketch = sketches[d][int(x.leaf[i])].view(np.int64)
+                        leaf, line = (int(v[i : i + 1].view(np.int64)[0]) for v in (x.leaf, lines))
+                        lead = int((tokens[:depth] != FIELD).sum())
+                        out.append((keys[s.start + d], int(x.line_no[i]), leaf, int(least[i]), line, tokens.view(np.int64), lead, sketch, int(sketch[0]) if len(sketch) else leaf))
                 yield pd.DataFrame(out, columns=["key", "line_no", "leaf", "needed", "line", "tokens", "lead", "sketch", "sig"])
 
     met = docs.select(_key().alias("key"), _text().alias("text")).join(picked, "key")
@@ -171,15 +182,23 @@ def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, cons
     picked = spread_join(lines.select("key", "line_no", "leaf"), by_leaf.select("leaf", "parts"), ["leaf"], "key").groupBy("key").agg(F.collect_set("line_no").alias("picked"))  # as many as the document has lines
     crowded = stored(_crowded(docs, picked, depth, min_docs), "crowded")
 
-    by_line = crowded.groupBy("leaf", "line", "sig").agg(F.first("needed").alias("needed"), F.first("tokens").alias("tokens"))
-    placed = by_line.select("leaf", "line", "sig", "needed", F.posexplode("tokens").alias("at", "token")).where(F.col("at") >= depth)
-    by_sig = placed.groupBy("leaf", "at", "token", "needed", "sig").agg(parts_of(salt("line")).alias("parts"))
-    support = by_sig.groupBy("leaf", "at", "token", "needed").agg(F.count("*").alias("support"), F.bit_or("parts").alias("parts"))
+    by_sig = stored(crowded.groupBy("leaf", "line", "sig").agg(F.max("needed").alias("needed"), parts_of(salt("key")).alias("parts")), "sigs")
+    of_line = by_sig.groupBy("leaf", "line").agg(F.count("*").alias("sigs"), F.bit_or("parts").alias("parts"))
+    one = crowded.groupBy("leaf", "line").agg(F.max_by(F.struct("tokens", "lead", "needed"), "key").alias("x"))
+    distinct = stored(one.join(of_line, ["leaf", "line"]).select("leaf", "line", "x.*", "sigs", "parts"), "distinct")
+    # A line that is in enough documents supports its tokens by itself; those of others are counted by document.
+    alone = F.col("sigs") >= F.col("needed")
+    token = F.posexplode("tokens").alias("at", "token")
+    by_itself = distinct.where(alone).select("leaf", "line", "needed", F.col("needed").alias("weight"), token)
+    few = distinct.where(~alone).select("leaf", "line", "tokens").join(by_sig.select("leaf", "line", "sig", "needed"), ["leaf", "line"])
+    by_token = few.select("leaf", "line", "needed", "sig", token).where(F.col("at") >= depth).groupBy("leaf", "at", "token", "needed", "sig").agg(parts_of(salt("line")).alias("parts"))
+    support = by_token.select("leaf", "at", "token", "needed", F.lit(1).alias("weight"), "parts")
+    support = support.unionByName(by_itself.where(F.col("at") >= depth).groupBy("leaf", "at", "token", "needed").agg(F.max("weight").alias("weight"), parts_of(salt("line")).alias("parts")))
+    support = support.groupBy("leaf", "at", "token", "needed").agg(F.sum("weight").alias("support"), F.bit_or("parts").alias("parts"))
     held = support.where(F.col("support") >= F.col("needed")).select("leaf", "at", "token", "parts")
     # Positions that aren't held are variable; the leading tokens are the leaf's.
-    distinct = crowded.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"), F.first("lead").alias("lead"), F.first("needed").alias("needed"), parts_of(salt("key")).alias("parts"))
-    of_line = distinct.select("leaf", "line", F.posexplode("tokens").alias("at", "token")).where(F.col("at") >= depth)
-    kept = spread_join(of_line, held, ["leaf", "at", "token"], "line").groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("kept"))  # as many as the line has tokens
+    placed = distinct.select("leaf", "line", token).where(F.col("at") >= depth)
+    kept = spread_join(placed, held, ["leaf", "at", "token"], "line").groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("kept"))  # as many as the line has tokens
     fixed = F.col("lead") + F.coalesce(F.size("kept"), F.lit(0))
     templates = distinct.join(kept, ["leaf", "line"], "left").where(fixed >= constant * F.size("tokens")).select("leaf", "line", "parts", F.xxhash64("leaf", "kept").alias("template"))
     own = stored(spread_join(crowded.select("leaf", "line", "key", "sketch", "line_no", "needed"), templates, ["leaf", "line"], "key").drop("leaf", "line"), "templates")
@@ -206,13 +225,12 @@ def without_recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 8,
     key, gone, rest = (free_name(c, plain.columns) for c in ("key", "gone", "rest"))
     dropped = _recurring(plain, depth, min_docs, min_tokens, constant).groupBy(F.col("key").alias(key)).agg(F.collect_set("line_no").alias(gone))  # as many as the document has lines
     met = plain.withColumn(key, _key()).join(dropped, key, "left")
-    parts = F.split(_text(), "\n")
-    left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col(gone), i.cast("long"))), "\n")
-    met = met.withColumn(rest, F.when(F.col(gone).isNotNull(), left))
-    empty = F.coalesce(F.col(rest).rlike(r"^\s*$"), F.lit(True))
-    n_lines = F.octet_length(_text()) - F.octet_length(F.translate(_text(), "\n", "")) + 1
+    left = F.array_join(F.filter(F.split(_text(), "\n"), lambda x, i: ~F.array_contains(F.col(gone), i.cast("long"))), "\n")
+    cleaned = F.get(F.transform(F.array(left), lambda x: F.when(x.rlike(r"\S"), x)), F.lit(0))
+    met = met.withColumn(rest, F.when(F.col(gone).isNotNull(), cleaned))
+    ends = lambda t: F.octet_length(t) - F.octet_length(F.translate(t, "\n", ""))
     return met.select(
-        *[F.when(empty, _text()).otherwise(F.col(rest)).alias("text") if c == "text" else F.col(f"`{c}`") for c in plain.columns],
-        F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
-        F.when(empty, F.lit(0)).otherwise(F.size(gone)).cast("long").alias("n_dropped"),
+        *[F.coalesce(F.col(rest), _text()).alias("text") if c == "text" else F.col(f"`{c}`") for c in plain.columns],
+        F.coalesce(ends(_text()) + 1, F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(ends(_text()) - ends(F.col(rest)), F.lit(0)).cast("long").alias("n_dropped"),
     )
