@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -12,6 +14,8 @@ def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir; only where that is unset, a folder of one's own (one machine, as in tests)."""
     named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="cellstream-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
@@ -19,4 +23,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for made in _recording:
+        made.append(path)
+    return path
+
+
+_recording: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths that new_path gives meanwhile, in order."""
+    made: list[str] = []
+    _recording.append(made)
+    try:
+        yield made
+    finally:
+        _recording.remove(made)
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes datasets that nothing reads any more."""
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellstream import scratch
 from cellstream.llm import line_templates, mixing, packing, setsketch, weak_quality
 from cellstream.llm.common import stored, table
 from cellstream.llm.queries import flattened, labelled_languages, labelled_toxic
@@ -64,9 +66,16 @@ STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows; what the other stages wrote is deleted once it is read."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with scratch.recorded() as made:
+            docs = stored(stage(spark, docs, sf_dir), name)
+        scratch.delete(spark, [*made[:-1], *before])
+        before = made[-1:]
+        # Shuffle files and checkpoints go when the frames that they belong to are collected.
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
