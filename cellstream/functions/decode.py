@@ -125,5 +125,7 @@ def decoded(v: Column, kind: str, default: object = None) -> Column:
 
 
 def or_raw(v: Column, kind: str) -> Column:
-    """For fields of bytes: what doesn't decode stays as it is; empty values are null."""
-    return F.when(F.octet_length(v) > 0, F.coalesce(decoded(v, kind).cast("binary"), v) if kind in ("VARBINARY", "BINARY") else v)
+    """For fields of bytes: the decoded value as bytes (integers big-endian, of its type's size), and what doesn't decode as it is; empty values are null."""
+    value = decoded(v, kind)
+    value = value if kind in ("VARBINARY", "BINARY") else F.unhex(F.right(F.lpad(F.hex(value.cast("bigint")), 16, "0"), F.lit(2 * min(8, WIDTHS[kind])))) if kind in SPARK else F.encode(value.cast("string"), "UTF-8")
+    return F.when(F.octet_length(v) > 0, F.coalesce(value, v))

@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import decode, rowkey
+from ..functions import decode, names, rowkey
 from ..spec import TableSpec
 
 CELL = "struct<row: binary, family: string, qualifier: string, ts: bigint, is_delete: boolean, value: binary>"
@@ -24,10 +24,15 @@ def flat(entries: DataFrame) -> DataFrame:
     return entries.select("wal_seq", "wal_write_time", "table", F.posexplode("cells").alias("cell_idx", "cell")).select("wal_seq", "wal_write_time", "table", "cell_idx", "cell.*")
 
 
+def run_starts() -> Column:
+    """Where the runs of column `cells`, which isn't empty, begin."""
+    return F.filter(F.sequence(F.lit(0), F.size("cells") - 1), lambda i: (i == 0) | ~F.get("cells", i)["row"].eqNullSafe(F.get("cells", i - 1)["row"]))
+
+
 def runs(entries: DataFrame) -> DataFrame:
     """One row per run of neighbouring cells of one row key: run_idx, row, run (the cells). Entries without cells give none."""
     some = entries.where(F.size("cells") > 0)
-    starts = F.filter(F.sequence(F.lit(0), F.size("cells") - 1), lambda i: (i == 0) | ~F.get("cells", i)["row"].eqNullSafe(F.get("cells", i - 1)["row"]))
+    starts = run_starts()
     cut = some.withColumn("starts", starts).select("*", F.posexplode("starts").alias("run_idx", "start"))
     end = F.coalesce(F.get("starts", F.col("run_idx") + 1), F.size("cells"))
     return cut.withColumn("run", F.slice("cells", F.col("start") + 1, end - F.col("start"))).select("wal_seq", "wal_write_time", "table", "run_idx", F.get("run", F.lit(0))["row"].alias("row"), "run")
@@ -50,8 +55,20 @@ def in_families(run: str | Column, families: Iterable[str]) -> Column:
 
 def last_value(run: str | Column, qualifier: str) -> Column:
     """The last value put into a column, in cell order, whatever the family; null and empty values don't count."""
-    fits = F.filter(run, lambda c: ~c["is_delete"] & (F.upper(F.trim(c["qualifier"])) == qualifier.strip().upper()) & (F.octet_length(c["value"]) > 0))
-    return F.try_element_at(fits, F.lit(-1))["value"]
+    return last_named(written(run), qualifier)
+
+
+def written(run: str | Column) -> Column:
+    """The cells of a run that put a value, as structs of the column's normal name and the value."""
+    puts = F.filter(run, lambda c: ~c["is_delete"] & (F.octet_length(c["value"]) > 0))
+    return F.transform(puts, lambda c: F.struct(names.column_name(c["qualifier"]).alias("name"), c["value"].alias("value")))
+
+
+def last_named(puts: str | Column, qualifier: str) -> Column:
+    """The last value of a column among written cells."""
+    name = qualifier.strip("".join(map(chr, range(33))))
+    name = name.upper() if any("a" <= c <= "z" for c in name) else name
+    return F.try_element_at(F.filter(puts, lambda c: c["name"] == name), F.lit(-1))["value"]
 
 
 def event_time(run: str | Column) -> Column:
@@ -71,8 +88,8 @@ def row_events(entries: DataFrame, spec: TableSpec, extra: dict[str, Column] | N
     """
     t = runs(entries).where(in_families("run", spec.families))
     keys = rowkey.split(F.col("row"), [(p, spec.of(p).source) for p in spec.pk], spec.salt, spec.sizes)
-    raw = {f.name: last_value("run", f.name) for f in spec.values()}
-    t = t.withColumns({f"__{k}": c for k, c in raw.items()} | {f"__pk_{k}": c for k, c in keys.items()})
+    raw = {f.name: last_named("__written", f.name) for f in spec.values()}
+    t = t.withColumn("__written", written("run")).withColumns({f"__{k}": c for k, c in raw.items()} | {f"__pk_{k}": c for k, c in keys.items()})
     faults = [F.when(F.col("row").isNull() | (F.octet_length("row") == 0), F.lit(f"{spec.name}: no row key"))]
     faults += [F.when(F.col(f"__pk_{p}").isNull(), F.lit(f"{spec.name}.{p}: not in the row key")) for p in spec.pk]
     faults += [decode.misfit(F.col(f"__{f.name}"), f.source, f"{spec.name}.{f.name}") for f in spec.values()]

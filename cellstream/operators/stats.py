@@ -7,15 +7,19 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .cells import in_families, runs
-
-
-def entry_summary(entries: DataFrame, families: Iterable[str] = ()) -> DataFrame:
-    """Per entry: rows seen, sent and filtered, cells seen, most cells of a sent row."""
-    sent = in_families("run", families)
-    return runs(entries).groupBy("wal_seq").agg(
-        F.count("*").alias("rows_seen"), F.count_if(sent).alias("rows_sent"), F.count_if(~sent).alias("rows_filtered"),
-        F.sum(F.size("run")).alias("cells_seen"), F.coalesce(F.max(F.when(sent, F.size("run"))), F.lit(0)).alias("max_cells_sent"),
+from .cells import in_families, run_starts, runs
+
+
+def entry_summary(entries: DataFrame, families: Iterable[str] = (), *more: str | Column) -> DataFrame:
+    """Per entry that has cells: wal_seq, more columns, rows seen, sent and filtered, cells seen, most cells of a sent row. An entry is one row, so nothing is shuffled."""
+    cut = entries.where(F.size("cells") > 0).withColumn("__starts", run_starts())
+    end = lambda i: F.coalesce(F.get("__starts", i + 1), F.size("cells"))
+    sizes = F.transform("__starts", lambda s, i: F.when(in_families(F.slice("cells", s + 1, end(i) - s), families), end(i) - s).otherwise(s - end(i)))
+    sized = cut.withColumn("__sizes", sizes)  # of filtered rows, the negative
+    return sized.select(
+        "wal_seq", *more, F.size("__sizes").cast("bigint").alias("rows_seen"), F.size(F.filter("__sizes", lambda n: n > 0)).cast("bigint").alias("rows_sent"),
+        F.size(F.filter("__sizes", lambda n: n < 0)).cast("bigint").alias("rows_filtered"), F.size("cells").cast("bigint").alias("cells_seen"),
+        F.greatest(F.array_max("__sizes"), F.lit(0)).alias("max_cells_sent"),
     )
 
 
@@ -33,7 +37,7 @@ def throughput(summary: DataFrame, at: str, seconds: int = 5) -> DataFrame:
 def diagnostics(entries: DataFrame, options: DataFrame, families: Iterable[str] = (), least_rows: int = 500) -> DataFrame:
     """Per table: short keys, the widest row, the filter's share, and flags; options: table, salt, hint (a row a table)."""
     sent = in_families("run", families)
-    t = runs(entries).join(F.broadcast(options), "table", "left")
+    t = runs(entries).join(options, "table", "left")
     t = t.groupBy("table").agg(
         F.count_if(F.octet_length("row") <= F.coalesce("salt", F.lit(0))).alias("short_keys"), F.max(F.when(sent, F.size("run"))).alias("widest"),
         F.count("*").alias("n_rows"), F.count_if(~sent).alias("filtered"), F.max("hint").alias("hint"),

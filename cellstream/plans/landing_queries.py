@@ -13,7 +13,7 @@ from ..operators import audit, landing, schemas, stats
 from ..scratch import new_path
 from ..sources import topics
 from ..streaming import jobs
-from .fixtures import CATALOG_SQL, CELLS_SQL, NOW, SPEC, TOPIC_SQL, catalogs, entries, landed, table, topic_rows
+from .fixtures import CATALOG_SQL, CELLS_SQL, FAMILIES, NOW, SPEC, TOPIC_SQL, catalogs, entries, landed, table, topic_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -355,7 +355,7 @@ def field_fill_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select 1 as files, count(*) as n_rows from events")
 def storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.storage(table(spark, sf_dir, "events")).select(F.lit(1).alias("files"), "n_rows")
+    return audit.storage(table(spark, sf_dir, "events")).select("files", "n_rows")
 
 
 @query("select event_id, ts, user_id, event_type, value, props from events where false")
@@ -448,14 +448,14 @@ def stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select(*K, "event_id", "copy")
 
 
-@query(f"""with {CELLS_SQL}, e as (select wal_seq, wal_write_time, count(*) as n from cells join written using (wal_seq) group by all),
+@query(f"""with {CELLS_SQL}, e as (select wal_seq, wal_write_time, count(*) as r, sum(n_cells) as n, count(*) filter (not sent) as f from rows join written using (wal_seq) group by all),
 w as (select *, time_bucket(interval 1 hour, make_timestamp(wal_write_time * 1000)) as s from e)
-select s as window_start, count(*) as entries, sum(n)::bigint as cells from w where s + interval 1 hour <= (select max(make_timestamp(wal_write_time * 1000)) - interval 1 minute from e) group by 1""")
+select s as window_start, count(*) as entries, sum(r)::bigint as n_rows, sum(n)::bigint as cells, sum(f)::bigint as filtered from w where s + interval 1 hour <= (select max(make_timestamp(wal_write_time * 1000)) - interval 1 minute from e) group by 1""")
 def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, log = new_path(spark, "windows"), new_path(spark, "log")
     entries(spark, sf_dir).repartitionByRange(3, "wal_seq").write.parquet(log)
-    _run(spark, lambda p, c: jobs.throughput(jobs.change_log(spark, log, files=100), p, c, 3600), out, f"{out}-checkpoint")
+    _run(spark, lambda p, c: jobs.throughput(jobs.change_log(spark, log, files=100), p, c, 3600, families=FAMILIES), out, f"{out}-checkpoint")
     t = spark.read.parquet(out)
     # the stream's windows are instants; without a zone they compare with SQL's
     at = times.from_millis(F.unix_millis("window_start"))
-    return t.select(at.alias("window_start"), "entries", "cells")
+    return t.select(at.alias("window_start"), "entries", "n_rows", "cells", "filtered")

@@ -116,8 +116,7 @@ select time_bucket(interval 5 second, make_timestamp(wal_write_time * 1000)) as
   sum(c)::bigint as cells, sum(c) / 5 as cells_per_s, sum(f)::bigint as filtered from s join written using (wal_seq) group by 1""")
 def throughput_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = entries(spark, sf_dir)
-    s = stats.entry_summary(e, FAMILIES).join(e.select("wal_seq", times.from_millis(F.col("wal_write_time")).alias("at")), "wal_seq")
-    return stats.throughput(s, "at")
+    return stats.throughput(stats.entry_summary(e, FAMILIES, times.from_millis(F.col("wal_write_time")).alias("at")), "at")
 
 
 @query(f"""with {CELLS_SQL} select 'ns:events' as "table", count(*) filter (length("user") <= 1) as short_keys, (max(n_cells) filter (sent))::int as widest, count(*) as n_rows, count(*) filter (not sent) as filtered,
@@ -256,9 +255,9 @@ def decode_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.col("event_id").alias("k"), decode.decoded(v, "BIGINT", -1).alias("v"))
 
 
-@query("select event_id as k, case when event_id % 5 <> 0 then lower(hex(encode(event_type))) end as v from events")
+@query("""select event_id as k, case when event_id % 5 = 1 then lower(printf('%08x', user_id)) when event_id % 5 <> 0 then lower(hex(encode(event_type || '--'))) end as v from events""")
 def raw_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = F.when(F.col("event_id") % 5 == 0, F.lit(b"")).otherwise(F.encode("event_type", "UTF-8"))
+    v = F.when(F.col("event_id") % 5 == 0, F.lit(b"")).when(F.col("event_id") % 5 == 1, encode.integer(F.col("user_id"), 4)).otherwise(F.encode(F.concat("event_type", F.lit("--")), "UTF-8"))
     return table(spark, sf_dir, "events").select(F.col("event_id").alias("k"), F.lower(F.hex(decode.or_raw(v, "INTEGER"))).alias("v"))
 
 

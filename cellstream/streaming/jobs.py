@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +42,8 @@ def serving(raw_rows: DataFrame, convert: Callable[[DataFrame], DataFrame], path
     return raw_rows.writeStream.foreachBatch(merge).option("checkpointLocation", f"{checkpoint}/offsets").trigger(availableNow=True).start()
 
 
-def throughput(entries: DataFrame, path: str, checkpoint: str, seconds: int = 5, late: str = "1 minute") -> StreamingQuery:
+def throughput(entries: DataFrame, path: str, checkpoint: str, seconds: int = 5, late: str = "1 minute", families: Iterable[str] = ()) -> StreamingQuery:
     """Counters by window; a window is written once its time and the delay for late entries are over."""
-    one = entries.where(F.size("cells") > 0).withColumn("at", F.timestamp_millis("wal_write_time")).withWatermark("at", late)
-    counted = one.select("at", F.size("cells").cast("bigint").alias("cells_seen"), F.lit(1).cast("bigint").alias("rows_seen"), F.lit(0).cast("bigint").alias("rows_filtered"))
+    timed = entries.withColumn("at", F.timestamp_millis("wal_write_time")).withWatermark("at", late)
+    counted = stats.entry_summary(timed, families, "at")
     return _started(stats.throughput(counted, "at", seconds), path, checkpoint)
