@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -48,3 +50,16 @@ def delete(spark: SparkSession, paths: list[str]) -> None:
     for p in paths:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_let_go_at = 0.0
+
+
+def let_go(spark: SparkSession, every: float = 5.0) -> None:
+    """Lets Spark delete the shuffle files and checkpoints of jobs that are done, which it does when the driver collects what owned them; once in so many seconds at most."""
+    global _let_go_at
+    if time.monotonic() - _let_go_at < every:
+        return
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    _let_go_at = time.monotonic()

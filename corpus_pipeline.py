@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,9 +72,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             docs = stored(stage(spark, docs, sf_dir), name)
         scratch.delete(spark, [*made[:-1], *before])
         before = made[-1:]
-        # Shuffle files and checkpoints go when the frames that they belong to are collected.
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+        scratch.let_go(spark, every=0)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
