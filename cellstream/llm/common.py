@@ -4,26 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..scratch import new_path, shared_dir
+from ..scratch import delete, let_go, new_path, shared_dir
+
+_path_of: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: cuts lineage, survives lost executors, and later reads take only the columns they need."""
     path = new_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    let_go(df.sparkSession)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    _path_of[back] = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that stored() gave, when nothing will read them again."""
+    for t in tables:
+        delete(t.sparkSession, [_path_of.pop(t)])
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint, for the small tables of loops; Spark deletes its files once nothing refers to them."""
+    """A reliable checkpoint, for the small tables of loops; with spark.cleaner.referenceTracking.cleanCheckpoints Spark deletes its files once nothing refers to them."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    let_go(df.sparkSession)
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

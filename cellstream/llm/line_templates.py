@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, grouped, mixed, parts_of, powers, salt, spread_join, stored, words_of
+from .common import discard, free_name, grouped, mixed, parts_of, powers, salt, spread_join, stored, words_of
 
 #: What stands for a variable field: the hash of no word.
 FIELD = np.uint64(0xF1E1D)
@@ -181,6 +181,7 @@ def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, cons
     by_leaf = by_doc.groupBy("leaf", "needed").agg(F.count("*").alias("docs"), F.bit_or("parts").alias("parts")).where(F.col("docs") >= F.col("needed"))
     picked = spread_join(lines.select("key", "line_no", "leaf"), by_leaf.select("leaf", "parts"), ["leaf"], "key").groupBy("key").agg(F.collect_set("line_no").alias("picked"))  # as many as the document has lines
     crowded = stored(_crowded(docs, picked, depth, min_docs), "crowded")
+    discard(lines)
 
     by_sig = stored(crowded.groupBy("leaf", "line", "sig").agg(F.max("needed").alias("needed"), parts_of(salt("key")).alias("parts")), "sigs")
     of_line = by_sig.groupBy("leaf", "line").agg(F.count("*").alias("sigs"), F.bit_or("parts").alias("parts"))
@@ -202,6 +203,7 @@ def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, cons
     fixed = F.col("lead") + F.coalesce(F.size("kept"), F.lit(0))
     templates = distinct.join(kept, ["leaf", "line"], "left").where(fixed >= constant * F.size("tokens")).select("leaf", "line", "parts", F.xxhash64("leaf", "kept").alias("template"))
     own = stored(spread_join(crowded.select("leaf", "line", "key", "sketch", "line_no", "needed"), templates, ["leaf", "line"], "key").drop("leaf", "line"), "templates")
+    discard(crowded, by_sig, distinct)
     found = _different(own).where(F.col("different") > F.col("needed") - 0.5).select("template")
     spread = own.groupBy("template").agg(parts_of(salt("key")).alias("parts")).join(found, "template")
     return spread_join(own, spread, ["template"], "key").select("key", "line_no")

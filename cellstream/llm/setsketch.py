@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, each_part, mixed, parts_of, salt, stored
+from .common import WordHashes, discard, each_part, mixed, parts_of, salt, stored
 from .components import components
 
 BASE, RATE, STEPS = 1.02, 20.0, 1022
@@ -163,8 +163,8 @@ def _against(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return _with_texts(pairs, texts).mapInPandas(run, "doc_id long, anchor long, n long, k long, diff array<long>")
 
 
-def _rest(at: DataFrame, texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of documents that share a bucket but no component and may be linked: sure to be confirmed next, and to be estimated first.
+def _rest(at: DataFrame, texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Pairs (a, b) of documents that share a bucket but no component and may be linked: sure to be confirmed next, and to be estimated first; and the tables that both read.
 
     In a crowd of variants of one text, those that are too far from it are held against nobody one
     by one. Each document gets an anchor: the smallest of the component that has the most members in
@@ -208,8 +208,9 @@ def _rest(at: DataFrame, texts: DataFrame, words: int, percent: int) -> tuple[Da
     )
     found = found.groupBy("doc_id_a", "doc_id_b", "n_a", "n_b", "k_a", "k_b").agg(F.count("*").alias("both")).where(enough(F.col("both") + F.least("k_a", "k_b")))
     met = stored(met, "met")
+    discard(left, anchors)
     sure = met.where("same").select("a", "b").unionAll(found.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))).distinct()
-    return sure, met.where("not same").select("a", "b")
+    return sure, met.where("not same").select("a", "b"), [met, held]
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, m: int = 294, rows: int = 7, margin: float = 0.15) -> DataFrame:
@@ -243,8 +244,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, m: int =
     texts = stored(plain.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
 
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        likely = stored(_likely(stored(pairs, f"{name}-met"), sketches, percent / 100, margin), f"{name}-likely")
-        return stored(_confirmed(likely, texts, words, percent).distinct(), name)
+        met = stored(pairs, f"{name}-met")
+        likely = stored(_likely(met, sketches, percent / 100, margin), f"{name}-likely")
+        found = stored(_confirmed(likely, texts, words, percent).distinct(), name)
+        discard(met, likely)
+        return found
 
     def labelled(found: DataFrame) -> DataFrame:
         parts = components(found)
@@ -254,11 +258,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, m: int =
     at = labelled(links)
     firsts = at.where("first = doc_id").select("bucket", F.col("component").alias("of_first"), each_part("salts").alias("salt"))
     star = at.join(firsts, ["bucket", "salt"]).where("component <> of_first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = links.unionAll(confirm(star, "stars"))
-    sure, other = _rest(stored(labelled(links), "labelled"), texts, words, percent)
+    stars = confirm(star, "stars")
+    again = stored(labelled(links.unionAll(stars)), "labelled")
+    discard(buckets)
+    sure, other, read = _rest(again, texts, words, percent)
     left = stored(sure.unionAll(_likely(other, sketches, percent / 100, margin)).distinct(), "left")
-    links = links.unionAll(stored(_confirmed(left, texts, words, percent), "rest"))
-    of_rep = components(links)
+    discard(again, *read)
+    rest = stored(_confirmed(left, texts, words, percent), "rest")
+    discard(left, texts)
+    of_rep = components(links.unionAll(stars).unionAll(rest))
+    discard(links, stars, rest)
     of_class = classes.join(of_rep, F.col("rep") == F.col("node"), "left").select(*key, F.coalesce("component", "rep").alias("component"), each_part("salts").alias("salt"))
     alone = named.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"), "text_key")
     out = salted.join(of_class, [*key, "salt"]).select("doc_id", "n_shingles", "component", "text_key").unionAll(alone)
