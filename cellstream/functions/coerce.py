@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+NUMBERS = {"long": "bigint", "int": "int", "double": "double", "float": "float"}
+
 
 def _result(value: Column, given: Column, path: str, what: str) -> tuple[Column, Column]:
     return value, F.when(given.isNotNull() & value.isNull(), F.concat(F.lit(f"{path}: not {what}: "), given.cast("string")))
@@ -51,7 +53,7 @@ def sorted_map(m: Column) -> Column:
 
 
 def record(v: Column, schema: dict[str, object], path: str = "") -> tuple[Column, Column]:
-    """A struct by a schema of kinds ("boolean", "long", "double", "string", ["array", kind], {...} for a record), and the first error.
+    """A struct by a schema of kinds (see coerced), and the first error.
 
     Elements and fields are reported with their path; what can't be coerced is null.
     """
@@ -64,15 +66,69 @@ def record(v: Column, schema: dict[str, object], path: str = "") -> tuple[Column
     return F.struct(*values), F.coalesce(*errors)
 
 
+def one_of(v: Column, kinds: list[object], path: str) -> tuple[Column, Column]:
+    """A value of a union: of one kind beside null the value itself, of more kinds (branch, value as text)."""
+    some = [k for k in kinds if k != "null"]
+    missing = F.lit(None).cast("string") if "null" in kinds else F.when(v.isNull(), F.lit(f"{path}: required"))
+    if len(some) == 1:
+        value, error = coerced(v, some[0], path)
+        return value, F.coalesce(missing, error)
+    branch, value, error = union(v, [str(k) for k in kinds], path)
+    return F.struct(branch.alias("branch"), value.alias("value")), error
+
+
+def each_value(m: Column, kind: object, path: str) -> tuple[Column, Column]:
+    """A map in order of its keys as text, its values coerced; a null map is an error, as are values that don't fit, by their key."""
+    entries = F.array_sort(F.transform(F.map_entries(m), lambda e: F.struct(e["key"].cast("string").alias("key"), e["value"].alias("value"))))
+    value = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"].alias("key"), coerced(e["value"], kind, path)[0].alias("value"))))
+    bad = F.filter(F.transform(entries, lambda e: F.when(coerced(e["value"], kind, path)[1].isNotNull(), e["key"])), lambda k: k.isNotNull())
+    wrong = F.when(F.size(bad) > 0, F.concat(F.lit(f"{path}."), F.get(bad, F.lit(0)), F.lit(f": not a {kind}")))
+    return value, F.when(m.isNull(), F.lit(f"{path}: required")).otherwise(wrong)
+
+
 def coerced(v: Column, kind: object, path: str) -> tuple[Column, Column]:
+    """A value by its kind, and what is wrong with it.
+
+    Kinds: "boolean", "int", "long", "float", "double", "string", "bytes"; {name: kind} for a record; ("array", kind),
+    ("map", kind), ("enum", *symbols), ("fixed", n), ("union", *kinds). Text that is a number is one.
+    """
     if isinstance(kind, dict):
         return record(v, kind, path)
-    if isinstance(kind, list):
-        value = F.transform(v, lambda x: coerced(x, kind[1], path)[0])
-        bad = F.filter(F.transform(v, lambda x, i: F.when(coerced(x, kind[1], path)[1].isNotNull(), i)), lambda i: i.isNotNull())
-        return value, F.when(F.size(bad) > 0, F.concat(F.lit(f"{path}["), F.get(bad, F.lit(0)).cast("string"), F.lit(f"]: not a {kind[1]}")))
+    if isinstance(kind, (list, tuple)):
+        what, *of = kind
+        if what == "map":
+            return each_value(v, of[0], path)
+        if what == "enum":
+            return enum(v.cast("string"), list(of), path)
+        if what == "fixed":
+            return fixed(v, of[0], path)
+        if what == "union":
+            return one_of(v, of, path)
+        value = F.transform(v, lambda x: coerced(x, of[0], path)[0])
+        bad = F.filter(F.transform(v, lambda x, i: F.when(coerced(x, of[0], path)[1].isNotNull(), i)), lambda i: i.isNotNull())
+        return value, F.when(F.size(bad) > 0, F.concat(F.lit(f"{path}["), F.get(bad, F.lit(0)).cast("string"), F.lit(f"]: not a {of[0]}")))
     if kind == "boolean":
         return boolean(v, path)
-    if kind == "string":
-        return v.cast("string"), F.lit(None).cast("string")
-    return _result(v.try_cast({"long": "bigint", "int": "int", "double": "double", "float": "float"}[str(kind)]), v, path, f"a {kind}")
+    if kind in ("string", "bytes"):
+        return v.cast("string" if kind == "string" else "binary"), F.lit(None).cast("string")
+    if kind not in NUMBERS:
+        raise ValueError(f"{path}: no such kind: {kind}")
+    return _result(v.try_cast(NUMBERS[str(kind)]), v, path, f"a {kind}")
+
+
+def kind_of(schema: object) -> object:
+    """The kind of a field's type in a schema file (parsed JSON); null beside one other type is left out."""
+    if isinstance(schema, str):
+        return schema
+    if isinstance(schema, list):
+        some = [kind_of(x) for x in schema if x != "null"]
+        return some[0] if len(some) == 1 and "null" in schema else ("union", *[kind_of(x) for x in schema])
+    of = schema["type"]
+    if of == "record":
+        return {f["name"]: kind_of(f["type"]) for f in schema["fields"]}
+    if of == "enum":
+        return ("enum", *schema["symbols"])
+    inner = {"array": "items", "map": "values", "fixed": "size"}.get(of) if isinstance(of, str) else None
+    if inner is None:
+        return kind_of(of)
+    return (of, schema[inner] if of == "fixed" else kind_of(schema[inner]))

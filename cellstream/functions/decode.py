@@ -34,7 +34,8 @@ def _integer(kind: str) -> Callable[[Column], Column]:
 
 
 def _text(v: Column) -> Column:
-    return F.when(F.octet_length(v) > 0, F.decode(v, "UTF-8"))
+    """Bytes that aren't UTF-8 become U+FFFD, so that one broken cell doesn't end a job."""
+    return F.when(F.octet_length(v) > 0, F.make_valid_utf8(v.cast("string")))
 
 
 @F.pandas_udf(T.FloatType())

@@ -12,8 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import decode, names, rowkey
-from ..spec import TableSpec
+from ..functions import coerce, decode, names, rowkey
+from ..spec import Field, TableSpec
 
 CELL = "struct<row: binary, family: string, qualifier: string, ts: bigint, is_delete: boolean, value: binary>"
 ENTRY = f"wal_seq bigint, wal_write_time bigint, table string, cells array<{CELL}>"
@@ -79,12 +79,32 @@ def is_deleted(run: str | Column) -> Column:
     return F.coalesce(F.exists(run, lambda c: c["is_delete"]), F.lit(False))
 
 
+#: Source types whose decoded values are of a kind as they are.
+_OF_KIND = {"string": {"VARCHAR", "CHAR"}, "long": {k for k, t in decode.SPARK.items() if t == "bigint"}, "int": {k for k, t in decode.SPARK.items() if t == "int"}, "boolean": {"BOOLEAN"}, "float": {"FLOAT"}, "double": {"DOUBLE"}}
+
+
+def typed(v: Column, field: Field, path: str) -> tuple[Column, Column]:
+    """A cell's value of the field's kind, and what is wrong with it.
+
+    Fields of bytes and fixed take what doesn't decode as it is; for other kinds a value of a wrong size, or that can't be
+    coerced, is null and an error.
+    """
+    if field.kind == "bytes" or (isinstance(field.kind, (list, tuple)) and field.kind[0] == "fixed"):
+        value = decode.or_raw(v, field.source)
+        return coerce.coerced(value if field.default is None else F.coalesce(value, F.lit(field.default)), field.kind, path)
+    value, wrong = decode.decoded(v, field.source, field.default), decode.misfit(v, field.source, path)
+    if isinstance(field.kind, str) and field.source in _OF_KIND.get(field.kind, ()):
+        return value, wrong
+    value, error = coerce.coerced(value, field.kind, path)
+    return value, F.coalesce(wrong, error)
+
+
 def row_events(entries: DataFrame, spec: TableSpec, extra: dict[str, Column] | None = None) -> DataFrame:
     """Typed row events by a table's spec, in schema order, and _error.
 
     Runs without a cell of the families are left out before anything is decoded; skipped and
     undeclared columns never are. _error holds the first fault: no row key, a key that doesn't give
-    all its parts, a value of a wrong size. extra: more columns over `row` and `run`.
+    all its parts, a value of a wrong size or not of its field's kind. extra: more columns over `row` and `run`.
     """
     t = runs(entries).where(in_families("run", spec.families))
     keys = rowkey.split(F.col("row"), [(p, spec.of(p).source) for p in spec.pk], spec.salt, spec.sizes)
@@ -92,12 +112,13 @@ def row_events(entries: DataFrame, spec: TableSpec, extra: dict[str, Column] | N
     t = t.withColumn("__written", written("run")).withColumns({f"__{k}": c for k, c in raw.items()} | {f"__pk_{k}": c for k, c in keys.items()})
     faults = [F.when(F.col("row").isNull() | (F.octet_length("row") == 0), F.lit(f"{spec.name}: no row key"))]
     faults += [F.when(F.col(f"__pk_{p}").isNull(), F.lit(f"{spec.name}.{p}: not in the row key")) for p in spec.pk]
-    faults += [decode.misfit(F.col(f"__{f.name}"), f.source, f"{spec.name}.{f.name}") for f in spec.values()]
+    values = {f.name: typed(F.col(f"__{f.name}"), f, f"{spec.name}.{f.name}") for f in spec.values()}
+    faults += [wrong for _, wrong in values.values()]
     meta = {
         "_event_ts": event_time("run"), "_delete": is_deleted("run"),
         "_wal_seq": F.coalesce("wal_seq", F.lit(-1).cast("bigint")), "_wal_write_time": F.coalesce("wal_write_time", F.lit(-1).cast("bigint")),
     }
-    named = {**{p: F.col(f"__pk_{p}") for p in spec.pk}, **{f.name: decode.decoded(F.col(f"__{f.name}"), f.source, f.default) for f in spec.values()}, **meta}
+    named = {**{p: F.col(f"__pk_{p}") for p in spec.pk}, **{n: v for n, (v, _) in values.items()}, **meta}
     columns = [named[f.name].alias(f.name) for f in spec.fields if f.name in named and (f.name in spec.pk or not f.skip)]
     more = [c.alias(n) for n, c in (extra or {}).items()]
     return t.select("wal_seq", "run_idx", *columns, *more, F.coalesce(*faults).alias("_error"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import coerce, envelope, names, times
 from ..operators import audit, landing, schemas, stats
 from ..scratch import new_path
-from ..sources import topics
+from ..sources import catalog, topics
 from ..streaming import jobs
 from .fixtures import CATALOG_SQL, CELLS_SQL, FAMILIES, NOW, SPEC, TOPIC_SQL, catalogs, entries, landed, table, topic_rows
 
@@ -170,6 +170,19 @@ def coerce_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.withColumn("c", v).select("k", F.col("c.id").alias("id"), F.col("c.flags.ok").alias("ok"), F.get("c.parts", F.lit(0)).alias("part"), e.alias("error"))
 
 
+@query(f"""with t as (select l_orderkey * 8 + l_linenumber as k, {_LOOSE_SQL} as v, l_returnflag as f, case when l_linenumber % 2 = 0 then 'abcd' else 'abc' end as code from lineitem)
+select k, case when v in ('1', '0') then v::bigint end as b, case when f in ('A', 'N') then f end as flag, case when code = 'abcd' then 4 end as n,
+case when v in ('1', '0') then 'long' else 'string' end as branch,
+case when v not in ('1', '0') then 'm.b: not a long' when f not in ('A', 'N') then 'flag: not a symbol: ' || f when code = 'abc' then 'code: 4 bytes expected, got 3' end as error from t""")
+def coerce_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map, an enum, fixed bytes and a union within a record."""
+    code = F.encode(F.when(F.col("k") % 8 % 2 == 0, "abcd").otherwise("abc"), "UTF-8")
+    of = F.struct(F.create_map(F.lit("b"), F.col("v"), F.lit("a"), F.lit("7")).alias("m"), F.col("l_returnflag").alias("flag"), code.alias("code"), F.col("v").alias("u"))
+    value, error = coerce.record(F.col("r"), {"m": ("map", "long"), "flag": ("enum", "A", "N"), "code": ("fixed", 4), "u": ("union", "null", "long", "string")})
+    t = _loose(spark, sf_dir).withColumn("r", of).select("k", value.alias("c"), error.alias("error"))
+    return t.select("k", F.col("c.m")["b"].alias("b"), F.col("c.flag").alias("flag"), F.octet_length("c.code").alias("n"), F.col("c.u.branch").alias("branch"), "error")
+
+
 _ODD = "case event_id % 4 when 0 then '..' || event_type || '__x' when 1 then event_type || '/' || user_id else event_type end"
 
 
@@ -384,7 +397,7 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, _ = catalogs(spark, sf_dir)
     given = F.min(F.when(F.col("pos") == 0, (F.col("name") == "view").cast("int"))) * 20 - 5
-    return old.groupBy("table").agg(F.least(F.lit(8), F.greatest(F.lit(0), given)).alias("salt"), F.count("*").alias("n"))
+    return old.groupBy("table").agg(catalog.clamped_salt(given).alias("salt"), F.count("*").alias("n"))
 
 
 # Streams: each gives the rows of its batch form

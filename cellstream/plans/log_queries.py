@@ -99,6 +99,28 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good
 
 
+_N = "case when l_linenumber = 3 then l_orderkey || 'x' else l_orderkey::varchar end"
+_OK = "['1', 'TRUE', ' false ', 'maybe'][l_orderkey % 4 + 1]"
+_RAW = "lpad(to_hex(l_linenumber::int), 8, '0')"
+
+
+@query(f"""select l_orderkey * 8 + l_linenumber as wal_seq, case when l_linenumber <> 3 then l_orderkey end as n, case l_orderkey % 4 when 0 then true when 1 then true when 2 then false end as ok,
+case when l_returnflag <> 'R' then l_returnflag end as flag, case when l_linenumber = 5 then '8000000501' else lower({_RAW}) end as raw,
+case when l_linenumber = 3 then 'ns:lines.n: not a long: ' || {_N} when l_orderkey % 4 = 3 then 'ns:lines.ok: not a boolean: maybe' when l_returnflag = 'R' then 'ns:lines.flag: not a symbol: R' end as error from lineitem""")
+def coerced_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row events whose values come to the kinds of their fields: a long, a boolean and an enum from text, bytes from what decodes and what doesn't."""
+    spec = TableSpec.builder("ns:lines").column("id").column("n", "long").column("ok", "boolean").column("flag", ("enum", "A", "N")).column("raw", "bytes", "INTEGER").key("id").build()
+    t = table(spark, sf_dir, "lineitem")
+    text = lambda c: F.encode(c, "UTF-8")
+    n = F.when(F.col("l_linenumber") == 3, F.concat(F.col("l_orderkey").cast("string"), F.lit("x"))).otherwise(F.col("l_orderkey").cast("string"))
+    ok = F.element_at(F.array(*map(F.lit, ("1", "TRUE", " false ", "maybe"))), (F.col("l_orderkey") % 4 + 1).cast("int"))
+    raw = encode.integer(F.col("l_linenumber").cast("bigint"), 4)
+    values = {"n": text(n), "ok": text(ok), "flag": text(F.col("l_returnflag")), "raw": F.when(F.col("l_linenumber") == 5, F.concat(raw, F.lit(b"\x01"))).otherwise(raw)}
+    cell = lambda q, v: F.struct(text(F.lit("k")).alias("row"), F.lit("d").alias("family"), F.lit(q).alias("qualifier"), F.lit(1).cast("bigint").alias("ts"), F.lit(False).alias("is_delete"), v.alias("value"))
+    e = t.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("wal_seq"), F.lit(0).cast("bigint").alias("wal_write_time"), F.lit("ns:lines").alias("table"), F.array(*[cell(q, v) for q, v in values.items()]).alias("cells"))
+    return cells.row_events(e, spec).select("wal_seq", "n", "ok", "flag", F.lower(F.hex("raw")).alias("raw"), F.col("_error").alias("error"))
+
+
 @query(f"""with {CELLS_SQL} select wal_seq, count(*) as rows_seen, count(*) filter (sent) as rows_sent, count(*) filter (not sent) as rows_filtered,
 sum(n_cells)::bigint as cells_seen, coalesce(max(n_cells) filter (sent), 0)::int as max_cells_sent from rows group by wal_seq""")
 def entry_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

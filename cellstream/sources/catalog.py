@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.coerce import kind_of
 from ..functions.names import clean_list, source_type
 from ..spec import Field, TableSpec
 
@@ -28,7 +31,7 @@ def catalog(spark: SparkSession, path: str, prefix: str = "x.") -> DataFrame:
     families = F.when(list_text.rlike(r"^\s*[\[{]") | list_text.isNull(), F.expr("cast(array() as array<string>)")).otherwise(clean_list(list_text))
     t = root.select(
         F.lower("r.name").alias("table"), pk.alias("pk"), families.alias("families"), F.posexplode("r.fields").alias("pos", "field"),
-        F.least(F.greatest(F.when(salt >= 0, salt), F.lit(0)), F.lit(8)).alias("salt"), F.when(hint > 0, hint).alias("hint"),
+        clamped_salt(salt).alias("salt"), F.when(hint > 0, hint).alias("hint"),
     )
     name = F.get_json_object("field", "$.name")
     kind = F.get_json_object("field", "$.type")
@@ -42,13 +45,22 @@ def catalog(spark: SparkSession, path: str, prefix: str = "x.") -> DataFrame:
     )
 
 
+def _kind(record_type: str) -> object:
+    return kind_of(json.loads(record_type)) if record_type[:1] in ("{", "[") else record_type
+
+
+def clamped_salt(given: Column) -> Column:
+    """Salt bytes of a key: 0 to 8, 0 where none or less is given."""
+    return F.least(F.greatest(F.when(given >= 0, given), F.lit(0)), F.lit(8))
+
+
 def spec(rows: DataFrame, table: str) -> TableSpec:
     """The TableSpec of one table of a catalog; a table that isn't there is an error."""
     found = rows.where(F.col("table") == table.lower()).orderBy("pos").collect()  # the fields of one table
     if not found:
         raise KeyError(f"no schema of table {table}")
     keys = sorted((r for r in found if r["pk_pos"]), key=lambda r: r["pk_pos"])
-    fields = tuple(Field(r["name"], r["record_type"], r["source_type"], r["skip"]) for r in found)
+    fields = tuple(Field(r["name"], _kind(r["record_type"]), r["source_type"], r["skip"]) for r in found)
     return TableSpec(table, fields, tuple(r["name"] for r in keys), found[0]["salt"], tuple(found[0]["families"]), found[0]["hint"])
 
 

@@ -11,7 +11,7 @@ class Field:
     """A record field: name, record type (see functions.coerce), source type (see functions.decode), whether it's skipped."""
 
     name: str
-    kind: str = "string"
+    kind: object = "string"
     source: str = "VARCHAR"
     skip: bool = False
     default: object = None
@@ -62,7 +62,7 @@ class SpecBuilder:
     def __init__(self, name: str):
         self._name, self._fields, self._more = name, [], {}
 
-    def column(self, name: str, kind: str = "string", source: str = "VARCHAR", **more: object) -> Self:
+    def column(self, name: str, kind: object = "string", source: str = "VARCHAR", **more: object) -> Self:
         self._fields.append(Field(name, kind, source, **more))
         return self
 
