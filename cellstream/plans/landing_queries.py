@@ -269,15 +269,21 @@ def compact_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {TOPIC_SQL} select event_id, copy from raw where __ingest_ts >= timestamp '2024-01-30 12:00:00' - interval 10 day")
 def ttl_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = landed(spark, sf_dir)
-    months, _ = landing.expired_months(t, 10, datetime.datetime(2024, 1, 30, 12))
-    return landing.live(t.where(~months), 10, F.expr(AS_OF), "__ingest_ts").select("event_id", "copy")
+    """The raw dataset after its retention job."""
+    path = new_path(spark, "ttl-raw")
+    landing.write_months(landed(spark, sf_dir), path, K)
+    landing.retire(spark, path, 10, datetime.datetime(2024, 1, 30, 12), ["__ingest_ts"], K, f"{path}-staging")
+    return spark.read.parquet(path).select("event_id", "copy")
 
 
 @query(f"with {TOPIC_SQL} select event_id, copy from raw where coalesce(case when event_id % 3 <> 0 then dt end, __kafka_ts) >= timestamp '2024-01-30 12:00:00' - interval 15 day")
 def ttl_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset in months of business time, else broker time, after its retention job."""
     t = landed(spark, sf_dir).withColumn("dt", F.when(F.col("event_id") % 3 != 0, F.col("dt")))
-    return landing.live(t, 15, F.expr(AS_OF), "dt", "__kafka_ts").select("event_id", "copy")
+    path = new_path(spark, "ttl-serving")
+    landing.write_months(t.withColumn("ym", times.month(F.col("dt"), F.col("__kafka_ts"))), path, K)
+    landing.retire(spark, path, 15, datetime.datetime(2024, 1, 30, 12), ["dt", "__kafka_ts"], K, f"{path}-staging")
+    return spark.read.parquet(path).select("event_id", "copy")
 
 
 @query("""select user_id as "user", last_id from (select user_id, max(event_id) as last_id, arg_max(event_type, event_id) as last_type from events group by 1) where last_type <> 'error'""")

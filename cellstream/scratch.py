@@ -45,11 +45,34 @@ def recorded() -> Iterator[list[str]]:
         _recording.remove(made)
 
 
+def _at(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path, of any scheme that Spark reads."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = _at(spark, path)
+    return files.exists(at)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of what lies under a path."""
+    files, at = _at(spark, path)
+    return files.getContentSummary(at).getLength()
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder."""
+    files, at = _at(spark, path)
+    return sorted(x.getPath().getName() for x in files.listStatus(at))
+
+
 def delete(spark: SparkSession, paths: list[str]) -> None:
     """Deletes datasets that nothing reads any more."""
     for p in paths:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        files, at = _at(spark, p)
+        files.delete(at, True)
 
 
 _let_go_at = 0.0

@@ -130,3 +130,17 @@ def test_spec_checks():
     with pytest.raises(ValueError):
         TableSpec.builder("t").column("id").key("other").build()
     assert TableSpec("t", SPEC.fields, ("id", "ID"), salt=99, families=("d", "D ", ""), hint=-1) == TableSpec("t", SPEC.fields, ("id",), 8, ("d",), None)
+
+
+def test_text_that_is_not_utf8_does_not_end_the_job(spark):
+    spec = TableSpec.builder("t").column("id").column("v").key("id").build()
+    r = one(spark, cell(b"k", "v", 1, b"a\xffb"), spec=spec)
+    assert (r["v"], r["_error"]) == ("a\ufffdb", None)
+
+
+def test_values_come_to_the_kinds_of_their_fields(spark):
+    spec = TableSpec.builder("t").column("id").column("n", "long").column("ok", "boolean").column("f", ("fixed", 2), "VARBINARY").column("b", "bytes", "INTEGER").key("id").build()
+    r = one(spark, cell(b"k", "n", 1, b"12"), cell(b"k", "ok", 1, b" TRUE "), cell(b"k", "f", 1, b"xy"), cell(b"k", "b", 1, b"12345"), spec=spec)
+    assert (r["n"], r["ok"], bytes(r["f"]), bytes(r["b"]), r["_error"]) == (12, True, b"xy", b"12345", None)
+    assert one(spark, cell(b"k", "n", 1, b"12x"), spec=spec)["_error"] == "t.n: not a long: 12x"
+    assert one(spark, cell(b"k", "f", 1, b"xyz"), spec=spec)["_error"] == "t.f: 2 bytes expected, got 3"

@@ -1,3 +1,5 @@
+import datetime
+import json
 import os
 
 import pytest
@@ -6,6 +8,8 @@ from pyspark.sql import functions as F
 from cellstream.functions import coerce, envelope, names
 from cellstream.operators import landing, schemas
 from cellstream.sources import catalog, topics
+from cellstream.spec import TableSpec
+from cellstream.template import TableJobs
 
 
 def column(spark, values, kind="string"):
@@ -99,3 +103,43 @@ def test_merge_twice_changes_nothing(spark, tmp_path):
     for part in (t, newer, t, newer):
         landing.merge_months(spark, part, path, ["k"], "ver", staging)
     assert sorted((r["k"], r["x"]) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "c")]
+
+
+def test_retention_drops_months_and_rewrites_one(spark, tmp_path):
+    path, day = str(tmp_path / "r"), datetime.datetime
+    rows = [(1, day(2023, 12, 5)), (2, day(2024, 1, 10)), (3, day(2024, 1, 20)), (4, day(2024, 2, 1)), (5, None)]
+    t = spark.createDataFrame(rows, "k int, at timestamp_ntz").withColumn("ym", (F.year("at") * 100 + F.month("at")).cast("int"))
+    landing.write_months(t, path, ["k"])
+    for as_of, left in ((day(2024, 1, 30), [3, 4, 5]), (day(2024, 1, 30), [3, 4, 5]), (day(2024, 2, 10), [4, 5]), (day(2024, 2, 25), [5])):
+        landing.retire(spark, path, 15, as_of, ["at"], ["k"], str(tmp_path / "g"))
+        assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == left
+
+
+def test_template_lands_retires_and_audits(spark, tmp_path):
+    day = datetime.datetime
+    topic = [(0, i, day(2024, 1, 1 + i)) for i in (0, 1, 3)] + [(0, 3, day(2024, 1, 4))]
+    rows = spark.createDataFrame(topic, "partition int, offset bigint, timestamp timestamp_ntz")
+    rows.write.parquet(str(tmp_path / "topic"))
+    jobs = TableJobs(TableSpec.builder("t").column("id").key("id").build(), str(tmp_path / "t"), {"id": F.col("offset").cast("string")}, raw_days=30, serving_days=10)
+    now = F.lit(day(2024, 1, 12)).cast("timestamp_ntz")
+    jobs.land_raw(topics.read(spark, str(tmp_path / "topic"), schema="partition int, offset bigint, timestamp timestamp_ntz", streaming=True), now).awaitTermination()
+    jobs.land_serving(spark, F.col("__ingest_ts")).awaitTermination()
+    a = jobs.audit(spark).first()
+    assert (a["max_offset"], a["missing_offsets"], a["duplicates"]) == (3, 1, 1)
+    jobs.retire(spark, day(2024, 1, 12, 12))
+    assert spark.read.parquet(jobs.path("raw")).count() == 4
+    assert [r["id"] for r in spark.read.parquet(jobs.path("serving")).collect()] == ["3"]
+
+
+def test_kinds_of_schema_files_and_their_errors(spark):
+    kind = coerce.kind_of(json.loads('''{"type": "record", "fields": [{"name": "m", "type": {"type": "map", "values": "long"}}, {"name": "e", "type": ["null", {"type": "enum", "symbols": ["A"]}]},
+        {"name": "f", "type": {"type": "fixed", "size": 2}}, {"name": "u", "type": ["null", "long", "string"]}]}'''))
+    assert kind == {"m": ("map", "long"), "e": ("enum", "A"), "f": ("fixed", 2), "u": ("union", "null", "long", "string")}
+    schema = "r struct<m: map<string, string>, e: string, f: binary, u: string>"
+    rows = [({"b": "1", "a": "2"}, "A", b"xy", "7"), ({"b": "x"}, "A", b"xy", "z"), (None, None, None, None), ({}, "B", b"xy", None), ({}, "A", b"x", None)]
+    value, error = coerce.record(F.col("r"), kind)
+    got = spark.createDataFrame([(r,) for r in rows], schema).select(value.alias("v"), error.alias("e")).collect()
+    assert [r["e"] for r in got] == [None, "m.b: not a long", "m: required", "e: not a symbol: B", "f: 2 bytes expected, got 1"]
+    assert list(got[0]["v"]["m"].items()) == [("a", 2), ("b", 1)] and tuple(got[0]["v"]["u"]) == ("long", "7") and tuple(got[1]["v"]["u"]) == ("string", "z")
+    with pytest.raises(ValueError, match="no such kind"):
+        coerce.coerced(F.lit(1), "complex", "f")
