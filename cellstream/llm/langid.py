@@ -76,30 +76,38 @@ def _fit(p: np.ndarray, n: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
     return w, float(n @ np.log(p @ w))
 
 
-def infer(found: tuple[np.ndarray, np.ndarray], table: np.ndarray, penalty: float, rounds: int, most: int) -> tuple[int, float, np.ndarray]:
-    """The first language, its proportion, and all proportions under the chosen set."""
+def infer(found: tuple[np.ndarray, np.ndarray], table: np.ndarray, penalty: float, rounds: int) -> tuple[int, float, np.ndarray]:
+    """The first language, its proportion, and all proportions under the chosen set.
+
+    Sets of the first 1, 2, ... languages by proportion are tried, up to where even the likelihood of all languages together
+    wouldn't make up for the penalty.
+    """
     p, n = table[found[0]].astype(np.float64), found[1].astype(np.float64)
     single = n @ np.log(p)
     best = np.zeros(table.shape[1])
     best[single.argmax()] = 1.0
     top = single.max()
     if len(best) > 1:
-        order = np.argsort(-_fit(p, n, rounds)[0], kind="stable")
-        for k in range(2, min(most, len(best)) + 1):
+        share, of_all = _fit(p, n, rounds)
+        order, each = np.argsort(-share, kind="stable"), penalty * math.log(n.sum() + 1)
+        for k in range(2, len(best) + 1):
+            if of_all - each * (k - 1) <= top:
+                break
             w, ll = _fit(p[:, order[:k]], n, rounds)
-            if (ll := ll - penalty * math.log(n.sum() + 1) * (k - 1)) > top:
+            if (ll := ll - each * (k - 1)) > top:
                 top, best = ll, np.zeros(len(best))
                 best[order[:k]] = w
     return int(best.argmax()), float(min(1.0, best.max())), best
 
 
-def languages(docs: DataFrame, train_rows: Column, bits: int = 16, penalty: float = 4.0, rounds: int = 12, most: int = 3) -> DataFrame:
+def languages(docs: DataFrame, train_rows: Column, bits: int = 16, penalty: float = 4.0, rounds: int = 12) -> DataFrame:
     """One row per row of docs: doc_id, lang_pred, score, proportions (map of languages to parts of 1).
 
     docs: doc_id, text, lang; train_rows: which rows may be learned from (those of non-null lang
     are). lang_pred is a learned value, or `und` where text is null or has no letter, or nothing was
     learned; score is the predicted language's proportion, 0 for `und`. penalty: log-likelihood that
-    a further language has to gain, for each log of the number of trigrams. Repeated rows get a row
+    a further language has to gain, for each log of the number of trigrams; a text may have any number of languages, and
+    is taken whole, however long. Repeated rows get a row
     each; a null doc_id stays null; other columns don't matter; an empty table gives no rows.
     """
     langs, table = train(docs.where(train_rows & F.col("lang").isNotNull()).select("text", "lang"), bits)
@@ -114,7 +122,7 @@ def languages(docs: DataFrame, train_rows: Column, bits: int = 16, penalty: floa
                 if found is None:
                     out.append((doc_id, "und", 0.0, {}))
                 else:
-                    i, score, w = infer(found, table, penalty, rounds, most)
+                    i, score, w = infer(found, table, penalty, rounds)
                     out.append((doc_id, langs[i], score, {langs[j]: float(w[j]) for j in np.flatnonzero(w)}))
             yield pd.DataFrame(out, columns=["doc_id", "lang_pred", "score", "proportions"])
 
