@@ -56,7 +56,7 @@ def blocks(d: int, size: int, threshold: float) -> list[tuple[int, int, float]]:
     return [(a, b, (2 - 2 * threshold) * (b - a) / d + SLACK) for a, b in zip(ends, ends[1:])]
 
 
-def _cells(classes: DataFrame, size: int, threshold: float) -> DataFrame:
+def _cells(classes: DataFrame, size: int, threshold: float, kind: str) -> DataFrame:
     """A row for each vector and block in its own cell (home), and in each cell it looks into."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -71,7 +71,7 @@ def _cells(classes: DataFrame, size: int, threshold: float) -> DataFrame:
                     for cell, looks, at in ((home, False, slice(None)), (low, True, slice(None)), (high, True, high > low)):
                         yield pd.DataFrame({"label": p["label"][at], "d": d, "block": b, "cell": cell[at], "looks": looks, "cid": p["cid"][at], "copies": p["copies"][at], "embedding": p["embedding"][at]})
 
-    return classes.mapInPandas(run, "label string, d int, block int, cell int, looks boolean, cid long, copies long, embedding array<float>")
+    return classes.mapInPandas(run, f"label string, d int, block int, cell int, looks boolean, cid long, copies long, embedding {kind}")
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -144,13 +144,15 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.93, block: i
     are one vector with a count from the start. Repeated rows get a row each and count as links of each
     other. Other columns don't matter; an empty table gives no rows.
     """
-    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<float>").alias("embedding"))
+    given = vectors.schema["embedding"].dataType.simpleString()
+    kind = "array<float>" if given == "array<float>" else "array<double>"
+    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast(kind).alias("embedding"))
     v = v.withColumn("ok", finite_vector("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
     hashed = v.withColumn("h1", F.xxhash64("embedding")).withColumn("h2", F.xxhash64(F.lit(1), F.reverse("embedding")))
     good = hashed.where("ok")
     key = ["label", "h1", "h2"]
     classes = stored(good.groupBy(*key).agg(F.min("vec_id").alias("cid"), F.count("*").alias("copies"), F.first("embedding").alias("embedding")), "vectors")
-    cells = stored(_cells(classes.select("cid", "label", "copies", "embedding"), block, threshold), "cells")
+    cells = stored(_cells(classes.select("cid", "label", "copies", "embedding"), block, threshold, kind), "cells")
     at = ["label", "d", "block", "cell"]
     sides = cells.groupBy(*at).agg(*[F.ceil(F.count_if(F.col("looks") == x) / tile).cast("int").alias(n) for x, n in ((False, "homes"), (True, "looks_n"))]).where("homes > 0 and looks_n > 0")
     dealt = cells.join(sides, at)

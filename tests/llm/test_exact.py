@@ -127,6 +127,15 @@ def test_vectors_against_all_pairs(spark):
     assert vector_neardup.near_duplicate_vectors(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_double_vectors_stay_double_and_the_threshold_counts(spark):
+    # Cosines with (1, 0): 0.93 and, by less than floats tell apart, under it; a column of a clashing name does no harm.
+    at, under = 0.93, 0.93 - 1e-12
+    on = [[1.0, 0.0], [at, math.sqrt(1 - at * at)], [under, -math.sqrt(1 - under * under)]]
+    t = spark.createDataFrame([(i, e, "a", "x") for i, e in enumerate(on)] + [(1, on[1], "a", "x")], "vec_id long, embedding array<double>, label string, n_links string")
+    got = sorted((r["vec_id"], r["n_links"]) for r in vector_neardup.near_duplicate_vectors(t, threshold=0.93 - 1e-15).collect())
+    assert got == [(0, 2), (1, 2), (1, 2), (2, 0)]
+
+
 # Tokens
 
 

@@ -49,6 +49,16 @@ def test_language_of_mixed_text(spark):
     assert got["lang_pred"] == "en" and set(got["proportions"]) == {"en", "fr"} and 0.5 < got["score"] < 0.85
 
 
+def test_a_text_may_have_more_than_three_languages():
+    rng = np.random.RandomState(5)
+    table = rng.dirichlet(np.full(400, 0.05), 6).T.astype(np.float32) + np.float32(1e-6)
+    for k in (1, 2, 4, 5):
+        n = np.round(4000 * table[:, :k].mean(1)).astype(int)
+        at = np.flatnonzero(n)
+        _, score, w = langid.infer((at, n[at]), table, penalty=4.0, rounds=12)
+        assert np.flatnonzero(w).tolist() == list(range(k)) and abs(score - 1 / k) < 0.1
+
+
 def test_languages_of_odd_rows(spark):
     got = langid.languages(corpus(spark).unionByName(odd(spark)), F.lit(True)).where("doc_id is null or doc_id < 6").collect()
     assert len([r for r in got if r["doc_id"] is None]) == 1
