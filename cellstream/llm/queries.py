@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_graph, langid, line_templates, mixing, packing, secret_scan, setsketch, token_count, vector_neardup, weak_quality
+from . import ann_graph, langid, line_templates, mixing, packing, periodic_runs, secret_scan, setsketch, token_count, vector_neardup, weak_quality
 from .common import table
 
 
@@ -36,7 +36,7 @@ def labelled_toxic(spark: SparkSession, sf_dir: str, most: int = LABELLED_TOXIC)
 
 
 def op9_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80).drop("text_key")
 
 
 OP9_SQL = r"""
@@ -114,5 +114,29 @@ def op5_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_quality.quality(table(spark, sf_dir, "documents"), toxic=labelled_toxic(spark, sf_dir)).select("doc_id", "votes", "posterior", "score", "kept")
 
 
-QUERIES = {"op5_weak_label_quality": op5_weak_label_quality, "op4_soft_mixing": op4_soft_mixing, "op3_line_templates": op3_line_templates, "op7_pruned_graph_search": op7_pruned_graph_search, "op10_entropy_secrets": op10_entropy_secrets, "op8_mixture_languages": op8_mixture_languages, "op6_harmonic_packing": op6_harmonic_packing, "op2_resynchronised_tokens": op2_resynchronised_tokens, "op1_subspace_near_vectors": op1_subspace_near_vectors, "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates}
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """documents with periodic ends in about a tenth of the texts: with h = crc32(doc_id), g = h // 10 and h % 10 = 0, each of the n words i >= a becomes word a + (i - a) % p, a = g % n, p = 1 + (n - a) // (3 + g % 8)."""
+    t = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h")).withColumn("g", F.floor(F.col("h") / 10))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    t = t.withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("w"))
+    t = t.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    t = t.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    of = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    periodic = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("w", of(i))), " ")
+    return t.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), periodic).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapsed(planted_periods(table(spark, sf_dir, "documents")), least=12, repeats=2)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    t = found.withColumn("best", longest)
+    start, length, period = -F.col("best.start"), F.col("best.length"), -F.col("best.period")
+    return t.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"), F.call_function("div", 1000 * length, period).alias("exponent_milli"),
+        F.sha2(F.encode(F.array_join(lines, ""), "UTF-8"), 256).alias("runs_sha256"), F.sha2(F.encode("text", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES = {"op5_weak_label_quality": op5_weak_label_quality, "op4_soft_mixing": op4_soft_mixing, "op3_line_templates": op3_line_templates, "op7_pruned_graph_search": op7_pruned_graph_search, "op10_entropy_secrets": op10_entropy_secrets, "op8_mixture_languages": op8_mixture_languages, "op6_harmonic_packing": op6_harmonic_packing, "op2_resynchronised_tokens": op2_resynchronised_tokens, "op1_subspace_near_vectors": op1_subspace_near_vectors, "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates, "op12_periodic_runs": op12_periodic_runs}
 ORACLE_SQL = {"op1_subspace_near_vectors": OP1_SQL, "op9_setsketch_near_duplicates": OP9_SQL}
