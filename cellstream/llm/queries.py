@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_graph, langid, line_templates, mixing, packing, periodic_runs, secret_scan, setsketch, token_count, vector_neardup, warc, weak_quality
+from . import ann_graph, collocations, langid, line_templates, mixing, packing, periodic_runs, secret_scan, setsketch, token_count, vector_neardup, warc, weak_quality
 from ..scratch import delete, new_path
 from .common import stored, table
 
@@ -147,5 +147,9 @@ def op11_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved(records).select(warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_of("refers_to").alias("refers_to"))
 
 
-QUERIES = {"op5_weak_label_quality": op5_weak_label_quality, "op4_soft_mixing": op4_soft_mixing, "op3_line_templates": op3_line_templates, "op7_pruned_graph_search": op7_pruned_graph_search, "op10_entropy_secrets": op10_entropy_secrets, "op8_mixture_languages": op8_mixture_languages, "op6_harmonic_packing": op6_harmonic_packing, "op2_resynchronised_tokens": op2_resynchronised_tokens, "op1_subspace_near_vectors": op1_subspace_near_vectors, "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates, "op12_periodic_runs": op12_periodic_runs, "op11_warc_chunks": op11_warc_chunks}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op5_weak_label_quality": op5_weak_label_quality, "op4_soft_mixing": op4_soft_mixing, "op3_line_templates": op3_line_templates, "op7_pruned_graph_search": op7_pruned_graph_search, "op10_entropy_secrets": op10_entropy_secrets, "op8_mixture_languages": op8_mixture_languages, "op6_harmonic_packing": op6_harmonic_packing, "op2_resynchronised_tokens": op2_resynchronised_tokens, "op1_subspace_near_vectors": op1_subspace_near_vectors, "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates, "op12_periodic_runs": op12_periodic_runs, "op11_warc_chunks": op11_warc_chunks, "op13_collocations": op13_collocations}
 ORACLE_SQL = {"op1_subspace_near_vectors": OP1_SQL, "op9_setsketch_near_duplicates": OP9_SQL}
