@@ -1,8 +1,8 @@
 """Collocations: phrases whose words occur together more often than their parts let expect, by weighted automata.
 
-A task cuts its texts into shards. A shard's n-grams of up to four words are sorted once, as windows
-of four, and give an acyclic automaton built in that order: its arcs are words, its paths phrases,
-and the weight of a state is the count of the phrase that leads there. Automata are split by prefix
+A task cuts its texts into shards. A shard's n-grams are sorted and give an acyclic automaton built
+in that order: its arcs are words, its paths phrases, and the weight of a state is the count of the
+phrase that leads there. Automata are split by prefix
 range, a hash range of a phrase's first three words, so that each phrase is in one range and a
 frequent word or pair of words is spread over many. Automata of one range are united, which sums the
 weights, so counts are whole there. The counts of parts come by composition: the automaton of the
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SALTS, discard, mixed, salt, stored
+from .common import SALTS, mixed, salt, stored
 
 DEPTH = 4
 BREAK = b"\xff"  # is in no UTF-8 text
@@ -35,10 +35,10 @@ def _summed(ids: np.ndarray, weights: np.ndarray, words: int) -> tuple[np.ndarra
     if not len(ids):
         return ids, weights
     bits = max(1, int(words).bit_length())
-    if DEPTH * bits <= 64:
-        key = np.zeros(len(ids), np.uint64)
-        for d in range(DEPTH):
-            key = (key << np.uint64(bits)) | ids[:, d].astype(np.uint64)
+    if ids.shape[1] * bits <= 63:
+        key = ids[:, 0].copy()
+        for d in range(1, ids.shape[1]):
+            key = (key << bits) | ids[:, d]
         order = np.argsort(key, kind="stable")  # what comes in sorted stretches is merged
         key = key[order]
         new = np.append(True, key[1:] != key[:-1])
@@ -62,19 +62,19 @@ class Automaton:
         """From different phrases in order, as rows of word numbers that zeros fill up. A state is closed when the next phrase leaves it."""
         arcs, states = [], 1
         above = np.zeros(len(ids), np.int64)  # the state that each phrase has come to
-        for d in range(DEPTH):
+        for d in range(depth := ids.shape[1]):
             longer = ids[:, d] > 0
             ids, weights, above = ids[longer], weights[longer], above[longer]
             new = np.append(True, (ids[1:, d] != ids[:-1, d]) | (above[1:] != above[:-1]))[: len(ids)]
             first = np.flatnonzero(new)
-            ends = ids[first, d + 1] == 0 if d + 1 < DEPTH else np.ones(len(first), bool)
+            ends = ids[first, d + 1] == 0 if d + 1 < depth else np.ones(len(first), bool)
             arcs.append((np.bincount(above[first], minlength=states), ids[first, d], np.where(ends, weights[first], 0)))
             above, states = np.cumsum(new) - 1, len(first)
         return cls(words, arcs)
 
     def phrases(self) -> tuple[np.ndarray, np.ndarray]:
         """Rows of word numbers and weights of all phrases, those of one length together."""
-        paths, found, weights = np.zeros((1, DEPTH), np.int64), [], []
+        paths, found, weights = np.zeros((1, len(self.arcs)), np.int64), [], []
         for d, (children, word, weight) in enumerate(self.arcs):
             paths = np.repeat(paths, children, axis=0)
             paths[:, d] = word
@@ -121,7 +121,7 @@ class Automaton:
         place[used] = np.arange(1, len(used) + 1)
         small = lambda x: x.astype(np.min_scalar_type(int(x.max(initial=0))))
         arcs = [(small(n), small(place[w]), small(x)) for n, w, x in self.arcs]
-        return zlib.compress(pickle.dumps((b" ".join(self.words[i - 1] for i in used.tolist()), arcs), 5), 1)
+        return zlib.compress(pickle.dumps((b" ".join([self.words[i] for i in (used - 1).tolist()]), arcs), 5), 1)
 
     @classmethod
     def loaded(cls, dumped: bytes) -> Automaton:
@@ -159,7 +159,7 @@ def _range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
     """The range of phrases by the hashes of their first three words, 0 for words that aren't there."""
     x = mixed(hashes[:, 0])
     for d in (1, 2):
-        x = mixed(x + hashes[:, d])
+        x = mixed(x + hashes[:, d]) if d < hashes.shape[1] else mixed(x)
     return (x % np.uint64(ranges)).astype(np.int64)
 
 
@@ -167,56 +167,95 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.array([0] + [xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
 
 
-def shard(texts: list[str], ranges: int) -> tuple[int, Iterator[tuple[int, bytes]]]:
-    """The number of words, and the shard's automata by range."""
-    joined = b"\n".join(t.encode().lower() for t in texts).translate(ENDS).replace(BREAK, b" " + BREAK + b" ").replace(b"\t", b" ")
-    tokens = [w for w in joined.split(b" ") if w]
-    code, unique = pd.factorize(np.array(tokens, object))
+class Filter:
+    """A Bloom filter of pairs of words, of 2 ** bits bits whatever the number of pairs: it may take a pair for one of its own, but never misses one."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.bits = words, int(len(words) * 64).bit_length() - 1
+
+    @staticmethod
+    def places(first: np.ndarray, second: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Two places for each pair of word hashes."""
+        x = mixed(mixed(first) + second)
+        y = mixed(x)
+        return (x >> np.uint64(64 - bits)), (y >> np.uint64(64 - bits))
+
+    def has(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        ok = np.ones(len(first), bool)
+        for at in self.places(first, second, self.bits):
+            ok &= (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return ok
+
+
+def _frequent_pairs(counts: DataFrame, bits: int) -> np.ndarray:
+    """The words of the filter of all phrases of two words, of whatever language; 2 ** bits / 8 bytes come to the driver at most."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            pairs = [x.encode().split(b" ") for x in p["phrase"]]
+            at = np.concatenate(Filter.places(_hashes([a for a, _ in pairs])[1:], _hashes([b for _, b in pairs])[1:], bits))
+            yield pd.DataFrame({"word": (at >> np.uint64(6)).astype(np.int64), "value": (np.uint64(1) << (at & np.uint64(63))).astype(np.int64)})
+
+    found = counts.where("words = 2").select("phrase").mapInPandas(run, "word long, value long").groupBy("word").agg(F.bit_or("value").alias("value")).toPandas()
+    out = np.zeros(1 << bits - 6, np.uint64)
+    out[found["word"].to_numpy(np.int64)] = found["value"].to_numpy(np.int64).astype(np.uint64)
+    return out
+
+
+def _tokens(texts: list[str]) -> tuple[np.ndarray, list[bytes]]:
+    """The words of texts as numbers from 1, 0 where a piece ends, and the words in order."""
+    joined = b"\n".join([t.encode() for t in texts]).lower().translate(ENDS).replace(BREAK, b" " + BREAK + b" ")
+    code, unique = pd.factorize(np.array(joined.split(), object))
     order = sorted((i for i in range(len(unique)) if unique[i] != BREAK), key=unique.__getitem__)
     number = np.zeros(len(unique), np.int64)
     number[order] = np.arange(1, len(order) + 1)
-    words = [unique[i] for i in order]
-    del tokens, joined
-    c = np.concatenate((number[code], np.zeros(DEPTH - 1, np.int64)))
-    ids = np.stack([c[d : len(c) - DEPTH + 1 + d] for d in range(DEPTH)], axis=1)
-    for d in range(1, DEPTH):
-        ids[ids[:, d - 1] == 0, d] = 0
-    ids = ids[ids[:, 0] > 0]
-    n = len(ids)
+    return number[code], [unique[i] for i in order]
+
+
+def shard(texts: list[str], ranges: int, pairs: Filter | None = None) -> tuple[int, Iterator[tuple[int, bytes]]]:
+    """The number of words, and automata by range: without pairs, of phrases of one and two words; with it, of three and four words whose neighbours are pairs of the filter."""
+    c, words = _tokens(texts)
+    base, hashes = len(words) + 1, _hashes(words)
+    n = int((c > 0).sum())
+    if pairs is None:
+        both = (c[:-1] > 0) & (c[1:] > 0)
+        key, weights = np.unique(np.concatenate((c[c > 0] * base, c[:-1][both] * base + c[1:][both])), return_counts=True)
+        phrases = np.stack((key // base, key % base), axis=1)
+    else:
+        near = np.flatnonzero((c[:-1] > 0) & (c[1:] > 0))
+        ok = np.zeros(len(c) + DEPTH, bool)  # whether a frequent pair begins here
+        ok[near[pairs.has(hashes[c[near]], hashes[c[near + 1]])]] = True
+        three = np.flatnonzero(ok[:-1] & ok[1:])
+        four = three[ok[three + 2]]
+        phrases = np.zeros((len(three) + len(four), DEPTH), np.int64)
+        for d in range(DEPTH):
+            phrases[len(three) :, d] = c[four + d]
+            if d < 3:
+                phrases[: len(three), d] = c[three + d]
+        phrases, weights = _summed(phrases, np.ones(len(phrases), np.int64), len(words))
 
     def parts() -> Iterator[tuple[int, bytes]]:
-        rows, counts = _summed(ids, np.ones(n, np.int64), len(words))
-        found, weights = [], []
-        for d in range(1, DEPTH + 1):  # a prefix stands for all windows that begin with it
-            first = np.flatnonzero(np.append(True, (rows[1:, :d] != rows[:-1, :d]).any(axis=1)))
-            total = np.add.reduceat(counts, first)
-            whole = rows[first, d - 1] > 0
-            prefix = rows[first[whole]].copy()
-            prefix[:, d:] = 0
-            found.append(prefix)
-            weights.append(total[whole])
-        phrases, weights = np.concatenate(found), np.concatenate(weights)
-        at = _range_of(_hashes(words)[phrases[:, : DEPTH - 1]], ranges)
+        at = _range_of(hashes[phrases[:, : DEPTH - 1]], ranges)
         order = np.argsort(at, kind="stable")
         ends = np.searchsorted(at[order], np.arange(ranges + 1))
-        for r in range(ranges):
-            if ends[r + 1] > ends[r]:
-                own = order[ends[r] : ends[r + 1]]
-                in_order, w = _summed(phrases[own], weights[own], len(words))
-                yield r, Automaton.built(in_order, w, words).dumped()
+        for r in np.flatnonzero(np.diff(ends)).tolist():
+            own = order[ends[r] : ends[r + 1]]
+            yield r, Automaton.built(phrases[own], weights[own], words).dumped()
 
-    return n, parts() if n else iter(())
+    return n, parts()
 
 
-def _shards(docs: DataFrame, ranges: int, size: int) -> DataFrame:
+def _shards(docs: DataFrame, ranges: int, size: int, pairs: np.ndarray | None) -> DataFrame:
     """lang, range, n (words of the shard, in one of its rows), automaton."""
+    sent = None if pairs is None else docs.sparkSession.sparkContext.broadcast(pairs)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep = sent and Filter(sent.value)
         held: dict[str, list[str]] = {}
         chars: dict[str, int] = {}
 
         def put(lang: str) -> Iterator[pd.DataFrame]:
-            n, automata = shard(held.pop(lang), ranges)
+            n, automata = shard(held.pop(lang), ranges, keep)
             chars.pop(lang)
             for r, automaton in automata:
                 yield pd.DataFrame({"lang": [lang], "range": [r], "n": [n], "automaton": [automaton]})
@@ -228,7 +267,7 @@ def _shards(docs: DataFrame, ranges: int, size: int) -> DataFrame:
                 chars[lang] = chars.get(lang, 0) + len(text)
                 if chars[lang] >= size:
                     yield from put(lang)
-                elif sum(chars.values()) >= 4 * size:
+                elif sum(chars.values()) >= 3 * size:
                     yield from put(max(chars, key=chars.__getitem__))
         for lang in list(held):
             yield from put(lang)
@@ -236,25 +275,34 @@ def _shards(docs: DataFrame, ranges: int, size: int) -> DataFrame:
     return docs.mapInPandas(run, "lang string, range long, n long, automaton binary")
 
 
-def frequent(docs: DataFrame, least: int = 30, ranges: int | None = None, size: int = 6_000_000) -> DataFrame:
-    """lang, phrase, words (1 to 4), f of all phrases that occur `least` times or more; with words = 0, phrase null and f the number of all words, a row per lang.
-
-    ranges: prefix ranges of a language, by default one for 8 MB of text and no fewer than shuffle partitions; size: characters of a shard.
-    """
-    t = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text")).where("octet_length(text) > 0")
-    if ranges is None:
-        total = t.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // (8 << 20))
-
+def _united(shards: DataFrame, least: int) -> DataFrame:
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         whole = Automaton.united([Automaton.loaded(x) for x in group["automaton"]])
         ids, f = whole.phrases()
         ids, f = ids[f >= least], f[f >= least]
-        out = pd.DataFrame({"lang": key[0], "phrase": whole.spelled(ids), "words": (ids > 0).sum(axis=1), "f": f})
         n = int(group["n"].sum())
-        return pd.concat([out, pd.DataFrame({"lang": [key[0]], "phrase": [None], "words": [0], "f": [n]})]) if n else out
+        total = ([None], [0], [n]) if n else ([], [], [])
+        phrase, words, f = (own + more for own, more in zip((whole.spelled(ids), (ids > 0).sum(axis=1).tolist(), f.tolist()), total))
+        return pd.DataFrame({"lang": pd.Series([key[0]] * len(f), dtype=object), "phrase": pd.Series(phrase, dtype=object), "words": words, "f": f})
+
+    return shards.groupBy("lang", "range").applyInPandas(run, "lang string, phrase string, words int, f long")
 
-    return _shards(t, ranges, size).groupBy("lang", "range").applyInPandas(run, "lang string, phrase string, words int, f long")
+
+def frequent(docs: DataFrame, least: int = 30, ranges: int | None = None, size: int = 8_000_000, bits: int = 26) -> DataFrame:
+    """lang, phrase, words (1 to 4), f of all phrases that occur `least` times or more; with words = 0, phrase null and f the number of all words, a row per lang.
+
+    First come phrases of one and two words, then those of three and four of whose pairs of neighbours none is known to be rarer:
+    a phrase is no more frequent than any pair in it. What's known is a filter of 2 ** bits bits at any size of the input; the
+    fuller it is, the more phrases are counted in vain. ranges: prefix ranges of a language, by default one for 16 MB of text and
+    no fewer than shuffle partitions; size: characters of a shard.
+    """
+    t = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text")).where("octet_length(text) > 0")
+    if ranges is None:
+        total = t.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // (16 << 20))
+    short = stored(_united(_shards(t, ranges, size, None), least), "short-phrases")
+    long = stored(_united(_shards(t, ranges, size, _frequent_pairs(short, bits)), least).where("words > 0"), "long-phrases")
+    return short.unionByName(long)
 
 
 def _counted_parts(asked: DataFrame, counts: DataFrame, ranges: int) -> DataFrame:
@@ -297,7 +345,7 @@ def _wide(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(28, 0)")
 
 
-def collocations(docs: DataFrame, least: int = 30, top: int = 2000, covered: int = 80, ranges: int | None = None, size: int = 6_000_000) -> DataFrame:
+def collocations(docs: DataFrame, least: int = 30, top: int = 2000, covered: int = 80, ranges: int | None = None, size: int = 8_000_000) -> DataFrame:
     """The first `top` collocations of each language: lang, rank, phrase, a, l, r, n, score.
 
     A candidate is a phrase of 2 to 4 words within a piece of text (pieces end at . , ; : ! ? and line ends, words at blanks and
@@ -308,7 +356,7 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, covered: int
     A null lang is `und`, null and empty texts have no words, repeated rows count each, other columns don't matter, an empty table
     gives no rows. All texts are counted; a task holds four shards at most, or one text, a group one prefix range.
     """
-    counts = stored(frequent(docs, least, ranges, size), "phrases")
+    counts = frequent(docs, least, ranges, size)
     candidates = counts.where("words >= 2").select("lang", "phrase", "words", F.col("f").alias("a"), F.split("phrase", " ").alias("w"))
     cut = F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("cut")
     both = candidates.select("lang", "phrase", "w", "words", cut)
