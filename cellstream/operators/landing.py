@@ -1,14 +1,12 @@
-"""Landing: topic rows to raw and serving datasets, duplicates, retention, compaction."""
+"""Landing: topic rows to raw and serving rows, duplicates, merging by month. Datasets are those of months.py."""
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import scratch
 from ..functions import times
+from . import months
 
 
 def to_raw(topic_rows: DataFrame, fields: dict[str, Column], now: Column) -> DataFrame:
@@ -40,70 +38,17 @@ def once(df: DataFrame, position: tuple[str, ...] = ("__kafka_partition", "__kaf
     return df.dropDuplicates(list(position))
 
 
-def live(df: DataFrame, days: int, as_of: Column, *by: str) -> DataFrame:
-    """Rows whose first time that isn't null is at most `days` old."""
-    return df.where(F.coalesce(*[F.col(c) for c in by]) >= as_of - F.expr(f"interval {days} days"))
-
-
-#: Bytes of staged rows that one part of a month is made from.
-PART = 128 << 20
-
-
-def write_months(df: DataFrame, path: str, sort: list[str], mode: str = "append", parts: int | None = None) -> None:
-    """Sorted parts in month partitions; "overwrite" replaces just the months that df holds.
-
-    parts: of each month. Without it adaptive execution sizes them: crowded months are split, small parts joined.
-    """
-    spread = df.hint("rebalance", "ym") if parts is None else df.repartition(F.col("ym"), F.pmod(F.xxhash64(*sort), F.lit(parts)))
-    spread.sortWithinPartitions("ym", *sort).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(path)
-
-
-def _replace_months(spark: SparkSession, staging: str, df: DataFrame, path: str, sort: list[str]) -> None:
-    """Replaces the months that df holds, which are staged first, as a dataset can't be overwritten while it's read.
-
-    The staged rows are whole before anything is replaced, so a job that dies meanwhile is run again from its input.
-    """
-    df.write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema(df.schema).parquet(staging)
-    write_months(staged, path, sort, "overwrite", 1 + scratch.size(spark, staging) // PART)
-    scratch.delete(spark, [staging])
-
-
-def merge_months(spark: SparkSession, new: DataFrame, path: str, key: list[str], version: str, staging: str) -> None:
-    """Merges rows into a serving dataset, keeping the latest version of each key in each month.
+def merge_months(spark: SparkSession, new: DataFrame, path: str, key: list[str], version: str, batch: tuple[str, int] | None = None) -> None:
+    """Merges rows into a serving dataset (see months), keeping the latest version of each key in each month.
 
     Only the months of `new` are read and replaced. Running it twice with the same rows changes nothing.
     """
-    merged = latest(new, ["ym", *key], version)
-    if scratch.exists(spark, path):
-        touched = F.broadcast(new.select("ym").distinct())  # months, a few
-        merged = latest(spark.read.parquet(path).select(*new.columns).join(touched, "ym", "left_semi").unionByName(new), ["ym", *key], version)
-    _replace_months(spark, staging, merged, path, key)
-
+    months.merge(spark, new, path, key, lambda rows: latest(rows, ["ym", *key], version), batch)
 
-def retire(spark: SparkSession, path: str, days: int, as_of: datetime.datetime, by: list[str], sort: list[str], staging: str) -> None:
-    """Takes expired rows out of a dataset in month partitions: months that hold nothing else are deleted unread, the boundary month is rewritten.
 
-    A row expires when its first time of `by` that isn't null, which its month is of, is more than `days` old. Rows without
-    a month stay. Running it again changes nothing.
-    """
-    cut = as_of - datetime.timedelta(days=days)
-    boundary = cut.year * 100 + cut.month
-    months = [n for n in scratch.names(spark, path) if n.startswith("ym=") and n[3:].isdigit()]
-    scratch.delete(spark, [f"{path}/{n}" for n in months if int(n[3:]) < boundary])
-    if f"ym={boundary}" not in months:
-        return
-    month = spark.read.parquet(path).where(F.col("ym") == boundary)
-    left = live(month, days, F.lit(as_of).cast("timestamp_ntz"), *by)
-    if left.isEmpty():
-        scratch.delete(spark, [f"{path}/ym={boundary}"])
-    else:
-        _replace_months(spark, staging, left, path, sort)
-
-
-def compact(spark: SparkSession, path: str, month: int, key: list[str], version: str, staging: str) -> None:
-    """Removes duplicates of one month."""
-    merge_months(spark, spark.read.parquet(path).where(F.col("ym") == month), path, key, version, staging)
+def compact(spark: SparkSession, path: str, month: int, key: list[str], version: str) -> None:
+    """Removes duplicates of one month, whose parts become one."""
+    months.compact(spark, path, month, key, lambda rows: latest(rows, ["ym", *key], version))
 
 
 def current_state(events: DataFrame, key: list[str], version: str = "_event_ts") -> DataFrame:

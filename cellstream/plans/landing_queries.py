@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import coerce, envelope, names, times
-from ..operators import audit, landing, schemas, stats
+from ..operators import audit, landing, months, schemas, stats
 from ..scratch import new_path
 from ..sources import catalog, topics
 from ..streaming import jobs
@@ -229,8 +229,8 @@ def topic_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {TOPIC_SQL} select event_id, copy, __kafka_partition, __kafka_offset, __ingest_ts, (year(__ingest_ts) * 100 + month(__ingest_ts))::int as ym from raw")
 def raw_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "raw")
-    landing.write_months(landed(spark, sf_dir), path, K)
-    return spark.read.parquet(path).select("event_id", "copy", *K, "__ingest_ts", "ym")
+    months.append(spark, landed(spark, sf_dir), path, K)
+    return months.read(spark, path).select("event_id", "copy", *K, "__ingest_ts", "ym")
 
 
 @query(f"with {TOPIC_SQL} select event_id, max(copy)::int as copy, __kafka_partition, __kafka_offset, (year(dt) * 100 + month(dt))::int as ym from raw group by all")
@@ -238,8 +238,8 @@ def serving_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = landing.to_serving(landed(spark, sf_dir), "dt", F.col("copy"))
     path = new_path(spark, "serving")
     for part in (t.where("event_id % 2 = 0"), t.where("event_id % 2 = 1"), t.where("event_id % 10 = 0")):
-        landing.merge_months(spark, part, path, K, "ver", f"{path}-staging")
-    return spark.read.parquet(path).select("event_id", "copy", *K, "ym")
+        landing.merge_months(spark, part, path, K, "ver")
+    return months.read(spark, path).select("event_id", "copy", *K, "ym")
 
 
 @query(f"with {TOPIC_SQL} select event_id, copy, case when event_id % 2 = 1 then event_type end as event_type from raw")
@@ -261,19 +261,19 @@ def dedupe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {TOPIC_SQL} select ym, count(*) as n from (select distinct (year(__ingest_ts) * 100 + month(__ingest_ts))::int as ym, __kafka_partition, __kafka_offset from raw) group by 1")
 def compact_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "compact")
-    landing.write_months(landed(spark, sf_dir), path, K)
+    months.append(spark, landed(spark, sf_dir), path, K)
     for month in (202401, 202402):
-        landing.compact(spark, path, month, K, "copy", f"{path}-staging")
-    return spark.read.parquet(path).groupBy("ym").agg(F.count("*").alias("n"))
+        landing.compact(spark, path, month, K, "copy")
+    return months.read(spark, path).groupBy("ym").agg(F.count("*").alias("n"))
 
 
 @query(f"with {TOPIC_SQL} select event_id, copy from raw where __ingest_ts >= timestamp '2024-01-30 12:00:00' - interval 10 day")
 def ttl_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw dataset after its retention job."""
     path = new_path(spark, "ttl-raw")
-    landing.write_months(landed(spark, sf_dir), path, K)
-    landing.retire(spark, path, 10, datetime.datetime(2024, 1, 30, 12), ["__ingest_ts"], K, f"{path}-staging")
-    return spark.read.parquet(path).select("event_id", "copy")
+    months.append(spark, landed(spark, sf_dir), path, K)
+    months.retire(spark, path, 10, datetime.datetime(2024, 1, 30, 12), ["__ingest_ts"], K)
+    return months.read(spark, path).select("event_id", "copy")
 
 
 @query(f"with {TOPIC_SQL} select event_id, copy from raw where coalesce(case when event_id % 3 <> 0 then dt end, __kafka_ts) >= timestamp '2024-01-30 12:00:00' - interval 15 day")
@@ -281,9 +281,9 @@ def ttl_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dataset in months of business time, else broker time, after its retention job."""
     t = landed(spark, sf_dir).withColumn("dt", F.when(F.col("event_id") % 3 != 0, F.col("dt")))
     path = new_path(spark, "ttl-serving")
-    landing.write_months(t.withColumn("ym", times.month(F.col("dt"), F.col("__kafka_ts"))), path, K)
-    landing.retire(spark, path, 15, datetime.datetime(2024, 1, 30, 12), ["dt", "__kafka_ts"], K, f"{path}-staging")
-    return spark.read.parquet(path).select("event_id", "copy")
+    months.append(spark, t.withColumn("ym", times.month(F.col("dt"), F.col("__kafka_ts"))), path, K)
+    months.retire(spark, path, 15, datetime.datetime(2024, 1, 30, 12), ["dt", "__kafka_ts"], K)
+    return months.read(spark, path).select("event_id", "copy")
 
 
 @query("""select user_id as "user", last_id from (select user_id, max(event_id) as last_id, arg_max(event_type, event_id) as last_type from events group by 1) where last_type <> 'error'""")
@@ -372,9 +372,14 @@ def field_fill_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.filled_quantile(stats.filled(_wide(spark, sf_dir), list(_WIDE)), 0.95)
 
 
-@query("select 1 as files, count(*) as n_rows from events")
+@query(f"""with {TOPIC_SQL} select (year(__ingest_ts) * 100 + month(__ingest_ts))::int as ym, count(distinct event_id % 3) as parts, true as files_ok, true as bytes_ok, count(*) as n_rows from raw group by 1""")
 def storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.storage(table(spark, sf_dir, "events")).select("files", "n_rows")
+    """Parts, files, bytes and rows of the months of a dataset that three jobs wrote to; SQL knows no files, so of these the query tells whether there are enough."""
+    path = new_path(spark, "storage")
+    for third in range(3):
+        months.append(spark, landed(spark, sf_dir).where(F.col("event_id") % 3 == third), path, K)
+    t = months.report(spark, path)
+    return t.select("ym", "parts", (F.col("files") >= F.col("parts")).alias("files_ok"), (F.col("bytes") >= F.col("n_rows")).alias("bytes_ok"), "n_rows")
 
 
 @query("select event_id, ts, user_id, event_type, value, props from events where false")
@@ -455,8 +460,8 @@ def _to_raw(t: DataFrame) -> DataFrame:
 @query(f"with {TOPIC_SQL} select event_id, copy, __kafka_partition, __kafka_offset, __kafka_ts, 202402 as ym from raw")
 def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, path = new_path(spark, "raw"), _written_topic(spark, sf_dir)
-    _run(spark, lambda p, c: jobs.raw(topics.read(spark, path, streaming=True, schema=_TOPIC_ROW), _to_raw, p, c), out, f"{out}-checkpoint")
-    return spark.read.parquet(out).select("event_id", "copy", *K, "__kafka_ts", "ym")
+    _run(spark, lambda p, c: jobs.raw(topics.read(spark, path, streaming=True, schema=_TOPIC_ROW), _to_raw, p, c, K), out, f"{out}-checkpoint")
+    return months.read(spark, out).select("event_id", "copy", *K, "__kafka_ts", "ym")
 
 
 @query(f"with {TOPIC_SQL} select __kafka_partition, __kafka_offset, any_value(event_id) as event_id, max(copy)::int as copy from raw group by 1, 2")
@@ -464,7 +469,44 @@ def stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, path = new_path(spark, "serving"), _written_topic(spark, sf_dir)
     convert = lambda t: landing.to_serving(_to_raw(t), "dt", F.col("copy"))
     _run(spark, lambda p, c: jobs.serving(topics.read(spark, path, streaming=True, schema=_TOPIC_ROW), convert, p, c, K, "ver"), out, f"{out}-checkpoint")
-    return spark.read.parquet(out).select(*K, "event_id", "copy")
+    return months.read(spark, out).select(*K, "event_id", "copy")
+
+
+@query(f"""with {TOPIC_SQL}, late as (select event_id, copy, dt, __ingest_ts, __kafka_partition, __kafka_offset from raw where __ingest_ts >= timestamp '2024-01-30 12:00:00' - interval 10 day or event_id % 3 = 0)
+select __kafka_partition, (year(__ingest_ts) * 100 + month(__ingest_ts))::int as ym, count(*) as n_rows, count(distinct __kafka_offset) as n_offsets, sum(event_id)::bigint as ids from late group by all""")
+def stream_retire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two thirds of a topic streamed to the raw dataset, retention across a month's boundary, the rest streamed on the same checkpoint, audited by partition and month."""
+    topic, out = new_path(spark, "topic"), new_path(spark, "raw")
+    rows = topic_rows(spark, sf_dir)
+
+    def convert(t: DataFrame) -> DataFrame:
+        raw = _to_raw(t).withColumn("__ingest_ts", F.col("dt") + F.expr("interval 2 minutes"))
+        return raw.withColumn("ym", times.month(F.col("__ingest_ts")))
+
+    for rest in (False, True):
+        rows.where((F.col("event_id") % 3 == 0) == rest).repartition(2, "event_id").write.mode("append").parquet(topic)
+        _run(spark, lambda p, c: jobs.raw(topics.read(spark, topic, streaming=True, schema=_TOPIC_ROW), convert, p, c, K), out, f"{out}-checkpoint")
+        if not rest:
+            months.retire(spark, out, 10, datetime.datetime(2024, 1, 30, 12), ["__ingest_ts"], K)
+    t = months.read(spark, out)
+    return t.groupBy("__kafka_partition", "ym").agg(F.count("*").alias("n_rows"), F.count_distinct("__kafka_offset").alias("n_offsets"), F.sum("event_id").alias("ids"))
+
+
+@query(f"with {TOPIC_SQL} select __kafka_partition, __kafka_offset, any_value(event_id) as event_id from raw where copy = 0 group by 1, 2")
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic with repeated offsets, streamed in two runs of one checkpoint; half of the first run's rows are replayed in the second."""
+    topic, out = new_path(spark, "topic"), new_path(spark, "once")
+    rows = topic_rows(spark, sf_dir)
+    for half in (0, 1):
+        again = (F.col("event_id") % 2 == half) | (F.col("event_id") % 4 == 0) & F.lit(half == 1)
+        rows.where(again).repartition(2, "event_id").write.mode("append").parquet(topic)
+
+        def start(p: str, c: str) -> object:
+            t = _to_raw(topics.read(spark, topic, streaming=True, schema=_TOPIC_ROW))
+            return jobs.deduplicated(t.withColumn("__kafka_ts", F.col("__kafka_ts").cast("timestamp")), p, c, delay="90 days")
+
+        _run(spark, start, out, f"{out}-checkpoint")
+    return spark.read.parquet(out).select(*K, "event_id")
 
 
 @query(f"""with {CELLS_SQL}, e as (select wal_seq, wal_write_time, count(*) as r, sum(n_cells) as n, count(*) filter (not sent) as f from rows join written using (wal_seq) group by all),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import landing, stats
+from ..operators import landing, months, stats
 from ..operators.cells import ENTRY, row_events
 from ..spec import TableSpec
 
@@ -28,18 +28,23 @@ def change_events(entries: DataFrame, spec: TableSpec, path: str, checkpoint: st
     return _started(row_events(entries, spec), path, checkpoint)
 
 
-def raw(topic_rows: DataFrame, convert: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
-    """Topic rows to the raw dataset, by month."""
-    return _started(convert(topic_rows), path, checkpoint, ["ym"])
+def _by_batch(rows: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], object]) -> StreamingQuery:
+    return rows.writeStream.foreachBatch(lambda batch, number: each(batch, number) and None).option("checkpointLocation", f"{checkpoint}/offsets").trigger(availableNow=True).start()
 
 
-def serving(raw_rows: DataFrame, convert: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, key: list[str], version: str) -> StreamingQuery:
-    """Raw rows merged into the serving dataset; a replayed micro-batch changes nothing."""
+def raw(topic_rows: DataFrame, convert: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, sort: list[str], name: str = "raw") -> StreamingQuery:
+    """Topic rows to the raw dataset (see months), a part each micro-batch; one that is run again adds nothing. name: of the stream, one for each checkpoint that writes to the dataset."""
+    return _by_batch(topic_rows, checkpoint, lambda batch, number: months.append(batch.sparkSession, convert(batch), path, sort, (name, number)))
 
-    def merge(batch: DataFrame, number: int) -> None:
-        landing.merge_months(batch.sparkSession, convert(batch), path, key, version, f"{checkpoint}/staging")
 
-    return raw_rows.writeStream.foreachBatch(merge).option("checkpointLocation", f"{checkpoint}/offsets").trigger(availableNow=True).start()
+def serving(raw_rows: DataFrame, convert: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, key: list[str], version: str, name: str = "serving") -> StreamingQuery:
+    """Raw rows merged into the serving dataset; a micro-batch that is run again changes nothing."""
+    return _by_batch(raw_rows, checkpoint, lambda batch, number: landing.merge_months(batch.sparkSession, convert(batch), path, key, version, (name, number)))
+
+
+def deduplicated(raw_rows: DataFrame, path: str, checkpoint: str, position: tuple[str, ...] = ("__kafka_partition", "__kafka_offset"), delay: str = "1 day") -> StreamingQuery:
+    """Raw rows without replayed positions, within the watermark's delay on __kafka_ts; what was seen is kept in the checkpoint's state, from one run to the next."""
+    return _started(landing.once(raw_rows, position, delay), path, checkpoint)
 
 
 def throughput(entries: DataFrame, path: str, checkpoint: str, seconds: int = 5, late: str = "1 minute", families: Iterable[str] = ()) -> StreamingQuery:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .operators import audit, landing
+from .operators import audit, landing, months
 from .spec import TableSpec
 from .streaming import jobs
 
@@ -40,20 +40,18 @@ class TableJobs:
 
     def land_raw(self, topic_rows: DataFrame, now: Column) -> StreamingQuery:
         """A stream of topic rows to the raw dataset."""
-        return jobs.raw(topic_rows, lambda t: landing.to_raw(t, self.fields, now), self.path("raw"), self.path("_offsets/raw"))
+        return jobs.raw(topic_rows, lambda t: landing.to_raw(t, self.fields, now), self.path("raw"), self.path("_offsets/raw"), POSITION)
 
     def land_serving(self, spark: SparkSession, version: Column) -> StreamingQuery:
-        """New files of the raw dataset merged into the serving dataset, one row for each position."""
-        raw = spark.read.parquet(self.path("raw"))
-        stream = spark.readStream.schema(raw.schema).parquet(self.path("raw"))
-        return jobs.serving(stream, lambda t: landing.to_serving(t, self.business_time, version), self.path("serving"), self.path("_offsets/serving"), POSITION, "ver")
+        """New batches of the raw dataset merged into the serving dataset, one row for each position."""
+        return jobs.serving(months.stream(spark, self.path("raw")), lambda t: landing.to_serving(t, self.business_time, version), self.path("serving"), self.path("_offsets/serving"), POSITION, "ver")
 
     def retire(self, spark: SparkSession, as_of: datetime.datetime) -> None:
-        """Retention of both datasets; not to be run beside a merge of the same months."""
+        """Retention of both datasets; readers may go on meanwhile, other writers not."""
         times = [self.business_time] if self.business_time else []
-        landing.retire(spark, self.path("raw"), self.raw_days, as_of, ["__ingest_ts"], POSITION, self.path("_staging/raw"))
-        landing.retire(spark, self.path("serving"), self.serving_days, as_of, [*times, "__kafka_ts"], POSITION, self.path("_staging/serving"))
+        months.retire(spark, self.path("raw"), self.raw_days, as_of, ["__ingest_ts"], POSITION)
+        months.retire(spark, self.path("serving"), self.serving_days, as_of, [*times, "__kafka_ts"], POSITION)
 
     def audit(self, spark: SparkSession) -> DataFrame:
         """Offsets of the raw dataset, by partition."""
-        return audit.offset_audit(spark.read.parquet(self.path("raw")))
+        return audit.offset_audit(months.read(spark, self.path("raw")))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellstream.functions import coerce, envelope, names
-from cellstream.operators import landing, schemas
+from cellstream.operators import landing, months, schemas
 from cellstream.sources import catalog, topics
 from cellstream.spec import TableSpec
 from cellstream.template import TableJobs
@@ -99,20 +99,20 @@ def test_latest_is_the_same_in_any_order(spark):
 def test_merge_twice_changes_nothing(spark, tmp_path):
     t = spark.createDataFrame([(202401, 1, 1, "a"), (202402, 2, 1, "b")], "ym int, k int, ver int, x string")
     newer = spark.createDataFrame([(202402, 2, 2, "c")], "ym int, k int, ver int, x string")
-    path, staging = str(tmp_path / "s"), str(tmp_path / "g")
+    path = str(tmp_path / "s")
     for part in (t, newer, t, newer):
-        landing.merge_months(spark, part, path, ["k"], "ver", staging)
-    assert sorted((r["k"], r["x"]) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "c")]
+        landing.merge_months(spark, part, path, ["k"], "ver")
+    assert sorted((r["k"], r["x"]) for r in months.read(spark, path).collect()) == [(1, "a"), (2, "c")]
 
 
 def test_retention_drops_months_and_rewrites_one(spark, tmp_path):
     path, day = str(tmp_path / "r"), datetime.datetime
     rows = [(1, day(2023, 12, 5)), (2, day(2024, 1, 10)), (3, day(2024, 1, 20)), (4, day(2024, 2, 1)), (5, None)]
     t = spark.createDataFrame(rows, "k int, at timestamp_ntz").withColumn("ym", (F.year("at") * 100 + F.month("at")).cast("int"))
-    landing.write_months(t, path, ["k"])
+    months.append(spark, t, path, ["k"])
     for as_of, left in ((day(2024, 1, 30), [3, 4, 5]), (day(2024, 1, 30), [3, 4, 5]), (day(2024, 2, 10), [4, 5]), (day(2024, 2, 25), [5])):
-        landing.retire(spark, path, 15, as_of, ["at"], ["k"], str(tmp_path / "g"))
-        assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == left
+        months.retire(spark, path, 15, as_of, ["at"], ["k"])
+        assert sorted(r["k"] for r in months.read(spark, path).collect()) == left
 
 
 def test_template_lands_retires_and_audits(spark, tmp_path):
@@ -127,8 +127,8 @@ def test_template_lands_retires_and_audits(spark, tmp_path):
     a = jobs.audit(spark).first()
     assert (a["max_offset"], a["missing_offsets"], a["duplicates"]) == (3, 1, 1)
     jobs.retire(spark, day(2024, 1, 12, 12))
-    assert spark.read.parquet(jobs.path("raw")).count() == 4
-    assert [r["id"] for r in spark.read.parquet(jobs.path("serving")).collect()] == ["3"]
+    assert months.read(spark, jobs.path("raw")).count() == 4
+    assert [r["id"] for r in months.read(spark, jobs.path("serving")).collect()] == ["3"]
 
 
 def test_kinds_of_schema_files_and_their_errors(spark):
