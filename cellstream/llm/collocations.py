@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SALTS, mixed, salt, stored
+from .common import each_part, mixed, parts_of, salt, stored
 
 DEPTH = 4
 BREAK = b"\xff"  # is in no UTF-8 text
@@ -308,7 +308,7 @@ def frequent(docs: DataFrame, least: int = 30, ranges: int | None = None, size:
 def _counted_parts(asked: DataFrame, counts: DataFrame, ranges: int) -> DataFrame:
     """asked (lang, phrase, cut, first, part) with the counts f of their parts, by composition within ranges.
 
-    Single words may be part of very many phrases, so what asks for them is spread over SALTS parts of a range.
+    Single words may be part of very many phrases, so what asks for them is spread over parts of a range, and their counts go to each of these.
     """
 
     def ranged(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -324,10 +324,10 @@ def _counted_parts(asked: DataFrame, counts: DataFrame, ranges: int) -> DataFram
     def with_range(t: DataFrame) -> DataFrame:
         return t.mapInPandas(ranged, t.select("*", F.lit(0).cast("long").alias("range")).schema)
 
-    single = ~F.contains("part", F.lit(" "))
-    asks = with_range(asked).withColumn("salt", F.when(single, salt("phrase")).otherwise(0))
-    every = F.when(single, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    has = with_range(counts.where("words between 1 and 3").select("lang", F.col("phrase").alias("part"), "f")).withColumn("salt", F.explode(every))
+    asks = asked.withColumn("salt", F.when(F.contains("part", F.lit(" ")), 0).otherwise(salt("phrase")))
+    wanted = asks.groupBy("lang", "part").agg(parts_of(F.col("salt")).alias("parts"))
+    has = counts.where("words between 1 and 3").select("lang", F.col("phrase").alias("part"), "f").join(wanted, ["lang", "part"]).withColumn("salt", each_part("parts")).drop("parts")
+    asks, has = with_range(asks), with_range(has)
 
     def run(a: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(c):
@@ -363,7 +363,7 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, covered: int
     part = lambda at, n: F.array_join(F.slice("w", at, n), " ")
     sides = F.explode(F.array(F.struct(F.lit(True).alias("first"), part(F.lit(1), F.col("cut")).alias("part")), F.struct(F.lit(False).alias("first"), part(F.col("cut") + 1, F.col("words") - F.col("cut")).alias("part"))))
     asked = both.select("lang", "phrase", "cut", sides.alias("s")).select("lang", "phrase", "cut", "s.first", "s.part")
-    found = _counted_parts(asked, counts, 1 + counts.count() // 200_000)
+    found = _counted_parts(asked, counts, 16 + counts.count() // 20_000)
     cuts = range(1, DEPTH)
     sums = found.groupBy("lang", "phrase").agg(*[F.max(F.when((F.col("cut") == k) & (F.col("first") == first), F.col("f"))).alias(f"{'l' if first else 'r'}{k}") for k in cuts for first in (True, False)])
     # A phrase within longer ones: the count of the most frequent of these.
