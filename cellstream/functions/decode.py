@@ -102,9 +102,14 @@ DECODERS: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def register(kind: str, decoder: Callable[[Column], Column], width: int | None = None) -> None:
-    """A source type of one's own, from native functions or a pandas_udf; width: bytes of its values, if fixed."""
+#: type -> Spark's type of the decoded values; those of other types, but for ones that were registered without, are text.
+TYPES: dict[str, str | None] = {**SPARK, "BOOLEAN": "boolean", "FLOAT": "float", "DOUBLE": "double", "DECIMAL": "decimal(38,10)", "VARCHAR ARRAY": "array<string>", "VARBINARY": "binary", "BINARY": "binary"}
+
+
+def register(kind: str, decoder: Callable[[Column], Column], width: int | None = None, spark_type: str | None = None) -> None:
+    """A source type of one's own, from native functions or a pandas_udf; width: bytes of its values, if fixed; spark_type: of what the decoder gives."""
     DECODERS[kind] = decoder
+    TYPES[kind] = spark_type
     if width:
         WIDTHS[kind] = width
 

@@ -11,6 +11,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import coerce, decode, names, rowkey
 from ..spec import Field, TableSpec
@@ -91,11 +92,12 @@ def typed(v: Column, field: Field, path: str) -> tuple[Column, Column]:
     """
     if field.kind == "bytes" or (isinstance(field.kind, (list, tuple)) and field.kind[0] == "fixed"):
         value = decode.or_raw(v, field.source)
-        return coerce.coerced(value if field.default is None else F.coalesce(value, F.lit(field.default)), field.kind, path)
+        return coerce.coerced(value if field.default is None else F.coalesce(value, F.lit(field.default)), field.kind, path, T.BinaryType())
     value, wrong = decode.decoded(v, field.source, field.default), decode.misfit(v, field.source, path)
     if isinstance(field.kind, str) and field.source in _OF_KIND.get(field.kind, ()):
         return value, wrong
-    value, error = coerce.coerced(value, field.kind, path)
+    of = decode.TYPES.get(field.source, "string")
+    value, error = coerce.coerced(value, field.kind, path, of and T.DataType.fromDDL(of))
     return value, F.coalesce(wrong, error)
 
 

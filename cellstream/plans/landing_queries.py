@@ -183,6 +183,32 @@ def coerce_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("k", F.col("c.m")["b"].alias("b"), F.col("c.flag").alias("flag"), F.octet_length("c.code").alias("n"), F.col("c.u.branch").alias("branch"), "error")
 
 
+_ANY = ("union", "null", "int", "float", "bytes", ("enum", "A", "N"), ("array", "long"), ("map", "double"), {"x": "long", "y": coerce.Default("string", "none")})
+
+
+@query("""select l_orderkey * 8 + l_linenumber as k, case when l_linenumber <> 2 then 'int ' || l_linenumber end as of_int, 'float ' || floor(l_quantity)::int as of_double, 'bytes ' || l_returnflag as of_bytes,
+case when l_returnflag in ('A', 'N') then 'enum ' || l_returnflag end as of_text, 'array ' || l_orderkey || ',' || l_linenumber as of_array, 'map a=' || l_linenumber || ',b=' || l_orderkey as of_map, 'record ' || l_orderkey || ' none' as of_struct,
+case when l_returnflag not in ('A', 'N') then 'of_text: no branch fits' end as error from lineitem""")
+def coerce_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One union of seven branches, met by values of seven types, null among them."""
+    o, n, q = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_quantity")
+    given = {
+        "of_int": F.when(n != 2, n.cast("int")), "of_double": F.floor(q).cast("double"), "of_bytes": F.encode("l_returnflag", "UTF-8"), "of_text": F.col("l_returnflag"), "of_array": F.array(o, n.cast("bigint")),
+        "of_map": F.create_map(F.lit("b"), o, F.lit("a"), n.cast("bigint")), "of_struct": F.struct(o.alias("x")),
+    }
+    t = table(spark, sf_dir, "lineitem").select((o * 8 + n).alias("k"), F.struct(*[c.alias(name) for name, c in given.items()]).alias("r"))
+    kinds = {name: _ANY if name != "of_double" else ("union", "null", "float", "bytes") for name in given}
+    value, error = coerce.record(F.col("r"), kinds, given=t.schema["r"].dataType, strict=True)
+    t = t.select("k", value.alias("c"), error.alias("error"))
+    text = lambda u, branch: {
+        "bytes": lambda x: F.decode(x, "UTF-8"), "array": lambda x: F.array_join(x.cast("array<string>"), ","), "record": lambda x: F.concat_ws(" ", x["x"].cast("string"), x["y"]), "float": lambda x: x.cast("int").cast("string"),
+        "map": lambda x: F.array_join(F.transform(F.map_entries(x), lambda e: F.concat_ws("=", e["key"], e["value"].cast("bigint").cast("string"))), ","),
+    }.get(branch, lambda x: x.cast("string"))(u[branch])
+    names = {n: [b for b, _ in coerce.branches(k[1:])] for n, k in kinds.items()}
+    shown = [F.coalesce(*[F.when(F.col(f"c.{n}.branch") == b, F.concat(F.lit(f"{b} "), text(F.col(f"c.{n}"), b))) for b in names[n]]).alias(n) for n in kinds]
+    return t.select("k", *shown, "error")
+
+
 _ODD = "case event_id % 4 when 0 then '..' || event_type || '__x' when 1 then event_type || '/' || user_id else event_type end"
 
 

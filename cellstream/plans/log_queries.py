@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import decode, encode, names, rowkey, times
+from ..functions import coerce, decode, encode, names, rowkey, times
 from ..operators import cells, stats
 from ..spec import TableSpec
 from .fixtures import CELLS_SQL, FAMILIES, SPEC, entries, keys, table
@@ -121,6 +121,28 @@ def coerced_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.row_events(e, spec).select("wal_seq", "n", "ok", "flag", F.lower(F.hex("raw")).alias("raw"), F.col("_error").alias("error"))
 
 
+@query("""select l_orderkey * 8 + l_linenumber as wal_seq, case when l_linenumber = 1 then null when l_linenumber % 2 = 0 then 'long' else 'string' end as branch, case when l_linenumber <> 1 and l_linenumber % 2 = 0 then l_orderkey end as n,
+case when l_linenumber <> 1 and l_linenumber % 2 = 1 then l_orderkey || 'x' end as s, case when l_linenumber <> 3 then 'a=' || l_linenumber || ',b=' || l_orderkey end as counts, case when l_linenumber <> 4 then l_orderkey end as pair_x, case when l_linenumber <> 4 then 'none' end as pair_y,
+case when l_linenumber = 3 then 'ns:shapes.counts.b: not a long' when l_linenumber = 5 then 'ns:shapes.note: not a record, but string' end as error from lineitem""")
+def union_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row events with a union of two kinds, a map, a record with a default, by decoders of one's own, and a record field whose values are text."""
+    for name, kind in (("JSON COUNTS", "map<string, string>"), ("JSON PAIR", "struct<x: string>")):
+        decode.register(name, lambda v, kind=kind: F.from_json(v.cast("string"), kind), spark_type=kind)
+    spec = TableSpec.builder("ns:shapes").column("id").column("u", ("union", "null", "long", "string")).column("counts", ("union", "null", ("map", "long")), "JSON COUNTS")
+    spec = spec.column("pair", {"x": "long", "y": coerce.Default("string", "none")}, "JSON PAIR").column("note", ("union", "null", {"flag": "boolean"})).key("id").build()
+    o, n = F.col("l_orderkey").cast("string"), F.col("l_linenumber")
+    bytes_of = lambda *parts: F.encode(F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts]), "UTF-8")
+    values = {
+        "u": F.when(n == 1, F.lit(b"")).when(n % 2 == 0, bytes_of(o)).otherwise(bytes_of(o, "x")), "counts": F.when(n == 3, bytes_of('{"b": "x", "a": "1"}')).otherwise(bytes_of('{"b": ', o, ', "a": ', n.cast("string"), "}")),
+        "pair": F.when(n == 4, F.lit(b"")).otherwise(bytes_of('{"x": ', o, "}")), "note": F.when(n == 5, bytes_of("text")),
+    }
+    cell = lambda q, v: F.struct(F.lit(b"k").alias("row"), F.lit("d").alias("family"), F.lit(q).alias("qualifier"), F.lit(1).cast("bigint").alias("ts"), F.lit(False).alias("is_delete"), v.alias("value"))
+    e = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + n).alias("wal_seq"), F.lit(0).cast("bigint").alias("wal_write_time"), F.lit("ns:shapes").alias("table"), F.array(*[cell(q, v) for q, v in values.items()]).alias("cells"))
+    t = cells.row_events(e, spec)
+    ok = F.when(F.forall(F.map_values("counts"), lambda x: x.isNotNull()), F.array_join(F.transform(F.map_entries("counts"), lambda x: F.concat_ws("=", x["key"], x["value"].cast("string"))), ","))
+    return t.select("wal_seq", F.col("u.branch").alias("branch"), F.col("u.long").alias("n"), F.col("u.string").alias("s"), ok.alias("counts"), F.col("pair.x").alias("pair_x"), F.col("pair.y").alias("pair_y"), F.col("_error").alias("error"))
+
+
 @query(f"""with {CELLS_SQL} select wal_seq, count(*) as rows_seen, count(*) filter (sent) as rows_sent, count(*) filter (not sent) as rows_filtered,
 sum(n_cells)::bigint as cells_seen, coalesce(max(n_cells) filter (sent), 0)::int as max_cells_sent from rows group by wal_seq""")
 def entry_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

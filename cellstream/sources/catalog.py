@@ -35,18 +35,21 @@ def catalog(spark: SparkSession, path: str, prefix: str = "x.") -> DataFrame:
     )
     name = F.get_json_object("field", "$.name")
     kind = F.get_json_object("field", "$.type")
-    plain = F.regexp_replace(F.regexp_replace(kind, r'^\["null",\s*(.*)\]$', "$1"), '^"(.*)"$', "$1")
+    branches = F.when(kind.startswith("["), F.from_json(kind, "array<string>"))
+    nullable = F.coalesce(F.array_contains(branches, "null"), F.lit(False))
+    plain = F.regexp_replace(F.when(nullable & (F.size(branches) == 2), F.get(F.array_remove(branches, "null"), F.lit(0))).otherwise(kind), '^"(.*)"$', "$1")
     declared = extra(F.col("field"), TYPE)
     place = F.array_position(F.transform("pk", lambda x: F.upper(x)), F.upper(name)).cast("int")
     return t.select(
-        "table", "pos", name.alias("name"), plain.alias("record_type"), kind.startswith('["null"').alias("nullable"), source_type(F.coalesce(declared, F.lit(""))).alias("source_type"),
+        "table", "pos", name.alias("name"), plain.alias("record_type"), nullable.alias("nullable"), source_type(F.coalesce(declared, F.lit(""))).alias("source_type"),
         F.coalesce(F.lower(extra(F.col("field"), SKIP)) == "true", F.lit(False)).alias("skip"), F.when(place > 0, place).alias("pk_pos"),
         F.coalesce("salt", F.lit(0)).alias("salt"), F.when(F.col("salt").isNull(), "default").otherwise("schema").alias("salt_source"), "hint", "families",
     )
 
 
-def _kind(record_type: str) -> object:
-    return kind_of(json.loads(record_type)) if record_type[:1] in ("{", "[") else record_type
+def _kind(record_type: str, nullable: bool) -> object:
+    of = json.loads(record_type) if record_type[:1] in ("{", "[") else record_type
+    return kind_of(["null", of] if nullable and not isinstance(of, list) else of)
 
 
 def clamped_salt(given: Column) -> Column:
@@ -60,7 +63,7 @@ def spec(rows: DataFrame, table: str) -> TableSpec:
     if not found:
         raise KeyError(f"no schema of table {table}")
     keys = sorted((r for r in found if r["pk_pos"]), key=lambda r: r["pk_pos"])
-    fields = tuple(Field(r["name"], _kind(r["record_type"]), r["source_type"], r["skip"]) for r in found)
+    fields = tuple(Field(r["name"], _kind(r["record_type"], r["nullable"]), r["source_type"], r["skip"]) for r in found)
     return TableSpec(table, fields, tuple(r["name"] for r in keys), found[0]["salt"], tuple(found[0]["families"]), found[0]["hint"])
 
 

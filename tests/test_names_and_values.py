@@ -140,6 +140,6 @@ def test_kinds_of_schema_files_and_their_errors(spark):
     value, error = coerce.record(F.col("r"), kind)
     got = spark.createDataFrame([(r,) for r in rows], schema).select(value.alias("v"), error.alias("e")).collect()
     assert [r["e"] for r in got] == [None, "m.b: not a long", "m: required", "e: not a symbol: B", "f: 2 bytes expected, got 1"]
-    assert list(got[0]["v"]["m"].items()) == [("a", 2), ("b", 1)] and tuple(got[0]["v"]["u"]) == ("long", "7") and tuple(got[1]["v"]["u"]) == ("string", "z")
+    assert list(got[0]["v"]["m"].items()) == [("a", 2), ("b", 1)] and tuple(got[0]["v"]["u"]) == ("long", 7, None) and tuple(got[1]["v"]["u"]) == ("string", None, "z")
     with pytest.raises(ValueError, match="no such kind"):
         coerce.coerced(F.lit(1), "complex", "f")
