@@ -22,7 +22,7 @@ from .common import free_name, stored
 
 #: Domains at most: the model is one number for each of them and each feature, and the fit's curvature one for each two.
 DOMAINS = 256
-#: Part of all strings up to which one is picked: counting commoner ones costs more than they tell.
+#: Part of all strings up to which one is picked first: counting commoner ones costs more, so they come where a domain has no others left.
 COMMON = 0.01
 
 
@@ -35,73 +35,71 @@ def _counts(text: Column, features: list[str]) -> list[Column]:
     return [((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(f), F.lit("")))) / len(f.encode())).cast("double") for f in features]
 
 
-def learned_features(labelled: DataFrame, number: int = 28, longest: int = 3) -> list[str]:
+def learned_features(labelled: DataFrame, each: int = 7, longest: int = 3) -> list[str]:
     """Strings of letters that tell domains apart, from columns text and domain, all rows of which count.
 
     A string's worth for a domain is its share there times the log of that share over the mean share
-    of the domains, so what is common and peculiar comes first. Domains pick in turns; a string
-    that is part of one that the domain has, or holds one, is left out. The best few of every domain are all that
-    reaches the driver.
+    of the domains, so what is common and peculiar comes first. Every domain picks `each` strings of its own (fewer, if it hasn't so
+    many), whatever the number of domains; a string that is part of one that the domain has, or holds one, is left out, and one
+    that another domain has picked counts for both. The best few of every domain are all that reaches the driver.
     """
     words = labelled.select(F.col("domain").cast("string").alias("domain"), F.explode(F.split(F.lower(F.col("text").cast("string")), r"[^\p{L}\p{M}]+")).alias("word")).where("word <> ''")
     words = words.groupBy("domain", "word").agg(F.count("*").alias("n")).withColumn("letters", F.split("word", ""))
     of_size = lambda k: F.when(F.size("letters") >= k, F.transform(F.sequence(F.lit(0), F.size("letters") - k), lambda i: F.array_join(F.slice("letters", i + 1, k), "")))
-    each = F.explode(F.flatten(F.array_compact(F.array(*[of_size(k) for k in range(1, longest + 1)]))))
-    grams = stored(words.select("domain", "n", each.alias("gram")).groupBy("domain", "gram").agg(F.sum("n").alias("n")), "grams")
+    strings = F.explode(F.flatten(F.array_compact(F.array(*[of_size(k) for k in range(1, longest + 1)]))))
+    grams = stored(words.select("domain", "n", strings.alias("gram")).groupBy("domain", "gram").agg(F.sum("n").alias("n")), "grams")
     totals = {r["domain"]: r["n"] for r in grams.groupBy("domain").agg(F.sum("n").alias("n")).orderBy("domain").limit(DOMAINS + 1).collect()}
     if not totals:
         return []
     share = [F.coalesce(F.sum(F.when(F.col("domain") == d, F.col("n"))), F.lit(0)) / n for d, n in totals.items()]
     shares = grams.groupBy("gram").agg(F.array(*share).alias("shares")).withColumn("mean", F.aggregate("shares", F.lit(0.0), lambda a, x: a + x) / len(totals))
-    worth = shares.select("gram", "mean", F.posexplode("shares").alias("domain", "share")).where((F.col("share") > F.col("mean")) & (F.col("mean") < COMMON)).withColumn("worth", F.col("share") * F.log(F.col("share") / F.col("mean")))
-    rank = F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("worth"), "gram"))
-    best = worth.withColumn("rank", rank).where(F.col("rank") <= 4 * number).orderBy("rank", "domain").select("domain", "gram").collect()
-    lists: dict[int, list[str]] = {}
+    worth = shares.select("gram", "mean", F.posexplode("shares").alias("domain", "share")).where(F.col("share") > F.col("mean")).withColumn("worth", F.col("share") * F.log(F.col("share") / F.col("mean")))
+    rank = F.row_number().over(Window.partitionBy("domain").orderBy(F.col("mean") >= COMMON, F.desc("worth"), "gram"))
+    best = worth.withColumn("rank", rank).where(F.col("rank") <= 16 * each).orderBy("rank", "domain").select("domain", "gram").collect()
+    chosen: dict[int, list[str]] = {}
     for r in best:
-        lists.setdefault(r["domain"], []).append(r["gram"])
-    chosen: dict[int, list[str]] = {d: [] for d in lists}
-    while lists and len({g for own in chosen.values() for g in own}) < number:
-        for d in sorted(lists):
-            found = next((g for g in lists[d] if not any(g in x or x in g for x in chosen[d])), None)
-            if found is None:
-                del lists[d]
-            elif len({g for own in chosen.values() for g in own} | {found}) <= number:
-                chosen[d].append(found)
+        own = chosen.setdefault(r["domain"], [])
+        if len(own) < each and not any(r["gram"] in x or x in r["gram"] for x in own):
+            own.append(r["gram"])
     return sorted({g for own in chosen.values() for g in own})
 
 
-def posteriors(docs: DataFrame, labelled: DataFrame, evidence: float = 100.0, number: int = 28) -> tuple[DataFrame, list[str]]:
+def posteriors(docs: DataFrame, labelled: DataFrame, evidence: float = 100.0, each: int = 7) -> tuple[DataFrame, list[str]]:
     """docs with tokens (words of the text) and p, an array of posteriors by domain, and the domains, sorted.
 
     labelled: text and domain; rows without either don't count. The model, one number a domain and
     feature, and what it is picked from (learned_features) are all that reaches the driver. evidence: occurrences of
-    features that a text counts for at most, so that a long text of several domains isn't all of one.
-    A text without any feature has the priors.
+    features that a text counts for at most, so that a long text of several domains isn't all of one. each: features picked for
+    each domain; a text is searched once for each feature, so the work grows with the domains.
+    A text without any feature has the priors. More than DOMAINS domains are an error.
     """
     taken = [*docs.columns, "tokens", "p"]
     rows = labelled.where("text is not null and domain is not null").select("text", F.col("domain").cast("string").alias("domain"))
-    features = learned_features(rows, number)
-    low = free_name("low", taken)
-    names = [free_name(f"f{i}", taken) for i in range(len(features))]
-    counted = lambda t: t.withColumn(low, F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))).withColumns(dict(zip(names, _counts(F.col(low), features))))
-    found = counted(rows).groupBy("domain").agg(F.count("*").alias("n_rows"), *[F.sum(f).alias(f) for f in names]).orderBy("domain").limit(DOMAINS + 1).collect()
-    if len(found) > DOMAINS:
+    priors = rows.groupBy("domain").agg(F.count("*").alias("n")).orderBy("domain").limit(DOMAINS + 1).collect()
+    if len(priors) > DOMAINS:
         raise ValueError(f"more than {DOMAINS} domains among the labelled rows")
-    if not found:
+    if not priors:
         return docs.withColumn("tokens", F.lit(0).cast("long")).withColumn("p", F.expr("cast(array() as array<double>)")), []
-    total = sum(r["n_rows"] for r in found)
-    weigh = free_name("weigh", taken)
-    scored = counted(docs).withColumn(weigh, F.lit(evidence) / F.greatest(F.lit(evidence), _plus([F.lit(0.0)] + [F.col(f) for f in names])))
-    logs = []
-    for r in found:
-        n = sum(r[f] for f in names) + 0.5 * len(names)
-        logs.append(F.log(F.lit(r["n_rows"] / total)) + F.col(weigh) * _plus([F.lit(0.0)] + [F.lit(float(np.log((r[f] + 0.5) / n))) * F.col(f) for f in names]))
-    ll, e = free_name("ll", taken), free_name("e", taken)
-    scored = scored.withColumn(ll, F.array(*logs))
+    features, domains = learned_features(rows, each), [r["domain"] for r in priors]
+    low, seen, weigh, ll, e, model = (free_name(x, taken) for x in ("low", "seen", "weigh", "ll", "e", "model"))
+    found = F.filter(F.array(*[F.struct(F.lit(i).alias("at"), c.alias("n")) for i, c in enumerate(_counts(F.col(low), features))]), lambda x: x["n"] > 0)
+    none = F.expr("cast(array() as array<struct<at: int, n: double>>)")
+    counted = lambda t: t.withColumn(low, F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))).withColumn(seen, found if features else none)
+    logs = np.full((len(domains), len(features)), 0.5)
+    for r in counted(rows).select("domain", F.explode(seen).alias("x")).groupBy("domain", "x.at").agg(F.sum("x.n").alias("n")).collect():  # a number a domain and feature at most
+        logs[domains.index(r["domain"]), r["at"]] += r["n"]
+    logs = np.log(logs / logs.sum(axis=1, keepdims=True)) if features else logs
+    total = sum(r["n"] for r in priors)
+    of_domain = [(float(np.log(r["n"] / total)), own.tolist()) for r, own in zip(priors, logs)]
+    # One row of DOMAINS * features numbers at most, so that plans don't grow with them.
+    one = docs.sparkSession.createDataFrame([(of_domain,)], f"`{model}` array<struct<prior: double, logs: array<double>>>")
+    sum_of = lambda xs, f: F.aggregate(xs, F.lit(0.0), lambda a, x: a + f(x))
+    scored = counted(docs).crossJoin(F.broadcast(one)).withColumn(weigh, F.lit(evidence) / F.greatest(F.lit(evidence), sum_of(seen, lambda x: x["n"])))
+    scored = scored.withColumn(ll, F.transform(model, lambda d: d["prior"] + F.col(weigh) * sum_of(seen, lambda x: x["n"] * F.get(d["logs"], x["at"]))))
     scored = scored.withColumn(e, F.transform(ll, lambda x: F.exp(x - F.array_max(ll))))
     scored = scored.withColumn("p", F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b)))
     tokens = F.regexp_count(low, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    return scored.withColumn("tokens", tokens).drop(low, weigh, ll, e, *names), [r["domain"] for r in found]
+    return scored.withColumn("tokens", tokens).drop(low, seen, weigh, ll, e, model), domains
 
 
 Step = tuple[list[float], list[float]]
@@ -169,7 +167,7 @@ def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, roun
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], least: float = 0.0, budget: float | None = None, rounds: int = 30) -> DataFrame:
-    """docs with domain (the likeliest), tokens, p, rate and copies.
+    """docs with domain (the likeliest), tokens, p, rate and copies. More than DOMAINS domains among the labelled rows are an error.
 
     docs: doc_id and text, and any other columns, which are kept unless they clash with the new ones; those
     are replaced. labelled: text and domain. weights: share of the tokens by domain (others: 0),

@@ -6,8 +6,8 @@ labeller's accuracy on good and on bad texts and the share of good ones, without
 The posteriors label a bounded sample of documents, on which a logistic model over hashed shapes of
 words learns what the labellers mean; it scores every document.
 
-Toxicity is a class of its own, which form can't outvote: a labeller by words, of a list and learned ones, whose
-vote is the last one, takes the score and posterior of what it finds to 0.
+Toxicity is a class of its own, which form can't outvote: a labeller by words that are learned from labelled texts, whose
+vote is the last one, takes the score and posterior of what it finds to 0. No word decides alone: it takes two of them.
 """
 
 from __future__ import annotations
@@ -27,12 +27,6 @@ from pyspark.sql import functions as F
 from .common import grouped, mixed, powers, words_of
 
 LABELLERS = ("symbols", "plain_words", "separators", "letters", "repeats", "variety", "sentences", "word_length")
-#: Insults in English, German, Spanish and French: words that are no harmless ones in another of these.
-INSULTS = frozenset(
-    """idiot idiots moron morons imbecile imbeciles stupid dumb pathetic clown clowns loser losers scum worthless disgusting vermin bastard bastards bitch shit bullshit
-    fuck fucking asshole retard retarded trottel dummkopf vollidiot arschloch scheiße scheisse abschaum erbärmlich hurensohn depp idioten idiota idiotas imbécil estúpido
-    estúpida payaso payasos patético patética mierda puta cabrón gilipollas idiote idiotes imbécile crétin stupide connard salope merde minable bouffon abruti""".split()
-)
 GOOD, BAD, NONE = 1, 0, -1
 _WORD = re.compile(r"\w+")
 
@@ -58,8 +52,8 @@ def _character_tables() -> tuple[np.ndarray, np.ndarray]:
 class Lexicon:
     """Words, and stems of longer words, found in texts by one automaton."""
 
-    def __init__(self, words: frozenset[str], terms: frozenset[str]):
-        self.words = words | {t[:-1] for t in terms if t.endswith("$")}
+    def __init__(self, terms: frozenset[str]):
+        self.words = frozenset(t[:-1] for t in terms if t.endswith("$"))
         self.stems = frozenset(t for t in terms if not t.endswith("$"))
         self.automaton = ahocorasick.Automaton()
         for w in self.words | self.stems:
@@ -68,6 +62,8 @@ class Lexicon:
 
     def count(self, text: str) -> int:
         """Words of the text that are of the lexicon or begin with one of its stems."""
+        if not self.words and not self.stems:
+            return 0
         low, starts = text.lower(), set()
         inner = lambda i: 0 <= i < len(low) and (low[i].isalnum() or low[i] == "_")
         for last, w in self.automaton.iter(low):
@@ -80,7 +76,7 @@ class Lexicon:
 def _lexicon(terms: frozenset[str]) -> Lexicon:
     if terms not in _lexicons:
         _lexicons.clear()
-        _lexicons[terms] = Lexicon(INSULTS, terms)
+        _lexicons[terms] = Lexicon(terms)
     return _lexicons[terms]
 
 
@@ -137,8 +133,8 @@ def measured(texts: list[str | None], bits: int, lexicon: Lexicon | None) -> tup
         (variety < 0.6, 12),
         ((counted(doc[stops]) == 0) | (counted(doc[stops]) > 0.5 * size), 30),
         ((n_letters < 2 * size) | (n_letters > 12 * size), 12),
-        # A word alone in a long text is a quotation rather.
-        (toxic >= np.maximum(1, 0.005 * size), 1),
+        # A word alone, or few in a long text, may be a quotation, a name or a harmless use.
+        (toxic >= np.maximum(2, 0.005 * size), 1),
     )
     for k, (is_bad, least) in enumerate(bad):
         votes[:, k] = np.where(n < least, NONE, np.where(is_bad, BAD, GOOD))
@@ -195,7 +191,7 @@ def fitted(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, size:
     return w
 
 
-def toxic_terms(labelled: DataFrame, least: int = 5, ratio: float = 100.0) -> frozenset[str]:
+def toxic_terms(labelled: DataFrame, least: int = 4, ratio: float = 50.0) -> frozenset[str]:
     """Words and stems that are in at least so many of the toxic texts, and in a share of them `ratio` times that of the others.
 
     labelled: text and toxic (0 or 1); rows without either don't count. Only terms that pass reach the driver.
@@ -222,7 +218,7 @@ def quality(docs: DataFrame, bits: int = 12, sample: int = 5_000, threshold: flo
     docs: doc_id and text, and any other columns, which are kept unless they clash with the new ones;
     those are replaced. All documents count for the labellers' accuracies. sample: rows that the
     linear scorer is fitted on at most, those of the smallest hashes of doc_id and text. toxic: labelled texts (text,
-    toxic), a bounded number of them, from which the labeller of insults learns words beside its list (toxic_terms).
+    toxic), a bounded number of them, from which the labeller of insults learns its words (toxic_terms); without them it finds nothing.
 
     votes: a character for each of LABELLERS, and one for insults; toxic documents have posterior and score 0.
 

@@ -2,6 +2,7 @@
 
 import math
 import re
+from contextlib import nullcontext
 from collections import Counter
 
 import numpy as np
@@ -87,12 +88,16 @@ def test_quality_without_labelled_rows(spark):
 
 def test_toxic_texts_are_rejected_whatever_their_form(spark):
     r = np.random.RandomState(18)
+    insults = ("idiot", "clown", "worthless", "Trottel", "estúpido", "дурак")
+    labelled = [(f"{prose(r, 'en', 40)} You {w}, {w.upper()}! {prose(r, 'de', 20)}", 1) for w in insults for _ in range(6)] + [(prose(r, "en", 80), 0) for _ in range(100)]
     texts = [prose(r, "en", 100) for _ in range(200)]
-    texts += [f"{prose(r, 'en', 40)} You {w}, {w.upper()}! {prose(r, 'de', 40)}" for w in ("idiot", "worthless", "Trottel", "estúpido", "connard")]
-    texts.append("A word alone, stupid, is quoted. " + prose(r, "en", 2000))
-    got = {x["doc_id"]: x for x in weak_quality.quality(spark.createDataFrame([(i, t, "en", "s", None, "x") for i, t in enumerate(texts)], DOCS)).collect()}
-    assert all(not got[i]["kept"] and got[i]["votes"][-1] == "-" for i in range(200, 205)) and got[205]["kept"]
+    texts += [f"{prose(r, 'en', 40)} You {w}, {w.upper()}! {prose(r, 'de', 40)}" for w in insults]
+    harmless = ["A word alone, worthless, is quoted. " + prose(r, "en", 100), "The clown performed at the circus and children laughed all the evening long.", "He read a novel by Dostoevsky, The Idiot, in one long night in the garden.", "Two clown acts and an idiot of a horse. " + prose(r, "en", 2000)]
+    t = spark.createDataFrame([(i, x, "en", "s", None, "x") for i, x in enumerate(texts + harmless)], DOCS)
+    got = {x["doc_id"]: x for x in weak_quality.quality(t, toxic=spark.createDataFrame(labelled, "text string, toxic int")).collect()}
+    assert all(not got[i]["kept"] and got[i]["votes"][-1] == "-" for i in range(200, 200 + len(insults))) and all(got[i]["kept"] for i in range(200 + len(insults), len(got)))
     assert np.mean([got[i]["kept"] for i in range(200)]) > 0.98
+    assert all(x["votes"][-1] != "-" for x in weak_quality.quality(t).collect())  # nothing was learned
 
 
 def votes_by_force(text, toxic):
@@ -107,7 +112,7 @@ def votes_by_force(text, toxic):
     rules = [
         (1, sum(marks) > 0.2 * n), (1, sum(x > 0 and not y for x, y in zip(letters, marks)) < 0.7 * n), (5, sum(not x for x in letters) > 0.15 * n),
         (1, sum(letters) < 0.72 * sum(map(len, words))), (5, again > 0.15 * n), (12, triples < 0.6 * (n - 2)), (30, not stops or stops > 0.5 * n),
-        (12, not 2 * n <= sum(letters) <= 12 * n), (1, insults >= max(1, 0.005 * n)),
+        (12, not 2 * n <= sum(letters) <= 12 * n), (1, insults >= max(2, 0.005 * n)),
     ]
     return "".join("?" if n < least else "-" if bad else "+" for least, bad in rules)
 
@@ -121,11 +126,11 @@ def test_measures_against_brute_force():
     r = np.random.RandomState(19)
     parts = ["the", "The", "a-b", "...", "don't", "x1y22", "###", "é", "日本語", "idiot", "Idiot!", "1234", "stem", "stemming", "stemmed.", "🎉", "\u00a0", "q_r", "ABCdef9", "|"]
     texts = ["", None, "  \n"] + [" ".join(r.choice(parts, r.randint(1, 60))).replace("| ", "\n\t") for _ in range(400)] + ["one " * 3000, " lead"]
-    lexicon = weak_quality.Lexicon(weak_quality.INSULTS, frozenset(["stemm", "q_r$"]))
+    lexicon = weak_quality.Lexicon(frozenset(["idiot$", "stemm", "q_r$"]))
     for at in range(0, len(texts), 37):
         group = texts[at : at + 37]
         votes, owner, index, weight = weak_quality.measured(group, 20, lexicon)
-        assert weak_quality._names(votes) == [votes_by_force(t or "", {*weak_quality.INSULTS, "stemming", "stemmed", "q_r"}) for t in group]
+        assert weak_quality._names(votes) == [votes_by_force(t or "", {"idiot", "stemming", "stemmed", "q_r"}) for t in group]
         for i, t in enumerate(group):
             own = (owner == i) & (index < 1 << 20)
             n = len((t or "").encode().split())
@@ -328,17 +333,54 @@ def test_domains_of_any_script_are_learned(spark):
     assert np.mean([domains[int(np.argmax(x["p"]))] == x["f0"] for x in got.collect()]) > 0.95
 
 
+@pytest.mark.parametrize("number", [1, 40, 200])
+def test_every_domain_has_its_features(spark, number):
+    """Domains of words of their own, of all letters; one domain alone is no obstacle."""
+    r = np.random.RandomState(23)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    words = [["".join(r.choice(letters, r.randint(3, 7))) for _ in range(12)] for _ in range(number)]
+    text = lambda d: " ".join(r.choice(words[d], 25))
+    labelled = spark.createDataFrame([(text(d), f"d{d:03d}") for d in range(number) for _ in range(6)], "text string, domain string")
+    docs = spark.createDataFrame([(i, text(i % number), i % number) for i in range(3 * number)], "doc_id long, text string, d int")
+    got, domains = mixing.posteriors(docs, labelled)
+    assert domains == sorted(f"d{d:03d}" for d in range(number))
+    assert np.mean([int(np.argmax(x["p"])) == x["d"] for x in got.select("p", "d").collect()]) > 0.95
+
+
+def test_domains_of_common_strings_only(spark):
+    labelled = spark.createDataFrame([("aa ab aa", "x"), ("bb ba bb", "y")] * 5, "text string, domain string")
+    got, _ = mixing.posteriors(spark.createDataFrame([(0, "aa aa aa"), (1, "bb bb")], "doc_id long, text string"), labelled)
+    assert [int(np.argmax(x["p"])) for x in got.orderBy("doc_id").collect()] == [0, 1]
+
+
+def test_posteriors_against_brute_force(spark):
+    docs = corpus(spark, 60)
+    labelled = docs.where("doc_id % 2 = 0").select("text", F.col("lang").alias("domain"))
+    got, domains = mixing.posteriors(docs, labelled)
+    features = mixing.learned_features(labelled)
+    train = [(x["text"].lower(), x["domain"]) for x in labelled.collect()]
+    n = np.array([[0.5 + sum(t.count(f) for t, d in train if d == own) for f in features] for own in domains])
+    share = np.log(n / n.sum(1, keepdims=True))
+    prior = np.log([sum(d == own for _, d in train) / len(train) for own in domains])
+    for x in got.collect():
+        k = np.array([x["text"].lower().count(f) for f in features])
+        ll = prior + 100 / max(100, k.sum()) * (share @ k)
+        assert np.allclose(x["p"], np.exp(ll - ll.max()) / np.exp(ll - ll.max()).sum(), atol=1e-9)
+
+
 @pytest.mark.parametrize(("least", "targets"), [(0.0, [900.0, 300.0, 600.0]), (0.0, [900.0, 0.0, 600.0]), (1.0, [2000.0, 5.0, 900.0])])
 def test_rates_against_brute_force(spark, least, targets):
     r = np.random.RandomState(22)
     t, p = r.randint(1, 40, 60), r.dirichlet([0.4] * 3, 60)
     members = spark.createDataFrame([(int(n), x.tolist()) for n, x in zip(t, p)], "tokens long, p array<double>")
-    steps = mixing.fit_rates(members, targets, least, rounds=12)
-    got = np.array([x[0] for x in mixing.rated(members, steps, least).select("rate").collect()])
     mass = p * t[:, None]
     rate = np.maximum(np.ones(60), least)
     for _ in range(100_000):  # plain projected gradient
         rate = np.maximum(least, rate + 0.9 / np.linalg.norm(mass, 2) ** 2 * (mass @ (targets - mass.T @ rate)))
+    unmet = np.max(np.abs(targets - mass.T @ rate) / np.maximum(targets, 1.0)) > 0.02
+    with pytest.warns(UserWarning, match="residual") if unmet else nullcontext():
+        steps = mixing.fit_rates(members, targets, least, rounds=12)
+    got = np.array([x[0] for x in mixing.rated(members, steps, least).select("rate").collect()])
     cost = lambda x: float(((targets - mass.T @ x) ** 2).sum())
     assert got.min() >= least and cost(got) ** 0.5 <= 1.02 * cost(rate) ** 0.5 + 0.02 * sum(targets)
 
@@ -407,4 +449,4 @@ def test_stages_leave_clashing_columns_alone(spark, tmp_path):
 
 
 def test_every_operator_has_its_query():
-    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
