@@ -113,24 +113,24 @@ def spark_type(kind: object) -> T.DataType:
     return {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "float": T.FloatType(), "boolean": T.BooleanType(), "string": T.StringType(), "binary": T.BinaryType()}[PLAIN[str(kind)]]
 
 
-def _literal(value: object, kind: object) -> Column:
+def literal(value: object, kind: object) -> Column:
     """A default of a schema file, as a value of its kind; of a union, it is of the first branch. Bytes are written as text of one character a byte."""
     if value is None:
         return F.lit(None).cast(spark_type(kind))
     if isinstance(kind, dict):
-        return F.struct(*[_literal(value.get(n, k.value if isinstance(k, Default) else None), k.kind if isinstance(k, Default) else k).alias(n) for n, k in kind.items()])
+        return F.struct(*[literal(value.get(n, k.value if isinstance(k, Default) else None), k.kind if isinstance(k, Default) else k).alias(n) for n, k in kind.items()])
     if isinstance(kind, (list, tuple)):
         what, *of = kind
         if what == "union":
             one = _alone(of)
             if one is not None:
-                return _literal(value, one)
+                return literal(value, one)
             names = branches(of)
-            return F.struct(F.lit(names[0][0]).alias("branch"), *[(_literal(value, k) if not i else F.lit(None).cast(spark_type(k))).alias(n) for i, (n, k) in enumerate(names)])
+            return F.struct(F.lit(names[0][0]).alias("branch"), *[(literal(value, k) if not i else F.lit(None).cast(spark_type(k))).alias(n) for i, (n, k) in enumerate(names)])
         if what == "array":
-            return F.array(*[_literal(x, of[0]) for x in value]).cast(spark_type(kind))
+            return F.array(*[literal(x, of[0]) for x in value]).cast(spark_type(kind))
         if what == "map":
-            return F.create_map(*[c for k, x in sorted(value.items()) for c in (F.lit(k), _literal(x, of[0]))]).cast(spark_type(kind))
+            return F.create_map(*[c for k, x in sorted(value.items()) for c in (F.lit(k), literal(x, of[0]))]).cast(spark_type(kind))
         return F.lit(value.encode("latin-1") if what == "fixed" else value)
     return F.lit(value.encode("latin-1")) if kind == "bytes" else F.lit(value).cast(spark_type(kind))
 
@@ -144,7 +144,7 @@ def record(v: Column, schema: dict[str, object], path: str | Column = "", given:
     values, errors = [], []
     for name, kind in schema.items():
         at = (f"{path}.{name}" if path else name) if isinstance(path, str) else F.concat(path, F.lit(f".{name}"))
-        other, kind = (_literal(kind.value, kind.kind), kind.kind) if isinstance(kind, Default) else (None, kind)
+        other, kind = (literal(kind.value, kind.kind), kind.kind) if isinstance(kind, Default) else (None, kind)
         if isinstance(given, T.StructType) and name not in given.fieldNames():
             absent, no = other if other is not None else F.lit(None).cast(spark_type(kind)), F.lit(None).cast("string")
             value, error = absent, (_required(kind, at) if other is None else no)

@@ -56,27 +56,17 @@ def _double(v: pd.Series) -> pd.Series:
     return pd.Series(out).astype(object).where(ok, None)
 
 
-@F.pandas_udf(T.DecimalType(38, 10))
-def _decimal(v: pd.Series) -> pd.Series:
+def _decimal(v: Column) -> Column:
     """A sign and exponent byte, then base-100 digits, each + 1; for negative numbers inverted (101 - digit) and ended by 102."""
-    from decimal import Context, Decimal
-
-    wide = Context(prec=60)  # the default context rounds to 28 digits
-
-    def one(b: bytes | None) -> Decimal | None:
-        if not b:
-            return None
-        if b[0] == 0x80:
-            return Decimal(0)
-        positive = b[0] > 0x80
-        exponent = (b[0] if positive else ~b[0] & 0xFF) - 0x80 - 65
-        digits = [x - 1 for x in b[1:]] if positive else [101 - x for x in b[1:] if x != 102]
-        n = 0
-        for d in digits:
-            n = n * 100 + d
-        return wide.scaleb(Decimal(n if positive else -n), 2 * (exponent - len(digits) + 1)).quantize(Decimal("1e-10"), context=wide)
-
-    return v.map(one)
+    text = F.hex(v)
+    byte = lambda i: F.conv(F.substring(text, 2 * i - 1, F.lit(2)), 16, 10).cast("int")
+    head, n = byte(F.lit(1)), F.octet_length(v)
+    positive = head > 128
+    codes = F.transform(F.slice(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), F.lit(2), F.greatest(n - 1, F.lit(0))), byte)
+    digits = F.transform(F.filter(codes, lambda x: positive | (x != 102)), lambda x: F.when(positive, x - 1).otherwise(101 - x))
+    exponent = F.when(positive, head).otherwise(255 - head) - 128 - 65
+    number = F.concat(F.when(positive, "").otherwise("-"), F.array_join(F.transform(digits, lambda d: F.lpad(d.cast("string"), 2, "0")), ""), F.lit("E"), (2 * (exponent - F.size(digits) + 1)).cast("string"))
+    return F.when(head == 128, F.lit(0).cast("decimal(38,10)")).when(n > 1, number.try_cast("decimal(38,10)"))
 
 
 def _array(v: Column) -> Column:
@@ -95,7 +85,7 @@ DECODERS: dict[str, Callable[[Column], Column]] = {
     "BOOLEAN": lambda v: v == F.lit(b"\x01"),
     "FLOAT": lambda v: _float(v),
     "DOUBLE": lambda v: _double(v),
-    "DECIMAL": lambda v: _decimal(v),
+    "DECIMAL": _decimal,
     "VARCHAR ARRAY": _array,
     "VARBINARY": lambda v: v,
     "BINARY": lambda v: v,

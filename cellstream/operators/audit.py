@@ -59,7 +59,27 @@ def out_of_order(df: DataFrame, key: str, sequence: str) -> DataFrame:
     return df.withColumn("before", F.lag(sequence).over(w)).where(F.col("before") > F.col(sequence)).select(P, O, key, sequence, "before")
 
 
-def storage(df: DataFrame) -> DataFrame:
-    """Files, bytes and rows of what a file-based DataFrame reads."""
-    files = df.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).agg(F.count("*").alias("n"))
-    return files.agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.sum("n").alias("n_rows"))
+def gap_ranges(df: DataFrame, span: int = 1 << 20) -> DataFrame:
+    """Per partition, the ranges of offsets that are missing between its least and its largest: first_missing, last_missing, n_missing.
+
+    Offsets are dealt out by ranges of `span` of them, so the most that one task sorts is a range, whatever a partition holds;
+    what is missing between two ranges comes from their edges, one row a range.
+    """
+    at = df.select(P, O, F.floor(F.col(O) / span).alias("__range")).repartition(P, "__range").groupBy(P, "__range", O).agg(F.lit(1).alias("__one"))
+    missing_before = lambda t, first, last, w: t.withColumn("__before", F.lag(last).over(w)).where(F.col(first) > F.col("__before") + 1).select(P, (F.col("__before") + 1).alias("first_missing"), (F.col(first) - 1).alias("last_missing"))
+    within = missing_before(at, O, O, Window.partitionBy(P, "__range").orderBy(O))
+    edges = at.groupBy(P, "__range").agg(F.min(O).alias("__low"), F.max(O).alias("__high"))
+    between = missing_before(edges, "__low", "__high", Window.partitionBy(P).orderBy("__range"))
+    return within.unionAll(between).withColumn("n_missing", F.col("last_missing") - F.col("first_missing") + 1)
+
+
+def second_read(gaps: DataFrame) -> DataFrame:
+    """Per partition with gaps, where to read again: from start, up to end (exclusive), as brokers' offsets go; n_missing of what lies there is wanted."""
+    return gaps.groupBy(P).agg(F.min("first_missing").alias("start"), (F.max("last_missing") + 1).alias("end"), F.sum("n_missing").alias("n_missing"))
+
+
+def refill(source: DataFrame, landed: DataFrame, span: int = 1 << 20) -> DataFrame:
+    """Rows of source, of the same columns, at offsets that landed lacks between its least and its largest, by partition."""
+    again = second_read(gap_ranges(landed, span)).select(P, "start", "end")  # a row a partition
+    wanted = source.join(again, P).where((F.col(O) >= F.col("start")) & (F.col(O) < F.col("end"))).drop("start", "end")
+    return missing(wanted.select(source.columns), landed, [P, O])

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,11 +67,16 @@ def written(run: str | Column) -> Column:
 
 def last_named(puts: str | Column, qualifier: str) -> Column:
     """The last value of a column among written cells."""
-    name = qualifier.strip("".join(map(chr, range(33))))
-    name = name.upper() if any("a" <= c <= "z" for c in name) else name
+    name = normal_name(qualifier)
     return F.try_element_at(F.filter(puts, lambda c: c["name"] == name), F.lit(-1))["value"]
 
 
+def normal_name(qualifier: str) -> str:
+    """A column's normal name, as names.column_name gives it."""
+    name = qualifier.strip("".join(map(chr, range(33))))
+    return name.upper() if any("a" <= c <= "z" for c in name) else name
+
+
 def event_time(run: str | Column) -> Column:
     return F.array_max(F.transform(run, lambda c: c["ts"]))
 
@@ -110,8 +115,11 @@ def row_events(entries: DataFrame, spec: TableSpec, extra: dict[str, Column] | N
     """
     t = runs(entries).where(in_families("run", spec.families))
     keys = rowkey.split(F.col("row"), [(p, spec.of(p).source) for p in spec.pk], spec.salt, spec.sizes)
-    raw = {f.name: last_named("__written", f.name) for f in spec.values()}
-    t = t.withColumn("__written", written("run")).withColumns({f"__{k}": c for k, c in raw.items()} | {f"__pk_{k}": c for k, c in keys.items()})
+    # Names and values of what was written, last first: a column's value is at its name's first place.
+    t = t.withColumn("__written", F.reverse(written("run")))
+    t = t.withColumn("__names", F.transform("__written", lambda c: c["name"])).withColumn("__values", F.transform("__written", lambda c: c["value"]))
+    at = lambda name: (F.array_position("__names", F.lit(normal_name(name))) - 1).cast("int")
+    t = t.withColumns({f"__{f.name}": F.get("__values", at(f.name)) for f in spec.values()} | {f"__pk_{k}": c for k, c in keys.items()})
     faults = [F.when(F.col("row").isNull() | (F.octet_length("row") == 0), F.lit(f"{spec.name}: no row key"))]
     faults += [F.when(F.col(f"__pk_{p}").isNull(), F.lit(f"{spec.name}.{p}: not in the row key")) for p in spec.pk]
     values = {f.name: typed(F.col(f"__{f.name}"), f, f"{spec.name}.{f.name}") for f in spec.values()}
@@ -132,3 +140,23 @@ def split_errors(events: DataFrame, policy: str = "skip") -> tuple[DataFrame, Da
     if policy == "fail":
         return events.where(F.when(F.col("_error").isNotNull(), F.raise_error(F.col("_error")).cast("boolean")).otherwise(True)).drop("_error"), bad
     return events.where("_error is null").drop("_error"), bad
+
+
+def marked(events: DataFrame) -> DataFrame:
+    """Events with quarantined, 1 where they have an error, else 0."""
+    return events.withColumn("quarantined", F.col("_error").isNotNull().cast("int"))
+
+
+def landed_split(events: DataFrame, path: str, mode: str = "append") -> None:
+    """Writes good and broken events to one dataset, each in its part; events are evaluated once, and nothing is shuffled. Read them by good_of and broken_of."""
+    marked(events).write.mode(mode).partitionBy("quarantined").parquet(path)
+
+
+def good_of(spark: SparkSession, path: str) -> DataFrame:
+    """The good rows of a split dataset; no file of the others is read."""
+    return spark.read.parquet(path).where("quarantined = 0").drop("quarantined", "_error")
+
+
+def broken_of(spark: SparkSession, path: str) -> DataFrame:
+    """The broken rows of a split dataset."""
+    return spark.read.parquet(path).where("quarantined = 1").drop("quarantined")

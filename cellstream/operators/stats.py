@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import threading
+from collections import Counter
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from .cells import in_families, run_starts, runs
 
 
+def _sizes(cells: Column, families: Iterable[str], starts: Column | None = None) -> Column:
+    """Cells of each run of an entry; of filtered ones, the negative."""
+    starts = run_starts() if starts is None else starts
+    end = lambda i: F.coalesce(F.get(starts, i + 1), F.size(cells))
+    return F.transform(starts, lambda s, i: F.when(in_families(F.slice(cells, s + 1, end(i) - s), families), end(i) - s).otherwise(s - end(i)))
+
+
 def entry_summary(entries: DataFrame, families: Iterable[str] = (), *more: str | Column) -> DataFrame:
     """Per entry that has cells: wal_seq, more columns, rows seen, sent and filtered, cells seen, most cells of a sent row. An entry is one row, so nothing is shuffled."""
-    cut = entries.where(F.size("cells") > 0).withColumn("__starts", run_starts())
-    end = lambda i: F.coalesce(F.get("__starts", i + 1), F.size("cells"))
-    sizes = F.transform("__starts", lambda s, i: F.when(in_families(F.slice("cells", s + 1, end(i) - s), families), end(i) - s).otherwise(s - end(i)))
-    sized = cut.withColumn("__sizes", sizes)  # of filtered rows, the negative
+    sized = entries.where(F.size("cells") > 0).withColumn("__starts", run_starts()).withColumn("__sizes", _sizes(F.col("cells"), families, F.col("__starts")))
     return sized.select(
         "wal_seq", *more, F.size("__sizes").cast("bigint").alias("rows_seen"), F.size(F.filter("__sizes", lambda n: n > 0)).cast("bigint").alias("rows_sent"),
         F.size(F.filter("__sizes", lambda n: n < 0)).cast("bigint").alias("rows_filtered"), F.size("cells").cast("bigint").alias("cells_seen"),
@@ -63,7 +70,63 @@ def filled(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def filled_quantile(histogram: DataFrame, q: float) -> DataFrame:
-    """The least number of filled columns that a share q of rows doesn't exceed, from the histogram of at most as many rows as columns."""
-    whole = histogram.agg(F.sum("n_rows").alias("all"))
-    below = histogram.alias("a").join(F.broadcast(histogram).alias("b"), F.col("b.filled") <= F.col("a.filled")).groupBy("a.filled").agg(F.sum("b.n_rows").alias("up_to"))
-    return below.crossJoin(F.broadcast(whole)).where(F.col("up_to") >= q * F.col("all")).agg(F.min("filled").alias("filled"))
+    """The least number of filled columns that a share q of rows doesn't exceed, from the histogram of at most as many rows as columns, which is read once."""
+    up_to = F.sum("n_rows").over(Window.orderBy("filled"))
+    whole = F.sum("n_rows").over(Window.orderBy("filled").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return histogram.select("filled", up_to.alias("up_to"), whole.alias("all")).where(F.col("up_to") >= q * F.col("all")).agg(F.min("filled").alias("filled"))
+
+
+def fill_sketches(df: DataFrame, columns: list[str], by: list[str], k: int = 400) -> DataFrame:
+    """Per key of `by`, such as table and month: a quantile sketch of the rows' numbers of columns that aren't null, and n_rows. Sketches of whatever keys merge."""
+    n = F.size(F.filter(F.array(*[F.col(c).isNotNull() for c in columns]), lambda x: x)).cast("bigint")
+    return df.groupBy(*by).agg(F.kll_sketch_agg_bigint(n, F.lit(k)).alias("sketch"), F.count("*").alias("n_rows"))
+
+
+def capacity(sketches: DataFrame, options: DataFrame, table: str = "table", q: float = 0.95) -> DataFrame:
+    """Per table: n_rows, p50, p95 (or what q is) and p99 of filled columns by the merged sketches, and suggested, a capacity hint.
+
+    The hint is that quantile, for columns that are filled in a usual row, and what every row has besides: n_pk key columns and n_meta
+    declared metadata columns, of options (a row a table, see declared_columns). Ranks are right within the sketches' bound, about
+    1.7 % at k = 200 and less than 1 % at 400; up to k rows they are exact. One pass over the sketches, whatever the rows behind them.
+    """
+    merged = sketches.groupBy(table).agg(F.kll_merge_agg_bigint("sketch").alias("sketch"), F.sum("n_rows").alias("n_rows"))
+    at = lambda rank: F.kll_sketch_get_quantile_bigint("sketch", F.lit(rank))
+    t = merged.select(table, "n_rows", at(0.5).alias("p50"), at(q).alias("p95"), at(0.99).alias("p99")).join(options, table, "left")
+    return t.select(table, "n_rows", "p50", "p95", "p99", (F.col("p95") + F.coalesce("n_pk", F.lit(0)) + F.coalesce("n_meta", F.lit(0))).alias("suggested"))
+
+
+def declared_columns(catalog: DataFrame) -> DataFrame:
+    """Per table of a schema catalog: n_pk, n_meta and the hint it has."""
+    return catalog.groupBy("table").agg(F.count("pk_pos").cast("int").alias("n_pk"), F.count_if(F.col("name").isin("_event_ts", "_delete", "_wal_seq", "_wal_write_time")).cast("int").alias("n_meta"), F.max("hint").alias("hint"))
+
+
+def counters(families: Iterable[str] = ()) -> dict[str, Column]:
+    """Aggregates over entries that give the totals of run_totals, with no row for each entry between."""
+    filtered = F.size(F.filter(_sizes(F.col("cells"), families), lambda n: n < 0))
+    some = F.size("cells") > 0
+    total = lambda c: F.coalesce(F.sum(F.when(some, c).cast("bigint")), F.lit(0).cast("bigint"))
+    return {"entries": F.count_if(some), "rows": total(F.size(run_starts())), "cells": total(F.size("cells")), "filtered": total(filtered)}
+
+
+class RunTotals(StreamingQueryListener):
+    """Sums of the counters that running jobs observe in their micro-batches, by name; they cost no pass of their own.
+
+    Add it by spark.streams.addListener and give its `name` to the job.
+    """
+
+    def __init__(self, name: str):
+        self.name, self.totals, self.ended = name, Counter(), threading.Event()
+
+    def onQueryStarted(self, event: object) -> None:
+        self.ended.clear()
+
+    def onQueryProgress(self, event: object) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        if row is not None:
+            self.totals.update({k: v for k, v in row.asDict().items() if v is not None})
+
+    def onQueryIdle(self, event: object) -> None:
+        pass
+
+    def onQueryTerminated(self, event: object) -> None:
+        self.ended.set()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import coerce, envelope, names, times
-from ..operators import audit, landing, months, schemas, stats
+from ..operators import audit, cells, landing, months, schemas, stats
 from ..scratch import new_path
 from ..sources import catalog, topics
 from ..streaming import jobs
@@ -89,13 +89,27 @@ def missing_fields_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.with_defaults(t, {"event_type": "none", "version": 0})
 
 
-@query("select event_id % 4 = 0 as bad, count(*) as n from events group by 1")
+@query("select event_id % 4 = 0 as bad, count(*) as n, sum(event_id)::bigint as ids from events group by 1")
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.cells import split_errors
-
-    t = _events(spark, sf_dir).select("k", F.when(F.col("k") % 4 == 0, F.lit("broken")).alias("_error"))
-    good, bad = split_errors(t)
-    return good.agg(F.lit(False).alias("bad"), F.count("*").alias("n")).unionAll(bad.agg(F.lit(True).alias("bad"), F.count("*").alias("n")))
+    """Good and broken rows, written in one pass over their source and read apart."""
+    path = new_path(spark, "split")
+    cells.landed_split(_events(spark, sf_dir).select("k", F.when(F.col("k") % 4 == 0, F.lit("broken")).alias("_error")), path)
+    both = cells.good_of(spark, path).select("k", F.lit(False).alias("bad")).unionAll(cells.broken_of(spark, path).select("k", F.lit(True).alias("bad")))
+    return both.groupBy("bad").agg(F.count("*").alias("n"), F.sum("k").alias("ids"))
+
+
+@query("""select event_id as k, case when event_id % 11 <> 0 then user_id end as schema_id, case when event_id % 11 <> 0 and event_id % 13 <> 0 and event_id % 7 <> 0 then user_id end as n, case when event_id % 11 <> 0 and event_id % 13 <> 0 then event_type end as tag,
+case when event_id % 11 <> 0 and event_id % 13 <> 0 then case when event_id % 5 = 0 then 'none' else event_type || event_id end end as note,
+case when event_id % 11 = 0 then 'no framed message' when event_id % 13 = 0 then 'the body can''t be read' when event_id % 7 = 0 then 'n: not a long: x' || user_id end as error from events""")
+def typed_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Framed bodies as typed columns: some values aren't framed, some bodies can't be read, some fields are of another kind, some are absent."""
+    k, user = F.col("k"), F.col("user_id").cast("string")
+    text = F.concat(F.lit('{"n": "'), F.when(k % 7 == 0, "x").otherwise(""), user, F.lit('", "tags": {"t": "'), "event_type", F.lit('"}'), F.when(k % 5 != 0, F.concat(F.lit(', "note": "'), "event_type", k.cast("string"), F.lit('"'))).otherwise(""), F.when(k % 13 != 0, "}").otherwise(""))
+    body = F.encode(text, "UTF-8")
+    t = _events(spark, sf_dir).select("k", F.when(k % 11 == 0, F.concat(F.lit(b"\x01"), body)).otherwise(envelope.framed(body, F.col("user_id"))).alias("value"))
+    got = topics.typed(t, {"n": "long", "tags": ("map", "string"), "note": coerce.Default("string", "none")})
+    ok = F.col("schema_id").isNotNull() & (k % 13 != 0)
+    return got.select("k", "schema_id", "n", F.when(ok, F.try_element_at("tags", F.lit("t"))).alias("tag"), F.when(ok, F.col("note")).alias("note"), F.col("_error").alias("error"))
 
 
 @query("""select event_id, lower(hex(unhex('00' || '0000002A') || encode(event_type))) as value, (user_id % 3)::varchar as key, 'ns_events' as topic from events""")
@@ -334,6 +348,28 @@ def offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.offset_gaps(landed(spark, sf_dir))
 
 
+_GAPS = """offs as (select distinct __kafka_partition, __kafka_offset as o from {0}), steps as (select __kafka_partition, o, lag(o) over (partition by __kafka_partition order by o) as b from offs),
+gaps as (select __kafka_partition, b + 1 as first_missing, o - 1 as last_missing, o - b - 1 as n_missing from steps where o > b + 1)"""
+_SHORT = "short as (select * from raw where event_id % 89 <> 0)"
+
+
+@query(f"with {TOPIC_SQL}, {_GAPS.format('raw')} select * from gaps")
+def gap_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.gap_ranges(landed(spark, sf_dir), span=256)
+
+
+@query(f"with {TOPIC_SQL}, {_GAPS.format('raw')} select __kafka_partition, min(first_missing) as start, max(last_missing) + 1 as \"end\", sum(n_missing)::bigint as n_missing from gaps group by 1")
+def gap_second_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.second_read(audit.gap_ranges(landed(spark, sf_dir), span=256))
+
+
+@query(f"with {TOPIC_SQL}, {_SHORT}, {_GAPS.format('short')} select event_id, copy from raw r where exists (select 1 from gaps g where g.__kafka_partition = r.__kafka_partition and __kafka_offset between first_missing and last_missing)")
+def gap_refill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a read that missed rows lacks between its least and largest offsets, from the whole topic."""
+    whole = landed(spark, sf_dir)
+    return audit.refill(whole, whole.where("event_id % 89 <> 0"), span=256).select("event_id", "copy")
+
+
 @query(f"with {TOPIC_SQL} select __kafka_partition, count(*) as n_rows from raw group by 1")
 def rows_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.rows_per_partition(landed(spark, sf_dir))
@@ -398,6 +434,19 @@ def field_fill_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.filled_quantile(stats.filled(_wide(spark, sf_dir), list(_WIDE)), 0.95)
 
 
+@query(f"""with f as (select lang, filled from (select lang, ({' + '.join(f"(doc_id % {m} <> 0 and {c} is not null)::int" for c, m in _WIDE.items())})::int as filled from documents)),
+h as (select lang, filled, sum(count(*)) over (partition by lang order by filled) as n, sum(count(*)) over (partition by lang) as a from f group by 1, 2),
+q as (select lang, max(a)::bigint as n_rows, min(filled) filter (n >= 0.5 * a) as p50, min(filled) filter (n >= 0.95 * a) as p95, min(filled) filter (n >= 0.99 * a) as p99 from h group by 1)
+select lang, n_rows, p50::bigint as p50, p95::bigint as p95, p99::bigint as p99, (p95 + length(lang) + 2)::bigint as suggested from q""")
+def capacity_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capacity hints of tables (the languages here, with keys of as many columns as their names have letters) from sketches by table and month."""
+    t = table(spark, sf_dir, "documents").where("lang is not null").withColumn("month", F.col("doc_id") % 12)
+    filled = t.select("lang", "month", *[F.when(F.col("doc_id") % m != 0, F.col(c)).alias(f"c{i}") for i, (c, m) in enumerate(_WIDE.items())])
+    sketches = stats.fill_sketches(filled, [f"c{i}" for i in range(len(_WIDE))], ["lang", "month"], k=4096)
+    options = t.select("lang", F.length("lang").alias("n_pk"), F.lit(2).alias("n_meta")).distinct()
+    return stats.capacity(sketches, options, "lang")
+
+
 @query(f"""with {TOPIC_SQL} select (year(__ingest_ts) * 100 + month(__ingest_ts))::int as ym, count(distinct event_id % 3) as parts, true as files_ok, true as bytes_ok, count(*) as n_rows from raw group by 1""")
 def storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts, files, bytes and rows of the months of a dataset that three jobs wrote to; SQL knows no files, so of these the query tells whether there are enough."""
@@ -535,6 +584,40 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select(*K, "event_id")
 
 
+@query(f"""with {CELLS_SQL} select count(distinct wal_seq) as entries, count(*) as n_rows, sum(n_cells)::bigint as cells, count(*) filter (not sent) as filtered from rows""")
+def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of a stream, observed while it runs in three micro-batches and, later, one more."""
+    log, out = new_path(spark, "log"), new_path(spark, "events")
+    seen = stats.RunTotals("totals")
+    spark.streams.addListener(seen)
+    try:
+        for half in (0, 1):
+            entries(spark, sf_dir).where(F.col("wal_seq") % 2 == half).repartition(3 - 2 * half, "wal_seq").write.mode("append").parquet(log)
+            _run(spark, lambda p, c: jobs.change_events(jobs.change_log(spark, log), SPEC, p, c, totals=seen.name), out, f"{out}-checkpoint")
+            seen.ended.wait(60)
+    finally:
+        spark.streams.removeListener(seen)
+    t = seen.totals
+    return spark.createDataFrame([(t["entries"], t["rows"], t["cells"], t["filtered"])], "entries bigint, n_rows bigint, cells bigint, filtered bigint")
+
+
+@query("""with f as (select event_type as subject, (user_id % 12)::int as part, event_id as seq, case when event_id % 31 <> 0 then 'v' || (event_id // 97 % 3) end as fingerprint from events),
+b as (select *, lag(fingerprint) over (partition by subject, part order by seq) as before from f where fingerprint is not null)
+select subject, part, seq, before, fingerprint as after from b where before <> fingerprint""")
+def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of the schemas of a stream of frames, in two runs of one checkpoint; the second has some frames of the first again."""
+    topic, out = new_path(spark, "frames"), new_path(spark, "drift")
+    e = _events(spark, sf_dir)
+    fingerprint = F.when(F.col("k") % 31 != 0, F.concat(F.lit("v"), (F.floor(F.col("k") / 97) % 3).cast("string")))
+    frames = e.select(F.col("event_type").alias("subject"), (F.col("user_id") % 12).cast("int").alias("part"), F.col("k").alias("seq"), fingerprint.alias("fingerprint"))
+    middle = e.agg((F.min("k") + F.max("k")) / 2).first()[0]
+    schema = "subject string, part int, seq bigint, fingerprint string"
+    for run in (F.col("seq") <= middle, (F.col("seq") > middle) | (F.col("seq") % 5 == 0)):
+        frames.where(run).repartition(2, "subject", "part").write.mode("append").parquet(topic)
+        _run(spark, lambda p, c: jobs.schema_drift(spark.readStream.schema(schema).parquet(topic), p, c), out, f"{out}-checkpoint")
+    return spark.read.parquet(out)
+
+
 @query(f"""with {CELLS_SQL}, e as (select wal_seq, wal_write_time, count(*) as r, sum(n_cells) as n, count(*) filter (not sent) as f from rows join written using (wal_seq) group by all),
 w as (select *, time_bucket(interval 1 hour, make_timestamp(wal_write_time * 1000)) as s from e)
 select s as window_start, count(*) as entries, sum(r)::bigint as n_rows, sum(n)::bigint as cells, sum(f)::bigint as filtered from w where s + interval 1 hour <= (select max(make_timestamp(wal_write_time * 1000)) - interval 1 minute from e) group by 1""")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import coerce, decode, encode, names, rowkey, times
-from ..operators import cells, stats
+from ..operators import cells, order, stats
 from ..spec import TableSpec
 from .fixtures import CELLS_SQL, FAMILIES, SPEC, entries, keys, table
 
@@ -221,11 +221,10 @@ def key_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys(spark, sf_dir).select("event_id", rowkey.preview(F.col("key")).alias("preview"))
 
 
-@query("""select event_id, row_number() over (partition by event_type order by k) as place from (select event_id, event_type, lpad((event_id % 8)::varchar, 2, '0') || hex(encode(event_type)) || '00' || '80' || lpad(hex(event_id), 14, '0') as k from events)""")
+@query("""select event_id, row_number() over (order by k) as place from (select event_id, event_type, lpad((event_id % 8)::varchar, 2, '0') || hex(encode(event_type)) || '00' || '80' || lpad(hex(event_id), 14, '0') as k from events)""")
 def key_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    return keys(spark, sf_dir).select("event_id", F.row_number().over(Window.partitionBy("event_type").orderBy("key")).cast("bigint").alias("place"))
+    """Places of all row keys in their byte order."""
+    return order.places(keys(spark, sf_dir).select("event_id", "key"), ["key"]).select("event_id", "place")
 
 
 @query("select case when event_id % 97 = 0 then 'ns:events.event_id: not in the row key' end as error, count(*) as n from events group by 1")
