@@ -67,14 +67,14 @@ def learned_features(labelled: DataFrame, each: int = 7, longest: int = 3) -> li
 def posteriors(docs: DataFrame, labelled: DataFrame, evidence: float = 100.0, each: int = 7) -> tuple[DataFrame, list[str]]:
     """docs with tokens (words of the text) and p, an array of posteriors by domain, and the domains, sorted.
 
-    labelled: text and domain; rows without either don't count. The model, one number a domain and
+    labelled: text and domain; rows without either don't count; they are written once and read thrice. The model, one number a domain and
     feature, and what it is picked from (learned_features) are all that reaches the driver. evidence: occurrences of
     features that a text counts for at most, so that a long text of several domains isn't all of one. each: features picked for
     each domain; a text is searched once for each feature, so the work grows with the domains.
     A text without any feature has the priors. More than DOMAINS domains are an error.
     """
     taken = [*docs.columns, "tokens", "p"]
-    rows = labelled.where("text is not null and domain is not null").select("text", F.col("domain").cast("string").alias("domain"))
+    rows = stored(labelled.where("text is not null and domain is not null").select("text", F.col("domain").cast("string").alias("domain")), "labelled")
     priors = rows.groupBy("domain").agg(F.count("*").alias("n")).orderBy("domain").limit(DOMAINS + 1).collect()
     if len(priors) > DOMAINS:
         raise ValueError(f"more than {DOMAINS} domains among the labelled rows")
