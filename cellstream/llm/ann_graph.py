@@ -4,12 +4,14 @@ Rows are dealt to shards of bounded size by a hash. A shard's graph grows by bat
 search from the shard's medoid proposes neighbours of each new row; of these, the nearest is kept
 and all are dropped that are nearer to it, by a relaxation factor, than to the new row, again and
 again, so that kept edges point in diverse directions; edges back are added and pruned likewise.
-Graphs are written once; blocks of queries then beam-search every shard, and the best of a query's
-shards are merged.
+Graphs are written once; queries then pass by every shard in batches and beam-search it, and the best
+of a query's shards are merged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -138,8 +140,8 @@ def _linked_up(x: np.ndarray, edges: np.ndarray, medoid: int) -> tuple[np.ndarra
 def _built(p: pd.DataFrame, degree: int, width: int, relax: float) -> pd.DataFrame:
     out = []
     for d, g in p.groupby(p["embedding"].str.len()):
-        all_x = np.stack(g["embedding"].to_numpy()).astype(np.float32)
-        x, node = np.unique(all_x, axis=0, return_inverse=True)
+        x, node = np.unique(np.stack(g["embedding"].to_numpy()), axis=0, return_inverse=True)
+        x = x.astype(np.float32)
         edges, medoid = _grown(x, degree, width, relax)
         edges, starts = _linked_up(x, edges, medoid)
         start = np.zeros(len(x), bool)
@@ -152,57 +154,81 @@ def _built(p: pd.DataFrame, degree: int, width: int, relax: float) -> pd.DataFra
     return pd.DataFrame(out, columns=["shard", "d", "node", "vec_id", "embedding", "edges", "start"])
 
 
-def _searched(p: pd.DataFrame, q: pd.DataFrame, k: int, width: int) -> pd.DataFrame:
-    out = []
-    for d, g in p.groupby("d") if len(p) and len(q) else []:
-        own = q[q["embedding"].str.len() == d]
-        if not len(own):
-            continue
-        n = int(g["node"].max()) + 1
-        x, edges = np.zeros((n, d), np.float32), np.full((n, max(1, int(g["edges"].str.len().max()))), -1)
-        members: list[list[int]] = [[] for _ in range(n)]
-        for node, vec_id, e, to in zip(g["node"], g["vec_id"], g["embedding"], g["edges"]):
-            x[node] = e
-            members[node].append(vec_id)
+class Shard:
+    """The graph of one shard and one length of vectors."""
+
+    def __init__(self, g: pd.DataFrame):
+        n, d = int(g["node"].max()) + 1, int(g["d"].iloc[0])
+        self.vectors, self.edges = np.zeros((n, d)), np.full((n, max(1, int(g["edges"].str.len().max()))), -1)
+        self.members: list[list[int]] = [[] for _ in range(n)]
+        for node, vec_id, e, to in zip(g["node"].astype(int), g["vec_id"].astype(int), g["embedding"], g["edges"]):
+            self.vectors[node] = e
+            self.members[node].append(vec_id)
             if len(to):
-                edges[node, : len(to)] = to
-        for m in members:
+                self.edges[node, : len(to)] = to
+        for m in self.members:
             m.sort()
-        starts = np.unique(g.loc[g["start"], "node"].to_numpy())
-        y = np.stack(own["embedding"].to_numpy()).astype(np.float32)
-        wide = max(width, 2 * k + 2, len(starts) + k + 1)
+        self.starts = np.unique(g.loc[g["start"].astype(bool), "node"].to_numpy(np.int64))
+        self.x = self.vectors.astype(np.float32)  # for the beam; scores come from the vectors as they are
+
+    def answers(self, q: pd.DataFrame, k: int, width: int) -> list[tuple[int, int, float]]:
+        out = []
+        y = np.stack(q["embedding"].to_numpy())
+        wide = max(width, 2 * k + 2, len(self.starts) + k + 1)
         for i in range(0, len(y), 512):
-            ids, _ = _beam(x, edges, starts, y[i : i + 512], wide)
-            for query, e, near in zip(own["vec_id"].iloc[i : i + 512], y[i : i + 512].astype(np.float64), ids):
+            ids, _ = _beam(self.x, self.edges, self.starts, y[i : i + 512].astype(np.float32), wide)
+            for query, e, near in zip(q["vec_id"].iloc[i : i + 512].tolist(), y[i : i + 512], ids):
                 near = near[near >= 0]
-                score = np.sqrt(((x[near].astype(np.float64) - e) ** 2).sum(1))
-                best = sorted((s, v) for s, node in zip(score, near) for v in members[node][: k + 1] if v != query)[:k]
+                score = np.sqrt(((self.vectors[near] - e) ** 2).sum(1))
+                best = sorted((s, v) for s, node in zip(score.tolist(), near.tolist()) for v in self.members[node][: k + 1] if v != query)[:k]
                 out.extend((query, v, s) for s, v in best)
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = 8192, degree: int = 32, build_width: int = 64, width: int = 128, relax: float = 1.2, block: int = 4096) -> DataFrame:
+        return out
+
+
+def _searched(parts: Iterator[pd.DataFrame], k: int, width: int) -> Iterator[pd.DataFrame]:
+    """Answers from a stream of rows in order of shard, in each those of the index before those that ask: a shard is loaded once, and queries pass by in batches."""
+    now, rows, loaded = None, [], None
+    for part in parts:
+        for (shard, asks), g in part.groupby(["shard", "asks"]):
+            if shard != now:
+                now, rows, loaded = shard, [], None
+            if not asks:
+                rows.append(g)
+                continue
+            if loaded is None:
+                loaded = {d: Shard(own) for d, own in pd.concat(rows).groupby("d")} if rows else {}
+                rows = []
+            found = [x for d, own in g.groupby("d") if d in loaded for x in loaded[d].answers(own, k, width)]
+            if found:
+                yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = 8192, degree: int = 32, build_width: int = 64, width: int = 128, relax: float = 1.2) -> DataFrame:
     """The k nearest found of each query: query_id, rank (from 1), vec_id, score.
 
     vectors and queries: vec_id, embedding. score is the Euclidean distance of the original vectors in
     double precision, ties go to the smaller vec_id; a row of the query's own vec_id is no candidate.
     All rows are indexed, in shards of about `shard`; degree, build_width, relax: edges a node keeps,
     the beam that proposes them, and how much nearer a kept edge must be to drop another; width: the
-    beam of a query in each shard; block: queries that search a shard together.
+    beam of a query in each shard. The index is shuffled once, and each query once for each shard; a task holds one shard
+    and a batch of queries.
 
     Vectors that are null, zero or hold null or non-finite components, and null ids, take no part;
     vectors of different lengths aren't compared. Equal vectors are one node, so any number of copies
     is found. A query gets all candidates if there are fewer than k. Repeated query rows are one
     query. Other columns don't matter; empty tables give no rows.
     """
-    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).where(finite_vector("embedding") & F.col("vec_id").isNotNull())
-    q = queries.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).where(finite_vector("embedding") & F.col("vec_id").isNotNull()).dropDuplicates(["vec_id"])
+    ids = lambda t: t.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where(finite_vector("embedding") & F.col("vec_id").isNotNull())
+    v, q = ids(vectors), ids(queries).dropDuplicates(["vec_id"])
     shards = max(1, -(-v.count() // shard))
-    blocks = max(1, -(-q.count() // block))
     dealt = v.withColumn("shard", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards)).cast("int"))
-    graph = dealt.groupBy("shard").applyInPandas(lambda p: _built(p, degree, build_width, relax), "shard int, d int, node int, vec_id long, embedding array<float>, edges array<int>, start boolean")
-    graph = stored(graph, "graph").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = q.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = graph.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(lambda p, a: _searched(p, a, k, width), "query_id long, vec_id long, score double")
+    row = "shard int, d int, node int, vec_id long, embedding array<double>, edges array<int>, start boolean"
+    graph = stored(dealt.groupBy("shard").applyInPandas(lambda p: _built(p, degree, build_width, relax), row), "graph").withColumn("asks", F.lit(False))
+    asked = q.select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.size("embedding").alias("d"), F.lit(0).alias("node"), "vec_id", "embedding",
+        F.expr("cast(array() as array<int>)").alias("edges"), F.lit(False).alias("start"), F.lit(True).alias("asks"),
+    )
+    rows = graph.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+    found = rows.mapInPandas(lambda parts: _searched(parts, k, width), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -391,7 +391,7 @@ def test_neighbours_recall_and_ties(spark):
     x[1400:] = x[7]  # copies
     t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
     got = {}
-    for row in ann_graph.nearest(t, t.where("vec_id % 50 = 0 or vec_id = 7"), shard=500, block=10).collect():
+    for row in ann_graph.nearest(t, t.where("vec_id % 50 = 0 or vec_id = 7"), shard=500).collect():
         got.setdefault(row["query_id"], []).append((row["rank"], row["score"], row["vec_id"]))
     hits = []
     for q, found in got.items():
@@ -404,6 +404,13 @@ def test_neighbours_recall_and_ties(spark):
     assert np.mean(hits) >= 9 and [i for *_, i in sorted(got[7])] == list(range(1400, 1410))
 
 
+def test_neighbours_of_double_vectors(spark):
+    """Distances far below what floats can hold."""
+    t = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0 + 2e-9, 2.0]), (2, [1.0 + 1e-9, 2.0]), (3, [1.0, 3.0])], "vec_id long, embedding array<double>")
+    got = ann_graph.nearest(t, t.where("vec_id = 0"), k=3).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [2, 1, 3] and np.allclose([r["score"] for r in got], [1e-9, 2e-9, 1.0], rtol=1e-6, atol=0)
+
+
 def test_neighbours_of_odd_rows(spark):
     bad = [(1, None), (2, [0.0, 0.0]), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (None, [1.0, 1.0]), (5, [1.0, 2.0]), (6, [1.0, 2.5]), (7, [1.0, 2.0, 3.0]), (8, [1.0, 2.5])]
     t = spark.createDataFrame(bad, "vec_id long, embedding array<float>")
