@@ -1,4 +1,4 @@
-"""Places in a whole order, without a task that holds it."""
+"""Places in a whole order, or in the order of groups of any size, without a task that holds it."""
 
 from __future__ import annotations
 
@@ -24,3 +24,16 @@ def places(df: DataFrame, key: list[str], place: str = "place") -> DataFrame:
     before = counts.select("__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before"))
     number = F.col("__at").bitwiseAND((1 << BITS) - 1)
     return rows.join(F.broadcast(before), "__range").withColumn(place, F.col("__before") + number + 1).select(*df.columns, place)
+
+
+def numbered(df: DataFrame, by: list[str], key: str, span: int = 1 << 16, place: str = "place") -> DataFrame:
+    """df with each row's place, from 1, among the rows of its group, in the order of an integer key without ties.
+
+    The rows of a group are dealt out by ranges of `span` keys, each numbered alone, after the counts of the group's ranges before, one
+    row each; so a task sorts `span` rows of a group at most, however large that is.
+    """
+    t = df.withColumn("__range", F.floor(F.col(key) / span))
+    counts = t.groupBy(*by, "__range").agg(F.count("*").alias("__n"))
+    before = counts.withColumn("__before", F.sum("__n").over(Window.partitionBy(*by).orderBy("__range")) - F.col("__n")).drop("__n")
+    number = F.row_number().over(Window.partitionBy(*by, "__range").orderBy(key))
+    return t.withColumn("__number", number).join(before, [*by, "__range"]).withColumn(place, F.col("__before") + F.col("__number")).select(*df.columns, place)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from ..functions import coerce
-from ..sources.catalog import spec
+from ..sources.catalog import kind_of_type, spec
 
 
 def diff(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -88,3 +92,21 @@ def coverage(catalog: DataFrame, table: str, target: StructType) -> DataFrame:
         rows.append((f.name, role, kinds[f.name], of and of.simpleString(), status))
     rows += [(f.name, None, None, f.dataType.simpleString(), "extra") for f in target if f.name.lower() in have]
     return catalog.sparkSession.createDataFrame(rows, "name string, role string, record_type string, target_type string, status string")
+
+
+def coverages(catalog: DataFrame, targets: DataFrame) -> DataFrame:
+    """Fields of all tables of a catalog against target columns (table, name, target: JSON of a type): table, name, record_type, target and status, as in coverage.
+
+    Types are compared once for each pair of a record type and a target type, not for each field.
+    """
+    own = catalog.select("table", F.lower("name").alias("name"), "record_type")
+    t = own.join(targets.select("table", F.lower("name").alias("name"), "target"), ["table", "name"], "full")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            yield p.assign(match=[matched(kind_of_type(r), T.StructType.fromJson({"type": "struct", "fields": [{"name": "x", "type": json.loads(x), "nullable": True, "metadata": {}}]})[0].dataType) for r, x in zip(p["record_type"], p["target"])])
+
+    pairs = t.select("record_type", "target").where("record_type is not null and target is not null").distinct()
+    match = pairs.mapInPandas(run, "record_type string, target string, match string")
+    status = F.when(F.col("target").isNull(), "missing").when(F.col("record_type").isNull(), "extra").otherwise(F.col("match"))
+    return t.join(match, ["record_type", "target"], "left").select("table", "name", "record_type", "target", status.alias("status"))

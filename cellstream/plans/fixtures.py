@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import encode, times
+from ..operators import order
 from ..spec import TableSpec
 
 FAMILIES = ("d", "b")
@@ -58,7 +59,7 @@ rows as (
 def topic_rows(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFrame:
     """events as a topic of 12 partitions, with gaps, duplicates and null broker times; second: another read that missed some."""
     e = table(spark, sf_dir, "events").withColumn("part", (F.col("user_id") % 12).cast("int"))
-    e = e.withColumn("offset", (F.row_number().over(Window.partitionBy("part").orderBy("event_id")) - 1).cast("bigint")).where("event_id % 101 <> 0")
+    e = order.numbered(e, ["part"], "event_id").withColumn("offset", F.col("place") - 1).where("event_id % 101 <> 0")
     if second:
         e = e.where("event_id % 89 <> 0")
     e = e.withColumn("copy", F.explode(F.when(F.col("event_id") % 103 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))

@@ -479,6 +479,18 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.drift(*catalogs(spark, sf_dir))
 
 
+@query(f"""with {CATALOG_SQL}, t as (select coalesce(o."table", n."table") as "table", lower(coalesce(o.name || '_' || o.pos, n.name || '_' || n.pos)) as name, o.record_type,
+case n.record_type when 'long' then if(n.pos % 3 = 0, '"integer"', '"long"') when 'double' then if(n.pos % 4 = 0, '"float"', '"double"') when 'bytes' then '"binary"' when 'string' then '"string"' end as target
+from old_c o full join new_c n on o."table" = n."table" and o.name || '_' || o.pos = n.name || '_' || n.pos)
+select *, case when target is null then 'missing' when record_type is null then 'extra' when record_type || target in ('long"long"', 'double"double"', 'string"string"') then 'there' else 'mismatch' end as status from t""")
+def schema_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog's fields against the columns of targets that were made from a later version of it, some of them too narrow."""
+    old, new = (t.withColumn("name", F.concat("name", F.lit("_"), F.col("pos").cast("string"))) for t in catalogs(spark, sf_dir))
+    kind, pos = F.col("record_type"), F.col("pos")
+    target = F.when(kind == "long", F.when(pos % 3 == 0, "integer").otherwise("long")).when(kind == "double", F.when(pos % 4 == 0, "float").otherwise("double")).when(kind == "bytes", "binary").otherwise(kind)
+    return schemas.coverages(old, new.select("table", "name", F.concat(F.lit('"'), target, F.lit('"')).alias("target")))
+
+
 @query(f"""with {CATALOG_SQL} select "table", greatest(0, least(8, try_cast(min(case when pos = 0 then name = 'view' end)::int * 20 - 5 as int))) as salt, count(*) as n from old_c group by 1""")
 def table_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, _ = catalogs(spark, sf_dir)

@@ -47,7 +47,8 @@ def catalog(spark: SparkSession, path: str, prefix: str = "x.") -> DataFrame:
     )
 
 
-def _kind(record_type: str, nullable: bool) -> object:
+def kind_of_type(record_type: str, nullable: bool = False) -> object:
+    """The kind of a record_type of a catalog."""
     of = json.loads(record_type) if record_type[:1] in ("{", "[") else record_type
     return kind_of(["null", of] if nullable and not isinstance(of, list) else of)
 
@@ -63,7 +64,7 @@ def spec(rows: DataFrame, table: str) -> TableSpec:
     if not found:
         raise KeyError(f"no schema of table {table}")
     keys = sorted((r for r in found if r["pk_pos"]), key=lambda r: r["pk_pos"])
-    fields = tuple(Field(r["name"], _kind(r["record_type"], r["nullable"]), r["source_type"], r["skip"]) for r in found)
+    fields = tuple(Field(r["name"], kind_of_type(r["record_type"], r["nullable"]), r["source_type"], r["skip"]) for r in found)
     return TableSpec(table, fields, tuple(r["name"] for r in keys), found[0]["salt"], tuple(found[0]["families"]), found[0]["hint"])
 
 

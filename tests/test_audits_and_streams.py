@@ -50,6 +50,13 @@ def test_places_over_all_keys(spark):
     assert order.places(t.where("false"), ["k", "id"]).count() == 0
 
 
+@pytest.mark.parametrize("span", [1, 10, 1 << 16])
+def test_places_within_groups(spark, span):
+    rows = [(g, k * 3 - 50) for g, n in (("hot", 200), ("b", 3), (None, 1)) for k in range(n)]
+    got = sorted((tuple(r) for r in order.numbered(spark.createDataFrame(rows, "g string, k long").where("g is not null"), ["g"], "k", span).collect()))
+    assert got == sorted((g, k, (k + 50) // 3 + 1) for g, k in rows if g)
+
+
 def test_sketches_within_their_bound(spark):
     r = random.Random(3)
     rows = [("t", i % 5, *[1 if r.random() < 0.5 else None for _ in range(40)]) for i in range(4000)] + [("one", 1, *[None] * 40)]
