@@ -214,7 +214,7 @@ def without_recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 8,
 
     docs: doc_id and text, and any other columns, which are kept unless they clash with the new ones; those
     are replaced. depth: leading tokens that a leaf goes by; min_docs: documents that make a
-    token part of a template, and a template recurring, fewer for long lines (_needed); min_tokens: shorter lines are left alone;
+    token part of a template, and a template recurring, fewer for long lines (needed); min_tokens: shorter lines are left alone;
     constant: least share of a template's tokens that aren't variable. Documents that look like copies
     of each other count as one: they are for the near-duplicate operator to find, whole.
 

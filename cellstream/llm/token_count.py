@@ -86,8 +86,8 @@ def token_counts(docs: DataFrame, model: str | None = None, limit: int = 4096, c
     """One row per row of docs: doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 
     model: path of a sentencepiece model; piece_bpe_32k.model of the public tokenizers by default.
-    Texts of more than `chunk` characters are encoded in chunks, so a task's memory doesn't grow with
-    its longest text; the counts are those of the whole text. Null and empty texts have 0 bytes and 0
+    Texts of more than `chunk` characters are encoded in chunks, so the tokenizer's memory doesn't grow with
+    them, but for texts without a place for a seam; a text itself is one value of its row. The counts are those of the whole text. Null and empty texts have 0 bytes and 0
     tokens. Repeated rows get a row each, a null doc_id stays null, other columns don't matter, an
     empty table gives no rows. Nothing is shuffled.
     """
