@@ -4,7 +4,8 @@ A dataset is a folder of `data/part=.../ym=...`, where each commit writes a part
 `manifests/n=...`, one JSON row a commit: which months of which parts make up the dataset from then
 on. A commit is the rename that ends Spark's write of that row, so months are replaced all at once or not
 at all. What a reader has begun to read stays where it is until vacuum(). There's one writer at a
-time; a second one is found out and fails.
+time; a second one that makes the same commit is found out: it fails, and so does every reader, until one of
+the two rows in that commit's folder is deleted.
 """
 
 from __future__ import annotations
@@ -182,9 +183,14 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> None:
     scratch.delete(spark, [f"{path}/data/part={part}/ym={ym}" for ym, part in sorted(unused)] + [f"{path}/manifests/n={m.n}" for m in gone])
 
 
+def parts(spark: SparkSession, path: str) -> DataFrame:
+    """The dataset as it is now with part, the commit's part that a row is in."""
+    now = current(spark, path)
+    return _files(spark, path, StructType.fromJson(json.loads(now.columns)), now.entries)
+
+
 def report(spark: SparkSession, path: str) -> DataFrame:
     """Per month: parts, files, bytes and rows of the dataset as it is now; from the files' metadata and row counts only."""
-    now = current(spark, path)
-    rows = _files(spark, path, StructType.fromJson(json.loads(now.columns)), now.entries)
+    rows = parts(spark, path)
     of_file = rows.groupBy("ym", "part", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).agg(F.count("*").alias("n"))
     return of_file.groupBy("ym").agg(F.count_distinct("part").alias("parts"), F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.sum("n").alias("n_rows"))

@@ -479,6 +479,14 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.drift(*catalogs(spark, sf_dir))
 
 
+@query(f"""with {CATALOG_SQL} select "table", unnest(case when name <> 'view' then [name, 'b'] else ['0'] end) as family from old_c where pos = 0""")
+def catalog_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Families by table; tables that list none have the default."""
+    old, _ = catalogs(spark, sf_dir)
+    listed = F.when(F.col("name") != "view", F.array("name", F.lit("b"))).otherwise(F.expr("cast(array() as array<string>)"))
+    return catalog.families_of(old.where("pos = 0").select("table", listed.alias("families")))
+
+
 @query(f"""with {CATALOG_SQL}, t as (select coalesce(o."table", n."table") as "table", lower(coalesce(o.name || '_' || o.pos, n.name || '_' || n.pos)) as name, o.record_type,
 case n.record_type when 'long' then if(n.pos % 3 = 0, '"integer"', '"long"') when 'double' then if(n.pos % 4 = 0, '"float"', '"double"') when 'bytes' then '"binary"' when 'string' then '"string"' end as target
 from old_c o full join new_c n on o."table" = n."table" and o.name || '_' || o.pos = n.name || '_' || n.pos)
@@ -579,6 +587,16 @@ def stream_retire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.groupBy("__kafka_partition", "ym").agg(F.count("*").alias("n_rows"), F.count_distinct("__kafka_offset").alias("n_offsets"), F.sum("event_id").alias("ids"))
 
 
+@query(f"with {TOPIC_SQL} select event_id % 4 as file, 1::bigint as batches, count(*) as n_rows from topic group by 1")
+def stream_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Back-pressure: a topic of four files, of which a micro-batch takes one; batches that each file's rows came in."""
+    topic, out = new_path(spark, "topic"), new_path(spark, "raw")
+    for k in range(4):
+        topic_rows(spark, sf_dir).where(F.col("event_id") % 4 == k).coalesce(1).write.mode("append").parquet(topic)
+    _run(spark, lambda p, c: jobs.raw(topics.read(spark, topic, streaming=True, schema=_TOPIC_ROW, block=1), _to_raw, p, c, K), out, f"{out}-checkpoint")
+    return months.parts(spark, out).groupBy((F.col("event_id") % 4).alias("file")).agg(F.count_distinct("part").alias("batches"), F.count("*").alias("n_rows"))
+
+
 @query(f"with {TOPIC_SQL} select __kafka_partition, __kafka_offset, any_value(event_id) as event_id from raw where copy = 0 group by 1, 2")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A topic with repeated offsets, streamed in two runs of one checkpoint; half of the first run's rows are replayed in the second."""

@@ -30,13 +30,16 @@ def options(servers: str, **overrides: str) -> dict[str, str]:
 
 
 def read(spark: SparkSession, where: str, topic: str | None = None, block: int = 10_000, streaming: bool = False, schema: str = TOPIC) -> DataFrame:
-    """A topic from its start: `where` is servers, with a topic, or else a folder of files of the topic's columns."""
+    """A topic from its start: `where` is servers, with a topic, or else a folder of files of the topic's columns.
+
+    block: back-pressure on streams, the most offsets of a micro-batch, or for a folder one file for each 10,000 of them, one at least.
+    """
     reader = spark.readStream if streaming else spark.read
     if topic:
         reader = reader.format("kafka").option("kafka.bootstrap.servers", where).option("subscribe", topic).option("startingOffsets", "earliest")
         return (reader.option("maxOffsetsPerTrigger", block) if streaming else reader).load()
     reader = reader.schema(schema)
-    return (reader.option("maxFilesPerTrigger", 1) if streaming else reader).parquet(where)
+    return (reader.option("maxFilesPerTrigger", max(1, block // 10_000)) if streaming else reader).parquet(where)
 
 
 def records(events: DataFrame, key: Column, value: Column, topic: Column, order: list[str], parts: int | None = None) -> DataFrame:
