@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 
 def integer(x: Column, width: int, signed: bool = True) -> Column:
-    """Big-endian bytes of an integer, with the sign bit flipped if signed."""
+    """Big-endian bytes of an integer, with the sign bit flipped if signed; of one that is out of range, the low bytes."""
     top = F.lit(1 << (8 * width - 1) if width < 8 else -(1 << 63)).cast("bigint")
     bits = x.cast("bigint").bitwiseXOR(top) if signed and width == 8 else (x.cast("bigint") + top if signed else x.cast("bigint"))
-    return F.unhex(F.lpad(F.hex(bits), 2 * width, "0"))
+    return F.unhex(F.right(F.lpad(F.hex(bits), 16, "0"), F.lit(2 * width)))
 
 
 def timestamp(ms: Column) -> Column:

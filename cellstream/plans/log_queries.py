@@ -246,9 +246,16 @@ def _round_trip(t: DataFrame, columns: dict[str, tuple[str, object, str]]) -> Da
     return raw.select("k", *[decode.decoded(F.col(n), kind).cast(as_).alias(n) for n, (kind, _, as_) in columns.items()])
 
 
-@query("""select l_orderkey * 8 + l_linenumber as k, (l_partkey % 256 - 128)::int as a, (l_partkey - 3000)::int as b, (-l_orderkey)::int as c, l_orderkey * 4000000007 as d,
-(l_partkey % 256)::int as ua, (l_partkey % 65536)::int as ub, l_orderkey * 500 as uc, l_orderkey as ud from lineitem""")
+def _wrapped(x: str, bits: int) -> str:
+    """A whole number in SQL as a signed integer of so many bits holds it."""
+    m, top = 1 << bits, 1 << (bits - 1)
+    return f"((({x} + {top}) % {m} + {m}) % {m} - {top})"
+
+
+@query(f"""select l_orderkey * 8 + l_linenumber as k, (l_partkey % 256 - 128)::int as a, {_wrapped('l_partkey - 3000', 16)}::int as b, {_wrapped('-l_orderkey', 32)}::int as c, l_orderkey * 4000000007 as d,
+(l_partkey % 256)::int as ua, (l_partkey % 65536)::int as ub, l_orderkey * 500 % 4294967296 as uc, l_orderkey as ud from lineitem""")
 def decode_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Integers of all sizes; keys that have outgrown a size come back as its low bytes hold them."""
     p, o = F.col("l_partkey"), F.col("l_orderkey")
     t = table(spark, sf_dir, "lineitem").withColumn("k", o * 8 + F.col("l_linenumber"))
     i = encode.integer

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from cellstream.functions import coerce, envelope, names
+from cellstream.functions import coerce, decode, encode, envelope, names
 from cellstream.operators import landing, months, schemas
 from cellstream.sources import catalog, topics
 from cellstream.spec import TableSpec
@@ -54,6 +54,13 @@ def test_narrowing(spark):
         t.select(coerce.narrowed(F.col("v"), 8, True, "fail")).collect()
 
 
+def test_integers_out_of_range_keep_their_low_bytes(spark):
+    t = column(spark, [32767, 32768, 146768, -32769, 7], "bigint")
+    back = lambda width, signed, kind: [r[0] for r in t.select(decode.decoded(encode.integer(F.col("v"), width, signed), kind)).collect()]
+    assert back(2, True, "SMALLINT") == [32767, -32768, 15696, 32767, 7]
+    assert back(2, False, "UNSIGNED SMALLINT") == [32767, 32768, 15696, 32767, 7]
+
+
 def test_maps_in_any_order_are_one(spark):
     t = spark.range(1).select(coerce.sorted_map(F.create_map(F.lit("b"), F.lit(1), F.lit("a"), F.lit(2))).alias("x"), coerce.sorted_map(F.create_map(F.lit("a"), F.lit(2), F.lit("b"), F.lit(1))).alias("y"))
     assert list(t.first()["x"].items()) == list(t.first()["y"].items()) == [("a", 2), ("b", 1)]
