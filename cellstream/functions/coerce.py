@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NUMBERS = {"long": "bigint", "int": "int", "double": "double", "float": "float"}
+#: Text that may be a number; what isn't like it is none.
+_NUMBER = r"^[\x00-\x20\x7f-\x9f]*+[+-]?+(?:[0-9.][0-9.eEdDfF+-]*+|0[xX][0-9a-fA-F.pP+-]*+|[nN][aA][nN]|[iI][nN][fF][a-zA-Z]*+)[\x00-\x20\x7f-\x9f]*+$"
 PLAIN = NUMBERS | {"boolean": "boolean", "string": "string", "bytes": "binary"}
 
 
@@ -36,6 +38,12 @@ def _result(value: Column, given: Column, path: str | Column, what: str) -> tupl
     return value, F.when(given.isNotNull() & value.isNull(), F.concat(said(path, f": not {what}: "), given.cast("string")))
 
 
+def number(v: Column, kind: str) -> Column:
+    """v as a kind of number, or null. try_cast alone raises and catches an error for each text that is no number, so these aren't tried."""
+    may_be = F.when(F.typeof(v) == "string", v.cast("string").rlike(_NUMBER)).otherwise(True)
+    return F.when(may_be, v.try_cast(NUMBERS[kind]))
+
+
 def boolean(v: Column, path: str = "") -> tuple[Column, Column]:
     """1, 0, true and false, in any case, without outer blanks; nothing else."""
     t = F.lower(F.trim(v.cast("string")))
@@ -63,7 +71,7 @@ def narrowed(v: Column, bits: int, signed: bool = True, policy: str = "wrap") ->
 
 def union(v: Column, kinds: list[str], path: str = "") -> tuple[Column, Column, Column]:
     """The first of these kinds, all plain, that a text coerces to: its name, the value as text, the error. See one_of for unions of any kinds."""
-    tries = {"boolean": lambda: boolean(v)[0].cast("string"), "long": lambda: v.try_cast("bigint").cast("string"), "double": lambda: v.try_cast("double").cast("string"), "string": lambda: v}
+    tries = {"boolean": lambda: boolean(v)[0].cast("string"), "long": lambda: number(v, "long").cast("string"), "double": lambda: number(v, "double").cast("string"), "string": lambda: v}
     cases = [(k, tries[k]()) for k in kinds if k != "null"]
     name = F.coalesce(*[F.when(c.isNotNull(), F.lit(k)) for k, c in cases])
     value = F.coalesce(*[c for _, c in cases])
@@ -174,7 +182,8 @@ def one_of(v: Column, kinds: list[object], path: str | Column, given: T.DataType
     names = branches(kinds)
     tried = [(n, k, *coerced(v, k, path, given, strict)) for n, k in names]
     # None and "" can't be told apart from a fault by the value alone, so branches go by their errors.
-    first = F.coalesce(*[F.when(error.isNull(), F.lit(n)) for n, _, _, error in tried])
+    # Only of numbers the value tells, and needs no message for it.
+    first = F.coalesce(*[F.when(x.isNotNull() if k in NUMBERS and given is not None else error.isNull(), F.lit(n)) for n, k, x, error in tried])
     value = F.struct(first.alias("branch"), *[F.when(first == n, x).cast(spark_type(k)).alias(n) for n, k, x, _ in tried])
     return F.when(v.isNotNull() & first.isNotNull(), value), F.when(v.isNull(), missing).when(first.isNull(), said(path, ": no branch fits"))
 
@@ -188,7 +197,10 @@ def each_value(m: Column, kind: object, path: str | Column, given: T.DataType |
     """A map in order of its keys as text, its values coerced; a null map is an error, as are values that don't fit, by their key."""
     of = given.valueType if isinstance(given, T.MapType) else None
     at = lambda key: F.concat(said(path, "."), key)
-    entries = F.array_sort(F.transform(F.map_entries(m), lambda e: F.struct(e["key"].cast("string").alias("key"), e["value"].alias("value"))), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+    if isinstance(given, T.MapType) and isinstance(given.keyType, T.StringType) and isinstance(of, T.AtomicType):
+        entries = F.sort_array(F.map_entries(m))
+    else:
+        entries = F.array_sort(F.transform(F.map_entries(m), lambda e: F.struct(e["key"].cast("string").alias("key"), e["value"].alias("value"))), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
     value = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"].alias("key"), coerced(e["value"], kind, at(e["key"]), of, strict)[0].alias("value"))))
     wrong = F.filter(F.transform(entries, lambda e: _inner(kind, coerced(e["value"], kind, at(e["key"]), of, strict)[1], at(e["key"]))), lambda x: x.isNotNull())
     return value, F.when(m.isNull(), said(path, ": required")).otherwise(F.get(wrong, F.lit(0)))
@@ -246,7 +258,7 @@ def coerced(v: Column, kind: object, path: str | Column, given: T.DataType | Non
         return boolean(v, path)
     if kind in ("string", "bytes"):
         return v.cast(PLAIN[kind]), F.lit(None).cast("string")
-    return _result(v.try_cast(PLAIN[str(kind)]), v, path, f"a {kind}")
+    return _result(number(v, str(kind)), v, path, f"a {kind}")
 
 
 def kind_of(schema: object) -> object:

@@ -18,8 +18,8 @@ TYPES = (
 
 def column_name(q: Column) -> Column:
     """Trimmed of characters up to the space, upper case if it holds an ASCII lower-case letter."""
-    t = F.regexp_replace(q, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
-    return F.when(t.rlike("[a-z]"), F.upper(t)).otherwise(t)
+    t = F.trim(q, F.lit("".join(map(chr, range(33)))))
+    return F.when(q.rlike("[a-z]"), F.upper(t)).otherwise(t)
 
 
 def source_type(name: Column) -> Column:

@@ -25,6 +25,11 @@ def flat(entries: DataFrame) -> DataFrame:
     return entries.select("wal_seq", "wal_write_time", "table", F.posexplode("cells").alias("cell_idx", "cell")).select("wal_seq", "wal_write_time", "table", "cell_idx", "cell.*")
 
 
+def evaluated(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with more columns, which are evaluated once a row wherever they are used: as rows of a generator, they aren't copied into what uses them."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def run_starts() -> Column:
     """Where the runs of column `cells`, which isn't empty, begin."""
     return F.filter(F.sequence(F.lit(0), F.size("cells") - 1), lambda i: (i == 0) | ~F.get("cells", i)["row"].eqNullSafe(F.get("cells", i - 1)["row"]))
@@ -34,7 +39,8 @@ def runs(entries: DataFrame) -> DataFrame:
     """One row per run of neighbouring cells of one row key: run_idx, row, run (the cells). Entries without cells give none."""
     some = entries.where(F.size("cells") > 0)
     starts = run_starts()
-    cut = some.withColumn("starts", starts).select("*", F.posexplode("starts").alias("run_idx", "start"))
+    # There is a start at least; outer keeps the array from being evaluated once more to tell.
+    cut = some.withColumn("starts", starts).select("*", F.posexplode_outer("starts").alias("run_idx", "start"))
     end = F.coalesce(F.get("starts", F.col("run_idx") + 1), F.size("cells"))
     return cut.withColumn("run", F.slice("cells", F.col("start") + 1, end - F.col("start"))).select("wal_seq", "wal_write_time", "table", "run_idx", F.get("run", F.lit(0))["row"].alias("row"), "run")
 
@@ -59,16 +65,20 @@ def last_value(run: str | Column, qualifier: str) -> Column:
     return last_named(written(run), qualifier)
 
 
+def puts(run: str | Column) -> Column:
+    """The cells of a run that put a value."""
+    return F.filter(run, lambda c: ~c["is_delete"] & (F.octet_length(c["value"]) > 0))
+
+
 def written(run: str | Column) -> Column:
-    """The cells of a run that put a value, as structs of the column's normal name and the value."""
-    puts = F.filter(run, lambda c: ~c["is_delete"] & (F.octet_length(c["value"]) > 0))
-    return F.transform(puts, lambda c: F.struct(names.column_name(c["qualifier"]).alias("name"), c["value"].alias("value")))
+    """The same as structs of the column's normal name and the value."""
+    return F.transform(puts(run), lambda c: F.struct(names.column_name(c["qualifier"]).alias("name"), c["value"].alias("value")))
 
 
-def last_named(puts: str | Column, qualifier: str) -> Column:
+def last_named(written: str | Column, qualifier: str) -> Column:
     """The last value of a column among written cells."""
     name = normal_name(qualifier)
-    return F.try_element_at(F.filter(puts, lambda c: c["name"] == name), F.lit(-1))["value"]
+    return F.try_element_at(F.filter(written, lambda c: c["name"] == name), F.lit(-1))["value"]
 
 
 def normal_name(qualifier: str) -> str:
@@ -89,17 +99,29 @@ def is_deleted(run: str | Column) -> Column:
 _OF_KIND = {"string": {"VARCHAR", "CHAR"}, "long": {k for k, t in decode.SPARK.items() if t == "bigint"}, "int": {k for k, t in decode.SPARK.items() if t == "int"}, "boolean": {"BOOLEAN"}, "float": {"FLOAT"}, "double": {"DOUBLE"}}
 
 
-def typed(v: Column, field: Field, path: str) -> tuple[Column, Column]:
-    """A cell's value of the field's kind, and what is wrong with it.
-
-    Fields of bytes and fixed take what doesn't decode as it is; for other kinds a value of a wrong size, or that can't be
-    coerced, is null and an error.
-    """
-    if field.kind == "bytes" or (isinstance(field.kind, (list, tuple)) and field.kind[0] == "fixed"):
+def read(v: Column, field: Field) -> Column:
+    """A cell's value, decoded; fields of bytes and fixed take what doesn't decode as it is."""
+    if _raw(field):
         value = decode.or_raw(v, field.source)
-        return coerce.coerced(value if field.default is None else F.coalesce(value, F.lit(field.default)), field.kind, path, T.BinaryType())
-    value, wrong = decode.decoded(v, field.source, field.default), decode.misfit(v, field.source, path)
-    if isinstance(field.kind, str) and field.source in _OF_KIND.get(field.kind, ()):
+        return value if field.default is None else F.coalesce(value, F.lit(field.default))
+    return decode.decoded(v, field.source, field.default)
+
+
+def _raw(field: Field) -> bool:
+    return field.kind == "bytes" or (isinstance(field.kind, (list, tuple)) and field.kind[0] == "fixed")
+
+
+def _coerced(field: Field) -> bool:
+    """Whether a field's decoded values are yet to come to its kind."""
+    return not (isinstance(field.kind, str) and field.source in _OF_KIND.get(field.kind, ()))
+
+
+def typed(v: Column, value: Column, field: Field, path: str) -> tuple[Column, Column]:
+    """A cell's value of the field's kind, from its bytes v and what read gave, and what is wrong with it: a wrong size, or what can't be coerced, which is null then."""
+    if _raw(field):
+        return coerce.coerced(value, field.kind, path, T.BinaryType())
+    wrong = decode.misfit(v, field.source, path)
+    if not _coerced(field):
         return value, wrong
     of = decode.TYPES.get(field.source, "string")
     value, error = coerce.coerced(value, field.kind, path, of and T.DataType.fromDDL(of))
@@ -116,13 +138,16 @@ def row_events(entries: DataFrame, spec: TableSpec, extra: dict[str, Column] | N
     t = runs(entries).where(in_families("run", spec.families))
     keys = rowkey.split(F.col("row"), [(p, spec.of(p).source) for p in spec.pk], spec.salt, spec.sizes)
     # Names and values of what was written, last first: a column's value is at its name's first place.
-    t = t.withColumn("__written", F.reverse(written("run")))
-    t = t.withColumn("__names", F.transform("__written", lambda c: c["name"])).withColumn("__values", F.transform("__written", lambda c: c["value"]))
+    t = t.withColumn("__puts", F.reverse(puts("run")))
+    t = t.withColumn("__names", F.transform(F.col("__puts.qualifier"), names.column_name))
     at = lambda name: (F.array_position("__names", F.lit(normal_name(name))) - 1).cast("int")
-    t = t.withColumns({f"__{f.name}": F.get("__values", at(f.name)) for f in spec.values()} | {f"__pk_{k}": c for k, c in keys.items()})
+    t = t.withColumns({f"__{f.name}": F.get("__puts", at(f.name))["value"] for f in spec.values()} | {f"__pk_{k}": c for k, c in keys.items()})
+    # What is to be coerced is used more than once, as value, for its branches and in errors.
+    if again := {f"__read_{f.name}": read(F.col(f"__{f.name}"), f) for f in spec.values() if _coerced(f)}:
+        t = evaluated(t, **again)
     faults = [F.when(F.col("row").isNull() | (F.octet_length("row") == 0), F.lit(f"{spec.name}: no row key"))]
     faults += [F.when(F.col(f"__pk_{p}").isNull(), F.lit(f"{spec.name}.{p}: not in the row key")) for p in spec.pk]
-    values = {f.name: typed(F.col(f"__{f.name}"), f, f"{spec.name}.{f.name}") for f in spec.values()}
+    values = {f.name: typed(F.col(f"__{f.name}"), F.col(f"__read_{f.name}") if _coerced(f) else read(F.col(f"__{f.name}"), f), f, f"{spec.name}.{f.name}") for f in spec.values()}
     faults += [wrong for _, wrong in values.values()]
     meta = {
         "_event_ts": event_time("run"), "_delete": is_deleted("run"),

@@ -117,7 +117,8 @@ def coerced_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = encode.integer(F.col("l_linenumber").cast("bigint"), 4)
     values = {"n": text(n), "ok": text(ok), "flag": text(F.col("l_returnflag")), "raw": F.when(F.col("l_linenumber") == 5, F.concat(raw, F.lit(b"\x01"))).otherwise(raw)}
     cell = lambda q, v: F.struct(text(F.lit("k")).alias("row"), F.lit("d").alias("family"), F.lit(q).alias("qualifier"), F.lit(1).cast("bigint").alias("ts"), F.lit(False).alias("is_delete"), v.alias("value"))
-    e = t.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("wal_seq"), F.lit(0).cast("bigint").alias("wal_write_time"), F.lit("ns:lines").alias("table"), F.array(*[cell(q, v) for q, v in values.items()]).alias("cells"))
+    e = t.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("wal_seq"), F.lit(0).cast("bigint").alias("wal_write_time"), F.lit("ns:lines").alias("table"), "l_orderkey", "l_linenumber", "l_returnflag")
+    e = cells.evaluated(e, cells=F.array(*[cell(q, v) for q, v in values.items()]))
     return cells.row_events(e, spec).select("wal_seq", "n", "ok", "flag", F.lower(F.hex("raw")).alias("raw"), F.col("_error").alias("error"))
 
 
@@ -137,7 +138,8 @@ def union_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pair": F.when(n == 4, F.lit(b"")).otherwise(bytes_of('{"x": ', o, "}")), "note": F.when(n == 5, bytes_of("text")),
     }
     cell = lambda q, v: F.struct(F.lit(b"k").alias("row"), F.lit("d").alias("family"), F.lit(q).alias("qualifier"), F.lit(1).cast("bigint").alias("ts"), F.lit(False).alias("is_delete"), v.alias("value"))
-    e = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + n).alias("wal_seq"), F.lit(0).cast("bigint").alias("wal_write_time"), F.lit("ns:shapes").alias("table"), F.array(*[cell(q, v) for q, v in values.items()]).alias("cells"))
+    e = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + n).alias("wal_seq"), F.lit(0).cast("bigint").alias("wal_write_time"), F.lit("ns:shapes").alias("table"), "l_orderkey", "l_linenumber")
+    e = cells.evaluated(e, cells=F.array(*[cell(q, v) for q, v in values.items()]))
     t = cells.row_events(e, spec)
     ok = F.when(F.forall(F.map_values("counts"), lambda x: x.isNotNull()), F.array_join(F.transform(F.map_entries("counts"), lambda x: F.concat_ws("=", x["key"], x["value"].cast("string"))), ","))
     return t.select("wal_seq", F.col("u.branch").alias("branch"), F.col("u.long").alias("n"), F.col("u.string").alias("s"), ok.alias("counts"), F.col("pair.x").alias("pair_x"), F.col("pair.y").alias("pair_y"), F.col("_error").alias("error"))
@@ -233,7 +235,7 @@ def pk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = keys(spark, sf_dir)
     short = F.when(F.col("event_id") % 97 == 0, F.substring(F.col("key"), F.lit(1), F.octet_length("key") - 3)).otherwise(F.col("key"))
     cell = F.struct(short.alias("row"), F.lit("d").alias("family"), F.lit("note").alias("qualifier"), F.lit(1).cast("bigint").alias("ts"), F.lit(False).alias("is_delete"), F.encode(F.lit("n"), "UTF-8").alias("value"))
-    e = t.select(F.col("event_id").alias("wal_seq"), F.lit(0).cast("bigint").alias("wal_write_time"), F.lit("ns:events").alias("table"), F.array(cell).alias("cells"))
+    e = cells.evaluated(t.withColumns({"wal_seq": F.col("event_id"), "wal_write_time": F.lit(0).cast("bigint"), "table": F.lit("ns:events")}), cells=F.array(cell))
     return cells.row_events(e, spec).groupBy(F.col("_error").alias("error")).agg(F.count("*").alias("n"))
 
 

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from cellstream import scratch
 from cellstream.functions import decode, encode, rowkey
 from cellstream.operators import cells, stats
 from cellstream.operators.cells import ENTRY
@@ -144,3 +145,14 @@ def test_values_come_to_the_kinds_of_their_fields(spark):
     assert (r["n"], r["ok"], bytes(r["f"]), bytes(r["b"]), r["_error"]) == (12, True, b"xy", b"12345", None)
     assert one(spark, cell(b"k", "n", 1, b"12x"), spec=spec)["_error"] == "t.n: not a long: 12x"
     assert one(spark, cell(b"k", "f", 1, b"xyz"), spec=spec)["_error"] == "t.f: 2 bytes expected, got 3"
+
+
+@pytest.mark.parametrize(("name", "once"), [("union_events", ["array(struct(row", "from_json(MapType", "from_json(StructField"]), ("coerced_events", ["array(struct(row"])])
+def test_cells_and_decoded_values_are_evaluated_once(spark, name, once):
+    from cellstream.plans import registry
+
+    t = spark.createDataFrame([(1, 1, "A")], "l_orderkey bigint, l_linenumber int, l_returnflag string")
+    folder = scratch.new_path(spark, "tables")
+    t.write.parquet(f"{folder}/lineitem.parquet")
+    plan = registry.queries()[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert {x: plan.count(x) for x in once} == dict.fromkeys(once, 1)

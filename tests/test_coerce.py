@@ -13,6 +13,17 @@ from cellstream.sources import catalog
 from cellstream.spec import TableSpec
 
 
+def test_texts_that_are_no_numbers_are_not_tried(spark):
+    texts = ["7", " +7\t", "-0", "7x", "x", "", " ", ".", "1.5", "1e3", "1E+3", "1d", "2.5F", "0x1p3", "NaN", "nan", "inf", "-Infinity", "+inf", "yes", "TRUE", "9" * 25, "1 2", "--1", "\u0667", None]
+    t = spark.createDataFrame([(x,) for x in texts], "v string")
+    for kind, of in coerce.NUMBERS.items():
+        got = t.select(coerce.number(F.col("v"), kind).cast("string").alias("a"), F.col("v").try_cast(of).cast("string").alias("b"), F.col("v").rlike(coerce._NUMBER).alias("tried"), "v").collect()
+        assert [r["a"] for r in got] == [r["b"] for r in got]
+        assert {r["v"] for r in got if r["tried"] is False} >= {"7x", "x", "", "yes", "TRUE", "1 2", "--1"}
+    other = spark.createDataFrame([(1.5, True)], "d double, b boolean").select(coerce.number(F.col("d"), "long"), coerce.number(F.col("b"), "int")).first()
+    assert tuple(other) == (1, 1)
+
+
 def run(spark, values, of, kind, **more):
     """Values of a type through a kind: what they become and the errors."""
     t = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField("v", T.DataType.fromDDL(of))]))
