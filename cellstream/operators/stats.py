@@ -15,7 +15,9 @@ from .cells import in_families, run_starts, runs
 
 def _sizes(cells: Column, families: Iterable[str], starts: Column | None = None) -> Column:
     """Cells of each run of an entry; of filtered ones, the negative."""
-    starts = run_starts() if starts is None else starts
+    if starts is None:
+        # Bound as a lambda's variable, the starts of an entry are found once and not for each run.
+        return F.get(F.transform(F.array(run_starts()), lambda s: _sizes(cells, families, s)), F.lit(0))
     end = lambda i: F.coalesce(F.get(starts, i + 1), F.size(cells))
     return F.transform(starts, lambda s, i: F.when(in_families(F.slice(cells, s + 1, end(i) - s), families), end(i) - s).otherwise(s - end(i)))
 

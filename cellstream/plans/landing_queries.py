@@ -509,9 +509,14 @@ def table_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams: each gives the rows of its batch form
 
 
-def _written_log(spark: SparkSession, sf_dir: str, parts: int = 3) -> str:
+def _files(spark: SparkSession) -> int:
+    """Files of a micro-batch: as many as there are cores to write and read them."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
+def _written_log(spark: SparkSession, sf_dir: str, batches: int = 3) -> str:
     path = new_path(spark, "log")
-    entries(spark, sf_dir).repartition(parts, "wal_seq").write.parquet(path)
+    entries(spark, sf_dir).repartition(batches * _files(spark), "wal_seq").write.parquet(path)
     return path
 
 
@@ -523,7 +528,7 @@ def _run(spark: SparkSession, start: Callable[[str, str], object], path: str, ch
 @query(f"""with {CELLS_SQL} select wal_seq, run_idx, "user", event_type, value, _event_ts, _delete from rows where sent""")
 def stream_change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, out = _written_log(spark, sf_dir), new_path(spark, "events")
-    _run(spark, lambda p, c: jobs.change_events(jobs.change_log(spark, log), SPEC, p, c), out, f"{out}-checkpoint")
+    _run(spark, lambda p, c: jobs.change_events(jobs.change_log(spark, log, _files(spark)), SPEC, p, c), out, f"{out}-checkpoint")
     return spark.read.parquet(out).select("wal_seq", "run_idx", "user", "event_type", "value", "_event_ts", "_delete")
 
 
@@ -534,7 +539,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = entries(spark, sf_dir)
     for half in (0, 1):
         whole.where(F.col("wal_seq") % 2 == half).write.mode("append").parquet(log)
-        _run(spark, lambda p, c: jobs.change_events(jobs.change_log(spark, log), SPEC, p, c), out, f"{out}-checkpoint")
+        _run(spark, lambda p, c: jobs.change_events(jobs.change_log(spark, log, _files(spark)), SPEC, p, c), out, f"{out}-checkpoint")
     return spark.read.parquet(out).select("wal_seq", "run_idx", "user", "value")
 
 
@@ -622,8 +627,8 @@ def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.streams.addListener(seen)
     try:
         for half in (0, 1):
-            entries(spark, sf_dir).where(F.col("wal_seq") % 2 == half).repartition(3 - 2 * half, "wal_seq").write.mode("append").parquet(log)
-            _run(spark, lambda p, c: jobs.change_events(jobs.change_log(spark, log), SPEC, p, c, totals=seen.name), out, f"{out}-checkpoint")
+            entries(spark, sf_dir).where(F.col("wal_seq") % 2 == half).repartition((3 - 2 * half) * _files(spark), "wal_seq").write.mode("append").parquet(log)
+            _run(spark, lambda p, c: jobs.change_events(jobs.change_log(spark, log, _files(spark)), SPEC, p, c, totals=seen.name), out, f"{out}-checkpoint")
             seen.ended.wait(60)
     finally:
         spark.streams.removeListener(seen)
@@ -653,8 +658,8 @@ w as (select *, time_bucket(interval 1 hour, make_timestamp(wal_write_time * 100
 select s as window_start, count(*) as entries, sum(r)::bigint as n_rows, sum(n)::bigint as cells, sum(f)::bigint as filtered from w where s + interval 1 hour <= (select max(make_timestamp(wal_write_time * 1000)) - interval 1 minute from e) group by 1""")
 def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, log = new_path(spark, "windows"), new_path(spark, "log")
-    entries(spark, sf_dir).repartitionByRange(3, "wal_seq").write.parquet(log)
-    _run(spark, lambda p, c: jobs.throughput(jobs.change_log(spark, log, files=100), p, c, 3600, families=FAMILIES), out, f"{out}-checkpoint")
+    entries(spark, sf_dir).repartitionByRange(3 * _files(spark), "wal_seq").write.parquet(log)
+    _run(spark, lambda p, c: jobs.throughput(jobs.change_log(spark, log, files=max(100, 3 * _files(spark))), p, c, 3600, families=FAMILIES), out, f"{out}-checkpoint")
     t = spark.read.parquet(out)
     # the stream's windows are instants; without a zone they compare with SQL's
     at = times.from_millis(F.unix_millis("window_start"))

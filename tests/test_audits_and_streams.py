@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellstream import scratch
 from cellstream.functions import decode
 from cellstream.functions.coerce import Default
 from cellstream.operators import audit, cells, order, schemas, stats
 from cellstream.operators.schemas import matched
+from cellstream.plans import registry
 from cellstream.sources import topics
 from cellstream.spec import TableSpec
 from cellstream.streaming import jobs
@@ -177,3 +179,26 @@ def test_wide_specs_take_the_last_value_of_each_column(spark):
     written = [(b"k", "d", n.upper() if i % 2 else f" {n}", 1, False, f"{n}-{k}".encode()) for k in range(3) for i, n in enumerate(names)] + [(b"k", "d", "c0", 2, True, None), (b"k", "d", "other", 2, False, b"x")]
     r = cells.row_events(spark.createDataFrame([(1, 1, "t", written)], cells.ENTRY), spec).first()
     assert [r[n] for n in names] == [f"{n}-2" for n in names] and r["_error"] is None
+
+
+def test_starts_of_runs_are_found_once_for_their_sizes(spark):
+    entries = spark.createDataFrame([(1, 2, "t", [(b"a", "d", "q", 1, False, b"v"), (b"b", "x", "q", 1, False, b"v")])], cells.ENTRY)
+    t = entries.agg(stats.counters(["d"])["filtered"].alias("n"))
+    assert t._jdf.queryExecution().optimizedPlan().toString().count("sequence(0") == 1
+    assert t.first()["n"] == 1
+
+
+@pytest.mark.parametrize(("name", "batches", "least_files"), [("stream_totals", 4, 16), ("stream_resume", 2, 8)])
+def test_micro_batches_take_a_file_for_each_core(spark, name, batches, least_files):
+    """Files as many as tasks wrote, not one micro-batch for each."""
+    folder = scratch.new_path(spark, "tables")
+    spark.sql("select id as event_id, timestamp_ntz'2024-01-01' as ts, id as user_id, 'view' as event_type, 1.5D as value from range(2000)").write.parquet(f"{folder}/events.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        with scratch.recorded() as made:
+            registry.queries()[name](spark, folder).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    log, out = made
+    assert len([f for f in scratch.names(spark, f"{out}-checkpoint/commits") if f.isdigit()]) == batches
+    assert len([f for f in scratch.names(spark, log) if f.endswith(".parquet")]) >= least_files
