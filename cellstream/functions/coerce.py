@@ -183,7 +183,7 @@ def one_of(v: Column, kinds: list[object], path: str | Column, given: T.DataType
     tried = [(n, k, *coerced(v, k, path, given, strict)) for n, k in names]
     # None and "" can't be told apart from a fault by the value alone, so branches go by their errors.
     # Only of numbers the value tells, and needs no message for it.
-    first = F.coalesce(*[F.when(x.isNotNull() if k in NUMBERS and given is not None else error.isNull(), F.lit(n)) for n, k, x, error in tried])
+    first = F.coalesce(*[F.when(x.isNotNull() if isinstance(k, str) and k in NUMBERS and given is not None else error.isNull(), F.lit(n)) for n, k, x, error in tried])
     value = F.struct(first.alias("branch"), *[F.when(first == n, x).cast(spark_type(k)).alias(n) for n, k, x, _ in tried])
     return F.when(v.isNotNull() & first.isNotNull(), value), F.when(v.isNull(), missing).when(first.isNull(), said(path, ": no branch fits"))
 
