@@ -14,7 +14,7 @@ from __future__ import annotations
 import unicodedata
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,6 +32,17 @@ MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _encoders: dict[str, "Encoder"] = {}
 
 
+class _Known(dict):
+    """Ids by word; of a word that is met for the first time they are learned, so words are looked up once."""
+
+    def __init__(self, learn: Callable[[bytes], bytes]):
+        self.learn = learn
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self[word] = self.learn(word)
+        return found
+
+
 class Encoder:
     """Token ids of texts, by a tokenizer that never looks across ASCII white space.
 
@@ -46,7 +57,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.bytes_of = ByteLevel(add_prefix_space=False, use_regex=False)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Known(self._learn)
         self.most = most
 
     def _packed(self, ids: list[int]) -> bytes:
@@ -64,21 +75,18 @@ class Encoder:
             return self._packed([t.id for t in model.tokenize(self.bytes_of.pre_tokenize_str(text)[0][0])])
         return self._whole(stem)
 
-    def _learn(self, new: set[bytes]) -> None:
+    def _learn(self, w: bytes) -> bytes:
         known = self.known
-        for w in new:
-            stem = w.rstrip(MARKS)
-            if len(stem) == len(w):
-                known[w] = self._stem(w)
-                continue
-            marks = w[len(stem) :]
-            if stem and not stem.isalpha() and not stem.decode().isalpha():
-                known[w] = self._whole(w)
-                continue
-            for part in (stem, marks):
-                if part and part not in known:
-                    known[part] = self._stem(part)
-            known[w] = known.get(stem, b"") + known[marks]
+        stem = w.rstrip(MARKS)
+        if len(stem) == len(w):
+            return self._stem(w)
+        marks = w[len(stem) :]
+        if stem and not stem.isalpha() and not stem.decode().isalpha():
+            return self._whole(w)
+        for part in (stem, marks):
+            if part and part not in known:
+                known[part] = self._stem(part)
+        return (known[stem] if stem else b"") + known[marks]
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         for at in range(0, len(texts), 256):
@@ -86,8 +94,6 @@ class Encoder:
             words = [(t.encode() if "<|" in t else t.encode().lower()).split() for t in texts[at : at + 256]]
             if len(self.known) > self.most:
                 self.known.clear()
-            if new := set().union(*words).difference(self.known):
-                self._learn(new)
             for ws in words:
                 yield np.frombuffer(b"".join(map(self.known.__getitem__, ws)), self.kind)
 

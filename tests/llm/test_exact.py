@@ -244,3 +244,11 @@ def test_window_entropy_follows_the_window(spark):
     for s, h in got:
         want = max(-sum(n / 20 * math.log2(n / 20) for n in (s[i : i + 20].count(c) for c in set(s[i : i + 20]))) for i in range(len(s) - 19))
         assert abs(h - want) < 1e-9
+
+
+def test_words_are_learned_when_they_are_met():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = packing.Encoder(path)
+    for word in ("hello", "World!", "!!", "naïve.", "a1b2", "don't"):
+        want = encoder.tokenizer.encode(word, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.known[word.lower().encode()], encoder.kind).tolist() == want
