@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import let_go
 from .common import discard, free_name, grouped, mixed, parts_of, powers, salt, spread_join, stored, words_of
 
 #: What stands for a variable field: the hash of no word.
@@ -157,8 +158,8 @@ def _crowded(docs: DataFrame, picked: DataFrame, depth: int, min_docs: int) -> D
     return met.mapInPandas(run, "key long, line_no long, leaf long, needed int, line long, tokens array<long>, lead int, sketch array<long>, sig long")
 
 
-def _different(own: DataFrame) -> DataFrame:
-    """(template, needed, different): how many documents that aren't copies of each other have a template.
+def _different(own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(template, needed, different): how many documents that aren't copies of each other have a template. And a stored table, to discard when that has been read.
 
     Documents of a template that agree in AGREE values of their sketches look like copies. Each counts as one by the number
     of sketches that have its value of third most company, so that a group of copies comes to about one, however large,
@@ -171,7 +172,7 @@ def _different(own: DataFrame) -> DataFrame:
     company = values.groupBy("template", "value").agg(F.count("*").alias("company"), parts_of(salt("own")).alias("parts"))
     each = spread_join(values, company, ["template", "value"], "own").groupBy("template", "needed", "own").agg(F.sort_array(F.collect_list("company"), asc=False).alias("company"))  # SKETCH at most
     weight = 1 / F.get("company", F.least(F.lit(AGREE), F.size("company")) - 1)
-    return each.select("template", "needed", weight.alias("weight")).groupBy("template", "needed").agg(F.sum("weight").alias("different"))
+    return each.select("template", "needed", weight.alias("weight")).groupBy("template", "needed").agg(F.sum("weight").alias("different")), values
 
 
 def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, constant: float) -> DataFrame:
@@ -204,9 +205,14 @@ def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, cons
     templates = distinct.join(kept, ["leaf", "line"], "left").where(fixed >= constant * F.size("tokens")).select("leaf", "line", "parts", F.xxhash64("leaf", "kept").alias("template"))
     own = stored(spread_join(crowded.select("leaf", "line", "key", "sketch", "line_no", "needed"), templates, ["leaf", "line"], "key").drop("leaf", "line"), "templates")
     discard(crowded, by_sig, distinct)
-    found = _different(own).where(F.col("different") > F.col("needed") - 0.5).select("template")
+    different, values = _different(own)
+    found = different.where(F.col("different") > F.col("needed") - 0.5).select("template")
     spread = own.groupBy("template").agg(parts_of(salt("key")).alias("parts")).join(found, "template")
-    return spread_join(own, spread, ["template"], "key").select("key", "line_no")
+    # Written before the texts are shuffled for the last time, so that their shuffle files and these don't lie there at once.
+    gone = stored(spread_join(own, spread, ["template"], "key").select("key", "line_no"), "gone")
+    discard(own, values)
+    let_go(docs.sparkSession, every=0)
+    return gone
 
 
 def without_recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 8, min_tokens: int = 3, constant: float = 0.6) -> DataFrame:
