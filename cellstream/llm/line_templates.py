@@ -154,7 +154,7 @@ def _crowded(docs: DataFrame, picked: DataFrame, depth: int, min_docs: int) -> D
                         out.append((keys[s.start + d], int(x.line_no[i]), leaf, int(least[i]), line, tokens.view(np.int64), lead, sketch, int(sketch[0]) if len(sketch) else leaf))
                 yield pd.DataFrame(out, columns=["key", "line_no", "leaf", "needed", "line", "tokens", "lead", "sketch", "sig"])
 
-    met = docs.select(_key().alias("key"), _text().alias("text")).join(picked, "key")
+    met = docs.select(_key().alias("key"), _text().alias("text")).join(picked.hint("shuffle_hash"), "key")
     return met.mapInPandas(run, "key long, line_no long, leaf long, needed int, line long, tokens array<long>, lead int, sketch array<long>, sig long")
 
 
@@ -181,10 +181,15 @@ def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, cons
     by_doc = lines.groupBy("leaf", "needed", "doc").agg(parts_of(salt("key")).alias("parts"))
     by_leaf = by_doc.groupBy("leaf", "needed").agg(F.count("*").alias("docs"), F.bit_or("parts").alias("parts")).where(F.col("docs") >= F.col("needed"))
     picked = spread_join(lines.select("key", "line_no", "leaf"), by_leaf.select("leaf", "parts"), ["leaf"], "key").groupBy("key").agg(F.collect_set("line_no").alias("picked"))  # as many as the document has lines
-    crowded = stored(_crowded(docs, picked, depth, min_docs), "crowded")
+    # Written, as are held, so that what they are made from is gone from the disk when what follows is shuffled.
+    picked = stored(picked, "picked")
     discard(lines)
+    let_go(docs.sparkSession, every=0)
+    crowded = stored(_crowded(docs, picked, depth, min_docs), "crowded")
+    discard(picked)
 
     by_sig = stored(crowded.groupBy("leaf", "line", "sig").agg(F.max("needed").alias("needed"), parts_of(salt("key")).alias("parts")), "sigs")
+    let_go(docs.sparkSession, every=0)  # the texts' shuffle, if it was still in use just after crowded was written
     of_line = by_sig.groupBy("leaf", "line").agg(F.count("*").alias("sigs"), F.bit_or("parts").alias("parts"))
     one = crowded.groupBy("leaf", "line").agg(F.max_by(F.struct("tokens", "lead", "needed"), "key").alias("x"))
     distinct = stored(one.join(of_line, ["leaf", "line"]).select("leaf", "line", "x.*", "sigs", "parts"), "distinct")
@@ -197,14 +202,16 @@ def _recurring(docs: DataFrame, depth: int, min_docs: int, min_tokens: int, cons
     support = by_token.select("leaf", "at", "token", "needed", F.lit(1).alias("weight"), "parts")
     support = support.unionByName(by_itself.where(F.col("at") >= depth).groupBy("leaf", "at", "token", "needed").agg(F.max("weight").alias("weight"), parts_of(salt("line")).alias("parts")))
     support = support.groupBy("leaf", "at", "token", "needed").agg(F.sum("weight").alias("support"), F.bit_or("parts").alias("parts"))
-    held = support.where(F.col("support") >= F.col("needed")).select("leaf", "at", "token", "parts")
+    held = stored(support.where(F.col("support") >= F.col("needed")).select("leaf", "at", "token", "parts"), "held")
+    let_go(docs.sparkSession, every=0)
     # Positions that aren't held are variable; the leading tokens are the leaf's.
     placed = distinct.select("leaf", "line", token).where(F.col("at") >= depth)
     kept = spread_join(placed, held, ["leaf", "at", "token"], "line").groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("kept"))  # as many as the line has tokens
     fixed = F.col("lead") + F.coalesce(F.size("kept"), F.lit(0))
     templates = distinct.join(kept, ["leaf", "line"], "left").where(fixed >= constant * F.size("tokens")).select("leaf", "line", "parts", F.xxhash64("leaf", "kept").alias("template"))
     own = stored(spread_join(crowded.select("leaf", "line", "key", "sketch", "line_no", "needed"), templates, ["leaf", "line"], "key").drop("leaf", "line"), "templates")
-    discard(crowded, by_sig, distinct)
+    discard(crowded, by_sig, distinct, held)
+    let_go(docs.sparkSession, every=0)
     different, values = _different(own)
     found = different.where(F.col("different") > F.col("needed") - 0.5).select("template")
     spread = own.groupBy("template").agg(parts_of(salt("key")).alias("parts")).join(found, "template")
@@ -232,11 +239,12 @@ def without_recurring_lines(docs: DataFrame, depth: int = 3, min_docs: int = 8,
     plain = docs.drop("n_lines", "n_dropped")
     key, gone, rest = (free_name(c, plain.columns) for c in ("key", "gone", "rest"))
     dropped = _recurring(plain, depth, min_docs, min_tokens, constant).groupBy(F.col("key").alias(key)).agg(F.collect_set("line_no").alias(gone))  # as many as the document has lines
-    met = plain.withColumn(key, _key()).join(dropped, key, "left")
+    # Texts pass by their documents' dropped lines, so they aren't sorted; and at any size by the same plan.
+    met = plain.withColumn(key, _key()).join(dropped.hint("shuffle_hash"), key, "left")
     left = F.array_join(F.filter(F.split(_text(), "\n"), lambda x, i: ~F.array_contains(F.col(gone), i.cast("long"))), "\n")
     cleaned = F.get(F.transform(F.array(left), lambda x: F.when(x.rlike(r"\S"), x)), F.lit(0))
     met = met.withColumn(rest, F.when(F.col(gone).isNotNull(), cleaned))
-    ends = lambda t: F.octet_length(t) - F.octet_length(F.translate(t, "\n", ""))
+    ends = lambda t: F.octet_length(t) - F.octet_length(F.replace(t, F.lit("\n"), F.lit("")))
     return met.select(
         *[F.coalesce(F.col(rest), _text()).alias("text") if c == "text" else F.col(f"`{c}`") for c in plain.columns],
         F.coalesce(ends(_text()) + 1, F.lit(0)).cast("long").alias("n_lines"),

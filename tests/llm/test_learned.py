@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from cellstream import scratch
 from cellstream.llm import ann_graph, langid, line_templates, mixing, weak_quality
 from cellstream.llm.queries import ORACLE_SQL, QUERIES
 
@@ -206,6 +207,24 @@ def test_copies_take_nothing_from_other_recurrences(spark):
     assert all(alone[i] == text for i, text, *_ in docs[40:])
 
 
+def test_texts_are_shuffled_unsorted_and_without_what_came_before(spark, monkeypatch):
+    """By the same plan at any size, with the parsed lines deleted; and ends of lines are counted in bytes."""
+    plain, left = line_templates._crowded, []
+
+    def crowded(docs, picked, *rest):
+        left.extend(p for p in made if "llm-lines" in p and scratch.exists(spark, p))
+        return plain(docs, picked, *rest)
+
+    monkeypatch.setattr(line_templates, "_crowded", crowded)
+    docs = [(i, f"own {i}\nthe same line in every one\nlast {i} é", "en", "s", None, "x") for i in range(20)]
+    with scratch.recorded() as made:
+        found = line_templates.without_recurring_lines(spark.createDataFrame(docs, DOCS))
+    assert left == [] and [p.split("llm-")[1].split("-")[0] for p in made if scratch.exists(spark, p)] == ["gone"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "translate" not in plan
+    assert all(r["n_lines"] == 3 for r in found.collect())
+
+
 @pytest.mark.parametrize("words, times", [(60, 2), (35, 5)])
 def test_the_longer_a_line_the_fewer_recurrences_it_takes(spark, words, times):
     r = np.random.RandomState(17)
