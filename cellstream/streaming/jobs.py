@@ -15,9 +15,10 @@ from ..operators.cells import ENTRY, marked, row_events
 from ..spec import TableSpec
 
 
-def change_log(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
-    """A stream of entries, `files` files a micro-batch."""
-    return spark.readStream.schema(ENTRY).option("maxFilesPerTrigger", files).parquet(path)
+def change_log(spark: SparkSession, path: str, files: int | None = 1) -> DataFrame:
+    """A stream of entries, `files` files a micro-batch; None: all that are there, which Spark deals to the cores by size."""
+    stream = spark.readStream.schema(ENTRY)
+    return (stream.option("maxFilesPerTrigger", files) if files else stream).parquet(path)
 
 
 def _started(df: DataFrame, path: str, checkpoint: str, partition: list[str] | None = None) -> StreamingQuery:

@@ -202,3 +202,21 @@ def test_micro_batches_take_a_file_for_each_core(spark, name, batches, least_fil
     log, out = made
     assert len([f for f in scratch.names(spark, f"{out}-checkpoint/commits") if f.isdigit()]) == batches
     assert len([f for f in scratch.names(spark, log) if f.endswith(".parquet")]) >= least_files
+
+
+def test_a_resumed_stream_takes_a_micro_batch_a_run_however_many_files(spark):
+    folder = scratch.new_path(spark, "tables")
+    spark.sql("select id as event_id, timestamp_ntz'2024-01-01' as ts, id as user_id, 'view' as event_type, 1.5D as value from range(2000)").write.parquet(f"{folder}/events.parquet")
+    changed = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "9"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        with scratch.recorded() as made:
+            found = registry.queries()["stream_resume"](spark, folder).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    log, out = made
+    assert found > 0 and len([f for f in scratch.names(spark, log) if f.endswith(".parquet")]) == 18
+    assert [f for f in scratch.names(spark, f"{out}-checkpoint/commits") if f.isdigit()] == ["0", "1"]
